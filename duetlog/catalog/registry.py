@@ -11,31 +11,53 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..plans.fixtures import Tables, duck_with
 
 QUERIES: dict[str, Callable[[Tables], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
+ROUNDED: dict[str, tuple[str, ...]] = {}
+DIGITS = 4
 
 
 def query(name: str, sql: str | None = None, fixtures: tuple[str, ...] = (),
-          extra: dict[str, str] | None = None):
+          extra: dict[str, str] | None = None, rounded: tuple[str, ...] = ()):
+    """Register a query.  ``rounded`` names double columns that are rounded
+    to ``DIGITS`` places on both sides (float sums differ in the last bits
+    between engines)."""
     def deco(fn):
         if name in QUERIES:
             raise ValueError(f"duplicate query {name}")
         QUERIES[name] = fn
+        ROUNDED[name] = tuple(rounded)
         if sql is not None:
             head, body = duck_with(*fixtures, extra=extra), sql.strip()
             if head and body[:5].upper() == "WITH ":
                 body = ",\n" + body[5:]
                 head = head.rstrip()
-            ORACLE[name] = head + body
+            text = head + body
+            if rounded:
+                reps = ", ".join(f'CAST(round(CAST("{c}" AS DECIMAL(38,10)), {DIGITS}) AS DOUBLE) AS "{c}"'
+                                 for c in rounded)
+                text = f"SELECT * REPLACE ({reps}) FROM (\n{text}\n) AS _q"
+            ORACLE[name] = text
         return fn
     return deco
 
 
+def round_double(c, digits: int = DIGITS):
+    """Round through a fixed-scale decimal: the 1e-10 step absorbs the
+    last-bit differences of float sums, and decimal HALF_UP rounding is the
+    same in both engines."""
+    return F.round(c.cast("decimal(38,10)"), digits).cast("double")
+
+
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
-    return QUERIES[name](Tables(spark, sf_dir))
+    df = QUERIES[name](Tables(spark, sf_dir))
+    for c in ROUNDED.get(name, ()):
+        df = df.withColumn(c, round_double(F.col(c)))
+    return df
 
 
 def load_all() -> None:

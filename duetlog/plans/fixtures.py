@@ -34,6 +34,7 @@ class Fixture:
     sql: str                      # shared text, or Spark text when duck is set
     duck: str | None = None       # DuckDB text when it differs
     deps: tuple[str, ...] = field(default_factory=tuple)
+    builder: object = None        # Spark-side builder fn(Tables) -> DataFrame
 
     def duck_sql(self) -> str:
         return self.duck if self.duck is not None else self.sql
@@ -83,7 +84,7 @@ SELECT o_orderkey AS space_id,
   CAST(CAST(o_orderdate AS DATE) - CAST((o_orderkey * 3) % 800 AS INT) AS VARCHAR(10)) AS b_regist_time,
   CAST(o_orderdate AS DATE) AS registe_space_dt,
   CAST(o_orderdate AS DATE) - CAST(o_orderkey % 1300 - 50 AS INT) AS anniversary_day,
-  CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_totalprice END AS total_cost,
+  CAST(CASE WHEN o_orderkey % 3 = 0 THEN 0 ELSE o_totalprice END AS DECIMAL(12,2)) AS total_cost,
   CAST(CAST(o_orderdate AS DATE) + CAST(o_orderkey % 1000 AS INT) AS VARCHAR(10)) || ' 08:30:00' AS a_last_use_time,
   CAST(CAST(o_orderdate AS DATE) + CAST((o_orderkey * 5) % 1000 AS INT) AS VARCHAR(10)) || ' 21:15:00' AS b_last_use_time,
   (o_custkey*104729+7) % 260000000 AS a_ip, (o_custkey*224737+11) % 260000000 AS b_ip
@@ -184,6 +185,20 @@ FROM {events}"""
 FIXTURES["search_index"] = _fx(_INDEX.replace("{MS}", _SPARK_MS), _INDEX.replace("{MS}", _DUCK_MS))
 
 
+def _couple_enriched(t):
+    from .couples import enrich_couples
+    return enrich_couples(t["couple"], t["ip_ranges"])
+
+
+# The couple rows with a region per partner: Spark uses the library's
+# interval join; the oracle writes the same lookup as BETWEEN joins.
+FIXTURES["couple_enriched"] = Fixture(sql="", duck="""
+SELECT c.*, ra.country AS a_country, ra.province AS a_province, ra.city AS a_city,
+  rb.country AS b_country, rb.province AS b_province, rb.city AS b_city
+FROM {couple} c LEFT JOIN {ip_ranges} ra ON c.a_ip BETWEEN ra.lo AND ra.hi
+LEFT JOIN {ip_ranges} rb ON c.b_ip BETWEEN rb.lo AND rb.hi""", deps=("couple", "ip_ranges"), builder=_couple_enriched)
+
+
 def _topo(names) -> list[str]:
     seen: list[str] = []
 
@@ -212,6 +227,9 @@ class Tables:
                 self._cache[name] = table(self.spark, self.sf_dir, name)
             else:
                 fx = FIXTURES[name]
+                if fx.builder is not None:
+                    self._cache[name] = fx.builder(self)
+                    return self._cache[name]
                 frames = {d: self[d] for d in fx.deps}
                 self._cache[name] = self.spark.sql(fx.sql, **frames)
         return self._cache[name]
