@@ -1 +1,83 @@
-"""placeholder"""
+"""Farm activity queries (PIPE-18, JOIN-07, AGG-13/14, FLT-11, SNK-04 form)."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from ..plans import farm as P
+from .registry import query
+
+_VALID = "space_id IS NOT NULL AND space_id != 0 AND user_id != 0 AND user_id IS NOT NULL"
+
+
+def _kind(name: str, cond: str, val: str) -> str:
+    return f"""{name} AS (SELECT space_id, user_id, string_agg(CAST(item_id AS INT) || ':' || CAST(c AS VARCHAR), ',' ORDER BY CAST(item_id AS INT), c) AS {name}
+  FROM (SELECT space_id, user_id, item_id, {val} AS c FROM farm WHERE {cond} GROUP BY space_id, user_id, item_id) GROUP BY space_id, user_id)"""
+
+
+_FARM_SQL = f"""
+WITH a AS (SELECT space_id, user_id FROM farm WHERE {_VALID} GROUP BY space_id, user_id),
+c AS (SELECT space_id, user_id, sum(amount) AS get_coin FROM farm WHERE bn = 'rainbow_coin_get' GROUP BY space_id, user_id),
+{_kind('d', "behavior_type = 'feed'", 'sum(number)')},
+{_kind('e', "behavior_type = 'plant'", 'sum(number)')},
+{_kind('f', "behavior_type = 'produce'", 'CAST(sum(1) AS BIGINT)')},
+{_kind('g', "bn IN ('building_materials_get')", 'sum(number)')},
+bb AS (SELECT a.space_id, a.user_id, coalesce(c.get_coin, 0) AS coin_op, d.d AS feed_op, e.e AS plant_op,
+         f.f AS produce_op, g.g AS materials_op
+  FROM a LEFT JOIN c ON a.space_id = c.space_id AND a.user_id = c.user_id
+  LEFT JOIN d ON a.space_id = d.space_id AND a.user_id = d.user_id
+  LEFT JOIN e ON a.space_id = e.space_id AND a.user_id = e.user_id
+  LEFT JOIN f ON a.space_id = f.space_id AND a.user_id = f.user_id
+  LEFT JOIN g ON a.space_id = g.space_id AND a.user_id = g.user_id)
+SELECT * FROM bb WHERE coin_op != 0 OR feed_op IS NOT NULL OR materials_op IS NOT NULL OR plant_op IS NOT NULL OR produce_op IS NOT NULL"""
+
+
+def _rendered(t):
+    act = P.farm_activity(t["farm"])
+    return act.select("space_id", "user_id", "coin_op", *[P.render_entries(k).alias(k) for k in P.KINDS])
+
+
+@query("pipe_farm_activity", sql=_FARM_SQL, fixtures=("farm",))
+def pipe_farm_activity(t):
+    """PIPE-18: coins, feed, plant, produce and materials per user; the
+    per-item sets are rendered ``item:count,...`` for a flat compare."""
+    return _rendered(t)
+
+
+@query("join_left_star", sql=_FARM_SQL, fixtures=("farm",))
+def join_left_star(t):
+    """JOIN-07: the six-aggregate left-join star on the distinct keys, as
+    the studied SQL joins them (kept to compare plans with the one-pass form)."""
+    act = P.farm_activity_star(t["farm"])
+    return act.select("space_id", "user_id", "coin_op", *[P.render_entries(k).alias(k) for k in P.KINDS])
+
+
+@query("agg_two_level_set", sql="""
+SELECT space_id, user_id, string_agg(CAST(item_id AS INT) || ':' || CAST(c AS VARCHAR), ',' ORDER BY CAST(item_id AS INT)) AS feed_op
+FROM (SELECT space_id, user_id, item_id, sum(number) AS c FROM farm WHERE behavior_type = 'feed' GROUP BY ALL) GROUP BY ALL""",
+       fixtures=("farm",))
+def agg_two_level_set(t):
+    """AGG-13: per item, then per user, a sorted set of {item_id, count}."""
+    lvl1 = (t["farm"].where(F.col("behavior_type") == "feed").groupBy("space_id", "user_id", "item_id")
+            .agg(F.sum("number").alias("count")))
+    lvl2 = lvl1.groupBy("space_id", "user_id").agg(
+        F.sort_array(F.collect_set(F.struct(F.col("item_id").cast("int").alias("item_id"), "count"))).alias("feed_op"))
+    return lvl2.select("space_id", "user_id", P.render_entries("feed_op").alias("feed_op"))
+
+
+@query("agg_sum_one", sql="""
+SELECT space_id, item_id, CAST(sum(1) AS BIGINT) AS produce_rows FROM farm WHERE behavior_type = 'produce' GROUP BY ALL""",
+       fixtures=("farm",))
+def agg_sum_one(t):
+    """AGG-14: ``sum(1)`` as a row count."""
+    return (t["farm"].where(F.col("behavior_type") == "produce").groupBy("space_id", "item_id")
+            .agg(F.sum(F.lit(1)).alias("produce_rows")))
+
+
+@query("snk_text_farm", sql=f"""
+SELECT CAST(space_id AS VARCHAR) || ' ' || CAST(user_id AS VARCHAR) || ' ' || CAST(coin_op AS VARCHAR) || ' ' ||
+  coalesce(feed_op, 'null') || ' ' || coalesce(plant_op, 'null') || ' ' || coalesce(produce_op, 'null') || ' ' ||
+  coalesce(materials_op, 'null') AS value FROM ({_FARM_SQL.strip()})""", fixtures=("farm",))
+def snk_text_farm(t):
+    """SNK-04 form: the activity rows as space-joined text lines."""
+    return P.farm_text_lines(P.farm_activity(t["farm"]))

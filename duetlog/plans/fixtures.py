@@ -91,7 +91,8 @@ SELECT o_orderkey AS space_id,
 FROM {orders}""")
 
 FIXTURES["farm"] = _fx("""
-SELECT o_custkey % 100 AS space_id, l_suppkey AS user_id, l_linenumber AS item_id, l_quantity AS number, l_extendedprice AS amount,
+SELECT o_custkey % 100 AS space_id, l_suppkey AS user_id, l_linenumber AS item_id,
+  CAST(l_quantity AS BIGINT) AS number, CAST(l_extendedprice AS DECIMAL(18,2)) AS amount,
   CASE l_returnflag WHEN 'A' THEN 'feed' WHEN 'N' THEN 'plant' ELSE 'produce' END AS behavior_type,
   CASE WHEN l_orderkey % 4 = 0 THEN 'rainbow_coin_get' WHEN l_orderkey % 4 = 1 THEN 'rainbow_coin_cost'
        WHEN l_orderkey % 4 = 2 THEN 'building_materials_get' ELSE 'login' END AS bn
