@@ -25,7 +25,7 @@ BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "li
 COUPLE_AS_OF = "1999-06-30"
 
 _SPARK_MS = "timestampdiff(MILLISECOND, TIMESTAMP_NTZ '1970-01-01 00:00:00', ts)"
-_DUCK_MS = "epoch_ms(ts)"
+_DUCK_MS = "(epoch_us(ts) // 1000)"
 _DAY = "CAST(CAST(ts AS DATE) AS VARCHAR(10))"
 
 
