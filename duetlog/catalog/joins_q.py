@@ -59,13 +59,13 @@ def join_inner_using(t):
 
 @query("join_inner_notnull", sql="""
 SELECT p.user_id, p.price, l.platform FROM
- (SELECT user_id, CAST(round(sum(price), 2) AS DOUBLE) AS price FROM orders_paid WHERE pay_date IS NOT NULL GROUP BY user_id) p
+ (SELECT user_id, sum(price) AS price FROM orders_paid WHERE pay_date IS NOT NULL GROUP BY user_id) p
  JOIN (SELECT DISTINCT user_id, platform FROM login_os_plat) l ON p.user_id = l.user_id
 WHERE p.user_id IS NOT NULL""", fixtures=("orders_paid", "login_os_plat"))
 def join_inner_notnull(t):
     """JOIN-08: inner join, then the (redundant) not-null test on the key."""
     paid = (t["orders_paid"].where(F.col("pay_date").isNotNull()).groupBy("user_id")
-            .agg(F.round(F.sum("price"), 2).alias("price")))
+            .agg(F.sum("price").alias("price")))
     plat = t["login_os_plat"].select("user_id", "platform").dropDuplicates()
     return (plat.join(paid, "user_id").where(paid["user_id"].isNotNull())
                 .select("user_id", "price", "platform"))

@@ -141,7 +141,7 @@ SELECT {_DAY} AS date, event_type AS dim, 'el_' || CAST(user_id % 4 AS VARCHAR(1
 FROM {{events}} GROUP BY {_DAY}, event_type, 'el_' || CAST(user_id % 4 AS VARCHAR(10))""")
 
 FIXTURES["orders_paid"] = _fx("""
-SELECT o_custkey AS user_id, o_totalprice AS price,
+SELECT o_custkey AS user_id, CAST(o_totalprice AS DECIMAL(18,2)) AS price,
   CASE WHEN o_orderstatus = 'P' THEN NULL ELSE CAST(o_orderdate AS DATE) END AS pay_date,
   CAST(CAST(o_orderdate AS DATE) AS VARCHAR(10)) AS c_date
 FROM {orders}""")
