@@ -33,7 +33,7 @@ def text_value(df: DataFrame, sep: str = " ") -> DataFrame:
 def write_text(df: DataFrame, path: str, mode: str = "errorifexists", single_file: bool = False,
                sep: str = " ", partition_by: str | None = None) -> None:
     """SNK-03 / SNK-04: plain text lines (columns joined by ``sep``)."""
-    out = df if partition_by else text_value(df, sep)
+    out = df.hint("rebalance", partition_by) if partition_by else text_value(df, sep)
     w = _one(out, single_file).write.mode(mode)
     if partition_by:
         w = w.partitionBy(partition_by)
@@ -76,3 +76,13 @@ def deliver_partitions(df: DataFrame, send: Callable[[Iterable[Row]], None]) ->
 def preview(df: DataFrame, n: int = 20) -> DataFrame:
     """SNK-12: first ``n`` rows (after the caller's total order)."""
     return df.limit(n)
+
+
+def write_partitioned(df: DataFrame, path: str, partition_by: Iterable[str], fmt: str = "parquet",
+                      mode: str = "errorifexists") -> None:
+    """Partitioned folder write.  The ``rebalance`` hint lets adaptive
+    execution shuffle rows by the partition columns, splitting a hot value
+    over several tasks and merging small ones, so each folder gets a few
+    right-sized files instead of one file per task per value."""
+    cols = list(partition_by)
+    df.hint("rebalance", *cols).write.mode(mode).format(fmt).partitionBy(*cols).save(path)
