@@ -1 +1,144 @@
-"""placeholder"""
+"""Streaming operators as batch twins over a replayed log (STR-02..09).
+
+The streaming runs themselves (``foreachBatch`` state merge, update-mode
+running counts) are exercised in ``tests/test_streaming.py`` and must equal
+these twins.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import Window
+from pyspark.sql import functions as F
+
+from .. import constants as K
+from ..streaming import alarm as A
+from ..streaming.parse import parse_error_log, route_events
+from .registry import query
+
+THRESHOLD = 5          # fitted to the fixture: a few errors per key and day
+DAY = 86400
+
+_JSON = F.to_json(F.struct("sv", "bn", "url", "err_code", "err_msg", F.col("ts_ms").alias("@timestamp-log"),
+                           "ip_addr")).alias("value")
+_KEY = "sv, bn, url, err_code, err_msg"
+_PARSED = """SELECT sv, bn, url, coalesce(err_code, 'unkonw') AS err_code, coalesce(err_msg, 'unkonw') AS err_msg,
+  ts_ms // 1000 AS time_stamp, ip_addr, ts_ms // 1000 // 86400 AS batch FROM error_log"""
+_FMT = "'%Y-%m-%d %H:%M:%S'"
+
+
+def _parsed(t):
+    return parse_error_log(t["error_log"].select(_JSON))
+
+
+@query("str_parse_error_log", sql=f"SELECT {_KEY}, time_stamp, ip_addr FROM ({_PARSED})", fixtures=("error_log",))
+def str_parse_error_log(t):
+    """STR-02: JSON payload -> typed fields, defaults, millis -> seconds."""
+    return _parsed(t)
+
+
+@query("str_event_routing", sql=f"""
+SELECT CASE WHEN sv = 'farm' AND bn = 'login' THEN '{K.ROUTE_LOGIN}' WHEN sv = 'tree' AND el = 'sunshine' THEN '{K.ROUTE_SUNSHINE}'
+  WHEN sv = 'tree' AND el = 'water' THEN '{K.ROUTE_WATER}' END AS label, time FROM event_route
+WHERE (sv = 'farm' AND bn = 'login') OR (sv = 'tree' AND el IN ('sunshine', 'water'))""", fixtures=("event_route",))
+def str_event_routing(t):
+    """STR-03 / PIPE-26: route events to labels, drop the rest."""
+    e = t["event_route"].select(F.to_json(F.struct("sv", "bn", "el", "time")).alias("value"))
+    return route_events(e)
+
+
+@query("str_tumbling_error_agg", sql=f"""
+SELECT time_stamp - time_stamp % 86400 AS window_start, {_KEY},
+  strftime(epoch_ms(min(time_stamp) * 1000), {_FMT}) AS first_time, count(ip_addr) AS num,
+  strftime(epoch_ms(max(time_stamp) * 1000), {_FMT}) AS final_time, count(DISTINCT ip_addr) AS ip_num
+FROM ({_PARSED}) GROUP BY time_stamp - time_stamp % 86400, {_KEY}""", fixtures=("error_log",))
+def str_tumbling_error_agg(t):
+    """STR-04: per tumbling window (one day here, the trigger length in a
+    stream) and key: first time, count, last time, distinct addresses."""
+    p = _parsed(t).withColumn("w", F.window(F.timestamp_seconds("time_stamp"), "1 day"))
+    agg = A.batch_aggregate(p, extra_keys=("w",))
+    return agg.select(F.unix_seconds(F.col("w.start")).alias("window_start"), *A.GROUP_KEY,
+                      F.col("time_stamp").alias("first_time"), "num", "final_time", "ip_num")
+
+
+def _daily_agg(t):
+    p = _parsed(t).withColumn("batch", F.floor(F.col("time_stamp") / DAY))
+    return A.batch_aggregate(p, extra_keys=("batch",)).drop("ip_num")
+
+
+_TWIN = f"""
+WITH a AS (SELECT {_KEY}, batch, strftime(epoch_ms(min(time_stamp) * 1000), {_FMT}) AS t0, count(ip_addr) AS num,
+             strftime(epoch_ms(max(time_stamp) * 1000), {_FMT}) AS final_time FROM ({_PARSED}) GROUP BY {_KEY}, batch),
+x AS (SELECT *, num >= {THRESHOLD} AS hot, lag(batch) OVER w AS pb, lag(num >= {THRESHOLD}) OVER w AS ph, lead(batch) OVER w AS nb
+      FROM a WINDOW w AS (PARTITION BY {_KEY} ORDER BY batch)),
+z AS (SELECT *, CASE WHEN hot AND NOT coalesce(pb = batch - 1 AND ph, false) THEN 0 WHEN hot THEN 1
+                     WHEN coalesce(pb = batch - 1 AND ph, false) THEN 2 END AS status FROM x),
+r AS (SELECT *, sum(CASE WHEN status = 0 THEN 1 ELSE 0 END) OVER (PARTITION BY {_KEY} ORDER BY batch ROWS UNBOUNDED PRECEDING) AS run
+      FROM z WHERE status IS NOT NULL),
+tt AS (SELECT *, CAST(sum(num) OVER (PARTITION BY {_KEY}, run ORDER BY batch ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total_num,
+         first_value(t0) OVER (PARTITION BY {_KEY}, run ORDER BY batch ROWS UNBOUNDED PRECEDING) AS ts0 FROM r),
+twin AS (
+SELECT {_KEY}, batch, ts0 AS time_stamp, num, status, final_time, total_num FROM tt
+UNION ALL
+SELECT {_KEY}, batch + 1 AS batch, ts0 AS time_stamp, CAST(0 AS BIGINT) AS num, 2 AS status, final_time, total_num FROM tt
+WHERE hot AND (nb IS NULL OR nb != batch + 1) AND batch + 1 <= (SELECT max(batch) FROM a))"""
+
+
+def _twin(t):
+    return A.alarm_status_batch(_daily_agg(t), THRESHOLD)
+
+
+@query("str_alarm_status", sql=_TWIN + " SELECT * FROM twin", fixtures=("error_log",))
+def str_alarm_status(t):
+    """STR-05: alarm status per key and daily batch (closed form of the
+    state machine when the presence key is the group key)."""
+    return _twin(t)
+
+
+@query("str_alarm_total", sql=_TWIN + f" SELECT {_KEY}, batch, total_num FROM twin WHERE status = 2",
+       fixtures=("error_log",))
+def str_alarm_total(t):
+    """STR-06: total errors of each alarm run, reported on recovery."""
+    return _twin(t).where(F.col("status") == 2).select(*A.GROUP_KEY, "batch", "total_num")
+
+
+def _content_sql() -> str:
+    labels = " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in K.SERVICE_LABELS.items())
+    fields = {"service": f"CASE sv {labels} ELSE sv END", "bn": "bn", "url": "url", "err_code": "err_code",
+              "err_msg": "err_msg", "num": "CAST(num AS VARCHAR)", "time": "time_stamp",
+              "total": "CAST(total_num AS VARCHAR)", "final_time": "final_time"}
+
+    def fill(tpl):
+        out, rest = [], tpl
+        while "{" in rest:
+            head, tail = rest.split("{", 1)
+            name, rest = tail.split("}", 1)
+            out += ["'" + head.replace("'", "''") + "'", f"coalesce({fields[name]}, 'null')"]
+        out.append("'" + rest.replace("'", "''") + "'")
+        return " || ".join(out)
+
+    return (f"CASE status WHEN 0 THEN {fill(K.ALARM_TEMPLATE_NEW)} WHEN 1 THEN {fill(K.ALARM_TEMPLATE_ONGOING)} "
+            f"WHEN 2 THEN {fill(K.ALARM_TEMPLATE_RECOVERED)} ELSE '{K.ALARM_UNKNOWN_STATE}' END")
+
+
+@query("str_alarm_message", sql=_TWIN + f" SELECT {_KEY}, batch, status, {_content_sql()} AS content FROM twin",
+       fixtures=("error_log",))
+def str_alarm_message(t):
+    """STR-08: the markdown alarm text per state row (service label, one
+    template per status)."""
+    tw = _twin(t)
+    return tw.select(*A.GROUP_KEY, "batch", "status", A.alarm_content(tw).alias("content"))
+
+
+@query("str_running_count", sql="""
+WITH c AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, CAST(hour(ts) AS INT) AS hour, CAST(minute(ts) // 10 AS INT) AS batch,
+             count(*) AS pv FROM events GROUP BY ALL)
+SELECT date, hour, batch, pv, CAST(sum(pv) OVER (PARTITION BY date, hour ORDER BY batch) AS BIGINT) AS running FROM c""")
+def str_running_count(t):
+    """STR-09: running page views per (date, hour) key across micro-batches
+    (10-minute arrival slots); the stream form is an update-mode count."""
+    e = t["events"]
+    c = (e.groupBy(F.to_date("ts").cast("string").alias("date"), F.hour("ts").alias("hour"),
+                   F.floor(F.minute("ts") / 10).cast("int").alias("batch"))
+         .agg(F.count(F.lit(1)).alias("pv")))
+    w = Window.partitionBy("date", "hour").orderBy("batch")
+    return c.withColumn("running", F.sum("pv").over(w))
