@@ -55,8 +55,9 @@ def round_double(c, digits: int = DIGITS):
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
     df = QUERIES[name](Tables(spark, sf_dir))
-    for c in ROUNDED.get(name, ()):
-        df = df.withColumn(c, round_double(F.col(c)))
+    rounded = ROUNDED.get(name, ())
+    if rounded:
+        df = df.select(*[round_double(F.col(c)).alias(c) if c in rounded else F.col(c) for c in df.columns])
     return df
 
 

@@ -11,10 +11,11 @@ from pyspark.sql import functions as F
 
 
 def upper_median(df: DataFrame, keys: Sequence[str], value: str | Column,
-                 out: str = "median") -> DataFrame:
+                 out: str = "median", where: Column | None = None) -> DataFrame:
     """Element ``n div 2 + 1`` (1-based) of the sorted non-null values per
     group - the studied jobs' ``element_at(sort_array(collect_list(x)), n/2+1)``
-    without building the list.
+    without building the list.  ``where`` keeps only rows meeting a
+    condition.
 
     Values are first counted per ``(keys, value)`` (map-side partial
     aggregation, so a hot value collapses before the shuffle), then a running
@@ -22,8 +23,16 @@ def upper_median(df: DataFrame, keys: Sequence[str], value: str | Column,
     per group is bounded by its number of distinct values, not its rows.
     """
     v = F.col(value) if isinstance(value, str) else value
-    hist = (df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull())
-              .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    if where is None:
+        hist = (df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull())
+                  .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
+    else:
+        # the row condition is counted inside the aggregate rather than
+        # filtered before it, so the input subtree stays identical to the
+        # caller's other aggregates and its shuffle is reused, not redone
+        hist = (df.select(*keys, v.alias("_v"), (where & v.isNotNull()).alias("_w"))
+                  .groupBy(*keys, "_v").agg(F.count_if(F.col("_w")).alias("_c"))
+                  .where(F.col("_c") > 0))
     w_all = Window.partitionBy(*keys)
     w_run = w_all.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = (hist.withColumn("_n", F.sum("_c").over(w_all))

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import columns as C
 from ..operators.joins import enrich_sides
-from ..operators.stats import topk_per_group, upper_median
+from ..operators.stats import topk_per_group
 
 PARTNER_FIELDS = ("province", "city", "country", "birthday", "regist_time", "last_use_time")
 
@@ -55,11 +55,15 @@ def cohort_stats(profile: DataFrame, step: int, dedup: bool = True,
     """Per love-days bucket of width ``step``: retention %, pay rate, ARPU,
     upper median of paid cost, ARPPU, sample std-dev of paid cost, sample size.
 
-    One pass with filtered aggregates instead of the studied self left join
-    of a paid and an all-rows aggregate; the upper median is computed from a
-    value histogram (``upper_median``) rather than a collected list, so no
-    bucket is ever materialised as one array.  A bucket without payers gets
-    null pay rate / median / ARPPU / std-dev, as the left join gave.
+    The studied job self-joins a paid and an all-rows aggregate and takes the
+    median from a collected, sorted list.  Here one histogram - rows grouped
+    by ``(bucket, cost)``, combined map-side - feeds everything: the bucket
+    totals, the paid subset (a condition on the histogram rows), the upper
+    median (a running count over the bucket's distinct costs) and the
+    std-dev (moment sums shifted by the bucket's smallest paid cost; exact
+    for decimal money).  So the only full shuffle is the row de-duplication,
+    done once, and no bucket is ever gathered as a list.  A bucket without
+    payers gets null pay rate / median / ARPPU / std-dev, as the left join gave.
     """
     base = profile.dropDuplicates() if dedup else profile
     x = (base.select("space_id", "a_retention", "b_retention", "total_cost",
@@ -68,25 +72,40 @@ def cohort_stats(profile: DataFrame, step: int, dedup: bool = True,
              .where(F.col("love_days").isNotNull() & (F.col("love_days") >= 0)
                     & (F.col("love_days") <= max_days) & F.col("anniversary_day").isNotNull())
              .withColumn("love_days", C.bucket_floor("love_days", step)))
-    paid = F.col("total_cost") != 0
-    agg = x.groupBy("love_days").agg(
-        F.count("space_id").alias("space_cnt"),
-        F.sum("total_cost").alias("cost"),
-        (F.sum("a_retention") + F.sum("b_retention")).alias("retention"),
-        F.count(F.when(paid, F.col("space_id"))).alias("paid_cnt"),
-        F.sum(F.when(paid, F.col("total_cost"))).alias("paid_cost"),
-        F.stddev(F.when(paid, F.col("total_cost"))).alias("std_paid_cost"),
-    )
-    med = upper_median(x.where(paid), ["love_days"], "total_cost", out="median_paid_cost")
+    hist = x.groupBy("love_days", "total_cost").agg(
+        F.count("space_id").alias("_sid"), F.count(F.lit(1)).alias("_rows"),
+        F.sum("a_retention").alias("_ra"), F.sum("b_retention").alias("_rb"))
+    cost = F.col("total_cost")
+    paid = cost != 0                                   # null cost: neither paid nor counted
+    pn = F.when(paid, F.col("_rows"))                  # paid rows with a cost
+    wb = Window.partitionBy("love_days")
+    run = wb.orderBy("total_cost").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    h = (hist.withColumn("_pn_cum", F.sum(pn).over(run))
+             .withColumn("_pn", F.sum(pn).over(wb))
+             .withColumn("_k", F.min(F.when(paid, cost)).over(wb)))
+    target = F.floor(F.col("_pn") / 2) + 1
+    crossing = paid & (F.col("_pn_cum") >= target) & (F.col("_pn_cum") - pn < target)
+    d = (cost - F.col("_k"))
+    agg = h.groupBy("love_days").agg(
+        F.sum("_sid").alias("space_cnt"),
+        F.sum(cost * F.col("_rows")).alias("cost"),
+        (F.sum("_ra") + F.sum("_rb")).alias("retention"),
+        F.sum(F.when(paid, F.col("_sid"))).alias("paid_cnt"),
+        F.sum(F.when(paid, cost * F.col("_rows"))).alias("paid_cost"),
+        F.sum(pn).alias("_n"),
+        F.sum(F.when(paid, d * F.col("_rows"))).cast("double").alias("_s1"),
+        F.sum(F.when(paid, d * d * F.col("_rows"))).cast("double").alias("_s2"),
+        F.min(F.when(crossing, cost)).alias("median_paid_cost"))
+    n = F.col("_n")
+    var = F.greatest((F.col("_s2") - F.col("_s1") * F.col("_s1") / n) / (n - 1), F.lit(0.0))
     paid_cnt = F.nullif(F.col("paid_cnt"), F.lit(0))
-    return (agg.join(med, "love_days", "left")
-               .select("love_days",
+    return (agg.select("love_days",
                        (F.col("retention") / (F.col("space_cnt") * 2) * 100).alias("retention_rate"),
                        (paid_cnt / F.col("space_cnt")).alias("pay_rate"),
                        (F.col("cost") / (F.col("space_cnt") * 2)).alias("arpu"),
                        "median_paid_cost",
                        (F.col("paid_cost") / (paid_cnt * 2)).alias("arppu"),
-                       "std_paid_cost",
+                       F.when(n > 1, F.sqrt(var)).alias("std_paid_cost"),
                        "space_cnt")
                .orderBy("love_days"))
 

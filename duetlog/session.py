@@ -74,6 +74,23 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Read one of the driver's Parquet tables."""
-    return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+SPLIT_MIN_BYTES = 1 << 20
+
+
+def table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
+    """Read one of the driver's Parquet tables.
+
+    A file of one row group is one scan task, so every map-side step of a
+    query (filters, join probes, partial aggregation) would run on a single
+    core.  When such an under-split local file is larger than
+    ``SPLIT_MIN_BYTES`` it is hash-spread (on its first column: no sort,
+    same rows per task on a retry) over the default parallelism right after
+    the (pruned, filtered) scan.  Inputs that are already split - any real
+    multi-file or multi-row-group table - are left alone: no extra shuffle."""
+    path = os.path.join(sf_dir, f"{name}.parquet")
+    df = spark.read.parquet(path)
+    if balance and os.path.isfile(path) and os.path.getsize(path) >= SPLIT_MIN_BYTES:
+        par = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < par:
+            df = df.repartition(par, df.columns[0])
+    return df
