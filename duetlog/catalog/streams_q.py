@@ -18,8 +18,9 @@ from .registry import query
 THRESHOLD = 5          # fitted to the fixture: a few errors per key and day
 DAY = 86400
 
-_JSON = F.to_json(F.struct("sv", "bn", "url", "err_code", "err_msg", F.col("ts_ms").alias("@timestamp-log"),
-                           "ip_addr")).alias("value")
+def _json_col():
+    return F.to_json(F.struct("sv", "bn", "url", "err_code", "err_msg", F.col("ts_ms").alias("@timestamp-log"),
+                              "ip_addr")).alias("value")
 _KEY = "sv, bn, url, err_code, err_msg"
 _PARSED = """SELECT sv, bn, url, coalesce(err_code, 'unkonw') AS err_code, coalesce(err_msg, 'unkonw') AS err_msg,
   ts_ms // 1000 AS time_stamp, ip_addr, ts_ms // 1000 // 86400 AS batch FROM error_log"""
@@ -27,7 +28,7 @@ _FMT = "'%Y-%m-%d %H:%M:%S'"
 
 
 def _parsed(t):
-    return parse_error_log(t["error_log"].select(_JSON))
+    return parse_error_log(t["error_log"].select(_json_col()))
 
 
 @query("str_parse_error_log", sql=f"SELECT {_KEY}, time_stamp, ip_addr FROM ({_PARSED})", fixtures=("error_log",))
@@ -62,7 +63,7 @@ def str_tumbling_error_agg(t):
 
 def _daily_agg(t):
     p = _parsed(t).withColumn("batch", F.floor(F.col("time_stamp") / DAY))
-    return A.batch_aggregate(p, extra_keys=("batch",)).drop("ip_num")
+    return A.batch_aggregate(p, extra_keys=("batch",), distinct_ips=False)
 
 
 _TWIN = f"""
@@ -142,3 +143,93 @@ def str_running_count(t):
          .agg(F.count(F.lit(1)).alias("pv")))
     w = Window.partitionBy("date", "hour").orderBy("batch")
     return c.withColumn("running", F.sum("pv").over(w))
+
+
+# ------------------------------------------------------------------ state sinks
+
+def _day_state(t, day_offset: int):
+    """Per-key aggregates of one day of the log, shaped as state rows."""
+    a = _daily_agg(t)
+    first = a.select(F.min("batch")).scalar()
+    return (a.where(F.col("batch") == first + day_offset)
+             .select(*A.GROUP_KEY, "time_stamp", "num", "final_time", F.col("num").alias("total_num")))
+
+
+_DAY_AGG = f"""SELECT {_KEY}, batch, strftime(epoch_ms(min(time_stamp) * 1000), {_FMT}) AS time_stamp, count(ip_addr) AS num,
+  strftime(epoch_ms(max(time_stamp) * 1000), {_FMT}) AS final_time FROM ({_PARSED}) GROUP BY {_KEY}, batch"""
+
+
+@query("snk_upsert_accumulate", sql=f"""
+WITH d AS ({_DAY_AGG}),
+s AS (SELECT * FROM d WHERE batch = (SELECT min(batch) FROM d)),
+b AS (SELECT * FROM d WHERE batch = (SELECT min(batch) FROM d) + 1)
+SELECT coalesce(b.sv, s.sv) AS sv, coalesce(b.bn, s.bn) AS bn, coalesce(b.url, s.url) AS url,
+  coalesce(b.err_code, s.err_code) AS err_code, coalesce(b.err_msg, s.err_msg) AS err_msg,
+  coalesce(s.time_stamp, b.time_stamp) AS time_stamp, coalesce(b.num, s.num) AS num,
+  coalesce(b.final_time, s.final_time) AS final_time,
+  CASE WHEN b.sv IS NOT NULL AND s.sv IS NOT NULL THEN s.num + b.num WHEN b.sv IS NOT NULL THEN b.num ELSE s.num END AS total_num
+FROM s FULL OUTER JOIN b ON s.sv = b.sv AND s.bn = b.bn AND s.url = b.url AND s.err_code = b.err_code AND s.err_msg = b.err_msg""",
+       fixtures=("error_log",))
+def snk_upsert_accumulate(t):
+    """SNK-09: day-2 key counts upserted into day-1 state: ``num`` and
+    ``final_time`` set, ``total_num`` accumulated, new keys inserted."""
+    from ..sinks.writers import upsert_accumulate
+    return upsert_accumulate(_day_state(t, 0), _day_state(t, 1), list(A.GROUP_KEY), ["num", "final_time"],
+                             {"total_num": "num"})
+
+
+@query("snk_delete_by_status", sql=_TWIN + " SELECT * FROM twin WHERE status NOT IN (2, 3)", fixtures=("error_log",))
+def snk_delete_by_status(t):
+    """SNK-10: alarm rows without the recovered (2) and sub-threshold (3)
+    statuses."""
+    from ..sinks.writers import delete_by_status
+    return delete_by_status(_twin(t), [2, 3])
+
+
+@query("pipe_alarm_replay", sql=_TWIN + " SELECT * FROM twin", fixtures=("error_log",))
+def pipe_alarm_replay(t):
+    """PIPE-25: the error-log alarm replayed micro-batch by micro-batch
+    (one day of JSON records per batch) through the ``foreachBatch`` state
+    handler; every state version is kept under the shared folder and the
+    union of versions is returned.  With presence key = group key it equals
+    the closed form (``str_alarm_status``)."""
+    from ..session import staging_path
+    from ..sinks.writers import write_partitioned
+    raw = t["error_log"].select(_json_col(), F.floor(F.col("ts_ms") / 1000 / DAY).alias("day"))
+    src = staging_path(t.spark, "alarm_src")          # the arriving records, one folder per day
+    write_partitioned(raw, src, ["day"])
+    lo, hi = t.spark.read.parquet(src).select(F.min("day"), F.max("day")).first()
+    handler = A.AlarmStateTable(staging_path(t.spark, "alarm_state"), THRESHOLD, presence=A.GROUP_KEY)
+    for batch_id, day in enumerate(range(lo, hi + 1)):     # the micro-batch driver: one id per batch
+        try:
+            batch = t.spark.read.schema("value STRING").parquet(f"{src}/day={day}")
+        except Exception:                                   # a day without records: an empty batch
+            batch = t.spark.createDataFrame([], "value STRING")
+        handler(batch, batch_id)
+    states = t.spark.read.parquet(handler.base)
+    return states.select(*A.GROUP_KEY, (F.col("batch") + F.lit(lo)).cast("bigint").alias("batch"), "time_stamp", "num",
+                         "status", "final_time", "total_num")
+
+
+@query("str_watermark_window", sql="""
+WITH e AS (SELECT epoch_us(ts) // 1000000 AS s, sv FROM error_log),
+m AS (SELECT max(epoch_us(ts)) AS mx FROM error_log)
+SELECT s - s % 86400 AS window_start, sv, count(*) AS n FROM e GROUP BY s - s % 86400, sv
+HAVING (s - s % 86400 + 86400) * CAST(1000000 AS BIGINT) <= (SELECT mx FROM m) - CAST(3600000000 AS BIGINT)""", fixtures=("error_log",))
+def str_watermark_window(t):
+    """STR-12: a Structured Streaming run (file source, ``availableNow``)
+    counting errors per service in 1-day event-time windows with a 1-hour
+    watermark, append mode: a window is emitted once the watermark passes
+    its end, so the last, still-open day is not in the output."""
+    from ..session import staging_path
+    from ..streaming.windows import windowed_counts
+    spark = t.spark
+    src, out = staging_path(spark, "wm_src"), staging_path(spark, "wm_out")
+    t["error_log"].select("ts", "sv").write.parquet(src)
+    stream = spark.readStream.schema("ts TIMESTAMP_NTZ, sv STRING").parquet(src)
+    agg = windowed_counts(stream, "ts", "1 day", "1 hour", ["sv"])
+    q = (agg.writeStream.outputMode("append")
+         .foreachBatch(lambda df, _bid: df.write.mode("append").parquet(out))
+         .option("checkpointLocation", staging_path(spark, "wm_ckpt")).trigger(availableNow=True).start())
+    q.awaitTermination()
+    return spark.read.schema("window_start BIGINT, sv STRING, n BIGINT").parquet(out)

@@ -86,3 +86,41 @@ def write_partitioned(df: DataFrame, path: str, partition_by: Iterable[str], fmt
     right-sized files instead of one file per task per value."""
     cols = list(partition_by)
     df.hint("rebalance", *cols).write.mode(mode).format(fmt).partitionBy(*cols).save(path)
+
+
+def upsert_accumulate(state: DataFrame, batch: DataFrame, key: list[str], set_cols: list[str],
+                      add_cols: dict[str, str]) -> DataFrame:
+    """SNK-09: keyed upsert as a table rewrite - ``INSERT ... ON DUPLICATE
+    KEY UPDATE set_cols = new, acc = acc + new``.
+
+    ``add_cols`` maps an accumulated state column to the batch column added
+    to it (``{"total_num": "num"}``); new keys start with the batch value.
+    A full outer join on the key: unmatched state rows are kept, unmatched
+    batch rows inserted.  Null keys never match (each is inserted), as in a
+    unique index."""
+    s = state.select(*[F.col(c).alias(f"_s_{c}") for c in state.columns])
+    b = batch.select(*[F.col(c).alias(f"_b_{c}") for c in batch.columns], F.lit(True).alias("_in_b"))
+    cond = None
+    for k in key:
+        e = F.col(f"_s_{k}") == F.col(f"_b_{k}")
+        cond = e if cond is None else cond & e
+    j = s.join(b, cond, "full_outer")
+    in_b, in_s = F.col("_in_b").isNotNull(), F.col(f"_s_{key[0]}").isNotNull() | F.col(f"_s_{set_cols[0]}").isNotNull()
+    out = []
+    for c in state.columns:
+        if c in key:
+            out.append(F.when(in_b, F.col(f"_b_{c}")).otherwise(F.col(f"_s_{c}")).alias(c))
+        elif c in set_cols:
+            out.append(F.when(in_b, F.col(f"_b_{c}")).otherwise(F.col(f"_s_{c}")).alias(c))
+        elif c in add_cols:
+            bc = F.col(f"_b_{add_cols[c]}")
+            out.append(F.when(in_b & in_s, F.col(f"_s_{c}") + bc).when(in_b, bc).otherwise(F.col(f"_s_{c}")).alias(c))
+        else:
+            out.append(F.coalesce(F.col(f"_s_{c}"), F.col(f"_b_{c}")).alias(c))
+    return j.select(*out)
+
+
+def delete_by_status(state: DataFrame, statuses, status_col: str = "status") -> DataFrame:
+    """SNK-10: the table without rows in ``statuses`` (a rewrite, not a
+    per-row delete)."""
+    return state.where(~F.col(status_col).isin(list(statuses)) | F.col(status_col).isNull())

@@ -49,15 +49,18 @@ STATE_SCHEMA = ("sv STRING, bn STRING, url STRING, err_code STRING, err_msg STRI
 
 # --- STR-04 --------------------------------------------------------------------------
 
-def batch_aggregate(parsed: DataFrame, key: Sequence[str] = GROUP_KEY, extra_keys: Sequence[str] = ()) -> DataFrame:
+def batch_aggregate(parsed: DataFrame, key: Sequence[str] = GROUP_KEY, extra_keys: Sequence[str] = (),
+                    distinct_ips: bool = True) -> DataFrame:
     """Per key: first time, error count, last time, distinct addresses.
     (Exact distinct counts are allowed here: inside ``foreachBatch`` the
-    frame is a batch frame.)"""
-    return (parsed.groupBy(*extra_keys, *key)
-            .agg(epoch_seconds_to_text(F.min("time_stamp")).alias("time_stamp"),
-                 F.count("ip_addr").alias("num"),
-                 epoch_seconds_to_text(F.max("time_stamp")).alias("final_time"),
-                 F.countDistinct("ip_addr").alias("ip_num")))
+    frame is a batch frame.)  The state merge does not read ``ip_num``, so
+    it asks for ``distinct_ips=False`` and saves the distinct-count shuffle."""
+    aggs = [epoch_seconds_to_text(F.min("time_stamp")).alias("time_stamp"),
+            F.count("ip_addr").alias("num"),
+            epoch_seconds_to_text(F.max("time_stamp")).alias("final_time")]
+    if distinct_ips:
+        aggs.append(F.countDistinct("ip_addr").alias("ip_num"))
+    return parsed.groupBy(*extra_keys, *key).agg(*aggs)
 
 
 # --- STR-05 / STR-06 / STR-07 / SNK-09 / SNK-10 ------------------------------------------
@@ -68,40 +71,54 @@ def empty_state(spark: SparkSession) -> DataFrame:
 
 def alarm_step(state: DataFrame, batch: DataFrame, threshold: int = K.ALARM_THRESHOLD,
                presence: Sequence[str] = PRESENCE_KEY, key: Sequence[str] = GROUP_KEY) -> DataFrame:
-    """New state table after one batch (rules 1-5 above)."""
+    """New state table after one batch (rules 1-5 above).
+
+    State rows and batch rows are unioned, flagged by side; a window over
+    the presence key marks state rows whose presence key occurs in the
+    batch; a group-by on the full key (which contains the presence key, so
+    the window's partitioning is reused: one shuffle) pairs each state row
+    with its batch row.  As in SQL joins, a key with a null part never
+    matches anything."""
+    cols = ["time_stamp", "num", "final_time"]
     s = state.where(F.col("status") != 2)                                   # rule 1
-    present = batch.select(*[F.col(c).alias(f"_p{i}") for i, c in enumerate(presence)]).distinct()
-    pcond = None
-    for i, c in enumerate(presence):
-        e = F.col(c) == F.col(f"_p{i}")
-        pcond = e if pcond is None else pcond & e
-    s = (s.join(present.withColumn("_present", F.lit(True)), pcond, "left")
-          .drop(*[f"_p{i}" for i in range(len(presence))]))
-    sa = s.select(*[F.col(c).alias(f"s_{c}") for c in s.columns])
-    b = batch.select(*key, "time_stamp", "num", "final_time")
-    ba = b.select(*[F.col(c).alias(f"b_{c}") for c in b.columns], F.lit(True).alias("_in_batch"))
-    kcond = None
+    s = s.select(*key, *cols, "status", "total_num", F.lit(False).alias("_b"))
+    b = batch.select(*key, *cols, F.lit(None).cast("int").alias("status"),
+                     F.lit(None).cast("bigint").alias("total_num"), F.lit(True).alias("_b"))
+    u = s.unionByName(b)
+    p_ok = None
+    for c in presence:
+        e = F.col(c).isNotNull()
+        p_ok = e if p_ok is None else p_ok & e
+    k_ok = None
     for c in key:
-        e = F.col(f"s_{c}") == F.col(f"b_{c}")
-        kcond = e if kcond is None else kcond & e
-    j = sa.join(ba, kcond, "full_outer")
-    in_b = F.col("_in_batch").isNotNull()
-    in_s = F.col("s_status").isNotNull()
+        e = F.col(c).isNotNull()
+        k_ok = e if k_ok is None else k_ok & e
+    u = (u.withColumn("_present", p_ok & F.max("_b").over(Window.partitionBy(*presence)))
+          .withColumn("_nk", F.when(~k_ok, F.monotonically_increasing_id())))   # null key: own group
+    side = lambda flag, c: F.max(F.when(F.col("_b") == flag, F.col(c)))
+    g = u.groupBy(*key, "_nk").agg(
+        side(False, "time_stamp").alias("s_ts"), side(False, "num").alias("s_num"),
+        side(False, "final_time").alias("s_final"), side(False, "status").alias("s_status"),
+        side(False, "total_num").alias("s_total"), F.max(F.when(~F.col("_b"), F.col("_present"))).alias("s_present"),
+        side(True, "time_stamp").alias("b_ts"), side(True, "num").alias("b_num"),
+        side(True, "final_time").alias("b_final"), F.max("_b").alias("in_b"),
+        F.min("_b").alias("_min_b"))
+    in_b = F.col("in_b")
+    in_s = ~F.col("_min_b")                                                  # some row came from state
     hot = F.col("b_num") >= threshold
+    absent = ~F.coalesce(F.col("s_present"), F.lit(False))
     status = (F.when(in_b & hot & in_s, 1)                                   # rule 2, existing
                .when(in_b & hot, 0)                                          # rule 2, new
                .when(in_b & in_s, 2)                                         # rule 4, existing
                .when(in_b, 3)                                                # rule 4, new (deleted)
-               .when(F.col("s__present").isNull(), 2)                        # rule 3, absent
+               .when(absent, 2)                                              # rule 3, absent
                .otherwise(F.col("s_status")))
-    num = (F.when(in_b, F.col("b_num")).when(F.col("s__present").isNull(), F.lit(0).cast("bigint"))
-            .otherwise(F.col("s_num")))
-    total = (F.when(in_b & in_s, F.col("s_total_num") + F.col("b_num"))
-              .when(in_b, F.col("b_num")).otherwise(F.col("s_total_num")))
-    out = j.select(*[F.coalesce(F.col(f"s_{c}"), F.col(f"b_{c}")).alias(c) for c in key],
-                   F.coalesce(F.col("s_time_stamp"), F.col("b_time_stamp")).alias("time_stamp"),
+    num = F.when(in_b, F.col("b_num")).when(absent, F.lit(0).cast("bigint")).otherwise(F.col("s_num"))
+    total = (F.when(in_b & in_s, F.col("s_total") + F.col("b_num"))
+              .when(in_b, F.col("b_num")).otherwise(F.col("s_total")))
+    out = g.select(*key, F.coalesce(F.col("s_ts"), F.col("b_ts")).alias("time_stamp"),
                    num.cast("bigint").alias("num"), status.cast("int").alias("status"),
-                   F.when(in_b, F.col("b_final_time")).otherwise(F.col("s_final_time")).alias("final_time"),
+                   F.when(in_b, F.col("b_final")).otherwise(F.col("s_final")).alias("final_time"),
                    total.cast("bigint").alias("total_num"))
     return out.where(F.col("status") != 3)                                   # rule 5
 
@@ -137,7 +154,7 @@ class AlarmStateTable:
         prev = self.read(spark, batch_id - 1) if batch_id > 0 else None
         prev = prev if prev is not None else empty_state(spark)
         rows = self.parse(batch_df) if self.parse else batch_df
-        new = alarm_step(prev, batch_aggregate(rows), self.threshold, self.presence)
+        new = alarm_step(prev, batch_aggregate(rows, distinct_ips=False), self.threshold, self.presence)
         new.write.mode("overwrite").parquet(self.path(batch_id))
         if self.on_state is not None:
             self.on_state(self.read(spark, batch_id), batch_id)
