@@ -488,10 +488,11 @@ def scl_case_label(t):
 SELECT o_orderstatus, count(*) AS n, count(*) / sum(count(*)) OVER () * 100 AS pct FROM orders GROUP BY ALL""",
        rounded=("pct",))
 def scl_percent(t):
-    """SCL-19: integer arithmetic to a percent (window over the few
-    aggregated rows only)."""
-    g = t["orders"].groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
-    return g.withColumn("pct", C.percent("n", F.sum("n").over(Window.partitionBy())))
+    """SCL-19: integer arithmetic to a percent of the grand total (a scalar
+    subquery, not a window over one partition)."""
+    o = t["orders"]
+    g = o.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"))
+    return g.withColumn("pct", C.percent("n", o.select(F.count(F.lit(1))).scalar()))
 
 
 # ---------------------------------------------------------------- studied UDFs

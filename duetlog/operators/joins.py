@@ -47,7 +47,7 @@ def explode_ranges(dim: DataFrame, lo: str = "lo", hi: str = "hi", bits: int = 1
 def ip_range_join(fact: DataFrame, dim: DataFrame, ip: str | Column, lo: str = "lo", hi: str = "hi",
                   how: str = "left", strategy: str = "auto", bits: int = 16,
                   max_broadcast_rows: int = MAX_BROADCAST_ROWS, nested_max_rows: int = NESTED_MAX_ROWS,
-                  salt: int = 1, keep_bounds: bool = False) -> DataFrame:
+                  salt: int = 1, keep_bounds: bool = False, exploded_rows: int | None = None) -> DataFrame:
     """Attach the attributes of the range containing ``ip`` (inclusive ends).
 
     ``dim`` must hold non-overlapping ranges ``[lo, hi]``; its other columns
@@ -71,7 +71,7 @@ def ip_range_join(fact: DataFrame, dim: DataFrame, ip: str | Column, lo: str = "
         strategy = "bucketed"
 
     exploded = explode_ranges(dim, lo, hi, bits)
-    n_rows = _checked_rows(exploded)
+    n_rows = exploded_rows if exploded_rows is not None else _checked_rows(exploded)
     f = (fact.withColumn("_ip", ip_col)
              .withColumn("_bucket", F.shiftright(F.col("_ip"), bits)))
     d = exploded
@@ -99,6 +99,9 @@ def enrich_sides(df: DataFrame, dim: DataFrame, sides: dict[str, str],
     """Look up several address columns of one row (``{'a': 'a_ip', ...}``);
     attributes are prefixed ``<side>_`` (``a_country``...)."""
     out = df
+    if strategy in ("auto", "bucketed") and "exploded_rows" not in kw:
+        # every side uses the same ranges: check their exploded size once
+        kw["exploded_rows"] = _checked_rows(explode_ranges(dim.select(lo, hi), lo, hi, kw.get("bits", 16)))
     for side, ip in sides.items():
         d = dim.select(lo, hi, *[F.col(a).alias(f"{side}_{a}") for a in attrs])
         out = ip_range_join(out, d, ip, lo, hi, how="left", strategy=strategy, **kw)

@@ -27,7 +27,12 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "
         return df.withColumn(out, F.row_number().over(Window.orderBy(*order)))
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    laid = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+    # a hash of the whole row breaks ties, so one hot key value is spread
+    # over several range partitions instead of filling one
+    tie = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_tie")
+    keyed = df.withColumn("_tie", tie)
+    full = [*order, "_tie"]
+    laid = (keyed.repartitionByRange(n, *full).sortWithinPartitions(*full)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     laid = cut_lineage(laid)
@@ -36,4 +41,4 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
     return (laid.join(F.broadcast(offsets), "_pid")
                 .withColumn(out, F.col("_off") + F.col("_mid") - F.col("_m0") + 1)
-                .drop("_pid", "_mid", "_n", "_m0", "_off"))
+                .drop("_pid", "_mid", "_n", "_m0", "_off", "_tie"))

@@ -39,13 +39,13 @@ def partner_rows(couple: DataFrame, fields: Sequence[str] = PARTNER_FIELDS,
 def person_features(people: DataFrame, as_of: str = K.REFERENCE_AS_OF) -> DataFrame:
     """``since_days``, ``love_days``, ``last_active_days``, ``user_type``,
     ``love_days_type`` and ``age`` of each person row."""
-    return (people
-            .withColumn("since_days", C.days_since(as_of, "regist_time"))
-            .withColumn("love_days", C.days_between("registe_space_dt", "anniversary_day"))
-            .withColumn("last_active_days", C.days_since(as_of, "last_use_time"))
-            .withColumn("user_type", C.user_type("since_days", "last_active_days"))
-            .withColumn("love_days_type", C.love_days_type("love_days"))
-            .withColumn("age", C.age_at(F.col("birthday"), as_of)))
+    since = C.days_since(as_of, "regist_time")
+    love = C.days_between("registe_space_dt", "anniversary_day")
+    last = C.days_since(as_of, "last_use_time")
+    return people.withColumns({
+        "since_days": since, "love_days": love, "last_active_days": last,
+        "user_type": C.user_type(since, last), "love_days_type": C.love_days_type(love),
+        "age": C.age_at(F.col("birthday"), as_of)})
 
 
 # --- PIPE-06 ----------------------------------------------------------------------

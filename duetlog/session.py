@@ -75,22 +75,36 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 SPLIT_MIN_BYTES = 1 << 20
+_SCHEMAS: dict[str, object] = {}
+
+
+def _row_groups(path: str) -> int:
+    try:
+        import pyarrow.parquet as pq
+        return pq.ParquetFile(path).metadata.num_row_groups
+    except Exception:          # not readable here: assume it is split already
+        return 1 << 30
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
     """Read one of the driver's Parquet tables.
 
-    A file of one row group is one scan task, so every map-side step of a
-    query (filters, join probes, partial aggregation) would run on a single
-    core.  When such an under-split local file is larger than
-    ``SPLIT_MIN_BYTES`` it is hash-spread (on its first column: no sort,
-    same rows per task on a retry) over the default parallelism right after
-    the (pruned, filtered) scan.  Inputs that are already split - any real
-    multi-file or multi-row-group table - are left alone: no extra shuffle."""
+    The schema is inferred once per path and then given explicitly (no
+    footer-reading job per query).  A file of one row group is one scan
+    task, so every map-side step of a query (filters, join probes, partial
+    aggregation) would run on a single core: when such an under-split local
+    file is larger than ``SPLIT_MIN_BYTES`` and has fewer row groups than the
+    default parallelism, it is hash-spread (on its first column: no sort,
+    same rows per task on a retry) over the cores right after the (pruned,
+    filtered) scan.  Inputs that are already split - any real multi-file or
+    multi-row-group table - are left alone: no extra shuffle."""
     path = os.path.join(sf_dir, f"{name}.parquet")
-    df = spark.read.parquet(path)
+    schema = _SCHEMAS.get(path)
+    df = spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
+    if schema is None:
+        _SCHEMAS[path] = df.schema
     if balance and os.path.isfile(path) and os.path.getsize(path) >= SPLIT_MIN_BYTES:
         par = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < par:
+        if _row_groups(path) < par:
             df = df.repartition(par, df.columns[0])
     return df
