@@ -54,6 +54,7 @@ def round_double(c, digits: int = DIGITS):
 
 
 def run(name: str, spark: SparkSession, sf_dir: str) -> DataFrame:
+    load_all()
     df = QUERIES[name](Tables(spark, sf_dir))
     rounded = ROUNDED.get(name, ())
     if rounded:

@@ -86,8 +86,13 @@ def days_between(end: ColumnOrName, start: ColumnOrName) -> Column:
 
 
 def date_text_to_epoch_millis(col: ColumnOrName, fmt: str = "yyyy-MM-dd") -> Column:
-    """Date/time text -> epoch milliseconds, the text read as UTC wall clock."""
-    ts = F.try_to_timestamp(_c(col), F.lit(fmt)).cast("timestamp_ntz")
+    """Date/time text -> epoch milliseconds, the text read as UTC wall clock
+    (independent of the session zone for date-only formats; a format with a
+    time of day is parsed in the session zone and read back as wall clock)."""
+    if not any(ch in fmt for ch in "HhKkms"):
+        ts = F.try_to_date(_c(col), fmt).cast("timestamp_ntz")
+    else:
+        ts = F.try_to_timestamp(_c(col), F.lit(fmt)).cast("timestamp_ntz")
     return F.timestamp_diff("MILLISECOND", F.expr(_EPOCH_NTZ), ts)
 
 
@@ -98,7 +103,7 @@ def ts_text_to_millis(col: ColumnOrName, keep_fraction: bool = False) -> Column:
     c = _c(col)
     if not keep_fraction:
         c = F.substring(c, 1, 19)
-    ts = F.try_to_timestamp(c).cast("timestamp_ntz")
+    ts = c.try_cast("timestamp_ntz")              # text -> wall clock, no zone involved
     return F.timestamp_diff("MILLISECOND", F.expr(_EPOCH_NTZ), ts)
 
 

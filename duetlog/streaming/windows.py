@@ -19,7 +19,8 @@ def windowed_counts(df: DataFrame, ts_col: str, window: str, watermark: str,
     column is read as UTC wall clock (watermarks need a zoned timestamp)."""
     ts = F.col(ts_col)
     if dict(df.dtypes)[ts_col] == "timestamp_ntz":
-        ts = F.to_utc_timestamp(ts.cast("timestamp"), F.current_timezone())
+        # wall clock -> the same instant in UTC, whatever the session zone
+        ts = F.timestamp_micros(F.timestamp_diff("MICROSECOND", F.expr("TIMESTAMP_NTZ '1970-01-01 00:00:00'"), ts))
     return (df.withColumn("_ts", ts).withWatermark("_ts", watermark)
               .groupBy(F.window("_ts", window).alias("w"), *keys)
               .agg(F.count(F.lit(1)).alias(out))
