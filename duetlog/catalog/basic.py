@@ -430,7 +430,7 @@ def scl_coalesce(t):
 
 
 @query("scl_array_size_element", sql="""
-SELECT value, len(string_split(value, ' ')) AS n_fields, string_split(value, ' ')[2] AS second FROM mic_log""",
+SELECT value, CAST(len(string_split(value, ' ')) AS INTEGER) AS n_fields, string_split(value, ' ')[2] AS second FROM mic_log""",
        fixtures=("mic_log",))
 def scl_array_size_element(t):
     """SCL-13: array size and 1-based element access."""
