@@ -96,3 +96,18 @@ def test_interval_lookup_edges(spark):
                          ("bucketed", {"bits": 4})):
         got = {r["id"]: r["r"] for r in ip_range_join(pts, dim, "ip", strategy=strategy, **kw).collect()}
         assert got == {1: "A", 2: "A", 3: None, 4: None, 5: "B", 6: "C", 7: None}, (strategy, kw)
+
+
+def test_sql_functions_equal_column_functions(spark):
+    from duetlog.functions.sql_functions import register
+    register(spark)
+    rows = [(-3, 5, 366, 365, "1990-04-16", "中国", "美国", "220.248.12.158"),
+            (None, 5, 365, 9, "NULL", "美国", "美国", "1.2.x.4"), (7, 1, 366, 366, "1990-04-14", None, None, "0.0.0.0")]
+    df = spark.createDataFrame(rows, "x int, s int, d int, a int, b string, c1 string, c2 string, ip string")
+    df.createOrReplaceTempView("fn_rows")
+    got = spark.sql("""SELECT bucket_floor(x, s), user_type(d, a), love_days_type(d), age_at(b),
+                              country_pair_type(c1, c2), same_country_type(c1, c2), ip_to_long(ip) FROM fn_rows""").collect()
+    want = df.select(C.bucket_floor("x", F.col("s")), C.user_type("d", "a"), C.love_days_type("d"),
+                     C.age_at(F.col("b")), C.country_pair_type("c1", "c2"), C.same_country_type("c1", "c2"),
+                     C.ip_to_long("ip")).collect()
+    assert [tuple(r) for r in got] == [tuple(r) for r in want]
