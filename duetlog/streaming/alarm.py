@@ -141,11 +141,19 @@ class AlarmStateTable:
     def path(self, batch_id: int) -> str:
         return f"{self.base}/batch={batch_id:012d}"
 
-    def read(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+    def committed(self, spark: SparkSession, batch_id: int) -> bool:
+        """True once the version's write job committed (its ``_SUCCESS``
+        marker exists); a partial folder left by a crashed attempt is not."""
         try:
-            return spark.read.schema(STATE_SCHEMA).parquet(self.path(batch_id))
+            spark.read.text(f"{self.path(batch_id)}/_SUCCESS")
+            return True
         except AnalysisException:
+            return False
+
+    def read(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+        if not self.committed(spark, batch_id):
             return None
+        return spark.read.schema(STATE_SCHEMA).parquet(self.path(batch_id))
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
