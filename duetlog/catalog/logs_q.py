@@ -16,7 +16,7 @@ UV_MIN = 40
 UPPER_MS = 1705968000000                   # 2024-01-23 00:00:00 UTC
 FARM_RANGE = (1704844800000, 1705708800000)  # 2024-01-10 .. 2024-01-20 UTC
 SOURCE_NO = {"tree": 0, "farm": 1, "house": 2, "qqmp": 3, "wxmp": 4, "app": 5}
-INDEX_TERM = "wxmp_sweet"
+INDEX_TERM = "mp_w"
 INDEX_LO, INDEX_HI = "2024-01-05 16:00:00", "2024-01-12 05:00:00"
 NEW_USER_DAY = "1996-03-15"
 PAID_SINCE = "1997-01-01"
@@ -46,14 +46,14 @@ def pipe_log_uv(t):
 
 
 def _daily_files(t):
-    """Write the daily log as one folder per ``welove.log_<date>`` name and
+    """Write the daily log as one folder per ``app.log_<date>`` name and
     read it back with each line's file path."""
     base = staging_path(t.spark, "daily_log")
     write_text(t["daily_log"], base, partition_by="log_name")
     return read_text_lines(t.spark, f"{base}/*/*", with_path=True)
 
 
-_DAILY_SQL = "SELECT split_part(value, ' ', 1) AS user_id, substr(log_name, 12) AS c_date FROM daily_log"
+_DAILY_SQL = "SELECT split_part(value, ' ', 1) AS user_id, substr(log_name, 9) AS c_date FROM daily_log"
 
 
 @query("src_filename_date", sql=_DAILY_SQL, fixtures=("daily_log",))
@@ -90,7 +90,7 @@ def _active_sql(lines: bool) -> str:
     parts = []
     for name, (bn, rule) in rules.items():
         cond = [f"source_no = {SOURCE_NO[name]}", "space_id IS NOT NULL", "space_id != 0",
-                "user_id IS NOT NULL", "user_id != 0", "app_name = 'sweet'"]
+                "user_id IS NOT NULL", "user_id != 0", "app_name = 'main'"]
         if bn:
             cond.append(f"bn = {bn}")
         cond.append(f"ts_ms BETWEEN {FARM_RANGE[0]} AND {FARM_RANGE[1]}" if rule == "range" else f"ts_ms <= {UPPER_MS}")
@@ -171,7 +171,7 @@ SELECT app, avg(anni_create) AS avg_anni, avg(photo_create) AS avg_photo FROM an
 def pipe_two_app_avgs(t):
     """PIPE-04 / AGG-05: global averages of two counters for two apps."""
     a = t["anni_photo"]
-    return L.two_app_avgs({app: a.where(F.col("app") == app) for app in ("welove", "sweet")})
+    return L.two_app_avgs({app: a.where(F.col("app") == app) for app in ("app_a", "app_b")})
 
 
 @query("pipe_json_to_table", sql="SELECT os, platform, user_id FROM login_os_plat", fixtures=("login_os_plat",))

@@ -112,7 +112,7 @@ SELECT CAST(user_id % 6 AS INT) AS source_no,
   CASE WHEN event_id % 19 = 0 THEN 0 WHEN user_id % 2 = 0 THEN 700000 + user_id ELSE 100000 + user_id END AS space_id,
   CASE WHEN event_id % 23 = 0 THEN 0 WHEN event_id % 29 = 0 THEN NULL ELSE user_id END AS user_id,
   CASE event_type WHEN 'signup' THEN 'login' WHEN 'view' THEN 'login' WHEN 'click' THEN 'click_trace' ELSE event_type END AS bn,
-  CASE WHEN event_id % 9 = 0 THEN 'other' ELSE 'sweet' END AS app_name,
+  CASE WHEN event_id % 9 = 0 THEN 'other' ELSE 'main' END AS app_name,
   {MS} AS ts_ms
 FROM {events}"""
 FIXTURES["app_log"] = _fx(_APP_LOG.replace("{MS}", _SPARK_MS), _APP_LOG.replace("{MS}", _DUCK_MS))
@@ -134,7 +134,7 @@ SELECT CASE WHEN event_id % 4 = 0 THEN 'Other ' || {_DAY} || ' x'
 END AS value FROM {{events}}""")
 
 FIXTURES["daily_log"] = _fx(f"""
-SELECT 'welove.log_' || {_DAY} AS log_name, CAST(user_id AS VARCHAR(20)) || ' ' || event_type AS value FROM {{events}}""")
+SELECT 'app.log_' || {_DAY} AS log_name, CAST(user_id AS VARCHAR(20)) || ' ' || event_type AS value FROM {{events}}""")
 
 FIXTURES["guide"] = _fx(f"""
 SELECT {_DAY} AS date, event_type AS dim, 'el_' || CAST(user_id % 4 AS VARCHAR(10)) AS el, CAST(COUNT(*) AS BIGINT) AS num
@@ -168,7 +168,7 @@ FIXTURES["set_members"] = _fx("""
 SELECT DISTINCT p_type AS key, p_brand AS member FROM {part}""")
 
 FIXTURES["anni_photo"] = _fx("""
-SELECT CASE WHEN c_nationkey < 12 THEN 'welove' ELSE 'sweet' END AS app,
+SELECT CASE WHEN c_nationkey < 12 THEN 'app_a' ELSE 'app_b' END AS app,
   c_custkey % 7 AS anni_create, CAST(FLOOR(c_acctbal) AS BIGINT) % 13 AS photo_create FROM {customer}""")
 
 FIXTURES["event_route"] = _fx(f"""
@@ -179,7 +179,7 @@ SELECT event_id, CASE event_type WHEN 'click' THEN 'farm' WHEN 'view' THEN 'tree
 FROM {{events}}""")
 
 _INDEX = """
-SELECT CASE WHEN user_id % 3 = 0 THEN 'wxmp_sweet' ELSE 'qqmp_sweet' END AS sv, ts,
+SELECT CASE WHEN user_id % 3 = 0 THEN 'mp_w' ELSE 'mp_q' END AS sv, ts,
   CASE WHEN event_id % 17 = 0 THEN 0 ELSE 700000 + user_id END AS space_id,
   CASE WHEN event_id % 13 = 0 THEN NULL ELSE user_id END AS user_id, event_type, {MS} AS ts_ms
 FROM {events}"""

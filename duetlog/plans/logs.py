@@ -96,7 +96,7 @@ SOURCE_RULES = {
 
 
 def active_pairs(sources: Mapping[str, DataFrame], upper_ms: int, farm_range: tuple[int, int],
-                 app_name: str = "sweet", ts_col: str = "ts_ms", rules=SOURCE_RULES) -> DataFrame:
+                 app_name: str = "main", ts_col: str = "ts_ms", rules=SOURCE_RULES) -> DataFrame:
     """Union (by position) of the valid ``(space_id, id)`` pairs of each
     source; names come from the first input, as in the studied job."""
     parts = []
