@@ -10,36 +10,65 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
 def upper_median(df: DataFrame, keys: Sequence[str], value: str | Column,
-                 out: str = "median", where: Column | None = None) -> DataFrame:
+                 out: str = "median", where: Column | None = None, buckets: int = 1024) -> DataFrame:
     """Element ``n div 2 + 1`` (1-based) of the sorted non-null values per
     group - the studied jobs' ``element_at(sort_array(collect_list(x)), n/2+1)``
     without building the list.  ``where`` keeps only rows meeting a
     condition.
 
     Values are first counted per ``(keys, value)`` (map-side partial
-    aggregation, so a hot value collapses before the shuffle), then a running
-    count over the distinct values of each group finds the target rank.  Work
-    per group is bounded by its number of distinct values, not its rows.
+    aggregation, so a repeated value collapses before the shuffle); then
+    ``median_from_histogram`` finds the target rank.
     """
     v = F.col(value) if isinstance(value, str) else value
-    if where is None:
-        hist = (df.select(*keys, v.alias("_v")).where(F.col("_v").isNotNull())
-                  .groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_c")))
-    else:
-        # the row condition is counted inside the aggregate rather than
-        # filtered before it, so the input subtree stays identical to the
-        # caller's other aggregates and its shuffle is reused, not redone
-        hist = (df.select(*keys, v.alias("_v"), (where & v.isNotNull()).alias("_w"))
-                  .groupBy(*keys, "_v").agg(F.count_if(F.col("_w")).alias("_c"))
-                  .where(F.col("_c") > 0))
-    w_all = Window.partitionBy(*keys)
-    w_run = w_all.orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = (hist.withColumn("_n", F.sum("_c").over(w_all))
-                  .withColumn("_cum", F.sum("_c").over(w_run)))
-    target = F.floor(F.col("_n") / 2) + 1
-    return (ranked.where((F.col("_cum") >= target) & (F.col("_cum") - F.col("_c") < target))
-                  .select(*keys, F.col("_v").alias(out)))
+    cond = v.isNotNull() if where is None else (where & v.isNotNull())
+    # the row condition is counted inside the aggregate rather than filtered
+    # before it, so the input subtree stays identical to the caller's other
+    # aggregates and its shuffle is reused, not redone
+    hist = (df.select(*keys, v.alias("_v"), cond.alias("_w"))
+              .groupBy(*keys, "_v").agg(F.count_if(F.col("_w")).alias("_c"))
+              .where(F.col("_c") > 0))
+    return median_from_histogram(hist, keys, "_v", "_c", out, buckets)
+
+
+def median_from_histogram(hist: DataFrame, keys: Sequence[str], value: str, count: str,
+                          out: str = "median", buckets: int = 1024) -> DataFrame:
+    """Upper median from ``(keys, value, count)`` rows with distinct values.
+
+    Numeric values: each group's range is cut into ``buckets`` equal-width
+    value buckets; bucket counts are combined map-side and a running count
+    over at most ``buckets`` rows per group finds the bucket holding rank
+    ``n div 2 + 1``; only that bucket's values are then ranked.  So a hot
+    group is spread over its buckets and no task sorts all of a group's
+    values.  The per-group tables (one row per group) are joined back with
+    ordinary joins, which adaptive execution broadcasts when they are small
+    or splits when skewed.  Other types rank all values of a group."""
+    v, c = F.col(value), F.col(count)
+    if dict(hist.dtypes)[value].split("(")[0] not in NUMERIC + ("decimal",):
+        w_all = Window.partitionBy(*keys)
+        run = w_all.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        r = hist.withColumn("_n", F.sum(c).over(w_all)).withColumn("_cum", F.sum(c).over(run))
+        t = F.floor(F.col("_n") / 2) + 1
+        return r.where((F.col("_cum") >= t) & (F.col("_cum") - c < t)).select(*keys, v.alias(out))
+    stats = hist.groupBy(*keys).agg(F.sum(c).alias("_n"), F.min(v).alias("_lo"), F.max(v).alias("_hi"))
+    span = (F.col("_hi") - F.col("_lo")).cast("double")
+    b = F.when(span <= 0, F.lit(0)).otherwise(
+        F.least(F.floor((v - F.col("_lo")).cast("double") / span * buckets), F.lit(buckets - 1))).cast("int")
+    h = hist.join(stats, list(keys)).withColumn("_b", b)
+    coarse = h.groupBy(*keys, "_n", "_b").agg(F.sum(c).alias("_bc"))
+    run = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    t = F.floor(F.col("_n") / 2) + 1
+    sel = (coarse.withColumn("_cum", F.sum("_bc").over(run))
+                 .where((F.col("_cum") >= t) & (F.col("_cum") - F.col("_bc") < t))
+                 .select(*keys, "_b", (t - (F.col("_cum") - F.col("_bc"))).alias("_t")))
+    fine = h.join(sel, [*keys, "_b"])
+    frun = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    fine = fine.withColumn("_fc", F.sum(c).over(frun))
+    return fine.where((F.col("_fc") >= F.col("_t")) & (F.col("_fc") - c < F.col("_t"))).select(*keys, v.alias(out))
 
 
 def percent_of_total(count_col: str, partition: Sequence[str]) -> Column:

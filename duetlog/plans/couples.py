@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import columns as C
 from ..operators.joins import enrich_sides
-from ..operators.stats import topk_per_group
+from ..operators.stats import median_from_histogram, topk_per_group
 
 PARTNER_FIELDS = ("province", "city", "country", "birthday", "regist_time", "last_use_time")
 
@@ -59,7 +59,8 @@ def cohort_stats(profile: DataFrame, step: int, dedup: bool = True,
     median from a collected, sorted list.  Here one histogram - rows grouped
     by ``(bucket, cost)``, combined map-side - feeds everything: the bucket
     totals, the paid subset (a condition on the histogram rows), the upper
-    median (a running count over the bucket's distinct costs) and the
+    median (``median_from_histogram``: coarse value buckets, then one bucket
+    ranked, so a hot love-days bucket is not sorted in one task) and the
     std-dev (moment sums shifted by the bucket's smallest paid cost; exact
     for decimal money).  So the only full shuffle is the row de-duplication,
     done once, and no bucket is ever gathered as a list.  A bucket without
@@ -78,14 +79,15 @@ def cohort_stats(profile: DataFrame, step: int, dedup: bool = True,
     cost = F.col("total_cost")
     paid = cost != 0                                   # null cost: neither paid nor counted
     pn = F.when(paid, F.col("_rows"))                  # paid rows with a cost
-    wb = Window.partitionBy("love_days")
-    run = wb.orderBy("total_cost").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    h = (hist.withColumn("_pn_cum", F.sum(pn).over(run))
-             .withColumn("_pn", F.sum(pn).over(wb))
-             .withColumn("_k", F.min(F.when(paid, cost)).over(wb)))
-    target = F.floor(F.col("_pn") / 2) + 1
-    crossing = paid & (F.col("_pn_cum") >= target) & (F.col("_pn_cum") - pn < target)
-    d = (cost - F.col("_k"))
+    # a condition mixing a grouping column and an aggregate output stays
+    # above the histogram, so every branch reuses its one exchange
+    paid_hist = hist.select("love_days", "total_cost", pn.alias("_c")).where(F.col("_c") > 0)
+    med = median_from_histogram(paid_hist, ["love_days"], "total_cost", "_c", "median_paid_cost")
+    # shift for the moment sums: the bucket's smallest paid cost (one row per
+    # bucket, at most max_days // step + 1 rows: a proven bound)
+    shift = paid_hist.groupBy("love_days").agg(F.min("total_cost").alias("_k"))
+    h = hist.join(F.broadcast(shift), "love_days", "left")
+    d = cost - F.col("_k")
     agg = h.groupBy("love_days").agg(
         F.sum("_sid").alias("space_cnt"),
         F.sum(cost * F.col("_rows")).alias("cost"),
@@ -94,12 +96,12 @@ def cohort_stats(profile: DataFrame, step: int, dedup: bool = True,
         F.sum(F.when(paid, cost * F.col("_rows"))).alias("paid_cost"),
         F.sum(pn).alias("_n"),
         F.sum(F.when(paid, d * F.col("_rows"))).cast("double").alias("_s1"),
-        F.sum(F.when(paid, d * d * F.col("_rows"))).cast("double").alias("_s2"),
-        F.min(F.when(crossing, cost)).alias("median_paid_cost"))
+        F.sum(F.when(paid, d * d * F.col("_rows"))).cast("double").alias("_s2"))
     n = F.col("_n")
     var = F.greatest((F.col("_s2") - F.col("_s1") * F.col("_s1") / n) / (n - 1), F.lit(0.0))
     paid_cnt = F.nullif(F.col("paid_cnt"), F.lit(0))
-    return (agg.select("love_days",
+    return (agg.join(med, "love_days", "left")
+               .select("love_days",
                        (F.col("retention") / (F.col("space_cnt") * 2) * 100).alias("retention_rate"),
                        (paid_cnt / F.col("space_cnt")).alias("pay_rate"),
                        (F.col("cost") / (F.col("space_cnt") * 2)).alias("arpu"),

@@ -111,3 +111,29 @@ def test_sql_functions_equal_column_functions(spark):
                      C.age_at(F.col("b")), C.country_pair_type("c1", "c2"), C.same_country_type("c1", "c2"),
                      C.ip_to_long("ip")).collect()
     assert [tuple(r) for r in got] == [tuple(r) for r in want]
+
+
+def test_upper_median_two_level_random(spark):
+    """Coarse buckets + one ranked bucket equals the sorted-list element,
+    including a hot group, repeated values, decimals and few buckets."""
+    import random
+    rnd = random.Random(7)
+    rows = [(0, float(rnd.randint(0, 50))) for _ in range(3000)]           # hot group, many ties
+    rows += [(g, float(rnd.gauss(0, 10 ** g))) for g in range(1, 6) for _ in range(rnd.randint(1, 40))]
+    rows += [(9, 5.0)] * 4
+    df = spark.createDataFrame(rows, "g int, v double")
+    want = {}
+    for g in {r[0] for r in rows}:
+        vals = sorted(v for gg, v in rows if gg == g)
+        want[g] = vals[len(vals) // 2]
+    for b in (1, 3, 1024):
+        got = {r["g"]: r["median"] for r in upper_median(df, ["g"], "v", buckets=b).collect()}
+        assert got == want, b
+    dec = df.withColumn("v", F.col("v").cast("decimal(12,2)"))
+    dec_rows = [(r["g"], r["v"]) for r in dec.collect()]
+    want_dec = {}
+    for g in {r[0] for r in dec_rows}:
+        vals = sorted(v for gg, v in dec_rows if gg == g)
+        want_dec[g] = vals[len(vals) // 2]
+    got = {r["g"]: r["median"] for r in upper_median(dec, ["g"], "v", buckets=5).collect()}
+    assert got == want_dec
