@@ -56,14 +56,14 @@ def cohort_stats(profile: DataFrame, step: int, dedup: bool = True,
     upper median of paid cost, ARPPU, sample std-dev of paid cost, sample size.
 
     The studied job self-joins a paid and an all-rows aggregate and takes the
-    median from a collected, sorted list.  Here one histogram - rows grouped
-    by ``(bucket, cost)``, combined map-side - feeds everything: the bucket
-    totals, the paid subset (a condition on the histogram rows), the upper
-    median (``median_from_histogram``: coarse value buckets, then one bucket
-    ranked, so a hot love-days bucket is not sorted in one task) and the
-    std-dev (moment sums shifted by the bucket's smallest paid cost; exact
-    for decimal money).  So the only full shuffle is the row de-duplication,
-    done once, and no bucket is ever gathered as a list.  A bucket without
+    median from a collected, sorted list.  Here the de-duplicated rows (the
+    only full shuffle, computed once and reused) feed two aggregations: the
+    bucket totals with filtered aggregates, and a paid-cost histogram
+    ``(bucket, cost) -> count`` combined map-side.  The histogram gives the
+    exact upper median (``median_from_histogram``: coarse value buckets, then
+    one bucket ranked, so a hot love-days bucket is not sorted in one task)
+    and the per-bucket shift for the std-dev moment sums (exact for decimal
+    money).  No bucket is ever gathered as a list.  A bucket without
     payers gets null pay rate / median / ARPPU / std-dev, as the left join gave.
     """
     base = profile.dropDuplicates() if dedup else profile
@@ -72,31 +72,31 @@ def cohort_stats(profile: DataFrame, step: int, dedup: bool = True,
                      "anniversary_day")
              .where(F.col("love_days").isNotNull() & (F.col("love_days") >= 0)
                     & (F.col("love_days") <= max_days) & F.col("anniversary_day").isNotNull())
-             .withColumn("love_days", C.bucket_floor("love_days", step)))
-    hist = x.groupBy("love_days", "total_cost").agg(
-        F.count("space_id").alias("_sid"), F.count(F.lit(1)).alias("_rows"),
-        F.sum("a_retention").alias("_ra"), F.sum("b_retention").alias("_rb"))
+             .withColumn("love_days", C.bucket_floor("love_days", step))
+             # stated explicitly so the joins below cannot add it to one branch
+             # only (inferred filters would make the de-dup subtrees differ)
+             .where(F.col("love_days").isNotNull()))
     cost = F.col("total_cost")
     paid = cost != 0                                   # null cost: neither paid nor counted
-    pn = F.when(paid, F.col("_rows"))                  # paid rows with a cost
-    # a condition mixing a grouping column and an aggregate output stays
-    # above the histogram, so every branch reuses its one exchange
-    paid_hist = hist.select("love_days", "total_cost", pn.alias("_c")).where(F.col("_c") > 0)
+    # paid-cost histogram: the condition is counted inside the aggregate (not
+    # filtered before it), so its input is the same de-duplicated subtree as
+    # the totals below and that exchange is computed once and reused
+    paid_hist = (x.groupBy("love_days", "total_cost").agg(F.count_if(paid).alias("_c"))
+                  .where(F.col("_c") > 0))
     med = median_from_histogram(paid_hist, ["love_days"], "total_cost", "_c", "median_paid_cost")
     # shift for the moment sums: the bucket's smallest paid cost (one row per
     # bucket, at most max_days // step + 1 rows: a proven bound)
     shift = paid_hist.groupBy("love_days").agg(F.min("total_cost").alias("_k"))
-    h = hist.join(F.broadcast(shift), "love_days", "left")
     d = cost - F.col("_k")
-    agg = h.groupBy("love_days").agg(
-        F.sum("_sid").alias("space_cnt"),
-        F.sum(cost * F.col("_rows")).alias("cost"),
-        (F.sum("_ra") + F.sum("_rb")).alias("retention"),
-        F.sum(F.when(paid, F.col("_sid"))).alias("paid_cnt"),
-        F.sum(F.when(paid, cost * F.col("_rows"))).alias("paid_cost"),
-        F.sum(pn).alias("_n"),
-        F.sum(F.when(paid, d * F.col("_rows"))).cast("double").alias("_s1"),
-        F.sum(F.when(paid, d * d * F.col("_rows"))).cast("double").alias("_s2"))
+    agg = x.join(F.broadcast(shift), "love_days", "left").groupBy("love_days").agg(
+        F.count("space_id").alias("space_cnt"),
+        F.sum("total_cost").alias("cost"),
+        (F.sum("a_retention") + F.sum("b_retention")).alias("retention"),
+        F.count(F.when(paid, F.col("space_id"))).alias("paid_cnt"),
+        F.sum(F.when(paid, cost)).alias("paid_cost"),
+        F.count(F.when(paid, cost)).alias("_n"),
+        F.sum(F.when(paid, d)).cast("double").alias("_s1"),
+        F.sum(F.when(paid, d * d)).cast("double").alias("_s2"))
     n = F.col("_n")
     var = F.greatest((F.col("_s2") - F.col("_s1") * F.col("_s1") / n) / (n - 1), F.lit(0.0))
     paid_cnt = F.nullif(F.col("paid_cnt"), F.lit(0))
