@@ -14,7 +14,7 @@ NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
 
 
 def upper_median(df: DataFrame, keys: Sequence[str], value: str | Column,
-                 out: str = "median", where: Column | None = None, buckets: int = 1024) -> DataFrame:
+                 out: str = "median", where: Column | None = None, per_octave: int = 64) -> DataFrame:
     """Element ``n div 2 + 1`` (1-based) of the sorted non-null values per
     group - the studied jobs' ``element_at(sort_array(collect_list(x)), n/2+1)``
     without building the list.  ``where`` keeps only rows meeting a
@@ -32,37 +32,43 @@ def upper_median(df: DataFrame, keys: Sequence[str], value: str | Column,
     hist = (df.select(*keys, v.alias("_v"), cond.alias("_w"))
               .groupBy(*keys, "_v").agg(F.count_if(F.col("_w")).alias("_c"))
               .where(F.col("_c") > 0))
-    return median_from_histogram(hist, keys, "_v", "_c", out, buckets)
+    return median_from_histogram(hist, keys, "_v", "_c", out, per_octave)
+
+
+def _log_bucket(v: Column, per_octave: int) -> Column:
+    """Order-preserving bucket of a number without any pass over the data:
+    ``per_octave`` geometric buckets per power of two, negatives mirrored
+    below zero.  Monotone, so a running count over buckets is a running
+    count over values."""
+    d = v.cast("double")
+    mag = F.floor(F.log2(F.abs(d)) * per_octave) + F.lit(1 << 20)
+    return F.when(d > 0, mag).when(d < 0, -mag).otherwise(F.lit(0)).cast("bigint")
 
 
 def median_from_histogram(hist: DataFrame, keys: Sequence[str], value: str, count: str,
-                          out: str = "median", buckets: int = 1024) -> DataFrame:
+                          out: str = "median", per_octave: int = 64) -> DataFrame:
     """Upper median from ``(keys, value, count)`` rows with distinct values.
 
-    Numeric values: each group's range is cut into ``buckets`` equal-width
-    value buckets; bucket counts are combined map-side and a running count
-    over at most ``buckets`` rows per group finds the bucket holding rank
-    ``n div 2 + 1``; only that bucket's values are then ranked.  So a hot
+    Numeric values: rows are counted per ``(keys, value bucket)`` (combined
+    map-side; ``per_octave`` geometric buckets per power of two), a running
+    count over each group's few thousand buckets finds the bucket holding
+    rank ``n div 2 + 1``, and only that bucket's values are ranked.  So a hot
     group is spread over its buckets and no task sorts all of a group's
-    values.  The per-group tables (one row per group) are joined back with
-    ordinary joins, which adaptive execution broadcasts when they are small
-    or splits when skewed.  Other types rank all values of a group."""
+    values.  The one-row-per-group selection is joined back with an ordinary
+    join (adaptive execution broadcasts it when small, splits it when
+    skewed).  Other types rank all values of a group."""
     v, c = F.col(value), F.col(count)
+    t = F.floor(F.col("_n") / 2) + 1
     if dict(hist.dtypes)[value].split("(")[0] not in NUMERIC + ("decimal",):
         w_all = Window.partitionBy(*keys)
         run = w_all.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         r = hist.withColumn("_n", F.sum(c).over(w_all)).withColumn("_cum", F.sum(c).over(run))
-        t = F.floor(F.col("_n") / 2) + 1
         return r.where((F.col("_cum") >= t) & (F.col("_cum") - c < t)).select(*keys, v.alias(out))
-    stats = hist.groupBy(*keys).agg(F.sum(c).alias("_n"), F.min(v).alias("_lo"), F.max(v).alias("_hi"))
-    span = (F.col("_hi") - F.col("_lo")).cast("double")
-    b = F.when(span <= 0, F.lit(0)).otherwise(
-        F.least(F.floor((v - F.col("_lo")).cast("double") / span * buckets), F.lit(buckets - 1))).cast("int")
-    h = hist.join(stats, list(keys)).withColumn("_b", b)
-    coarse = h.groupBy(*keys, "_n", "_b").agg(F.sum(c).alias("_bc"))
-    run = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    t = F.floor(F.col("_n") / 2) + 1
-    sel = (coarse.withColumn("_cum", F.sum("_bc").over(run))
+    h = hist.withColumn("_b", _log_bucket(v, per_octave))
+    coarse = h.groupBy(*keys, "_b").agg(F.sum(c).alias("_bc"))
+    w_all = Window.partitionBy(*keys)
+    run = w_all.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    sel = (coarse.withColumn("_n", F.sum("_bc").over(w_all)).withColumn("_cum", F.sum("_bc").over(run))
                  .where((F.col("_cum") >= t) & (F.col("_cum") - F.col("_bc") < t))
                  .select(*keys, "_b", (t - (F.col("_cum") - F.col("_bc"))).alias("_t")))
     fine = h.join(sel, [*keys, "_b"])

@@ -126,8 +126,11 @@ def test_upper_median_two_level_random(spark):
     for g in {r[0] for r in rows}:
         vals = sorted(v for gg, v in rows if gg == g)
         want[g] = vals[len(vals) // 2]
-    for b in (1, 3, 1024):
-        got = {r["g"]: r["median"] for r in upper_median(df, ["g"], "v", buckets=b).collect()}
+    rows += [(10, -3.0), (10, -0.5), (10, 0.0), (10, 0.25), (10, 7.0)]
+    df = spark.createDataFrame(rows, "g int, v double")
+    want[10] = 0.0
+    for b in (1, 3, 64):
+        got = {r["g"]: r["median"] for r in upper_median(df, ["g"], "v", per_octave=b).collect()}
         assert got == want, b
     dec = df.withColumn("v", F.col("v").cast("decimal(12,2)"))
     dec_rows = [(r["g"], r["v"]) for r in dec.collect()]
@@ -135,5 +138,5 @@ def test_upper_median_two_level_random(spark):
     for g in {r[0] for r in dec_rows}:
         vals = sorted(v for gg, v in dec_rows if gg == g)
         want_dec[g] = vals[len(vals) // 2]
-    got = {r["g"]: r["median"] for r in upper_median(dec, ["g"], "v", buckets=5).collect()}
+    got = {r["g"]: r["median"] for r in upper_median(dec, ["g"], "v", per_octave=5).collect()}
     assert got == want_dec
