@@ -42,7 +42,9 @@ def _log_bucket(v: Column, per_octave: int) -> Column:
     count over values."""
     d = v.cast("double")
     mag = F.floor(F.log2(F.abs(d)) * per_octave) + F.lit(1 << 20)
-    return F.when(d > 0, mag).when(d < 0, -mag).otherwise(F.lit(0)).cast("bigint")
+    # never null: otherwise the join on the bucket infers an ``isnotnull``
+    # filter that is pushed into one branch only and breaks exchange reuse
+    return F.coalesce(F.when(d > 0, mag).when(d < 0, -mag).otherwise(F.lit(0)).cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def median_from_histogram(hist: DataFrame, keys: Sequence[str], value: str, count: str,
