@@ -101,12 +101,14 @@ def agg_upper_median(t):
 
 
 @query("agg_sorted_list", sql="""
-SELECT c_nationkey, array_to_string(list_sort(list(c_mktsegment)), ',') AS segments FROM customer GROUP BY c_nationkey""")
+SELECT c_nationkey, c_mktsegment, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_mktsegment) AS pos FROM customer""")
 def agg_sorted_list(t):
-    """AGG-11: collect + sort a list per group (rendered as text).  Kept for
-    small groups only; the statistics above never collect."""
-    return (t["customer"].groupBy("c_nationkey")
-            .agg(F.array_join(F.sort_array(F.collect_list("c_mktsegment")), ",").alias("segments")))
+    """AGG-11: the sorted list of values per group, in long form
+    ``(group, value, position)`` - the studied ``sort_array(collect_list(x))``
+    without gathering a group into one array or one task."""
+    from ..operators.windows import row_number_within
+    c = t["customer"].select("c_nationkey", "c_mktsegment")
+    return row_number_within(c, ["c_nationkey"], ["c_mktsegment"], out="pos")
 
 
 @query("agg_stddev", sql="""

@@ -14,31 +14,46 @@ def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "
                       scalable: bool = True, partitions: int | None = None) -> DataFrame:
     """``row_number() over (order by ...)`` across the whole frame.
 
-    A window without ``partitionBy`` moves every row into one task.  The
-    scalable form range-partitions and sorts (many tasks), checkpoints that
-    layout reliably (partition ids and in-partition order become data, so a
-    recomputation after executor loss cannot reshuffle them), counts rows per
-    partition (one row per partition: a bounded broadcast), and adds the
-    running offset to each row's position in its partition.  Ties in
-    ``order`` are numbered in an arbitrary but fixed order; add a unique key
-    for a deterministic result.
-    """
+    A window without ``partitionBy`` moves every row into one task; the
+    scalable form is ``row_number_within`` with no group columns."""
     if not scalable:
         return df.withColumn(out, F.row_number().over(Window.orderBy(*order)))
+    return row_number_within(df, [], order, out, partitions)
+
+
+def row_number_within(df: DataFrame, keys: Sequence[str], order: Sequence[str | Column],
+                      out: str = "row_number", partitions: int | None = None) -> DataFrame:
+    """``row_number() over (partition by keys order by ...)`` without putting
+    a group into one task.
+
+    Rows are range-partitioned and sorted by ``(keys, order, row hash)`` -
+    the hash breaks ties, so even a single hot value spreads over several
+    partitions - and that layout is checkpointed reliably (partition ids and
+    in-partition positions become data, so a recomputation after executor
+    loss cannot reshuffle them).  Rows per (partition, group) are counted;
+    a running sum of those counts over each group's partitions gives the
+    offset added to each row's position in its partition.  Ties in ``order``
+    are numbered in an arbitrary but fixed order."""
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # a hash of the whole row breaks ties, so one hot key value is spread
-    # over several range partitions instead of filling one
-    tie = F.xxhash64(*[F.col(c) for c in df.columns]).alias("_tie")
-    keyed = df.withColumn("_tie", tie)
-    full = [*order, "_tie"]
-    laid = (keyed.repartitionByRange(n, *full).sortWithinPartitions(*full)
+    keys = list(keys)
+    full = [*keys, *order, "_tie"]
+    laid = (df.withColumn("_tie", F.xxhash64(*[F.col(c) for c in df.columns]))
+              .repartitionByRange(n, *full).sortWithinPartitions(*full)
               .withColumn("_pid", F.spark_partition_id())
               .withColumn("_mid", F.monotonically_increasing_id()))
     laid = cut_lineage(laid)
-    counts = laid.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
-    w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    counts = laid.groupBy("_pid", *keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_m0"))
+    w = Window.partitionBy(*keys).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.withColumn("_off", F.coalesce(F.sum("_n").over(w), F.lit(0)))
-    return (laid.join(F.broadcast(offsets), "_pid")
+    if not keys:                     # one row per partition: a bounded broadcast
+        offsets = F.broadcast(offsets)
+    # null group keys must still meet their own counts
+    cond = [F.col("_pid") == F.col("_o__pid")] + [F.col(k).eqNullSafe(F.col(f"_o_{k}")) for k in keys]
+    o = offsets.select(*[F.col(c).alias(f"_o_{c}") for c in ["_pid", *keys]], "_off", "_m0")
+    cond_all = cond[0]
+    for c in cond[1:]:
+        cond_all = cond_all & c
+    return (laid.join(o, cond_all)
                 .withColumn(out, F.col("_off") + F.col("_mid") - F.col("_m0") + 1)
-                .drop("_pid", "_mid", "_n", "_m0", "_off", "_tie"))
+                .drop("_pid", "_mid", "_m0", "_off", "_tie", *[f"_o_{c}" for c in ["_pid", *keys]]))

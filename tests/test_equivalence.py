@@ -85,3 +85,18 @@ def test_global_row_number_scalable_equals_window(tables01):
 def test_enrich_duplicate_rows_not_squared(spark, tables01):
     u = spark.createDataFrame([(1, 10000001), (1, 10000001), (1, 10000001)], "user_id long, ip long")
     assert enrich.enrich_users(u, tables01["ip_ranges"]).count() == 3     # the studied self-join gave 9
+
+
+def test_row_number_within_groups_hot_key(spark):
+    """Per-group numbering equals the window form, with one hot group that
+    spans several range partitions, ties and a null group."""
+    from pyspark.sql import Window
+    from duetlog.operators.windows import row_number_within
+    rows = [(0, i % 50) for i in range(3000)] + [(g, g * 3 % 7) for g in range(1, 40) for _ in range(g)]
+    rows += [(None, 1), (None, 2)]
+    df = spark.createDataFrame(rows, "g int, v int")
+    got = sorted(map(tuple, row_number_within(df, ["g"], ["v"], out="pos", partitions=6)
+                     .select("g", "v", "pos").collect()), key=repr)
+    want = sorted(map(tuple, df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("v")))
+                      .select("g", "v", "pos").collect()), key=repr)
+    assert got == want
