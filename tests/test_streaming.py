@@ -121,3 +121,19 @@ def test_event_routing_stream_equals_batch(spark, tables001):
     q.awaitTermination(600)
     want = sorted(map(tuple, route_events(js).collect()))
     assert sorted(got) == want and len(want) > 0
+
+
+def test_alarm_message_body(spark):
+    """STR-08 / SNK-11: the webhook body is ``{"msgtype":"markdown",
+    "markdown":{"content":...}}`` with the status template filled in."""
+    rows = [("farm", "api", "/p/1", "E1", "timeout", "t0", 7, 0, "f0", 7),
+            ("pet", "api", "/p/2", "E2", "timeout", "t0", 0, 2, "f1", 12),
+            ("x", "api", "/p/3", "E3", "m", "t0", 1, 9, "f2", 1)]
+    st = spark.createDataFrame(rows, A.STATE_SCHEMA)
+    msgs = {r["sv"]: r for r in A.alarm_messages(st).collect()}
+    import json
+    body = json.loads(msgs["farm"]["body"])
+    assert body["msgtype"] == "markdown" and body["markdown"]["content"] == msgs["farm"]["content"]
+    assert "农场" in body["markdown"]["content"] and ">当前报错次数：<font color=\"warning\">7</font>" in body["markdown"]["content"]
+    assert "情侣宝宝" in msgs["pet"]["content"] and "总报错次数：<font color=\"info\">12</font>" in msgs["pet"]["content"]
+    assert msgs["x"]["content"] == "未知状态"

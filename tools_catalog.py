@@ -19,7 +19,7 @@ NO_KEY = [
     ("SNK-07 Hive-format append", "`sinks.writers.append_table(fmt=...)`", "parquet format in `snk_table_append`"),
     ("SNK-08 JDBC append", "`sinks.writers.write_jdbc` (bounded connections)", "no: no database here"),
     ("SNK-11 webhook delivery", "`streaming.alarm.alarm_messages` body column + `sinks.writers.deliver_partitions`",
-     "body built in `str_alarm_message`; no HTTP"),
+     "content in `str_alarm_message`, body JSON in `tests/test_streaming.py`; no HTTP"),
     ("UDF-10 registration", "`functions.sql_functions.register` (SQL-bodied, inlined)", "`tests/test_functions.py`"),
     ("STR-01 trigger interval", "`streaming.alarm.run_alarm_stream(trigger=...)` (default 30 s)", "availableNow in tests"),
     ("STR-10 checkpoint dir", "`checkpointLocation` under the shared `spark.checkpoint.dir`", "`tests/test_streaming.py`"),
