@@ -137,3 +137,25 @@ def test_alarm_message_body(spark):
     assert "农场" in body["markdown"]["content"] and ">当前报错次数：<font color=\"warning\">7</font>" in body["markdown"]["content"]
     assert "情侣宝宝" in msgs["pet"]["content"] and "总报错次数：<font color=\"info\">12</font>" in msgs["pet"]["content"]
     assert msgs["x"]["content"] == "未知状态"
+
+
+def test_alarm_presence_key_differs_from_group_key(spark):
+    """Rule 3 looks only at (url, err_code): another message for the same
+    url and code keeps an alarm unchanged; absence recovers it; the next
+    batch deletes the recovered row."""
+    schema = ("sv string, bn string, url string, err_code string, err_msg string, time_stamp string, "
+              "num long, final_time string")
+    batches = [
+        [("s", "b", "u1", "E1", "m1", "t0", 6, "f0")],
+        [("s", "b", "u1", "E1", "m2", "t1", 2, "f1")],
+        [("s", "b", "u2", "E2", "m1", "t2", 1, "f2")],
+        [("s", "b", "u3", "E3", "m1", "t3", 1, "f3")],
+    ]
+    state = A.empty_state(spark)
+    seen = []
+    for rows in batches:
+        state = A.alarm_step(state, spark.createDataFrame(rows, schema), 5)
+        state = spark.createDataFrame(state.collect(), A.STATE_SCHEMA)
+        seen.append(sorted((r["err_msg"], r["status"], r["num"], r["total_num"], r["final_time"])
+                           for r in state.collect()))
+    assert seen == [[("m1", 0, 6, 6, "f0")], [("m1", 0, 6, 6, "f0")], [("m1", 2, 0, 6, "f0")], []]
