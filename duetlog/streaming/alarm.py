@@ -137,6 +137,7 @@ class AlarmStateTable:
                  on_state: Callable[[DataFrame, int], None] | None = None):
         self.base, self.threshold, self.presence = base_path.rstrip("/"), threshold, tuple(presence)
         self.parse, self.on_state = parse, on_state
+        self._last: int | None = None      # last batch id committed by this process
 
     def path(self, batch_id: int) -> str:
         return f"{self.base}/batch={batch_id:012d}"
@@ -157,13 +158,19 @@ class AlarmStateTable:
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        if self.read(spark, batch_id) is not None:        # replayed batch id: already applied
-            return
-        prev = self.read(spark, batch_id - 1) if batch_id > 0 else None
-        prev = prev if prev is not None else empty_state(spark)
+        if (self._last is not None and batch_id <= self._last) or self.committed(spark, batch_id):
+            return                                         # replayed batch id: already applied
+        if batch_id == 0:
+            prev = empty_state(spark)
+        elif self._last == batch_id - 1:                   # known committed: no probe needed
+            prev = spark.read.schema(STATE_SCHEMA).parquet(self.path(batch_id - 1))
+        else:                                              # after a restart
+            prev = self.read(spark, batch_id - 1)
+            prev = prev if prev is not None else empty_state(spark)
         rows = self.parse(batch_df) if self.parse else batch_df
         new = alarm_step(prev, batch_aggregate(rows, distinct_ips=False), self.threshold, self.presence)
         new.write.mode("overwrite").parquet(self.path(batch_id))
+        self._last = batch_id
         if self.on_state is not None:
             self.on_state(self.read(spark, batch_id), batch_id)
 
