@@ -136,6 +136,27 @@ def top_provinces(couple_enriched: DataFrame, by: str = "user_type", k: int = K.
     return topk_per_group(counts, [by], "nums", k)
 
 
+def top_provinces_both(couple_enriched: DataFrame, k: int = K.TOP_K, as_of: str = K.REFERENCE_AS_OF,
+                       unknown: str = K.UNKNOWN_REGION) -> DataFrame:
+    """PIPE-07 and PIPE-08 in one pass: the person rows are built once and
+    counted with ``GROUPING SETS ((user_type, province), (love_days_type,
+    province))`` - one scan and one shuffle instead of two jobs over the
+    same union.  ``report`` says which ranking a row belongs to and ``type``
+    holds the user type or the love-days type."""
+    people = person_features(partner_rows(couple_enriched, ("province", "regist_time", "last_use_time", "birthday")),
+                             as_of).where(F.col("province") != unknown)
+    ut = F.when(F.col("user_type") != K.NEITHER_USER_TYPE, F.col("user_type"))
+    lt = F.when(F.col("love_days").isNotNull() & (F.col("love_days") >= 0), F.col("love_days_type"))
+    g = (people.select("space_id", "province", ut.alias("ut"), lt.alias("lt"))
+               .groupingSets([["ut", "province"], ["lt", "province"]], "ut", "lt", "province")
+               .agg(F.count("space_id").alias("nums"), F.grouping_id().alias("_g")))
+    by_user = F.col("_g") == 2                       # bits (ut, lt, province): lt aggregated away
+    rows = (g.select(F.when(by_user, F.lit("user_type")).otherwise(F.lit("love_days_type")).alias("report"),
+                     F.when(by_user, F.col("ut")).otherwise(F.col("lt")).alias("type"), "province", "nums")
+             .where(F.col("type").isNotNull()))
+    return topk_per_group(rows, ["report", "type"], "nums", k)
+
+
 # --- PIPE-09 / PIPE-10 --------------------------------------------------------------
 
 def country_spend(couple_enriched: DataFrame, home: str = K.HOME_COUNTRY,

@@ -100,3 +100,14 @@ def test_row_number_within_groups_hot_key(spark):
     want = sorted(map(tuple, df.withColumn("pos", F.row_number().over(Window.partitionBy("g").orderBy("v")))
                       .select("g", "v", "pos").collect()), key=repr)
     assert got == want
+
+
+def test_top_provinces_both_equals_two_reports(tables01):
+    from duetlog.catalog.couples_q import AS_OF
+    ce = tables01["couple_enriched"]
+    both = couples.top_provinces_both(ce, as_of=AS_OF)
+    for by in ("user_type", "love_days_type"):
+        one = couples.top_provinces(ce, by, as_of=AS_OF)
+        a = _rows(both.where(F.col("report") == by).select(F.col("type"), "province", "nums", "percent", "rk"))
+        b = _rows(one.select(F.col(by).alias("type"), "province", "nums", "percent", "rk"))
+        assert a == b and len(a) > 0
