@@ -84,21 +84,26 @@ def cohort_stats(profile: DataFrame, step: int, dedup: bool = True,
     paid_hist = (x.groupBy("love_days", "total_cost").agg(F.count_if(paid).alias("_c"))
                   .where(F.col("_c") > 0))
     med = median_from_histogram(paid_hist, ["love_days"], "total_cost", "_c", "median_paid_cost")
-    # shift for the moment sums: the bucket's smallest paid cost (one row per
-    # bucket, at most max_days // step + 1 rows: a proven bound)
-    shift = paid_hist.groupBy("love_days").agg(F.min("total_cost").alias("_k"))
-    d = cost - F.col("_k")
-    agg = x.join(F.broadcast(shift), "love_days", "left").groupBy("love_days").agg(
+    if dict(x.dtypes)["total_cost"].startswith("decimal"):
+        # decimal money: the moment sums below are exact, no shift needed
+        xs, d = x, cost
+    else:
+        # floating point: shift by the bucket's smallest paid cost (one row
+        # per bucket, at most max_days // step + 1 rows: a proven bound)
+        shift = paid_hist.groupBy("love_days").agg(F.min("total_cost").alias("_k"))
+        xs, d = x.join(F.broadcast(shift), "love_days", "left"), cost - F.col("_k")
+    agg = xs.groupBy("love_days").agg(
         F.count("space_id").alias("space_cnt"),
         F.sum("total_cost").alias("cost"),
         (F.sum("a_retention") + F.sum("b_retention")).alias("retention"),
         F.count(F.when(paid, F.col("space_id"))).alias("paid_cnt"),
         F.sum(F.when(paid, cost)).alias("paid_cost"),
         F.count(F.when(paid, cost)).alias("_n"),
-        F.sum(F.when(paid, d)).cast("double").alias("_s1"),
-        F.sum(F.when(paid, d * d)).cast("double").alias("_s2"))
+        F.sum(F.when(paid, d)).alias("_s1"),
+        F.sum(F.when(paid, d * d)).alias("_s2"))
     n = F.col("_n")
-    var = F.greatest((F.col("_s2") - F.col("_s1") * F.col("_s1") / n) / (n - 1), F.lit(0.0))
+    # (exact in decimal arithmetic for decimal input; doubles otherwise)
+    var = F.greatest(((F.col("_s2") - F.col("_s1") * F.col("_s1") / n) / (n - 1)).cast("double"), F.lit(0.0))
     paid_cnt = F.nullif(F.col("paid_cnt"), F.lit(0))
     return (agg.join(med, "love_days", "left")
                .select("love_days",
