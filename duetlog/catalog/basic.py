@@ -4,8 +4,6 @@ expressions (PRJ-*, FLT-*, AGG-*, WIN-*, SRT-*, SET-*, SCL-*, UDF-*)."""
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 

@@ -31,11 +31,11 @@ key x batch grid is built.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.utils import AnalysisException
+from pyspark.errors import AnalysisException
 
 from .. import constants as K
 from ..functions.columns import epoch_seconds_to_text, map_label

@@ -1,8 +1,5 @@
 """Streaming runs equal their batch twins."""
 
-import os
-import tempfile
-
 from pyspark.sql import functions as F
 
 from duetlog.session import staging_path
