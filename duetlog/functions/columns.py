@@ -155,10 +155,16 @@ def json_object(**fields: Column) -> Column:
 # --- SCL-17: IPv4 ---------------------------------------------------------------------
 
 def ip_to_long(col: ColumnOrName) -> Column:
-    """Dotted IPv4 text -> long by folding ``(n << 8) | octet``."""
+    """Dotted IPv4 text -> long by folding ``(n << 8) | octet``.  The usual
+    four-part address takes a plain arithmetic path (code-generated); any
+    other shape is folded part by part, as the studied function did."""
     parts = F.split(_c(col), r"\.")
-    return F.aggregate(parts, F.lit(0).cast("bigint"),
+    octet = lambda i: F.get(parts, i).try_cast("bigint")
+    four = (F.shiftleft(octet(0), 24).bitwiseOR(F.shiftleft(octet(1), 16))
+            .bitwiseOR(F.shiftleft(octet(2), 8)).bitwiseOR(octet(3)))
+    fold = F.aggregate(parts, F.lit(0).cast("bigint"),
                        lambda acc, x: F.shiftleft(acc, 8).bitwiseOR(x.try_cast("bigint")))
+    return F.when(F.size(parts) == 4, four).otherwise(fold)
 
 
 def long_to_ip(col: ColumnOrName) -> Column:

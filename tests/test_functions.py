@@ -51,6 +51,7 @@ def test_ip_to_long_and_back(spark):
     rows = [("0.0.0.0",), ("220.248.12.158",), ("255.255.255.255",), ("1.2.x.4",)]
     got = _one(spark, lambda d: C.ip_to_long("ip"), rows, "ip string")
     assert got == [0, 3707243678, 4294967295, None]
+    assert _one(spark, lambda d: C.ip_to_long("ip"), [("1.2.3",), ("1.2.3.4.5",)], "ip string") == [66051, 4328719365]
     back = _one(spark, lambda d: C.long_to_ip(C.ip_to_long("ip")), rows[:3], "ip string")
     assert back == [r[0] for r in rows[:3]]
 
