@@ -58,15 +58,18 @@ def median_from_histogram(hist: DataFrame, keys: Sequence[str], value: str, coun
     group is spread over its buckets and no task sorts all of a group's
     values.  The one-row-per-group selection is joined back with an ordinary
     join (adaptive execution broadcasts it when small, splits it when
-    skewed).  Other types rank all values of a group."""
+    skewed).  Text, dates and timestamps use a short text prefix as the
+    order-preserving bucket."""
     v, c = F.col(value), F.col(count)
     t = F.floor(F.col("_n") / 2) + 1
-    if dict(hist.dtypes)[value].split("(")[0] not in NUMERIC + ("decimal",):
-        w_all = Window.partitionBy(*keys)
-        run = w_all.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-        r = hist.withColumn("_n", F.sum(c).over(w_all)).withColumn("_cum", F.sum(c).over(run))
-        return r.where((F.col("_cum") >= t) & (F.col("_cum") - c < t)).select(*keys, v.alias(out))
-    h = hist.withColumn("_b", _log_bucket(v, per_octave))
+    if dict(hist.dtypes)[value].split("(")[0] in NUMERIC + ("decimal",):
+        bucket = _log_bucket(v, per_octave)
+    else:
+        # text, dates, timestamps: a short prefix of the text form is
+        # order-preserving (ISO dates and times; UTF-8 byte order is code
+        # point order), so it serves as the coarse bucket
+        bucket = F.coalesce(F.substring(v.cast("string"), 1, 3), F.lit(""))
+    h = hist.withColumn("_b", bucket)
     coarse = h.groupBy(*keys, "_b").agg(F.sum(c).alias("_bc"))
     w_all = Window.partitionBy(*keys)
     run = w_all.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -141,3 +141,15 @@ def test_upper_median_two_level_random(spark):
         want_dec[g] = vals[len(vals) // 2]
     got = {r["g"]: r["median"] for r in upper_median(dec, ["g"], "v", per_octave=5).collect()}
     assert got == want_dec
+
+
+def test_upper_median_text_and_dates(spark):
+    import datetime as dt
+    words = ["pear", "apple", "fig", "apricot", "banana", "plum", "kiwi", "apple", "date", "apex"]
+    rows = [(1, w) for w in words] + [(2, "z")] + [(3, w) for w in ["b", "a"]]
+    df = spark.createDataFrame(rows, "g int, v string")
+    got = {r["g"]: r["median"] for r in upper_median(df, ["g"], "v").collect()}
+    assert got == {1: sorted(words)[5], 2: "z", 3: "b"}
+    days = [dt.date(2020, 1, 1) + dt.timedelta(days=7 * i) for i in range(11)]
+    ddf = spark.createDataFrame([(0, d) for d in reversed(days)], "g int, v date")
+    assert upper_median(ddf, ["g"], "v").collect()[0]["median"] == days[5]
