@@ -62,3 +62,16 @@ def test_global_row_number_not_single_partition(spark):
     lines = plan(spark, "win_global_row_number").splitlines()
     singles = [i for i, ln in enumerate(lines) if "Exchange SinglePartition" in ln]
     assert singles and all("keys=[_pid" in lines[i + 1] for i in singles)
+
+
+NO_CROSS = ["pipe_cohort_stats", "pipe_farm_activity", "pipe_top_provinces_user_type", "str_alarm_status",
+            "pipe_city_active_new", "pipe_avg_age", "pipe_city_share", "pipe_country_spend", "agg_upper_median",
+            "str_alarm_message", "snk_upsert_accumulate", "join_left_anti", "join_inner_notnull", "scl_percent"]
+
+
+@pytest.mark.parametrize("key", NO_CROSS)
+def test_no_cross_join(spark, key):
+    """No query pairs every row with every row: no cartesian product and no
+    nested-loop join (that form is kept only for ``join_ip_range``)."""
+    p = plan(spark, key)
+    assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, p
