@@ -8,7 +8,7 @@ conversion), UTC wall clock, ANSI left on.
 
 from __future__ import annotations
 
-import os
+import re
 import tempfile
 import uuid
 
@@ -48,16 +48,18 @@ def get_session(master: str | None = None, app: str = "duetlog",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder the cluster names.
 
-    The folder is read from the running context or ``spark.checkpoint.dir``;
-    only when neither is set (local tests) is a private folder created."""
+    The folder is read from the running context or ``spark.checkpoint.dir``.
+    Where neither is set, a local master (tests, a laptop) gets a private
+    folder; any other master raises, because executors on other machines
+    would write to their own disks and the read-back would be incomplete."""
     sc = spark.sparkContext
-    d = sc.getCheckpointDir()
-    if d:
-        return d
-    d = spark.conf.get("spark.checkpoint.dir", None)
+    d = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="duetlog-ckpt-")
-    sc.setCheckpointDir(d)
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
@@ -74,37 +76,6 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
-SPLIT_MIN_BYTES = 1 << 20
-_SCHEMAS: dict[str, object] = {}
-
-
-def _row_groups(path: str) -> int:
-    try:
-        import pyarrow.parquet as pq
-        return pq.ParquetFile(path).metadata.num_row_groups
-    except Exception:          # not readable here: assume it is split already
-        return 1 << 30
-
-
-def table(spark: SparkSession, sf_dir: str, name: str, balance: bool = True) -> DataFrame:
-    """Read one of the driver's Parquet tables.
-
-    The schema is inferred once per path and then given explicitly (no
-    footer-reading job per query).  A file of one row group is one scan
-    task, so every map-side step of a query (filters, join probes, partial
-    aggregation) would run on a single core: when such an under-split local
-    file is larger than ``SPLIT_MIN_BYTES`` and has fewer row groups than the
-    default parallelism, it is hash-spread (on its first column: no sort,
-    same rows per task on a retry) over the cores right after the (pruned,
-    filtered) scan.  Inputs that are already split - any real multi-file or
-    multi-row-group table - are left alone: no extra shuffle."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    schema = _SCHEMAS.get(path)
-    df = spark.read.schema(schema).parquet(path) if schema is not None else spark.read.parquet(path)
-    if schema is None:
-        _SCHEMAS[path] = df.schema
-    if balance and os.path.isfile(path) and os.path.getsize(path) >= SPLIT_MIN_BYTES:
-        par = spark.sparkContext.defaultParallelism
-        if _row_groups(path) < par:
-            df = df.repartition(par, df.columns[0])
-    return df
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """Read one of the driver's Parquet tables (one plan at every size)."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
