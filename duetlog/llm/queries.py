@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import quality
+from . import quality, simhash
 from .common import read
 
 
@@ -12,8 +12,14 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read(spark, sf_dir, "documents"))
 
 
+def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(read(spark, sf_dir, "documents")).select(
+        "doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
+
+
 QUERIES = {
     "op5_quality_rules": op5_quality_rules,
+    "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 
 ORACLE_SQL = {
