@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, quality, simhash
+from . import langid, pii, quality, simhash
 from .common import read
 
 
@@ -12,6 +12,10 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.language_id(read(spark, sf_dir, "documents"))
 
 
+def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.personal_data(read(spark, sf_dir, "documents"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read(spark, sf_dir, "documents"))
 
@@ -23,6 +27,7 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_language_id": op1_language_id,
+    "op2_personal_data": op2_personal_data,
     "op5_quality_rules": op5_quality_rules,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
