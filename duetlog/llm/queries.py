@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import langid, pii, quality, simhash
+from . import decontam, langid, pii, quality, simhash
 from .common import read
 
 
@@ -20,6 +20,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read(spark, sf_dir, "documents"))
 
 
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents")).select(
         "doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
@@ -29,9 +33,11 @@ QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_personal_data": op2_personal_data,
     "op5_quality_rules": op5_quality_rules,
+    "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
 }
 
 ORACLE_SQL = {
     "op5_quality_rules": quality.oracle_sql(),
+    "op7_benchmark_decontamination": decontam.oracle_sql(),
 }
