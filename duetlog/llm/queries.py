@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, pii, quality, simhash
+from . import decontam, langid, pii, quality, simhash, warc
 from .common import read
 
 
@@ -29,15 +29,21 @@ def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", simhash.hex_fingerprint("fp").alias("fingerprint"), "component_id")
 
 
+def op9_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(read(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_personal_data": op2_personal_data,
     "op5_quality_rules": op5_quality_rules,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
+    "op9_warc_archives": op9_warc_archives,
 }
 
 ORACLE_SQL = {
     "op5_quality_rules": quality.oracle_sql(),
     "op7_benchmark_decontamination": decontam.oracle_sql(),
+    "op9_warc_archives": warc.oracle_sql(),
 }
