@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, pii, quality, simhash, warc
+from . import decontam, langid, maintext, pii, quality, simhash, warc
 from .common import read
 
 
@@ -33,6 +33,10 @@ def op9_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(read(spark, sf_dir, "pages"))
 
 
+def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maintext.main_text(read(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_personal_data": op2_personal_data,
@@ -40,6 +44,7 @@ QUERIES = {
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_warc_archives": op9_warc_archives,
+    "op10_main_text": op10_main_text,
 }
 
 ORACLE_SQL = {
