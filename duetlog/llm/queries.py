@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, maintext, pii, quality, shards, simhash, warc
+from . import decontam, langid, maintext, pieces, pii, quality, shards, simhash, warc
 from .common import read
 
 
@@ -24,6 +24,10 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(read(spark, sf_dir, "documents"))
 
 
+def op6_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.encoded(read(spark, sf_dir, "documents"), pieces.load(), with_ids=False)
+
+
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
@@ -46,6 +50,7 @@ QUERIES = {
     "op2_personal_data": op2_personal_data,
     "op4_kd_tree_sharding": op4_kd_tree_sharding,
     "op5_quality_rules": op5_quality_rules,
+    "op6_piece_sampling": op6_piece_sampling,
     "op7_benchmark_decontamination": op7_benchmark_decontamination,
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_warc_archives": op9_warc_archives,
