@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import decontam, langid, maintext, pieces, pii, quality, shards, simhash, warc
+from . import debruijn, decontam, langid, maintext, pieces, pii, quality, shards, simhash, warc
 from .common import read
 
 
@@ -16,6 +16,10 @@ def op2_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.personal_data(read(spark, sf_dir, "documents"))
 
 
+def op3_de_bruijn_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return debruijn.removed(read(spark, sf_dir, "documents"))
+
+
 def op4_kd_tree_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.sharded(read(spark, sf_dir, "documents"))
 
@@ -48,6 +52,7 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_personal_data": op2_personal_data,
+    "op3_de_bruijn_dedup": op3_de_bruijn_dedup,
     "op4_kd_tree_sharding": op4_kd_tree_sharding,
     "op5_quality_rules": op5_quality_rules,
     "op6_piece_sampling": op6_piece_sampling,
