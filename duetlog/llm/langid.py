@@ -252,18 +252,18 @@ def position_labels(model: Model, text: str) -> list[str]:
     return [model.languages[i] for i in best]
 
 
-def predict(df: DataFrame, model: Model | None, keep: list[str] | None = None) -> DataFrame:
-    """Every row of ``df`` with ``lang_pred`` and ``score`` added at the end
-    (columns of those names in ``keep`` are replaced)."""
-    keep = [c for c in (df.columns if keep is None else keep) if c not in ("lang_pred", "score")]
+def predict(df: DataFrame, model: Model | None, keep: list[str] | None = None,
+            out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """Every row of ``df`` with the language and the score added at the end
+    under the names ``out`` (columns of those names in ``keep`` are replaced)."""
+    keep = [c for c in (df.columns if keep is None else keep) if c not in out]
     text = column(df, "text")
     if model is None:
-        return df.select(*[column(df, c) for c in keep], F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"))
+        return df.select(*[column(df, c) for c in keep], F.lit(UNKNOWN).alias(out[0]), F.lit(0.0).alias(out[1]))
     names = [f"c{i}" for i in range(len(keep))]
     sent = df.select(*[column(df, c).alias(n) for c, n in zip(keep, names)],
                      F.when(text.rlike("\\p{L}"), text).alias("_t"))   # null where nothing can be told
     sent_kept = sent.drop("_t")
-    own = names.index(f"c{keep.index('text')}") if "text" in keep else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "_t", 1 << 20):
@@ -279,7 +279,7 @@ def predict(df: DataFrame, model: Model | None, keep: list[str] | None = None) -
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sent_kept.schema)
     got = sent.mapInArrow(run, f"{schema + ', ' if names else ''}lang_pred string, score double")
-    return got.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], "lang_pred", "score")
+    return got.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], F.col("lang_pred").alias(out[0]), F.col("score").alias(out[1]))
 
 
 def language_id(df: DataFrame) -> DataFrame:
@@ -296,5 +296,6 @@ MIN_SCORE = 0.3
 
 def accepted(df: DataFrame) -> DataFrame:
     """Rows of ``df`` in a learned language (the pipeline's first stage)."""
-    got = predict(df, fit(df))
-    return got.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= MIN_SCORE)).drop("lang_pred", "score")
+    names = tuple(f"_{n}" + "_" * sum(c.startswith(f"_{n}") for c in df.columns) for n in ("lang", "score"))
+    got = predict(df, fit(df), out=names)
+    return got.where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= MIN_SCORE)).drop(*names)
