@@ -147,35 +147,29 @@ def str_running_count(t):
 
 # ------------------------------------------------------------------ state sinks
 
-def _day_state(t, day_offset: int):
-    """Per-key aggregates of one day of the log, shaped as state rows."""
-    a = _daily_agg(t)
-    first = a.select(F.min("batch")).scalar()
-    return (a.where(F.col("batch") == first + day_offset)
-             .select(*A.GROUP_KEY, "time_stamp", "num", "final_time", F.col("num").alias("total_num")))
-
-
 _DAY_AGG = f"""SELECT {_KEY}, batch, strftime(epoch_ms(min(time_stamp) * 1000), {_FMT}) AS time_stamp, count(ip_addr) AS num,
   strftime(epoch_ms(max(time_stamp) * 1000), {_FMT}) AS final_time FROM ({_PARSED}) GROUP BY {_KEY}, batch"""
 
 
 @query("snk_upsert_accumulate", sql=f"""
 WITH d AS ({_DAY_AGG}),
-s AS (SELECT * FROM d WHERE batch = (SELECT min(batch) FROM d)),
-b AS (SELECT * FROM d WHERE batch = (SELECT min(batch) FROM d) + 1)
-SELECT coalesce(b.sv, s.sv) AS sv, coalesce(b.bn, s.bn) AS bn, coalesce(b.url, s.url) AS url,
+s AS (SELECT * REPLACE (batch + 1 AS batch) FROM d), b AS (SELECT * FROM d)
+SELECT coalesce(b.batch, s.batch) AS batch, coalesce(b.sv, s.sv) AS sv, coalesce(b.bn, s.bn) AS bn, coalesce(b.url, s.url) AS url,
   coalesce(b.err_code, s.err_code) AS err_code, coalesce(b.err_msg, s.err_msg) AS err_msg,
   coalesce(s.time_stamp, b.time_stamp) AS time_stamp, coalesce(b.num, s.num) AS num,
   coalesce(b.final_time, s.final_time) AS final_time,
   CASE WHEN b.sv IS NOT NULL AND s.sv IS NOT NULL THEN s.num + b.num WHEN b.sv IS NOT NULL THEN b.num ELSE s.num END AS total_num
-FROM s FULL OUTER JOIN b ON s.sv = b.sv AND s.bn = b.bn AND s.url = b.url AND s.err_code = b.err_code AND s.err_msg = b.err_msg""",
+FROM s FULL OUTER JOIN b ON s.batch = b.batch AND s.sv = b.sv AND s.bn = b.bn AND s.url = b.url AND s.err_code = b.err_code
+  AND s.err_msg = b.err_msg""",
        fixtures=("error_log",))
 def snk_upsert_accumulate(t):
-    """SNK-09: day-2 key counts upserted into day-1 state: ``num`` and
+    """SNK-09: every day's key counts upserted into the state of the day
+    before (empty before the first day, no counts after the last): ``num`` and
     ``final_time`` set, ``total_num`` accumulated, new keys inserted."""
     from ..sinks.writers import upsert_accumulate
-    return upsert_accumulate(_day_state(t, 0), _day_state(t, 1), list(A.GROUP_KEY), ["num", "final_time"],
-                             {"total_num": "num"})
+    a = _daily_agg(t).select("batch", *A.GROUP_KEY, "time_stamp", "num", "final_time", F.col("num").alias("total_num"))
+    state = a.withColumn("batch", F.col("batch") + 1)
+    return upsert_accumulate(state, a, ["batch", *A.GROUP_KEY], ["num", "final_time"], {"total_num": "num"})
 
 
 @query("snk_delete_by_status", sql=_TWIN + " SELECT * FROM twin WHERE status NOT IN (2, 3)", fixtures=("error_log",))
@@ -186,29 +180,47 @@ def snk_delete_by_status(t):
     return delete_by_status(_twin(t), [2, 3])
 
 
-@query("pipe_alarm_replay", sql=_TWIN + " SELECT * FROM twin", fixtures=("error_log",))
+_REPLAY = f"""
+WITH a AS (SELECT {_KEY}, batch AS day, strftime(epoch_ms(min(time_stamp) * 1000), {_FMT}) AS t0, count(ip_addr) AS num,
+             strftime(epoch_ms(max(time_stamp) * 1000), {_FMT}) AS t1 FROM ({_PARSED}) GROUP BY {_KEY}, batch),
+days AS (SELECT day, row_number() OVER (ORDER BY day) - 1 AS batch FROM (SELECT DISTINCT day FROM a)),
+keys AS (SELECT DISTINCT {_KEY} FROM a),
+here AS (SELECT DISTINCT url, err_code, day FROM a),
+grid AS (SELECT keys.*, days.*, a.t0, a.num, a.t1,
+           CASE WHEN a.num >= {THRESHOLD} THEN 'hot' WHEN a.num IS NOT NULL THEN 'cold' WHEN here.day IS NOT NULL THEN 'near' ELSE 'gone' END AS kind
+         FROM keys CROSS JOIN days LEFT JOIN a USING ({_KEY}, day) LEFT JOIN here USING (url, err_code, day)),
+live AS (SELECT *, coalesce(last_value(CASE WHEN kind <> 'near' THEN kind END IGNORE NULLS) OVER (
+           PARTITION BY {_KEY} ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) = 'hot', false) AS alive FROM grid),
+runs AS (SELECT *, sum(CASE WHEN kind = 'hot' AND NOT alive THEN 1 ELSE 0 END) OVER (
+           PARTITION BY {_KEY} ORDER BY batch ROWS UNBOUNDED PRECEDING) AS run FROM live WHERE alive OR kind = 'hot'),
+told AS (SELECT *, last_value(CASE WHEN kind = 'hot' THEN alive::INT END IGNORE NULLS) OVER w AS hot_status,
+           last_value(num IGNORE NULLS) OVER w AS last_num, last_value(t1 IGNORE NULLS) OVER w AS last_time,
+           first_value(t0) OVER w AS first_time, sum(num) OVER w AS total FROM runs
+         WINDOW w AS (PARTITION BY {_KEY}, run ORDER BY batch ROWS UNBOUNDED PRECEDING))
+SELECT {_KEY}, batch, first_time AS time_stamp, CASE kind WHEN 'gone' THEN 0 ELSE last_num END AS num,
+  CASE WHEN kind IN ('hot', 'near') THEN hot_status ELSE 2 END AS status, last_time AS final_time, CAST(total AS BIGINT) AS total_num FROM told"""
+
+
+@query("pipe_alarm_replay", sql=_REPLAY, fixtures=("error_log",))
 def pipe_alarm_replay(t):
-    """PIPE-25: the error-log alarm replayed micro-batch by micro-batch
-    (one day of JSON records per batch) through the ``foreachBatch`` state
-    handler; every state version is kept under the shared folder and the
-    union of versions is returned.  With presence key = group key it equals
-    the closed form (``str_alarm_status``)."""
-    from ..session import staging_path
-    from ..sinks.writers import write_partitioned
+    """PIPE-25: the error-log alarm as a stream (``run_alarm_stream``) over
+    staged JSON files, one file per micro-batch in day order, with the real
+    presence rule: a key recovers when its ``(url, err_code)`` is absent.
+    Every state version is kept and the union of versions is returned."""
+    from ..session import list_files, set_times, staging_path
+    from ..sources.readers import read_stream
     raw = t["error_log"].select(_json_col(), F.floor(F.col("ts_ms") / 1000 / DAY).alias("day"))
-    src = staging_path(t.spark, "alarm_src")          # the arriving records, one folder per day
-    write_partitioned(raw, src, ["day"])
-    lo, hi = t.spark.read.parquet(src).select(F.min("day"), F.max("day")).first()
-    handler = A.AlarmStateTable(staging_path(t.spark, "alarm_state"), THRESHOLD, presence=A.GROUP_KEY)
-    for batch_id, day in enumerate(range(lo, hi + 1)):     # the micro-batch driver: one id per batch
-        try:
-            batch = t.spark.read.schema("value STRING").parquet(f"{src}/day={day}")
-        except Exception:                                   # a day without records: an empty batch
-            batch = t.spark.createDataFrame([], "value STRING")
-        handler(batch, batch_id)
+    src = staging_path(t.spark, "alarm_src")
+    raw.repartition("day").write.partitionBy("day").text(src)          # the arriving files, one a day
+    for n, folder in enumerate(f for f in list_files(t.spark, src) if "/day=" in f):
+        for part in list_files(t.spark, folder):                       # arrival order = day order
+            set_times(t.spark, part, 1_600_000_000_000 + n * 60_000)
+    source = read_stream(t.spark, "text", {"maxFilesPerTrigger": "1"}, path=f"{src}/day=*")
+    handler = A.AlarmStateTable(staging_path(t.spark, "alarm_state"), THRESHOLD, keep_versions=None)
+    A.run_alarm_stream(source, handler, staging_path(t.spark, "alarm_ckpt"), {"availableNow": True}).awaitTermination()
     states = t.spark.read.parquet(handler.base)
-    return states.select(*A.GROUP_KEY, (F.col("batch") + F.lit(lo)).cast("bigint").alias("batch"), "time_stamp", "num",
-                         "status", "final_time", "total_num")
+    return states.select(*A.GROUP_KEY, F.col("batch").cast("bigint").alias("batch"), "time_stamp", "num", "status",
+                         "final_time", "total_num")
 
 
 @query("str_watermark_window", sql="""
@@ -229,7 +241,7 @@ def str_watermark_window(t):
     stream = spark.readStream.schema("ts TIMESTAMP_NTZ, sv STRING").parquet(src)
     agg = windowed_counts(stream, "ts", "1 day", "1 hour", ["sv"])
     q = (agg.writeStream.outputMode("append")
-         .foreachBatch(lambda df, _bid: df.write.mode("append").parquet(out))
+         .foreachBatch(lambda df, bid: df.write.mode("overwrite").parquet(f"{out}/batch={bid}"))   # a replay rewrites its own folder
          .option("checkpointLocation", staging_path(spark, "wm_ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.schema("window_start BIGINT, sv STRING, n BIGINT").parquet(out)
+    return spark.read.schema("window_start BIGINT, sv STRING, n BIGINT, batch BIGINT").parquet(out).drop("batch")

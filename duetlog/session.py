@@ -70,6 +70,40 @@ def staging_path(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/duetlog-{name}-{uuid.uuid4().hex[:12]}"
 
 
+def _file_system(spark: SparkSession, path: str):
+    """(Hadoop file system, path object) of any path Spark can write."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _file_system(spark, path)
+    return fs.exists(p)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """Create an empty marker file."""
+    fs, p = _file_system(spark, path)
+    fs.create(p, True).close()
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
+def set_times(spark: SparkSession, path: str, millis: int) -> None:
+    """Set a file's modification time (arrival order of a replay)."""
+    fs, p = _file_system(spark, path)
+    fs.setTimes(p, millis, -1)
+
+
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Paths directly under a folder, by name."""
+    fs, p = _file_system(spark, path)
+    return sorted(s.getPath().toString() for s in fs.listStatus(p))
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

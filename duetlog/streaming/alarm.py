@@ -18,8 +18,10 @@ statements against a state table:
 full outer join of state and batch on the key, plus an anti-join for
 presence).  ``AlarmStateTable`` applies it inside ``foreachBatch``: state
 version ``n`` is written as a new folder named by the batch id, so a
-replayed batch id is a no-op and a failed batch leaves the previous
-version intact (exactly-once state, at-least-once messages).
+replayed batch id changes no state and a failed batch leaves the previous
+version intact.  Messages go out after the version is committed and before
+its delivery is recorded; a batch replayed without that record is delivered
+again (exactly-once state, at-least-once messages).
 
 ``alarm_status_batch`` is the closed form over a replayed log when the
 presence key equals the group key: ``hot & !prev -> 0``, ``hot & prev -> 1``,
@@ -31,14 +33,15 @@ key x batch grid is built.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.errors import AnalysisException
 
 from .. import constants as K
 from ..functions.columns import epoch_seconds_to_text, map_label
+from ..session import delete_path, path_exists, touch
+from ..sinks.writers import deliver_partitions
 from .parse import parse_error_log
 
 GROUP_KEY = ("sv", "bn", "url", "err_code", "err_msg")
@@ -129,50 +132,56 @@ class AlarmStateTable:
 
     ``parse`` turns the raw micro-batch into parsed error rows (default:
     JSON ``value`` -> ``parse_error_log``); ``on_state`` receives each new
-    state (e.g. build messages and deliver them)."""
+    state (e.g. build messages and deliver them) and may see a version twice,
+    never not at all.  ``keep_versions`` prunes older versions once a newer
+    one is delivered (None keeps all)."""
 
     def __init__(self, base_path: str, threshold: int = K.ALARM_THRESHOLD,
                  presence: Sequence[str] = PRESENCE_KEY,
                  parse: Callable[[DataFrame], DataFrame] | None = parse_error_log,
-                 on_state: Callable[[DataFrame, int], None] | None = None):
+                 on_state: Callable[[DataFrame, int], None] | None = None,
+                 keep_versions: int | None = 5):
+        if keep_versions is not None and keep_versions < 2:
+            raise ValueError("the version before the one being written must be kept")
         self.base, self.threshold, self.presence = base_path.rstrip("/"), threshold, tuple(presence)
-        self.parse, self.on_state = parse, on_state
-        self._last: int | None = None      # last batch id committed by this process
+        self.parse, self.on_state, self.keep_versions = parse, on_state, keep_versions
 
     def path(self, batch_id: int) -> str:
         return f"{self.base}/batch={batch_id:012d}"
 
+    def _delivered(self, batch_id: int) -> str:
+        return f"{self.base}/_delivered/{batch_id:012d}"
+
     def committed(self, spark: SparkSession, batch_id: int) -> bool:
         """True once the version's write job committed (its ``_SUCCESS``
         marker exists); a partial folder left by a crashed attempt is not."""
-        try:
-            spark.read.text(f"{self.path(batch_id)}/_SUCCESS")
-            return True
-        except AnalysisException:
-            return False
+        return path_exists(spark, f"{self.path(batch_id)}/_SUCCESS")
 
-    def read(self, spark: SparkSession, batch_id: int) -> DataFrame | None:
+    def read(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """State version ``batch_id``; raises if it was never committed."""
         if not self.committed(spark, batch_id):
-            return None
+            raise RuntimeError(f"alarm state version {batch_id} is missing under {self.base}")
         return spark.read.schema(STATE_SCHEMA).parquet(self.path(batch_id))
 
     def __call__(self, batch_df: DataFrame, batch_id: int) -> None:
         spark = batch_df.sparkSession
-        if (self._last is not None and batch_id <= self._last) or self.committed(spark, batch_id):
-            return                                         # replayed batch id: already applied
-        if batch_id == 0:
-            prev = empty_state(spark)
-        elif self._last == batch_id - 1:                   # known committed: no probe needed
-            prev = spark.read.schema(STATE_SCHEMA).parquet(self.path(batch_id - 1))
-        else:                                              # after a restart
-            prev = self.read(spark, batch_id - 1)
-            prev = prev if prev is not None else empty_state(spark)
-        rows = self.parse(batch_df) if self.parse else batch_df
-        new = alarm_step(prev, batch_aggregate(rows, distinct_ips=False), self.threshold, self.presence)
-        new.write.mode("overwrite").parquet(self.path(batch_id))
-        self._last = batch_id
-        if self.on_state is not None:
+        if not self.committed(spark, batch_id):
+            prev = self.read(spark, batch_id - 1) if batch_id else empty_state(spark)
+            rows = self.parse(batch_df) if self.parse else batch_df
+            new = alarm_step(prev, batch_aggregate(rows, distinct_ips=False), self.threshold, self.presence)
+            new.write.mode("overwrite").parquet(self.path(batch_id))
+        if self.on_state is not None and not path_exists(spark, self._delivered(batch_id)):
             self.on_state(self.read(spark, batch_id), batch_id)
+            touch(spark, self._delivered(batch_id))
+        if self.keep_versions is not None and batch_id >= self.keep_versions:
+            delete_path(spark, self.path(batch_id - self.keep_versions))
+            delete_path(spark, self._delivered(batch_id - self.keep_versions))
+
+
+def deliver_messages(send: Callable[[Iterable[Row]], None]) -> Callable[[DataFrame, int], None]:
+    """``on_state`` handler: the state's messages, handed to ``send`` one
+    partition at a time on the executors (SNK-11)."""
+    return lambda state, _batch_id: deliver_partitions(alarm_messages(state), send)
 
 
 def run_alarm_stream(source: DataFrame, state: AlarmStateTable, checkpoint: str,

@@ -1,5 +1,6 @@
 """Streaming runs equal their batch twins."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from duetlog.session import staging_path
@@ -59,7 +60,7 @@ def test_alarm_foreach_batch_equals_twin(spark, tables01):
     twin = sorted(map(tuple, _twin(t).select(*A.GROUP_KEY, "batch", "time_stamp", "num", "status", "final_time",
                                               "total_num").collect()), key=repr)
     base = staging_path(spark, "alarm_state")
-    handler = A.AlarmStateTable(base, T, presence=A.GROUP_KEY)
+    handler = A.AlarmStateTable(base, T, presence=A.GROUP_KEY, keep_versions=None)
     src = _json(t)
     days = [r[0] for r in src.select("day").distinct().orderBy("day").collect()]
     for i, d in enumerate(days):
@@ -80,7 +81,7 @@ def test_alarm_stream_replay_equals_twin(spark, tables001):
         js.where(F.col("day") == d).select("value").coalesce(1).write.text(f"{src}/d{i:03d}")
     base = staging_path(spark, "alarm_stream_state")
     stream = spark.readStream.format("text").option("maxFilesPerTrigger", 1).load(f"{src}/*")
-    q = A.run_alarm_stream(stream, A.AlarmStateTable(base, T, presence=A.GROUP_KEY),
+    q = A.run_alarm_stream(stream, A.AlarmStateTable(base, T, presence=A.GROUP_KEY, keep_versions=None),
                            staging_path(spark, "alarm_ckpt"), trigger={"availableNow": True})
     q.awaitTermination(600)
     assert _state_rows(spark, base) == twin
@@ -156,3 +157,67 @@ def test_alarm_presence_key_differs_from_group_key(spark):
         seen.append(sorted((r["err_msg"], r["status"], r["num"], r["total_num"], r["final_time"])
                            for r in state.collect()))
     assert seen == [[("m1", 0, 6, 6, "f0")], [("m1", 0, 6, 6, "f0")], [("m1", 2, 0, 6, "f0")], []]
+
+
+def _errors(spark, n, url="u1"):
+    import json
+    rows = [(json.dumps({"sv": "s", "bn": "b", "url": url, "err_code": "E", "err_msg": "m",
+                         "@timestamp-log": 1000 * i, "ip_addr": "a"}),) for i in range(n)]
+    return spark.createDataFrame(rows, "value string")
+
+
+def test_alarm_crash_in_delivery_is_delivered_on_replay(spark):
+    """A version committed before a failed delivery is delivered when the
+    batch comes again, by another process too; the state does not change."""
+    base, sent, fail = staging_path(spark, "alarm_crash"), [], [True]
+
+    def on_state(state, batch_id):
+        if fail[0]:
+            raise RuntimeError("webhook down")
+        sent.append((batch_id, [(r["status"], r["total_num"]) for r in state.collect()]))
+
+    first = A.AlarmStateTable(base, 5, on_state=on_state)
+    with pytest.raises(RuntimeError, match="webhook down"):
+        first(_errors(spark, 6), 0)
+    assert first.committed(spark, 0) and sent == []
+    fail[0] = False
+    again = A.AlarmStateTable(base, 5, on_state=on_state)
+    again(_errors(spark, 6), 0)
+    again(_errors(spark, 6), 0)                      # delivered already: nothing more
+    again(_errors(spark, 7), 1)
+    assert sent == [(0, [(0, 6)]), (1, [(1, 13)])]
+
+
+def test_alarm_missing_version_raises(spark):
+    handler = A.AlarmStateTable(staging_path(spark, "alarm_gap"), 5)
+    handler(_errors(spark, 6), 0)
+    handler(_errors(spark, 6), 1)
+    with pytest.raises(RuntimeError, match="version 2 is missing"):
+        handler(_errors(spark, 6), 3)
+
+
+def test_alarm_old_versions_are_pruned(spark):
+    handler = A.AlarmStateTable(staging_path(spark, "alarm_prune"), 5, keep_versions=2)
+    for i in range(5):
+        handler(_errors(spark, 6), i)
+    assert [handler.committed(spark, i) for i in range(5)] == [False, False, False, True, True]
+    assert handler.read(spark, 4).first()["total_num"] == 30
+
+
+def test_alarm_messages_reach_a_sender(spark):
+    """SNK-11: the state's messages go to the sender on the executors."""
+    import glob
+    out = staging_path(spark, "sent").removeprefix("file:")
+
+    def send(rows):
+        import os
+        import uuid
+        bodies = [r["body"] for r in rows]
+        if bodies:
+            os.makedirs(out, exist_ok=True)
+            with open(f"{out}/{uuid.uuid4().hex}", "w") as f:
+                f.write("\n".join(bodies))
+
+    A.AlarmStateTable(staging_path(spark, "alarm_send"), 5, on_state=A.deliver_messages(send))(_errors(spark, 6), 0)
+    bodies = [line for f in glob.glob(f"{out}/*") for line in open(f)]
+    assert len(bodies) == 1 and '"msgtype":"markdown"' in bodies[0]
