@@ -4,7 +4,7 @@ expressions (PRJ-*, FLT-*, AGG-*, WIN-*, SRT-*, SET-*, SCL-*, UDF-*)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
@@ -254,8 +254,8 @@ def _user_counts(t) -> DataFrame:
 SELECT event_type, user_id, n, CAST(rank() OVER (PARTITION BY event_type ORDER BY n DESC) AS INT) AS rk FROM ({_USER_COUNTS})""")
 def win_rank(t):
     """WIN-01: rank per partition by descending count (ties share, gaps)."""
-    w = Window.partitionBy("event_type").orderBy(F.desc("n"))
-    return _user_counts(t).withColumn("rk", F.rank().over(w))
+    from ..operators.stats import rank_within
+    return rank_within(_user_counts(t), ["event_type"], "n")
 
 
 @query("win_percent_of_total", sql=f"""
@@ -263,8 +263,8 @@ SELECT event_type, user_id, n, n / sum(n) OVER (PARTITION BY event_type) * 100 A
        rounded=("percent",))
 def win_percent_of_total(t):
     """WIN-02: count as a percent of its partition's total."""
-    from ..operators.stats import percent_of_total
-    return _user_counts(t).withColumn("percent", percent_of_total("n", ["event_type"]))
+    from ..operators.stats import with_percent_of_total
+    return with_percent_of_total(_user_counts(t), "n", ["event_type"])
 
 
 @query("win_global_row_number", sql="""

@@ -10,15 +10,19 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+#: Buckets a group's values are cut into at each narrowing step.
+BUCKETS = 64
+#: Narrowing steps before the last bucket is ranked: with two, a group's
+#: target bucket holds about 1 / 4096 of its distinct values.
+NARROWINGS = 2
 
 
 def upper_median(df: DataFrame, keys: Sequence[str], value: str | Column,
-                 out: str = "median", where: Column | None = None, per_octave: int = 64) -> DataFrame:
+                 out: str = "median", where: Column | None = None) -> DataFrame:
     """Element ``n div 2 + 1`` (1-based) of the sorted non-null values per
     group - the studied jobs' ``element_at(sort_array(collect_list(x)), n/2+1)``
     without building the list.  ``where`` keeps only rows meeting a
-    condition.
+    condition.  NaN sorts last, after infinity.
 
     Values are first counted per ``(keys, value)`` (map-side partial
     aggregation, so a repeated value collapses before the shuffle); then
@@ -32,59 +36,84 @@ def upper_median(df: DataFrame, keys: Sequence[str], value: str | Column,
     hist = (df.select(*keys, v.alias("_v"), cond.alias("_w"))
               .groupBy(*keys, "_v").agg(F.count_if(F.col("_w")).alias("_c"))
               .where(F.col("_c") > 0))
-    return median_from_histogram(hist, keys, "_v", "_c", out, per_octave)
-
-
-def _log_bucket(v: Column, per_octave: int) -> Column:
-    """Order-preserving bucket of a number without any pass over the data:
-    ``per_octave`` geometric buckets per power of two, negatives mirrored
-    below zero.  Monotone, so a running count over buckets is a running
-    count over values."""
+    return median_from_histogram(hist, keys, "_v", "_c", out)
+
+
+def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
+    """Inner join on keys that may be null; the right side's keys are dropped."""
+    r = right.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], *[c for c in right.columns if c not in keys])
+    cond = F.lit(True)
+    for i, k in enumerate(keys):
+        cond = cond & left[k].eqNullSafe(r[f"_k{i}"])
+    for c in more:
+        cond = cond & c
+    return left.join(r, cond).drop(*[f"_k{i}" for i in range(len(keys))])
+
+
+def _order_number(h: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
+    """``h`` with ``_o``, a double that never decreases along ``value``.
+
+    Numbers, dates and times are cast; text takes the six bytes after the
+    prefix that all of the group's values share (the least and the greatest
+    share it), so ids and ISO dates of one decade still differ."""
+    kind = dict(h.dtypes)[value].split("(")[0]
+    v = F.col(value)
+    if kind in ("string", "char", "varchar", "binary"):
+        ends = h.groupBy(*keys).agg(F.min(v.cast("binary")).alias("_lo"), F.max(v.cast("binary")).alias("_hi"))
+        lo, hi = F.hex("_lo"), F.hex("_hi")
+        same = F.size(F.filter(F.sequence(F.lit(0), F.least(F.length("_lo"), F.length("_hi"))),
+                               lambda i: F.substring(lo, F.lit(1), 2 * i) == F.substring(hi, F.lit(1), 2 * i))) - 1
+        h = _join_keys(h, ends.select(*keys, same.alias("_same")), keys)
+        six = F.rpad(F.substring(F.hex(v.cast("binary")), 2 * F.col("_same") + 1, F.lit(12)), 12, "0")
+        return h.withColumn("_o", F.conv(six, 16, 10).cast("double")).drop("_same")
+    if kind in ("date", "timestamp", "timestamp_ntz"):
+        return h.withColumn("_o", F.unix_micros(v.cast("timestamp")).cast("double"))
     d = v.cast("double")
-    mag = F.floor(F.log2(F.abs(d)) * per_octave) + F.lit(1 << 20)
-    # never null: otherwise the join on the bucket infers an ``isnotnull``
-    # filter that is pushed into one branch only and breaks exchange reuse
-    return F.coalesce(F.when(d > 0, mag).when(d < 0, -mag).otherwise(F.lit(0)).cast("bigint"), F.lit(0).cast("bigint"))
+    return h.withColumn("_o", F.when(F.isnan(d), F.lit(float("inf"))).otherwise(d))
+
+
+def _narrowed(h: DataFrame, keys: Sequence[str], value: str, count: str) -> DataFrame:
+    """Only each group's bucket that holds rank ``_t``, with ``_t`` counted
+    from the bucket's start.  Bucket bounds are approximate quantiles of the
+    group's own distinct values (merged map-side); the counts are exact."""
+    o = _order_number(h, keys, value)
+    bounds = o.groupBy(*keys).agg(F.percentile_approx(
+        "_o", [i / BUCKETS for i in range(1, BUCKETS)], 20 * BUCKETS).alias("_bounds"))
+    o = _join_keys(o, bounds, keys)
+    o = o.withColumn("_b", F.size(F.filter(F.array_distinct("_bounds"), lambda x: x < F.col("_o")))).drop("_bounds", "_o")
+    run = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    coarse = o.groupBy(*keys, "_b").agg(F.sum(count).alias("_n"), F.first("_t").alias("_goal"))
+    sel = (coarse.withColumn("_cum", F.sum("_n").over(run))                     # at most BUCKETS rows a group
+                 .where((F.col("_cum") >= F.col("_goal")) & (F.col("_cum") - F.col("_n") < F.col("_goal")))
+                 .select(*keys, F.col("_b").alias("_sel"), (F.col("_goal") - (F.col("_cum") - F.col("_n"))).alias("_left")))
+    return _join_keys(o, sel, keys, F.col("_b") == F.col("_sel")).withColumn("_t", F.col("_left")).drop("_b", "_sel", "_left")
 
 
 def median_from_histogram(hist: DataFrame, keys: Sequence[str], value: str, count: str,
-                          out: str = "median", per_octave: int = 64) -> DataFrame:
+                          out: str = "median") -> DataFrame:
     """Upper median from ``(keys, value, count)`` rows with distinct values.
 
-    Numeric values: rows are counted per ``(keys, value bucket)`` (combined
-    map-side; ``per_octave`` geometric buckets per power of two), a running
-    count over each group's few thousand buckets finds the bucket holding
-    rank ``n div 2 + 1``, and only that bucket's values are ranked.  So a hot
-    group is spread over its buckets and no task sorts all of a group's
-    values.  The one-row-per-group selection is joined back with an ordinary
-    join (adaptive execution broadcasts it when small, splits it when
-    skewed).  Text, dates and timestamps use a short text prefix as the
-    order-preserving bucket."""
-    v, c = F.col(value), F.col(count)
-    t = F.floor(F.col("_n") / 2) + 1
-    if dict(hist.dtypes)[value].split("(")[0] in NUMERIC + ("decimal",):
-        bucket = _log_bucket(v, per_octave)
-    else:
-        # text, dates, timestamps: a short prefix of the text form is
-        # order-preserving (ISO dates and times; UTF-8 byte order is code
-        # point order), so it serves as the coarse bucket
-        bucket = F.coalesce(F.substring(v.cast("string"), 1, 3), F.lit(""))
-    h = hist.withColumn("_b", bucket)
-    coarse = h.groupBy(*keys, "_b").agg(F.sum(c).alias("_bc"))
-    w_all = Window.partitionBy(*keys)
-    run = w_all.orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    sel = (coarse.withColumn("_n", F.sum("_bc").over(w_all)).withColumn("_cum", F.sum("_bc").over(run))
-                 .where((F.col("_cum") >= t) & (F.col("_cum") - F.col("_bc") < t))
-                 .select(*keys, "_b", (t - (F.col("_cum") - F.col("_bc"))).alias("_t")))
-    fine = h.join(sel, [*keys, "_b"])
-    frun = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    fine = fine.withColumn("_fc", F.sum(c).over(frun))
-    return fine.where((F.col("_fc") >= F.col("_t")) & (F.col("_fc") - c < F.col("_t"))).select(*keys, v.alias(out))
-
-
-def percent_of_total(count_col: str, partition: Sequence[str]) -> Column:
-    """``count / sum(count) over (partition by ...) * 100``."""
-    return F.col(count_col) / F.sum(count_col).over(Window.partitionBy(*partition)) * 100
+    The bucket holding rank ``n div 2 + 1`` is narrowed ``NARROWINGS`` times
+    over buckets taken from the group's own quantiles, then only that
+    bucket's few values are ranked; so neither a hot group nor a narrow range
+    of ids, times or texts is ever sorted in one task."""
+    totals = hist.groupBy(*keys).agg((F.floor(F.sum(count) / 2) + 1).alias("_t"))
+    h = _join_keys(hist, totals, keys)
+    for _ in range(NARROWINGS):
+        h = _narrowed(h, keys, value, count)
+    run = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    h = h.withColumn("_fc", F.sum(count).over(run))
+    return h.where((F.col("_fc") >= F.col("_t")) & (F.col("_fc") - F.col(count) < F.col("_t"))).select(
+        *keys, F.col(value).alias(out))
+
+
+def with_percent_of_total(df: DataFrame, count_col: str, partition: Sequence[str], out: str = "percent") -> DataFrame:
+    """``df`` with ``count / sum(count) of the group * 100``: the totals come
+    from an aggregate (combined map-side) joined back, so no task buffers a
+    whole group; adaptive execution broadcasts the totals while they are
+    small and splits a hot group otherwise."""
+    totals = df.groupBy(*partition).agg(F.sum(count_col).alias("_total"))
+    return _join_keys(df, totals, partition).withColumn(out, F.col(count_col) / F.col("_total") * 100).drop("_total")
 
 
 def topk_per_group(df: DataFrame, partition: Sequence[str], order_col: str, k: int,
@@ -92,18 +121,26 @@ def topk_per_group(df: DataFrame, partition: Sequence[str], order_col: str, k: i
     """Rank (ties share, gaps) by ``order_col`` descending inside each group,
     keep ``rank <= k``; optionally add the percent of the group total.
 
-    The total is computed before the rank filter (on all rows of the group),
-    then ``rank`` + filter, which Spark plans as a ``WindowGroupLimit`` below
+    The total is aggregated from all rows of the group and joined to the few
+    that are kept; ``rank`` + filter is planned as a ``WindowGroupLimit`` below
     the rank window, so each task keeps at most ``k`` rows per group before
-    sorting the rest away.
+    anything is shuffled.
     """
-    out = df
-    if percent_col:
-        out = out.withColumn(percent_col, percent_of_total(order_col, partition))
     w = Window.partitionBy(*partition).orderBy(F.col(order_col).desc())
-    return out.withColumn(rank_col, F.rank().over(w)).where(F.col(rank_col) <= k)
-
-
-def filtered_agg(agg, cond: Column, col: Column) -> Column:
-    """``agg(col) FILTER (WHERE cond)`` as a DataFrame expression."""
-    return agg(F.when(cond, col))
+    out = df.withColumn(rank_col, F.rank().over(w)).where(F.col(rank_col) <= k)
+    if percent_col:
+        totals = df.groupBy(*partition).agg(F.sum(order_col).alias("_total"))
+        out = _join_keys(out, totals, partition).withColumn(
+            percent_col, F.col(order_col) / F.col("_total") * 100).drop("_total").select(*df.columns, percent_col, rank_col)
+    return out
+
+
+def rank_within(df: DataFrame, partition: Sequence[str], order_col: str, out: str = "rk") -> DataFrame:
+    """``rank()`` by ``order_col`` descending per group (ties share, gaps)
+    without sorting a group in one task: a value's rank is one more than the
+    rows above it, and rows are first counted per (group, value)."""
+    from .windows import running_sum
+    values = df.groupBy(*partition, order_col).agg(F.count(F.lit(1)).alias("_n"))
+    above = running_sum(values, partition, [F.col(order_col).desc()], "_n", "_through")
+    above = above.select(*partition, F.col(order_col).alias("_value"), (F.col("_through") - F.col("_n") + 1).cast("int").alias(out))
+    return _join_keys(df, above, partition, df[order_col].eqNullSafe(F.col("_value"))).drop("_value")

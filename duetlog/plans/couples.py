@@ -59,12 +59,11 @@ def cohort_stats(profile: DataFrame, step: int, dedup: bool = True,
     median from a collected, sorted list.  Here the de-duplicated rows (the
     only full shuffle, computed once and reused) feed two aggregations: the
     bucket totals with filtered aggregates, and a paid-cost histogram
-    ``(bucket, cost) -> count`` combined map-side.  The histogram gives the
-    exact upper median (``median_from_histogram``: coarse value buckets, then
-    one bucket ranked, so a hot love-days bucket is not sorted in one task)
-    and the per-bucket shift for the std-dev moment sums (exact for decimal
-    money).  No bucket is ever gathered as a list.  A bucket without
-    payers gets null pay rate / median / ARPPU / std-dev, as the left join gave.
+    ``(bucket, cost) -> count`` combined map-side, which gives the exact upper
+    median (``median_from_histogram``: narrowed over the bucket's own
+    quantiles, so a hot love-days bucket is not sorted in one task).  No bucket
+    is ever gathered as a list.  A bucket without payers gets null pay rate /
+    median / ARPPU / std-dev, as the left join gave.
     """
     base = profile.dropDuplicates() if dedup else profile
     x = (base.select("space_id", "a_retention", "b_retention", "total_cost",
@@ -84,26 +83,13 @@ def cohort_stats(profile: DataFrame, step: int, dedup: bool = True,
     paid_hist = (x.groupBy("love_days", "total_cost").agg(F.count_if(paid).alias("_c"))
                   .where(F.col("_c") > 0))
     med = median_from_histogram(paid_hist, ["love_days"], "total_cost", "_c", "median_paid_cost")
-    if dict(x.dtypes)["total_cost"].startswith("decimal"):
-        # decimal money: the moment sums below are exact, no shift needed
-        xs, d = x, cost
-    else:
-        # floating point: shift by the bucket's smallest paid cost (one row
-        # per bucket, at most max_days // step + 1 rows: a proven bound)
-        shift = paid_hist.groupBy("love_days").agg(F.min("total_cost").alias("_k"))
-        xs, d = x.join(F.broadcast(shift), "love_days", "left"), cost - F.col("_k")
-    agg = xs.groupBy("love_days").agg(
+    agg = x.groupBy("love_days").agg(
         F.count("space_id").alias("space_cnt"),
         F.sum("total_cost").alias("cost"),
         (F.sum("a_retention") + F.sum("b_retention")).alias("retention"),
         F.count(F.when(paid, F.col("space_id"))).alias("paid_cnt"),
         F.sum(F.when(paid, cost)).alias("paid_cost"),
-        F.count(F.when(paid, cost)).alias("_n"),
-        F.sum(F.when(paid, d)).alias("_s1"),
-        F.sum(F.when(paid, d * d)).alias("_s2"))
-    n = F.col("_n")
-    # (exact in decimal arithmetic for decimal input; doubles otherwise)
-    var = F.greatest(((F.col("_s2") - F.col("_s1") * F.col("_s1") / n) / (n - 1)).cast("double"), F.lit(0.0))
+        F.stddev_samp(F.when(paid, cost)).alias("std_paid_cost"))
     paid_cnt = F.nullif(F.col("paid_cnt"), F.lit(0))
     return (agg.join(med, "love_days", "left")
                .select("love_days",
@@ -112,7 +98,7 @@ def cohort_stats(profile: DataFrame, step: int, dedup: bool = True,
                        (F.col("cost") / (F.col("space_cnt") * 2)).alias("arpu"),
                        "median_paid_cost",
                        (F.col("paid_cost") / (paid_cnt * 2)).alias("arppu"),
-                       F.when(n > 1, F.sqrt(var)).alias("std_paid_cost"),
+                       "std_paid_cost",
                        "space_cnt")
                .orderBy("love_days"))
 

@@ -91,7 +91,11 @@ def test_row_number_within_groups_hot_key(spark):
     """Per-group numbering equals the window form, with one hot group that
     spans several range partitions, ties and a null group."""
     from pyspark.sql import Window
-    from duetlog.operators.windows import row_number_within
+    from duetlog.operators.windows import _laid, row_number_within
+    hot = spark.range(8000).select(F.lit(1).alias("g"), F.lit(7).alias("v"))      # 8000 equal rows
+    parts = _laid(hot, ["g"], ["v"], 8).groupBy("_pid").count().collect()
+    assert len(parts) >= 6 and max(p["count"] for p in parts) <= 4000
+    assert sorted(r["pos"] for r in row_number_within(hot, ["g"], ["v"], "pos", 8).collect()) == list(range(1, 8001))
     rows = [(0, i % 50) for i in range(3000)] + [(g, g * 3 % 7) for g in range(1, 40) for _ in range(g)]
     rows += [(None, 1), (None, 2)]
     df = spark.createDataFrame(rows, "g int, v int")

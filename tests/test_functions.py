@@ -114,10 +114,11 @@ def test_sql_functions_equal_column_functions(spark):
     assert [tuple(r) for r in got] == [tuple(r) for r in want]
 
 
-def test_upper_median_two_level_random(spark):
+def test_upper_median_two_level_random(spark, monkeypatch):
     """Coarse buckets + one ranked bucket equals the sorted-list element,
     including a hot group, repeated values, decimals and few buckets."""
     import random
+    from duetlog.operators import stats
     rnd = random.Random(7)
     rows = [(0, float(rnd.randint(0, 50))) for _ in range(3000)]           # hot group, many ties
     rows += [(g, float(rnd.gauss(0, 10 ** g))) for g in range(1, 6) for _ in range(rnd.randint(1, 40))]
@@ -130,16 +131,18 @@ def test_upper_median_two_level_random(spark):
     rows += [(10, -3.0), (10, -0.5), (10, 0.0), (10, 0.25), (10, 7.0)]
     df = spark.createDataFrame(rows, "g int, v double")
     want[10] = 0.0
-    for b in (1, 3, 64):
-        got = {r["g"]: r["median"] for r in upper_median(df, ["g"], "v", per_octave=b).collect()}
-        assert got == want, b
+    for b, n in ((2, 1), (3, 4), (64, 2), (64, 0)):
+        monkeypatch.setattr(stats, "BUCKETS", b)
+        monkeypatch.setattr(stats, "NARROWINGS", n)
+        got = {r["g"]: r["median"] for r in upper_median(df, ["g"], "v").collect()}
+        assert got == want, (b, n)
     dec = df.withColumn("v", F.col("v").cast("decimal(12,2)"))
     dec_rows = [(r["g"], r["v"]) for r in dec.collect()]
     want_dec = {}
     for g in {r[0] for r in dec_rows}:
         vals = sorted(v for gg, v in dec_rows if gg == g)
         want_dec[g] = vals[len(vals) // 2]
-    got = {r["g"]: r["median"] for r in upper_median(dec, ["g"], "v", per_octave=5).collect()}
+    got = {r["g"]: r["median"] for r in upper_median(dec, ["g"], "v").collect()}
     assert got == want_dec
 
 
@@ -153,3 +156,40 @@ def test_upper_median_text_and_dates(spark):
     days = [dt.date(2020, 1, 1) + dt.timedelta(days=7 * i) for i in range(11)]
     ddf = spark.createDataFrame([(0, d) for d in reversed(days)], "g int, v date")
     assert upper_median(ddf, ["g"], "v").collect()[0]["median"] == days[5]
+
+
+def test_upper_median_nan_infinity_and_null_group(spark):
+    """NaN sorts last, infinity before it; a null group is a group."""
+    nan, inf = float("nan"), float("inf")
+    rows = [(1, v) for v in (5.0, 6.0, nan)] + [(2, v) for v in (inf, -inf, 1.0)] + [(3, v) for v in (nan, nan, inf)]
+    rows += [(None, 3.0), (None, 4.0), (4, nan)]
+    got = {r["g"]: r["median"] for r in upper_median(spark.createDataFrame(rows, "g int, v double"), ["g"], "v").collect()}
+    assert got[1] == 6.0 and got[2] == 1.0 and got[None] == 4.0 and got[3] != got[3] and got[4] != got[4]
+
+
+def test_upper_median_narrow_ranges_are_spread(spark):
+    """Epoch millis, dates and ids that share a prefix fall into many
+    buckets, and no bucket keeps more than a sliver of a hot group."""
+    from duetlog.operators import stats
+    n = 20000
+    base = spark.range(n).select(F.lit(1).alias("g"), F.col("id"),
+                                 (F.lit(1_600_000_000_000) + F.col("id") * 1000).alias("ms"),
+                                 F.concat(F.lit("2021-user-"), F.lpad(F.col("id").cast("string"), 9, "0")).alias("text"),
+                                 F.timestamp_seconds(F.col("id") + 1_600_000_000).alias("ts"))
+    for c in ("ms", "text", "ts"):
+        got = upper_median(base, ["g"], c).first()["median"]
+        assert got == base.where(F.col("id") == n // 2).first()[c], c
+        h = base.select("g", F.col(c).alias("v"), F.lit(1).alias("c"), F.lit(n // 2 + 1).alias("_t"))
+        assert stats._narrowed(h, ["g"], "v", "c").count() <= 2 * n / stats.BUCKETS, c
+
+
+def test_rank_and_percent_equal_windows(spark):
+    from pyspark.sql import Window
+    from duetlog.operators.stats import rank_within, topk_per_group, with_percent_of_total
+    df = spark.createDataFrame([(g, i % 7) for g in (1, 2, None) for i in range(40 if g == 1 else 9)], "g int, n int")
+    w = Window.partitionBy("g")
+    want = df.withColumn("rk", F.rank().over(w.orderBy(F.desc("n")))).withColumn("percent", F.col("n") / F.sum("n").over(w) * 100)
+    rows = lambda d: sorted(map(tuple, d.collect()), key=repr)
+    assert rows(rank_within(df, ["g"], "n")) == rows(want.select("g", "n", "rk"))
+    assert rows(with_percent_of_total(df, "n", ["g"])) == rows(want.select("g", "n", "percent"))
+    assert rows(topk_per_group(df, ["g"], "n", 3)) == rows(want.where("rk <= 3").select("g", "n", "percent", "rk"))
