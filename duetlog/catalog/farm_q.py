@@ -5,31 +5,28 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..plans import farm as P
+from ..session import staging_path
+from ..sinks.writers import write_text
+from ..sources.readers import read_text_lines
 from .registry import query
 
-_VALID = "space_id IS NOT NULL AND space_id != 0 AND user_id != 0 AND user_id IS NOT NULL"
-
-
-def _kind(name: str, cond: str, val: str) -> str:
-    return f"""{name} AS (SELECT space_id, user_id, string_agg(CAST(item_id AS INT) || ':' || CAST(c AS VARCHAR), ',' ORDER BY CAST(item_id AS INT), c) AS {name}
-  FROM (SELECT space_id, user_id, item_id, {val} AS c FROM farm WHERE {cond} GROUP BY space_id, user_id, item_id) GROUP BY space_id, user_id)"""
+def _entries(kind: str) -> str:
+    """A kind's distinct ``item:count`` entries in order, as text."""
+    return (f"array_to_string(list_transform(list_sort(list_distinct(list({{'i': CAST(floor(item_id) AS INT), 'n': {kind}}}) "
+            f"FILTER (WHERE {kind} IS NOT NULL))), lambda e: CAST(e.i AS VARCHAR) || ':' || CAST(e.n AS VARCHAR)), ',') AS {kind}_op")
 
 
 _FARM_SQL = f"""
-WITH a AS (SELECT space_id, user_id FROM farm WHERE {_VALID} GROUP BY space_id, user_id),
-c AS (SELECT space_id, user_id, sum(amount) AS get_coin FROM farm WHERE bn = 'rainbow_coin_get' GROUP BY space_id, user_id),
-{_kind('d', "behavior_type = 'feed'", 'sum(number)')},
-{_kind('e', "behavior_type = 'plant'", 'sum(number)')},
-{_kind('f', "behavior_type = 'produce'", 'CAST(sum(1) AS BIGINT)')},
-{_kind('g', "bn IN ('building_materials_get')", 'sum(number)')},
-bb AS (SELECT a.space_id, a.user_id, coalesce(c.get_coin, 0) AS coin_op, d.d AS feed_op, e.e AS plant_op,
-         f.f AS produce_op, g.g AS materials_op
-  FROM a LEFT JOIN c ON a.space_id = c.space_id AND a.user_id = c.user_id
-  LEFT JOIN d ON a.space_id = d.space_id AND a.user_id = d.user_id
-  LEFT JOIN e ON a.space_id = e.space_id AND a.user_id = e.user_id
-  LEFT JOIN f ON a.space_id = f.space_id AND a.user_id = f.user_id
-  LEFT JOIN g ON a.space_id = g.space_id AND a.user_id = g.user_id)
-SELECT * FROM bb WHERE coin_op != 0 OR feed_op IS NOT NULL OR materials_op IS NOT NULL OR plant_op IS NOT NULL OR produce_op IS NOT NULL"""
+WITH per_item AS (
+  SELECT space_id, user_id, item_id, sum(amount) FILTER (WHERE bn = 'rainbow_coin_get') AS coins,
+    sum(number) FILTER (WHERE behavior_type = 'feed') AS feed, sum(number) FILTER (WHERE behavior_type = 'plant') AS plant,
+    nullif(count(*) FILTER (WHERE behavior_type = 'produce'), 0) AS produce,
+    sum(number) FILTER (WHERE bn = 'building_materials_get') AS materials
+  FROM farm WHERE coalesce(space_id, 0) <> 0 AND coalesce(user_id, 0) <> 0 GROUP BY ALL),
+per_user AS (
+  SELECT space_id, user_id, coalesce(sum(coins), 0) AS coin_op, {_entries('feed')}, {_entries('plant')}, {_entries('produce')},
+    {_entries('materials')} FROM per_item GROUP BY space_id, user_id)
+SELECT * FROM per_user WHERE coin_op <> 0 OR coalesce(feed_op, plant_op, produce_op, materials_op) IS NOT NULL"""
 
 
 def _rendered(t):
@@ -46,16 +43,15 @@ def pipe_farm_activity(t):
 
 @query("join_left_star", sql=_FARM_SQL, fixtures=("farm",))
 def join_left_star(t):
-    """JOIN-07: the six-aggregate left-join star on the distinct keys, as
-    the studied SQL joins them (kept to compare plans with the one-pass form)."""
+    """JOIN-07: left-join star of the distinct keys with an aggregate per
+    kind on the composite key."""
     act = P.farm_activity_star(t["farm"])
     return act.select("space_id", "user_id", "coin_op", *[P.render_entries(k).alias(k) for k in P.KINDS])
 
 
-@query("agg_two_level_set", sql="""
-SELECT space_id, user_id, string_agg(CAST(item_id AS INT) || ':' || CAST(c AS VARCHAR), ',' ORDER BY CAST(item_id AS INT)) AS feed_op
-FROM (SELECT space_id, user_id, item_id, sum(number) AS c FROM farm WHERE behavior_type = 'feed' GROUP BY ALL) GROUP BY ALL""",
-       fixtures=("farm",))
+@query("agg_two_level_set", sql=f"""
+SELECT space_id, user_id, {_entries('feed')} FROM (SELECT space_id, user_id, item_id, sum(number) AS feed FROM farm
+  WHERE behavior_type = 'feed' GROUP BY ALL) GROUP BY space_id, user_id""", fixtures=("farm",))
 def agg_two_level_set(t):
     """AGG-13: per item, then per user, a sorted set of {item_id, count}."""
     lvl1 = (t["farm"].where(F.col("behavior_type") == "feed").groupBy("space_id", "user_id", "item_id")
@@ -79,5 +75,8 @@ SELECT CAST(space_id AS VARCHAR) || ' ' || CAST(user_id AS VARCHAR) || ' ' || CA
   coalesce(feed_op, 'null') || ' ' || coalesce(plant_op, 'null') || ' ' || coalesce(produce_op, 'null') || ' ' ||
   coalesce(materials_op, 'null') AS value FROM ({_FARM_SQL.strip()})""", fixtures=("farm",))
 def snk_text_farm(t):
-    """SNK-04 form: the activity rows as space-joined text lines."""
-    return P.farm_text_lines(P.farm_activity(t["farm"]))
+    """SNK-04: the activity rows written as space-joined text lines, read
+    back."""
+    path = staging_path(t.spark, "farm_text")
+    write_text(P.farm_text_lines(P.farm_activity(t["farm"])), path)
+    return read_text_lines(t.spark, path)

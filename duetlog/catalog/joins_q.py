@@ -6,6 +6,9 @@ from pyspark.sql import functions as F
 
 from ..operators.joins import ip_range_join, left_anti
 from ..plans import enrich
+from ..session import staging_path
+from ..sinks.writers import write_csv
+from ..sources.readers import read_json, read_user_ip_csv
 from .registry import query
 
 _ENRICH_DUCK = """
@@ -15,14 +18,16 @@ FROM user_ip u LEFT JOIN ip_ranges r ON u.ip BETWEEN r.lo AND r.hi"""
 
 @query("join_ip_range", sql=_ENRICH_DUCK, fixtures=("user_ip", "ip_ranges"))
 def join_ip_range(t):
-    """JOIN-01, nested-loop form (dimension row count checked first)."""
-    return enrich.enrich_users(t["user_ip"], t["ip_ranges"], strategy="nested")
+    """JOIN-01 / UDF-11: prefix-bucket equi-join, the measured dimension
+    broadcast."""
+    return enrich.enrich_users(t["user_ip"], t["ip_ranges"])
 
 
 @query("join_ip_range_bucketed", sql=_ENRICH_DUCK, fixtures=("user_ip", "ip_ranges"))
 def join_ip_range_bucketed(t):
-    """JOIN-01, prefix-bucket equi-join form."""
-    return enrich.enrich_users(t["user_ip"], t["ip_ranges"], strategy="bucketed")
+    """JOIN-01: the form for a dimension too large to broadcast: shuffled on
+    the salted prefix bucket."""
+    return enrich.enrich_users(t["user_ip"], t["ip_ranges"], max_broadcast_bytes=0)
 
 
 @query("join_broadcast_dim", sql="""
@@ -72,17 +77,18 @@ def join_inner_notnull(t):
 
 
 @query("join_left_anti", sql="""
-WITH b AS (SELECT sv, url, err_code, count(*) AS n FROM error_log WHERE CAST(ts AS DATE) = DATE '2024-01-02' GROUP BY ALL),
-s AS (SELECT sv, url, err_code, count(*) AS n FROM error_log WHERE CAST(ts AS DATE) = DATE '2024-01-01' GROUP BY ALL)
-SELECT s.sv, s.url, s.err_code, CAST(s.n AS BIGINT) AS n FROM s
-WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.url = s.url AND b.err_code = s.err_code)""", fixtures=("error_log",))
+WITH d AS (SELECT CAST(ts AS DATE) AS day, sv, url, err_code, CAST(count(*) AS BIGINT) AS n FROM error_log GROUP BY ALL)
+SELECT CAST(s.day AS VARCHAR) AS day, s.sv, s.url, s.err_code, s.n FROM d s
+WHERE NOT EXISTS (SELECT 1 FROM d b WHERE b.day = s.day + 1 AND b.url = s.url AND b.err_code = s.err_code)""", fixtures=("error_log",))
 def join_left_anti(t):
-    """JOIN-06 / STR-07: state keys absent from the next batch, on
-    ``(url, err_code)``; a null key never matches so it is always absent."""
-    e = t["error_log"].withColumn("day", F.to_date("ts"))
-    agg = lambda d: (e.where(F.col("day") == F.lit(d).cast("date"))
-                      .groupBy("sv", "url", "err_code").agg(F.count(F.lit(1)).alias("n")))
-    return left_anti(agg("2024-01-01"), agg("2024-01-02"), ["url", "err_code"])
+    """JOIN-06 / STR-07: every day's state keys absent from the next day's
+    batch, on ``(url, err_code)``; a null key never matches so it is always
+    absent (and so is every key after the last day)."""
+    d = t["error_log"].groupBy(F.to_date("ts").alias("day"), "sv", "url", "err_code").agg(F.count(F.lit(1)).alias("n"))
+    state = d.withColumn("next", F.date_add("day", 1))
+    batch = d.select(F.col("day").alias("next"), "url", "err_code")
+    return left_anti(state, batch, ["next", "url", "err_code"]).select(
+        F.col("day").cast("string").alias("day"), "sv", "url", "err_code", "n")
 
 
 @query("pipe_ip_enrich_csv", sql="""
@@ -92,9 +98,11 @@ FROM user_ip_text u LEFT JOIN ip_ranges r ON
    + CAST(split_part(u.ip_addr, '.', 3) AS BIGINT) * 256 + CAST(split_part(u.ip_addr, '.', 4) AS BIGINT)) BETWEEN r.lo AND r.hi""",
        fixtures=("user_ip_text", "ip_ranges"))
 def pipe_ip_enrich_csv(t):
-    """PIPE-01: ``user_id,ip`` text rows (string id, dotted address)."""
-    users = t["user_ip_text"].select(F.col("user_id").cast("string").alias("user_id"), "ip_addr")
-    return enrich.enrich_users(users, t["ip_ranges"], ip="ip_addr", text_ip=True)
+    """PIPE-01: ``user_id,ip`` rows of a CSV file (string id, dotted
+    address), staged, read and enriched."""
+    p = staging_path(t.spark, "enrich_csv")
+    write_csv(t["user_ip_text"].select("user_id", "ip_addr"), p, header=False)
+    return enrich.enrich_users(read_user_ip_csv(t.spark, p), t["ip_ranges"], ip="ip_num")
 
 
 @query("pipe_ip_enrich_json", sql="""
@@ -104,8 +112,11 @@ FROM user_ip_text u LEFT JOIN ip_ranges r ON
    + CAST(split_part(u.ip_addr, '.', 3) AS BIGINT) * 256 + CAST(split_part(u.ip_addr, '.', 4) AS BIGINT)) BETWEEN r.lo AND r.hi""",
        fixtures=("user_ip_text", "ip_ranges"))
 def pipe_ip_enrich_json(t):
-    """PIPE-02: ``(ip_addr, user_id)`` records, numeric user id."""
-    return enrich.enrich_users(t["user_ip_text"], t["ip_ranges"], ip="ip_addr", text_ip=True)
+    """PIPE-02: ``(ip_addr, user_id)`` records of a JSON file, numeric user
+    id, staged, read and enriched."""
+    p = staging_path(t.spark, "enrich_json")
+    t["user_ip_text"].write.json(p)
+    return enrich.enrich_users(read_json(t.spark, p, "ip_addr STRING, user_id BIGINT"), t["ip_ranges"], ip="ip_addr", text_ip=True)
 
 
 @query("udf_ip_region_string", sql="""

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..plans import logs as L
 from ..session import staging_path
 from ..sinks.writers import append_table, write_text
-from ..sources.readers import read_json, read_text_lines
+from ..sources.readers import read_json, read_space_user_tsv, read_text_lines
 from .registry import query
 
 # fixture parameters (the studied jobs' own values are the library defaults)
@@ -112,9 +112,20 @@ def set_union_chain(t):
 
 @query("pipe_active_union", sql=_active_sql(True), fixtures=("app_log", "space_user_list"))
 def pipe_active_union(t):
-    """PIPE-17 / SNK-03: active ``space user`` text lines of six sources
-    (space id starting with 7) plus a fixed list."""
-    return L.active_union_lines(_sources(t), t["space_user_list"], UPPER_MS, FARM_RANGE)
+    """PIPE-17 / SNK-03: six JSON folders and a tab-separated list read,
+    their active users (space id starting with 7) plus the list written as
+    ``space user`` text lines, read back."""
+    base, sources = staging_path(t.spark, "active_src"), {}
+    for name, df in _sources(t).items():
+        df = df.drop("source_no")
+        df.write.json(f"{base}/{name}")
+        schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema)
+        sources[name] = read_json(t.spark, f"{base}/{name}/*", schema)
+    write_text(t["space_user_list"], f"{base}/list", sep="\t")
+    lines = L.active_union_lines(sources, read_space_user_tsv(t.spark, f"{base}/list"), UPPER_MS, FARM_RANGE)
+    out = staging_path(t.spark, "active_text")
+    write_text(lines, out)
+    return read_text_lines(t.spark, out)
 
 
 _NTZ = "TIMESTAMP_NTZ '{}'"

@@ -34,6 +34,15 @@ def src_text_lines(t):
     return R.read_text_lines(t.spark, p)
 
 
+@query("src_bz2_lines", sql="SELECT value FROM daily_log", fixtures=("daily_log",))
+def src_bz2_lines(t):
+    """SRC-10: bzip2 text, the studied codec: its blocks let one large file
+    be read by many tasks."""
+    p = _stage(t, "bz2")
+    t["daily_log"].select("value").write.option("compression", "bzip2").text(p)
+    return R.read_text_lines(t.spark, p)
+
+
 @query("src_csv_user_ip", sql="""
 SELECT CAST(user_id AS VARCHAR) AS user_id, CAST(split_part(ip_addr, '.', 1) AS BIGINT) * 16777216
   + CAST(split_part(ip_addr, '.', 2) AS BIGINT) * 65536 + CAST(split_part(ip_addr, '.', 3) AS BIGINT) * 256
@@ -71,7 +80,7 @@ def src_tsv_profile(t):
 def src_tsv_guide(t):
     """SRC-04: ``date, dim, el, num`` tab rows."""
     p = _stage(t, "guide_tsv")
-    W.write_csv(t["guide"], p, header=False, sep="\t")
+    W.write_text(t["guide"], p, sep="\t")
     return R.read_guide_tsv(t.spark, p)
 
 
@@ -136,6 +145,17 @@ def src_sql_table(t):
     return df.select("user_id", "price", "c_date")
 
 
+@query("src_catalog_table", sql=f"""
+SELECT user_id, price, c_date FROM orders_paid WHERE substr(c_date, 1, 7) = '{PAID_PARTITION[:7]}'""", fixtures=("orders_paid",))
+def src_catalog_table(t):
+    """SRC-11: a catalog table partitioned by month, read by name with a
+    partition filter (only that month's folder is scanned)."""
+    p = _stage(t, "paid_table")
+    name = "orders_paid_" + p.rsplit("-", 1)[-1]
+    W.append_table(t["orders_paid"].withColumn("c_month", F.substring("c_date", 1, 7)), name, path=p, partition_by=["c_month"])
+    return R.read_table(t.spark, name, f"c_month = '{PAID_PARTITION[:7]}'", ["user_id", "price", "c_date"])
+
+
 @query("src_cells_to_rows", sql="""
 SELECT rowkey, max(CASE WHEN qualifier = '210401' THEN value END) AS "210401", max(CASE WHEN qualifier = 'hist' THEN value END) AS hist
 FROM cells WHERE family = 'cf' GROUP BY rowkey""", fixtures=("cells",))
@@ -172,9 +192,9 @@ def _enriched(t):
 @query("snk_csv_header", sql=f"SELECT CAST(user_id AS VARCHAR) AS user_id, country, province FROM ({_CITY})",
        fixtures=("user_ip", "ip_ranges"))
 def snk_csv_header(t):
-    """SNK-01: CSV with a header, one file (small result), read back."""
+    """SNK-01: CSV with a header (in every file), read back."""
     p = _stage(t, "csv_header")
-    W.write_csv(_enriched(t), p, header=True, single_file=True)
+    W.write_csv(_enriched(t), p, header=True)
     return t.spark.read.option("header", True).csv(p)
 
 

@@ -37,16 +37,33 @@ def str_parse_error_log(t):
     return _parsed(t)
 
 
-@query("str_event_routing", sql=f"""
+_ROUTED = f"""
 SELECT CASE WHEN sv = 'farm' AND bn = 'login' THEN '{K.ROUTE_LOGIN}' WHEN sv = 'tree' AND el = 'sunshine' THEN '{K.ROUTE_SUNSHINE}'
   WHEN sv = 'tree' AND el = 'water' THEN '{K.ROUTE_WATER}' END AS label, time FROM event_route
-WHERE (sv = 'farm' AND bn = 'login') OR (sv = 'tree' AND el IN ('sunshine', 'water'))""", fixtures=("event_route",))
+WHERE (sv = 'farm' AND bn = 'login') OR (sv = 'tree' AND el IN ('sunshine', 'water'))"""
+
+
+@query("str_event_routing", sql=_ROUTED, fixtures=("event_route",))
 def str_event_routing(t):
-    """STR-03 / PIPE-26: route events to labels, drop the rest."""
+    """STR-03: route events to labels, drop the rest."""
     e = t["event_route"].select(F.to_json(F.struct("sv", "bn", "el", "time")).alias("value"))
     return route_events(e)
 
 
+@query("pipe_event_routing", sql=_ROUTED, fixtures=("event_route",))
+def pipe_event_routing(t):
+    """PIPE-26: the routing job as a stream over staged JSON lines into a
+    Parquet folder, read back."""
+    from ..session import staging_path
+    from ..sources.readers import read_stream
+    from ..streaming.parse import run_route_stream
+    src, out = staging_path(t.spark, "route_src"), staging_path(t.spark, "route_out")
+    t["event_route"].select(F.to_json(F.struct("sv", "bn", "el", "time")).alias("value")).write.text(src)
+    run_route_stream(read_stream(t.spark, "text", path=src), out, staging_path(t.spark, "route_ckpt"),
+                     {"availableNow": True}).awaitTermination()
+    return t.spark.read.schema("label STRING, time STRING").parquet(out)
+
+
 @query("str_tumbling_error_agg", sql=f"""
 SELECT time_stamp - time_stamp % 86400 AS window_start, {_KEY},
   strftime(epoch_ms(min(time_stamp) * 1000), {_FMT}) AS first_time, count(ip_addr) AS num,

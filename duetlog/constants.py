@@ -103,3 +103,17 @@ COHORT_TITLES = {
     "std_paid_cost": "标准差",
     "space_cnt": "样本数量(包含付费为0)",
 }
+
+# --- columns and schemas of the studied inputs, in file order -------------------
+PROFILE_COLUMNS = ("space_id", "a_gender", "b_gender", "a_birthday", "b_birthday", "a_retention",
+                   "b_retention", "last_use_time", "a_regist_time", "b_regist_time", "registe_space_dt",
+                   "anniversary_day", "close_time", "total_cost", "a_ip", "b_ip")
+IP_RANGE_COLUMNS = ("start_ip", "end_ip", "country", "area", "province", "city", "isp")
+GUIDE_COLUMNS = ("date", "dim", "el", "num")
+ERROR_LOG_SCHEMA = ("sv STRING, bn STRING, url STRING, err_code STRING, err_msg STRING, "
+                    "`@timestamp-log` BIGINT, ip_addr STRING")
+EVENT_ROUTE_SCHEMA = "sv STRING, bn STRING, el STRING, time STRING"
+
+# --- words that mark request-log lines ------------------------------------------
+VIEW_MARKER = "Microscopic_view"      # lines that hold it are dropped from the address counts
+LOG_MARKER = "Micro"                  # lines of the visitor counts hold it

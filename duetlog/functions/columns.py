@@ -49,12 +49,6 @@ def field_count(col: ColumnOrName, sep_regex: str, java_trailing: bool = True) -
     return F.size(F.split(c, sep_regex))
 
 
-def concat_space(*cols: ColumnOrName, sep: str = " ") -> Column:
-    """``concat`` with a separator; null fields print as ``null`` the way
-    string concatenation on the JVM does (``concat_ws`` would skip them)."""
-    return F.concat_ws(sep, *[F.coalesce(_c(c).cast("string"), F.lit("null")) for c in cols])
-
-
 def java_trim(col: ColumnOrName) -> Column:
     """``String.trim``: strips every char <= U+0020 (tab, newline too)."""
     return F.regexp_replace(_c(col), r"^[\x00-\x20]+|[\x00-\x20]+$", "")
@@ -148,17 +142,14 @@ def json_fields(col: ColumnOrName, schema: str) -> Column:
     return F.from_json(_c(col), schema)
 
 
-def json_object(**fields: Column) -> Column:
-    return F.to_json(F.struct(*[_c(v).alias(k) for k, v in fields.items()]))
-
-
 # --- SCL-17: IPv4 ---------------------------------------------------------------------
 
 def ip_to_long(col: ColumnOrName) -> Column:
     """Dotted IPv4 text -> long by folding ``(n << 8) | octet``.  The usual
     four-part address takes a plain arithmetic path (code-generated); any
-    other shape is folded part by part, as the studied function did."""
-    parts = F.split(_c(col), r"\.")
+    other shape is folded part by part, as the studied function did (empty
+    parts at the end are dropped first: ``1.2.3.4.`` is an address)."""
+    parts = F.split(F.rtrim(_c(col), F.lit(".")), r"\.")
     octet = lambda i: F.get(parts, i).try_cast("bigint")
     four = (F.shiftleft(octet(0), 24).bitwiseOR(F.shiftleft(octet(1), 16))
             .bitwiseOR(F.shiftleft(octet(2), 8)).bitwiseOR(octet(3)))

@@ -1,22 +1,17 @@
 """Joins: the IP interval lookup and its helpers.
 
 The studied jobs collect the range table to the driver, broadcast it as an
-array and binary-search it per row.  Here the lookup is a join that Catalyst
-plans:
-
-* ``nested``   - ``fact LEFT JOIN broadcast(dim) ON ip BETWEEN lo AND hi``:
-  a BroadcastNestedLoopJoin, O(rows x ranges).  Only for a dimension whose
-  row count has been checked to be tiny; otherwise it falls back to
-  ``bucketed``.
-* ``bucketed`` - the dimension is exploded to one row per ``ip >> bits``
-  prefix bucket it overlaps, the fact side gets its own prefix, and the join
-  is an equi-join on the bucket plus the residual ``BETWEEN``.  For
-  non-overlapping ranges the exploded table has at most
-  ``ranges + 2**(32 - bits)`` rows, so its size is bounded no matter how wide
-  the ranges are.  It is broadcast when that checked row count is under
-  ``max_broadcast_rows`` (no shuffle of the fact side, no skew); above that it
-  is a shuffled hash/sort-merge join on the bucket, optionally salted so a
-  hot prefix is spread over ``salt`` tasks (AQE skew splitting also applies).
+array and binary-search it per row.  Here the lookup is an equi-join that
+Catalyst plans: the dimension is exploded to one row per ``ip >> bits`` prefix
+bucket it overlaps, the fact side gets its own prefix, and the join is on the
+bucket plus the residual ``BETWEEN``.  For non-overlapping ranges the exploded
+table has at most ``ranges + 2**(32 - bits)`` rows, however wide they are.
+
+It is broadcast when its measured bytes are under ``max_broadcast_bytes`` (no
+shuffle of the fact side, no skew); above that it is a shuffled join whose
+buckets are salted, so a hot prefix is spread over ``salt`` tasks (adaptive
+skew splitting applies too) and rows without an address, which match nothing,
+are spread by their hash.
 
 Unmatched points (gaps, below all ranges, null) keep a null region.
 """
@@ -28,13 +23,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-NESTED_MAX_ROWS = 5_000
-MAX_BROADCAST_ROWS = 500_000
+MAX_BROADCAST_BYTES = 64 << 20
+#: Rows without an address are spread over this many keys that match nothing.
+NULL_KEYS = 1024
 
 
-def _checked_rows(df: DataFrame) -> int:
-    """Row count of a dimension-sized frame (an explicit size check)."""
-    return df.count()
+def measured_bytes(df: DataFrame) -> int:
+    """Bytes of a dimension-sized frame, counted: its text plus 8 a field and
+    row (an explicit size check, one pass over the dimension)."""
+    text = [F.coalesce(F.octet_length(F.col(f"`{f.name}`")), F.lit(0)) for f in df.schema if f.dataType.simpleString() == "string"]
+    one = F.lit(8 * (len(df.columns) + 1)).cast("bigint")
+    for t in text:
+        one = one + t
+    return df.agg(F.sum(one)).first()[0] or 0
 
 
 def explode_ranges(dim: DataFrame, lo: str = "lo", hi: str = "hi", bits: int = 16,
@@ -45,66 +46,48 @@ def explode_ranges(dim: DataFrame, lo: str = "lo", hi: str = "hi", bits: int = 1
 
 
 def ip_range_join(fact: DataFrame, dim: DataFrame, ip: str | Column, lo: str = "lo", hi: str = "hi",
-                  how: str = "left", strategy: str = "auto", bits: int = 16,
-                  max_broadcast_rows: int = MAX_BROADCAST_ROWS, nested_max_rows: int = NESTED_MAX_ROWS,
-                  salt: int = 1, keep_bounds: bool = False, exploded_rows: int | None = None) -> DataFrame:
+                  how: str = "left", bits: int = 16, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
+                  salt: int = 16, keep_bounds: bool = False, dim_bytes: int | None = None) -> DataFrame:
     """Attach the attributes of the range containing ``ip`` (inclusive ends).
 
     ``dim`` must hold non-overlapping ranges ``[lo, hi]``; its other columns
     are the attributes added to each ``fact`` row (null when unmatched with
-    ``how='left'``).
+    ``how='left'``).  ``dim_bytes`` gives the exploded size when it is known.
     """
     ip_col = F.col(ip) if isinstance(ip, str) else ip
     attrs = [c for c in dim.columns if keep_bounds or c not in (lo, hi)]
     fact_cols = [F.col(f"_f.{c}") for c in fact.columns]
     dim_cols = [F.col(f"_d.{c}") for c in attrs]
-
-    if strategy not in ("auto", "nested", "bucketed"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-
-    if strategy == "nested":
-        if _checked_rows(dim) <= nested_max_rows:
-            f = fact.withColumn("_ip", ip_col).alias("_f")
-            d = F.broadcast(dim).alias("_d")
-            cond = F.col("_f._ip").between(F.col(f"_d.{lo}"), F.col(f"_d.{hi}"))
-            return f.join(d, cond, how).select(*fact_cols, *dim_cols)
-        strategy = "bucketed"
-
-    exploded = explode_ranges(dim, lo, hi, bits)
-    n_rows = exploded_rows if exploded_rows is not None else _checked_rows(exploded)
-    f = (fact.withColumn("_ip", ip_col)
-             .withColumn("_bucket", F.shiftright(F.col("_ip"), bits)))
-    d = exploded
+    d = explode_ranges(dim, lo, hi, bits)
+    f = fact.withColumn("_ip", ip_col).withColumn("_bucket", F.shiftright(F.col("_ip"), bits))
     keys = ["_bucket"]
-    if n_rows <= max_broadcast_rows:
+    if (measured_bytes(d) if dim_bytes is None else dim_bytes) <= max_broadcast_bytes:
         d = F.broadcast(d)
-    elif salt > 1:
-        # spread each bucket over `salt` tasks: the dimension side is copied
-        # `salt` times, each fact row picks one copy by a hash of its address
+    else:
+        # the dimension is copied `salt` times, each fact row picks one copy by its hash
+        own = F.xxhash64(*[F.col(f"`{c}`") for c in fact.columns])
         d = d.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-        f = f.withColumn("_salt", F.pmod(F.xxhash64(F.col("_ip")), F.lit(salt)).cast("int"))
+        f = f.withColumn("_salt", F.pmod(own, F.lit(salt)).cast("int")).withColumn(
+            "_bucket", F.coalesce("_bucket", -1 - F.pmod(own, F.lit(NULL_KEYS))))
         keys.append("_salt")
     f, d = f.alias("_f"), d.alias("_d")
-    cond = [F.col(f"_f.{k}") == F.col(f"_d.{k}") for k in keys]
-    cond.append(F.col("_f._ip").between(F.col(f"_d.{lo}"), F.col(f"_d.{hi}")))
-    cond_all = cond[0]
-    for c in cond[1:]:
-        cond_all = cond_all & c
-    return f.join(d, cond_all, how).select(*fact_cols, *dim_cols)
+    cond = F.col("_f._ip").between(F.col(f"_d.{lo}"), F.col(f"_d.{hi}"))
+    for k in keys:
+        cond = cond & (F.col(f"_f.{k}") == F.col(f"_d.{k}"))
+    return f.join(d, cond, how).select(*fact_cols, *dim_cols)
 
 
 def enrich_sides(df: DataFrame, dim: DataFrame, sides: dict[str, str],
                  attrs: Sequence[str] = ("country", "province", "city"),
-                 lo: str = "lo", hi: str = "hi", strategy: str = "auto", **kw) -> DataFrame:
+                 lo: str = "lo", hi: str = "hi", **kw) -> DataFrame:
     """Look up several address columns of one row (``{'a': 'a_ip', ...}``);
     attributes are prefixed ``<side>_`` (``a_country``...)."""
     out = df
-    if strategy in ("auto", "bucketed") and "exploded_rows" not in kw:
-        # every side uses the same ranges: check their exploded size once
-        kw["exploded_rows"] = _checked_rows(explode_ranges(dim.select(lo, hi), lo, hi, kw.get("bits", 16)))
+    if "dim_bytes" not in kw:      # every side uses the same ranges: measure them once
+        kw["dim_bytes"] = measured_bytes(explode_ranges(dim.select(lo, hi, *attrs), lo, hi, kw.get("bits", 16)))
     for side, ip in sides.items():
         d = dim.select(lo, hi, *[F.col(a).alias(f"{side}_{a}") for a in attrs])
-        out = ip_range_join(out, d, ip, lo, hi, how="left", strategy=strategy, **kw)
+        out = ip_range_join(out, d, ip, lo, hi, how="left", **kw)
     return out
 
 

@@ -19,11 +19,11 @@ from ..operators.stats import median_from_histogram, topk_per_group
 PARTNER_FIELDS = ("province", "city", "country", "birthday", "regist_time", "last_use_time")
 
 
-def enrich_couples(couple: DataFrame, ranges: DataFrame, strategy: str = "auto", **kw) -> DataFrame:
+def enrich_couples(couple: DataFrame, ranges: DataFrame, **kw) -> DataFrame:
     """Add ``a_country/a_province/a_city`` and the ``b_*`` twins by looking
     up both partner addresses in the range table."""
     return enrich_sides(couple, ranges, {"a": "a_ip", "b": "b_ip"},
-                        attrs=("country", "province", "city"), strategy=strategy, **kw)
+                        attrs=("country", "province", "city"), **kw)
 
 
 def partner_rows(couple: DataFrame, fields: Sequence[str] = PARTNER_FIELDS,

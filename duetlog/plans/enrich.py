@@ -4,19 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import constants as K
 from ..functions.columns import ip_to_long
 from ..operators.joins import ip_range_join
+from ..operators.stats import with_percent_of_total
 
 REGION_ATTRS = ("country", "area", "province", "city")
 
 
 def enrich_users(users: DataFrame, ranges: DataFrame, ip: str = "ip", user: str = "user_id",
-                 text_ip: bool = False, attrs: Sequence[str] = REGION_ATTRS,
-                 strategy: str = "auto", **kw) -> DataFrame:
+                 text_ip: bool = False, attrs: Sequence[str] = REGION_ATTRS, **kw) -> DataFrame:
     """``(user_id, ip)`` -> ``(user_id, country, area, province, city)``.
 
     Every input row gives exactly one output row (null region when no range
@@ -26,17 +26,16 @@ def enrich_users(users: DataFrame, ranges: DataFrame, ip: str = "ip", user: str
     ip_col = ip_to_long(F.col(ip)) if text_ip else F.col(ip).cast("bigint")
     fact = users.select(F.col(user).alias("user_id"), ip_col.alias("_ipnum"))
     dim = ranges.select("lo", "hi", *attrs)
-    return ip_range_join(fact, dim, "_ipnum", strategy=strategy, **kw).drop("_ipnum")
+    return ip_range_join(fact, dim, "_ipnum", **kw).drop("_ipnum")
 
 
 def ip_region_string(users: DataFrame, ranges: DataFrame, ip: str = "ip_addr", sep: str = "|",
-                     attrs: Sequence[str] = ("country", "area", "province", "city", "isp"),
-                     strategy: str = "auto") -> DataFrame:
+                     attrs: Sequence[str] = ("country", "area", "province", "city", "isp")) -> DataFrame:
     """The region lookup as one ``country|area|province|city|isp`` string per
     input row; null address or no match -> null."""
     fact = users.withColumn("_ipnum", ip_to_long(F.col(ip)))
     dim = ranges.select("lo", "hi", F.concat_ws(sep, *[F.col(a) for a in attrs]).alias("region"))
-    return ip_range_join(fact, dim, "_ipnum", strategy=strategy).drop("_ipnum")
+    return ip_range_join(fact, dim, "_ipnum").drop("_ipnum")
 
 
 def city_active_new(active: DataFrame, new: DataFrame, region: str = "city",
@@ -58,6 +57,5 @@ def province_share(enriched: DataFrame, unknown: str = K.UNKNOWN_REGION) -> Data
     counts = (enriched.where(F.col("province") != unknown)
                       .groupBy("country", "province")
                       .agg(F.countDistinct("user_id").alias("act_number")))
-    w = Window.partitionBy("country")
-    return (counts.withColumn("province_percent", F.col("act_number") / F.sum("act_number").over(w) * 100)
+    return (with_percent_of_total(counts, "act_number", ["country"], "province_percent")
                   .orderBy(F.asc("country"), F.desc("province_percent"), F.asc("province")))

@@ -3,10 +3,11 @@
 The studied SQL joins seven derived tables (distinct users + six
 per-behaviour aggregates) on ``(space_id, user_id)``.  Here it is one scan and
 two aggregations: level 1 by ``(space, user, item)`` with one filtered
-aggregate per kind, level 2 by ``(space, user)`` collecting one
-``{item_id, count}`` entry per item and kind.  Both levels combine map-side,
-so a hot user collapses to at most one row per item before the second
-shuffle.  Feed, plant and produce test ``behavior_type``; coins and materials
+aggregate per kind, level 2 by ``(space, user)`` collecting the set of
+``{item_id, count}`` entries per kind (ids are cut to whole numbers, so two
+items may give one entry).  Both levels combine map-side, so a hot user
+collapses to at most one row per item before the second shuffle; a set holds
+at most one entry per item of the catalogue.  Feed, plant and produce test ``behavior_type``; coins and materials
 test ``bn``; one row may count in both, as in the studied SQL.
 """
 
@@ -15,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 KINDS = ("feed_op", "plant_op", "produce_op", "materials_op")
 
 
@@ -27,11 +30,9 @@ def valid_ids(df: DataFrame, cols=("space_id", "user_id")) -> DataFrame:
     return df.where(cond)
 
 
-def farm_activity(farm: DataFrame, with_cost_coin: bool = False) -> DataFrame:
-    """``space_id, user_id, coin_op, feed_op, plant_op, produce_op,
-    materials_op`` (+ ``cost_coin``), kinds as sorted arrays of
-    ``struct(item_id int, count)``; an absent kind is null.  Users with no
-    coins and no kind are dropped."""
+def per_item(farm: DataFrame) -> DataFrame:
+    """Level 1: per (space, user, item) the sum and row count of every kind
+    and the coins got and spent."""
     bt, bn, num = F.col("behavior_type"), F.col("bn"), F.col("number")
     conds = {
         "feed_op": (bt == "feed", num),
@@ -39,19 +40,29 @@ def farm_activity(farm: DataFrame, with_cost_coin: bool = False) -> DataFrame:
         "produce_op": (bt == "produce", F.lit(1).cast("bigint")),
         "materials_op": (bn == "building_materials_get", num),
     }
-    lvl1_aggs = []
+    aggs = []
     for k, (cond, val) in conds.items():
-        lvl1_aggs += [F.sum(F.when(cond, val)).alias(f"{k}_n"), F.count_if(cond).alias(f"{k}_rows")]
-    lvl1_aggs += [F.sum(F.when(bn == "rainbow_coin_get", F.col("amount"))).alias("get_coin"),
-                  F.sum(F.when(bn == "rainbow_coin_cost", F.col("amount"))).alias("cost_coin")]
-    lvl1 = valid_ids(farm).groupBy("space_id", "user_id", "item_id").agg(*lvl1_aggs)
+        aggs += [F.sum(F.when(cond, val)).alias(f"{k}_n"), F.count_if(cond).alias(f"{k}_rows")]
+    aggs += [F.sum(F.when(bn == "rainbow_coin_get", F.col("amount"))).alias("get_coin"),
+             F.sum(F.when(bn == "rainbow_coin_cost", F.col("amount"))).alias("cost_coin")]
+    return valid_ids(farm).groupBy("space_id", "user_id", "item_id").agg(*aggs)
+
 
-    def entries(k: str) -> Column:
-        e = F.when(F.col(f"{k}_rows") > 0,
-                   F.struct(F.col("item_id").cast("int").alias("item_id"), F.col(f"{k}_n").alias("count")))
-        arr = F.sort_array(F.collect_list(e))
-        return F.when(F.size(arr) > 0, arr).alias(k)
+def entries(k: str) -> Column:
+    """The sorted set of one kind's ``{item_id, count}`` entries; null when
+    the kind does not occur."""
+    e = F.when(F.col(f"{k}_rows") > 0,
+               F.struct(F.col("item_id").cast("int").alias("item_id"), F.col(f"{k}_n").alias("count")))
+    arr = F.sort_array(F.collect_set(e))
+    return F.when(F.size(arr) > 0, arr).alias(k)
 
+
+def farm_activity(farm: DataFrame, with_cost_coin: bool = False) -> DataFrame:
+    """``space_id, user_id, coin_op, feed_op, plant_op, produce_op,
+    materials_op`` (+ ``cost_coin``), kinds as sorted arrays of
+    ``struct(item_id int, count)``; an absent kind is null.  Users with no
+    coins and no kind are dropped."""
+    lvl1 = per_item(farm)
     lvl2 = lvl1.groupBy("space_id", "user_id").agg(
         F.coalesce(F.sum("get_coin"), F.lit(0)).alias("coin_op"),
         *[entries(k) for k in KINDS],
@@ -79,28 +90,18 @@ def farm_text_lines(activity: DataFrame) -> DataFrame:
 
 
 def farm_activity_star(farm: DataFrame) -> DataFrame:
-    """The studied form: distinct valid users left-joined with one aggregate
-    per kind (six shuffles of the same input).  Same rows as
-    ``farm_activity``; kept for equivalence tests and comparison plans."""
+    """JOIN-07: distinct users left-joined with one aggregate per kind on the
+    two keys.  All seven inputs come from one per-item aggregate, which is
+    written once, so the joins move a row per user and item at most, never the
+    log again.  Same rows as ``farm_activity``."""
     keys = ["space_id", "user_id"]
-    base = valid_ids(farm).select(*keys).distinct()
-    coin = (farm.where(F.col("bn") == "rainbow_coin_get").groupBy(*keys)
-            .agg(F.sum("amount").alias("get_coin")))
-
-    def kind(name, cond, val):
-        per_item = farm.where(cond).groupBy(*keys, "item_id").agg(F.sum(val).alias("count"))
-        return per_item.groupBy(*keys).agg(
-            F.sort_array(F.collect_set(F.struct(F.col("item_id").cast("int").alias("item_id"), "count"))).alias(name))
-
-    bt, bn = F.col("behavior_type"), F.col("bn")
-    parts = [kind("feed_op", bt == "feed", F.col("number")), kind("plant_op", bt == "plant", F.col("number")),
-             kind("produce_op", bt == "produce", F.lit(1).cast("bigint")),
-             kind("materials_op", bn.isin("building_materials_get"), F.col("number"))]
-    out = base.join(coin, keys, "left")
-    for p in parts:
-        out = out.join(p, keys, "left")
-    out = out.select(*keys, F.coalesce("get_coin", F.lit(0)).alias("coin_op"), *KINDS)
-    keep = F.col("coin_op") != 0
+    items = cut_lineage(per_item(farm))
+    out = items.select(*keys).distinct().join(
+        items.groupBy(*keys).agg(F.sum("get_coin").alias("coins")), keys, "left")
+    for k in KINDS:
+        out = out.join(items.where(F.col(f"{k}_rows") > 0).groupBy(*keys).agg(entries(k)), keys, "left")
+    out = out.select(*keys, F.coalesce("coins", F.lit(0)).alias("coin_op"), *KINDS)
+    some = F.col("coin_op") != 0
     for k in KINDS:
-        keep = keep | (F.size(k) > 0)
-    return out.where(keep)
+        some = some | F.col(k).isNotNull()
+    return out.where(some)

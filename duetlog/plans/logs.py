@@ -26,8 +26,8 @@ def parse_space_log(lines: DataFrame, positions: Mapping[str, int], min_fields:
     """Space-delimited lines -> named fields by position.
 
     Lines shorter than ``min_fields`` become the ``malformed`` sentinel row
-    (the studied parser's ``("0","0","0")``) or, with ``malformed=None``,
-    nulls.  Trailing empty fields are dropped first, as ``String.split``
+    (the studied parser's ``("0","0","0")``); with ``malformed=None`` they keep
+    the fields they have and get nulls for the rest.  Trailing empty fields are dropped first, as ``String.split``
     does."""
     v = F.col("value")
     df = lines
@@ -47,10 +47,10 @@ def parse_space_log(lines: DataFrame, positions: Mapping[str, int], min_fields:
 
 
 def log_ip_counts(lines: DataFrame) -> DataFrame:
-    """Rows per (date, user, ip) of a request log; ``Microscopic_view``
+    """Rows per (date, user, ip) of a request log; ``K.VIEW_MARKER``
     lines dropped, short lines counted under the ``0,0,0`` sentinel."""
     parsed = parse_space_log(lines, {"date": 0, "user_id": 4, "ip": 3}, min_fields=6,
-                             drop_containing="Microscopic_view", malformed=K.MALFORMED_LOG)
+                             drop_containing=K.VIEW_MARKER, malformed=K.MALFORMED_LOG)
     return (parsed.where(F.col("user_id").isNotNull())
                   .groupBy("date", "user_id", "ip").agg(F.count(F.lit(1)).alias("ip_num_cnt"))
                   .orderBy("date", "user_id"))
@@ -58,7 +58,7 @@ def log_ip_counts(lines: DataFrame) -> DataFrame:
 
 # --- PIPE-15 ---------------------------------------------------------------------
 
-def log_uv(lines: DataFrame, threshold: int = K.UV_THRESHOLD, marker: str = "Micro") -> DataFrame:
+def log_uv(lines: DataFrame, threshold: int = K.UV_THRESHOLD, marker: str = K.LOG_MARKER) -> DataFrame:
     """Distinct users per (type, date) among ``marker`` lines, kept when at
     least ``threshold``."""
     parsed = parse_space_log(lines, {"types": 0, "date": 1, "spaceId": 7, "userId": 8}, min_fields=9,

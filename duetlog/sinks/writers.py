@@ -1,6 +1,6 @@
 """Writers (SNK-*).  Output paths, formats, modes and connector options are
-parameters.  ``single_file`` (the studied jobs' ``coalesce(1)``) is opt-in:
-it funnels the last stage into one task, so it is only for small results.
+parameters.  Every task writes its own file; the studied jobs' single file
+(all rows through one task) is not offered.
 """
 
 from __future__ import annotations
@@ -11,14 +11,10 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 
-def _one(df: DataFrame, single_file: bool) -> DataFrame:
-    return df.coalesce(1) if single_file else df
-
-
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists",
-              single_file: bool = False, sep: str = ",") -> None:
+              sep: str = ",") -> None:
     """SNK-01 / SNK-02: CSV (UTF-8), with or without a header row."""
-    (_one(df, single_file).write.mode(mode).option("header", header).option("encoding", "UTF-8")
+    (df.write.mode(mode).option("header", header).option("encoding", "UTF-8")
      .option("sep", sep).csv(path))
 
 
@@ -30,11 +26,11 @@ def text_value(df: DataFrame, sep: str = " ") -> DataFrame:
                      .alias("value"))
 
 
-def write_text(df: DataFrame, path: str, mode: str = "errorifexists", single_file: bool = False,
+def write_text(df: DataFrame, path: str, mode: str = "errorifexists",
                sep: str = " ", partition_by: str | None = None) -> None:
     """SNK-03 / SNK-04: plain text lines (columns joined by ``sep``)."""
     out = df.hint("rebalance", partition_by) if partition_by else text_value(df, sep)
-    w = _one(out, single_file).write.mode(mode)
+    w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(partition_by)
     w.text(path)
@@ -73,11 +69,6 @@ def deliver_partitions(df: DataFrame, send: Callable[[Iterable[Row]], None]) ->
     df.foreachPartition(send)
 
 
-def preview(df: DataFrame, n: int = 20) -> DataFrame:
-    """SNK-12: first ``n`` rows (after the caller's total order)."""
-    return df.limit(n)
-
-
 def write_partitioned(df: DataFrame, path: str, partition_by: Iterable[str], fmt: str = "parquet",
                       mode: str = "errorifexists") -> None:
     """Partitioned folder write.  The ``rebalance`` hint lets adaptive

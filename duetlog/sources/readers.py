@@ -17,18 +17,6 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import columns as C
 
-# --- schemas of the studied inputs -------------------------------------------------
-
-PROFILE_COLUMNS = ("space_id", "a_gender", "b_gender", "a_birthday", "b_birthday", "a_retention",
-                   "b_retention", "last_use_time", "a_regist_time", "b_regist_time", "registe_space_dt",
-                   "anniversary_day", "close_time", "total_cost", "a_ip", "b_ip")
-IP_RANGE_COLUMNS = ("start_ip", "end_ip", "country", "area", "province", "city", "isp")
-GUIDE_COLUMNS = ("date", "dim", "el", "num")
-ERROR_LOG_SCHEMA = ("sv STRING, bn STRING, url STRING, err_code STRING, err_msg STRING, "
-                    "`@timestamp-log` BIGINT, ip_addr STRING")
-EVENT_ROUTE_SCHEMA = "sv STRING, bn STRING, el STRING, time STRING"
-
-
 def _all_strings(cols: Sequence[str]) -> str:
     return ", ".join(f"`{c}` STRING" for c in cols)
 
@@ -48,9 +36,10 @@ def read_text_lines(spark: SparkSession, path: str | Sequence[str], with_path: b
 
 def read_delimited(spark: SparkSession, path: str, columns: Sequence[str], sep: str = ",",
                    header: bool = False) -> DataFrame:
-    """Delimited text with every column read as a string (typed later)."""
+    """Delimited text with every column read as a string (typed later).  A
+    line is split at every ``sep``: quotes are characters like any other."""
     return (spark.read.schema(_all_strings(columns)).option("sep", sep).option("header", header)
-            .option("mode", "PERMISSIVE").csv(path))
+            .option("quote", "").option("mode", "PERMISSIVE").csv(path))
 
 
 def read_user_ip_csv(spark: SparkSession, path: str) -> DataFrame:
@@ -72,12 +61,12 @@ def type_profile(df: DataFrame, missing: str = K.MISSING_TEXT) -> DataFrame:
 
 def read_profile_tsv(spark: SparkSession, path: str) -> DataFrame:
     """SRC-03: the 16-column tab profile export."""
-    return type_profile(read_delimited(spark, path, PROFILE_COLUMNS, sep="\t"))
+    return type_profile(read_delimited(spark, path, K.PROFILE_COLUMNS, sep="\t"))
 
 
 def read_guide_tsv(spark: SparkSession, path: str) -> DataFrame:
     """SRC-04: ``date, dim, el, num`` tab rows (text)."""
-    return read_delimited(spark, path, GUIDE_COLUMNS, sep="\t")
+    return read_delimited(spark, path, K.GUIDE_COLUMNS, sep="\t")
 
 
 def read_space_user_tsv(spark: SparkSession, path: str) -> DataFrame:
@@ -89,9 +78,9 @@ def read_space_user_tsv(spark: SparkSession, path: str) -> DataFrame:
 def read_ip_ranges(spark: SparkSession, path: str, sep: str = "|") -> DataFrame:
     """SRC-06: pipe-delimited range table with dotted ends -> ``lo, hi``
     longs plus the five attributes."""
-    df = read_delimited(spark, path, IP_RANGE_COLUMNS, sep=sep)
+    df = read_delimited(spark, path, K.IP_RANGE_COLUMNS, sep=sep)
     return df.select(C.ip_to_long("start_ip").alias("lo"), C.ip_to_long("end_ip").alias("hi"),
-                     *IP_RANGE_COLUMNS[2:])
+                     *K.IP_RANGE_COLUMNS[2:])
 
 
 # --- SRC-07 / SRC-08: JSON -------------------------------------------------------------

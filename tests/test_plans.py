@@ -26,9 +26,15 @@ def test_no_python_in_plan(spark, key):
 
 
 def test_bucketed_interval_join_is_hash_join(spark):
-    p = plan(spark, "join_ip_range_bucketed")
+    p = plan(spark, "join_ip_range")
     assert "BroadcastNestedLoopJoin" not in p and "BroadcastHashJoin" in p
-    assert "BroadcastNestedLoopJoin" in plan(spark, "join_ip_range")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        p = plan(spark, "join_ip_range_bucketed")
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "BroadcastNestedLoopJoin" not in p and "hashpartitioning(_bucket" in p and "_salt" in p
 
 
 def test_topk_uses_group_limit(spark):
@@ -66,12 +72,13 @@ def test_global_row_number_not_single_partition(spark):
 
 NO_CROSS = ["pipe_cohort_stats", "pipe_farm_activity", "pipe_top_provinces_user_type", "str_alarm_status",
             "pipe_city_active_new", "pipe_avg_age", "pipe_city_share", "pipe_country_spend", "agg_upper_median",
-            "str_alarm_message", "snk_upsert_accumulate", "join_left_anti", "join_inner_notnull", "scl_percent"]
+            "str_alarm_message", "snk_upsert_accumulate", "join_left_anti", "join_inner_notnull", "scl_percent",
+            "join_ip_range", "join_ip_range_bucketed", "join_broadcast_dim", "win_percent_of_total", "win_rank"]
 
 
 @pytest.mark.parametrize("key", NO_CROSS)
 def test_no_cross_join(spark, key):
     """No query pairs every row with every row: no cartesian product and no
-    nested-loop join (that form is kept only for ``join_ip_range``)."""
+    nested-loop join."""
     p = plan(spark, key)
     assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, p
