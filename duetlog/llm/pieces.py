@@ -44,6 +44,9 @@ SEED = 1
 #: Exponent on the piece probabilities: above 1 sharper, below 1 flatter.
 SHARPNESS = 1.0
 
+#: Text whose lattices a task holds at once.
+SLICE_BYTES = 1 << 20
+
 _MARK = "▁"
 _ESCAPED = "\ud800"              # stands for a mark character of the text itself; no valid text holds it
 _SEGMENT = re.compile(f"\n|{_MARK}+[^{_MARK}\n]*|[^{_MARK}\n]+")
@@ -170,7 +173,9 @@ class Codec:
             tail.append(here + k + 1)
             head.append(here + k)
             piece.append(self.v.byte_first + byte[byte >= 0])
-        return self._filtered(np.concatenate(tail), np.concatenate(head), np.concatenate(piece), first, last, int(last[-1]) + 1)
+        narrow = [np.concatenate(x, dtype=np.int32) for x in (tail, head, piece)]      # a slice has far fewer than 2**31 rows
+        del tail, head, piece, at, node, got, to, go, hit, owner, stop, before, after, letter, found, alone, code
+        return self._filtered(*narrow, first, last, int(last[-1]) + 1)
 
     def _filtered(self, tail, head, piece, first, last, rows):
         order = np.argsort(tail, kind="stable")
@@ -181,25 +186,26 @@ class Codec:
         place = np.arange(rows) - np.repeat(first, np.append(first[1:], rows) - first)
         by_place = np.argsort(place, kind="stable")         # every row but a segment's first has an arc
         ends = np.cumsum(np.bincount(place))
-        alpha = np.zeros(rows)
-        log_p, share = self.log_p[piece], np.empty(len(piece))
+        alpha, share = np.zeros(rows), np.empty(len(piece))
         for p in range(1, len(ends)):                     # all segments' p-th places at once
             r = by_place[ends[p - 1]: ends[p]]
             n = at[r + 1] - at[r]
             group = np.cumsum(n) - n
             arcs = np.arange(int(n.sum())) + np.repeat(at[r] - group, n)
-            w = alpha[head[arcs]] + log_p[arcs]
+            w = alpha[head[arcs]] + self.log_p[piece[arcs]]
             top = np.maximum.reduceat(w, group)
             e = np.exp(w - np.repeat(top, n))
             total = np.add.reduceat(e, group)
             alpha[r] = top + np.log(total)
             e /= np.repeat(total, n)
             share[arcs] = e
-        total = np.cumsum(share)
-        before = np.where(at[tail] > 0, total[np.maximum(at[tail] - 1, 0)], 0.0)
-        mass = np.minimum(total - before, 1.0)
+        # cumulative share inside each row, then the row's number added: one sorted array for all draws
+        mass = np.cumsum(share)
+        mass -= np.where(at[tail] > 0, mass[np.maximum(at[tail] - 1, 0)], 0.0)
+        np.minimum(mass, 1.0, out=mass)
         mass[at[1:][width[1:] > 0] - 1] = 1.0              # the last arc into a row, whatever the rounding
-        return last, first, tail + mass, head, piece
+        mass += tail
+        return last, first, mass, head, piece
 
     # ---- walks
 
@@ -280,7 +286,7 @@ def encoded(df: DataFrame, vocabulary: Vocabulary, seed: int = SEED, with_ids: b
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(vocabulary, SHARPNESS)
-        for b in slices(batches, "t"):
+        for b in slices(batches, "t", SLICE_BYTES):
             texts = b.column(1).to_pylist()
             ids, bounds = codec.encode(texts, row_keys(b.column(0).to_pylist(), texts, seed))
             spelt = codec.spell(ids)
