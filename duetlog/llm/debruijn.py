@@ -23,8 +23,9 @@ the corpus, so edges travel compacted:
 
 Defined results: a null text has no words; texts shorter than a window keep
 everything; rows that repeat a doc_id with the same text are both the first
-occurrence and treated alike; a null doc_id compares as larger than any other;
-order among equal starts is by doc_id.  Extra columns are passed by.
+occurrence and treated alike; a null doc_id compares as larger than any other
+(ids are below 2**62), among themselves by a hash of the text; order among
+equal starts is by doc_id.  Extra columns are passed by.
 """
 
 from __future__ import annotations
@@ -44,7 +45,7 @@ WINDOW = 20
 ANCHOR = 8
 _RADIX = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93)
 _PLACE_BITS = 26
-_LAST = (1 << 63) - 1            # stands for a null doc_id
+_NO_ID = 1 << 62                 # from here on: stand-ins for null doc_ids, one a text
 _U = np.uint64
 
 
@@ -104,8 +105,9 @@ def _signed(x: np.ndarray) -> pa.Array:
 
 
 def _texts(df: DataFrame) -> DataFrame:
-    return df.select(F.coalesce(column(df, "doc_id").cast("long"), F.lit(_LAST)).alias("doc"),
-                     column(df, "text").cast("string").alias("t"))
+    text = column(df, "text").cast("string")
+    stand_in = F.lit(_NO_ID) + F.xxhash64(text).bitwiseAND(F.lit((1 << 61) - 1))
+    return df.select(F.coalesce(column(df, "doc_id").cast("long"), stand_in).alias("doc"), text.alias("t"))
 
 
 # ---------------------------------------------------------------- 1 and 2: repeated pieces
@@ -295,7 +297,7 @@ def removed(df: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, with_text
                 if with_text:
                     kept.append(out.decode())
             doc = b.column(0).to_numpy(zero_copy_only=False)
-            columns = [pa.array(doc, mask=doc == _LAST), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
+            columns = [pa.array(doc, mask=doc >= _NO_ID), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
                        pa.array(digests, pa.string())]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(kept, pa.string())] * with_text, names=names)
 

@@ -51,8 +51,9 @@ def ranked(df: DataFrame, order: list[str], name: str) -> DataFrame:
     range-partitioned layout is written first, so that the number stays the
     same in every later read; no partition depends on another one's rows."""
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    laid = df.repartitionByRange(n, *order).sortWithinPartitions(*order).select(
-        "*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_place"))
+    order = [*order, "_tie"]                  # equal rows too can be cut over several partitions
+    laid = df.withColumn("_tie", F.monotonically_increasing_id()).repartitionByRange(n, *order).sortWithinPartitions(
+        *order).drop("_tie").select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_place"))
     laid = saved(laid, "ranked")
     counts = laid.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"), F.min("_place").alias("_first"))
     before = F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))

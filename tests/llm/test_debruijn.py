@@ -81,6 +81,9 @@ def test_odd_rows(spark, odd_docs, no_docs):
 
 def test_same_id_with_other_text_is_not_cut_at_wrong_places(spark):
     a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    none = debruijn.removed(spark.createDataFrame([(None, a), (None, b), (None, a + " x"), (3, b)], "doc_id long, text string"))
+    by = sorted((r.n_words, r.n_removed) for r in none.collect())
+    assert [n for n, _ in by] == [40, 40, 40, 41] and sum(r for _, r in by) == 80    # one of the two a texts, and b without an id
     data = [(1, a), (5, a), (5, b)]
     got = rows(debruijn.removed(spark.createDataFrame(data, "doc_id long, text string")))
     assert got == brute(data, 20)
