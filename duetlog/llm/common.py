@@ -3,6 +3,8 @@ vectorised word scanner over Arrow string buffers."""
 
 from __future__ import annotations
 
+import ctypes
+import functools
 from collections.abc import Iterator
 
 import numpy as np
@@ -49,16 +51,36 @@ def string_buffers(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     counts as empty."""
     if isinstance(col, pa.ChunkedArray):
         col = col.combine_chunks()
-    col = pc.fill_null(col, "")
-    if not pa.types.is_large_string(col.type):
-        col = col.cast(pa.large_string())
-    offsets = np.frombuffer(col.buffers()[1], dtype=np.int64)[col.offset: col.offset + len(col) + 1]
-    raw = col.buffers()[2]
+    if col.null_count:
+        col = pc.fill_null(col, "")
+    kind = np.int64 if pa.types.is_large_string(col.type) else np.int32
+    if len(col) == 0:
+        return np.zeros(1, np.int64), np.zeros(0, np.uint8)
+    offsets = np.frombuffer(col.buffers()[1], dtype=kind)[col.offset: col.offset + len(col) + 1].astype(np.int64)
+    raw = col.buffers()[2]                 # the bytes themselves are not copied
     data = np.frombuffer(raw, dtype=np.uint8) if raw is not None else np.zeros(0, np.uint8)
-    if len(offsets) == 0:
-        offsets = np.zeros(1, np.int64)
-    base = offsets[0]
-    return offsets - base, data[base: offsets[-1]]
+    return offsets - offsets[0], data[offsets[0]: offsets[-1]]
+
+
+def _trim() -> None:
+    """Give freed memory back to the system (a worker that waits for its next
+    task should not hold what the last one used)."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):      # another C library
+        pass
+
+
+def task(run):
+    """A ``mapInArrow`` function that leaves its worker small."""
+    @functools.wraps(run)
+    def whole(batches):
+        try:
+            yield from run(batches)
+        finally:
+            _trim()
+    return whole
 
 
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text",

@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import column, mixed, saved, slices, string_buffers, window_hashes, word_hashes, word_spans
+from .common import column, mixed, saved, slices, string_buffers, task, window_hashes, word_hashes, word_spans
 
 WINDOW = 20
 ANCHOR = 8
@@ -137,7 +137,7 @@ def path_rows(df: DataFrame, window: int, anchor: int) -> DataFrame:
                 names=["anchor", "path", "size", "doc", "start", "later"])
 
     return _texts(df).mapInArrow(
-        run, "anchor long, path long, size int, doc long, start int, later array<struct<doc: long, start: int>>")
+        task(run), "anchor long, path long, size int, doc long, start int, later array<struct<doc: long, start: int>>")
 
 
 def pieces(rows: DataFrame) -> DataFrame:
@@ -186,7 +186,7 @@ def edge_pieces(df: DataFrame, expand: DataFrame, window: int, anchor: int) -> D
                 [_signed(one[edge]), _signed(two[edge]), pa.array(doc), pa.array((edge - bounds[owner]).astype(np.int32))],
                 names=["one", "two", "doc", "start"])
 
-    edges = texts.select("doc", "t", "asked").mapInArrow(run, "one long, two long, doc long, start int")
+    edges = texts.select("doc", "t", "asked").mapInArrow(task(run), "one long, two long, doc long, start int")
     edges = saved(edges, "edges")
     first = edges.groupBy("one", "two").agg(F.min(F.struct("doc", "start")).alias("src"), F.count(F.lit(1)).alias("n"))
     found = edges.join(first.where("n > 1").drop("n"), ["one", "two"])
@@ -302,4 +302,4 @@ def removed(df: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, with_text
             yield pa.RecordBatch.from_arrays(columns + [pa.array(kept, pa.string())] * with_text, names=names)
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"
-    return texts.mapInArrow(run, schema + (", kept string" if with_text else ""))
+    return texts.mapInArrow(task(run), schema + (", kept string" if with_text else ""))

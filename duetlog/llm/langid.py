@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import column, slices, string_buffers
+from .common import column, slices, string_buffers, task
 
 UNKNOWN = "und"
 WINDOW = 64
@@ -199,7 +199,7 @@ def sample(df: DataFrame, docs_per_language: int = SAMPLE_DOCS) -> tuple[np.ndar
 
     # the sample's ids are bounded by docs_per_language a language
     got = rows.join(F.broadcast(picked), ["id", "lang"], "left_semi").select("id", "lang", "t").mapInArrow(
-        run, "id long, lang string, cuts array<binary>").orderBy("lang", "id", "cuts").collect()
+        task(run), "id long, lang string, cuts array<binary>").orderBy("lang", "id", "cuts").collect()
     languages = tuple(sorted({r.lang for r in got}))
     texts = [bytes(c) for r in got for c in r.cuts]
     labels = np.array([languages.index(r.lang) for r in got for _ in r.cuts], dtype=np.int64)
@@ -278,7 +278,7 @@ def predict(df: DataFrame, model: Model | None, keep: list[str] | None = None,
                                               pa.array(score)], names=[*names, "lang_pred", "score"])
 
     schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in sent_kept.schema)
-    got = sent.mapInArrow(run, f"{schema + ', ' if names else ''}lang_pred string, score double")
+    got = sent.mapInArrow(task(run), f"{schema + ', ' if names else ''}lang_pred string, score double")
     return got.select(*[F.col(n).alias(c) for n, c in zip(names, keep)], F.col("lang_pred").alias(out[0]), F.col("score").alias(out[1]))
 
 

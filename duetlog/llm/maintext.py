@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import boost
-from .common import column, slices
+from .common import column, slices, task
 
 SAMPLE_PAGES = 300
 SAMPLE_CHARS = 60_000
@@ -395,7 +395,7 @@ def extract(pages: DataFrame, model: boost.Trees | None) -> DataFrame:
 
     return pages.select(column(pages, "page_id").cast("long").alias("page_id"), column(pages, "url").cast("string").alias("url"),
                         column(pages, "html").cast("string").alias("html")).mapInArrow(
-        run, "page_id long, url string, text string, n_chars long")
+        task(run), "page_id long, url string, text string, n_chars long")
 
 
 def main_text(pages: DataFrame) -> DataFrame:

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, mixed, slices
+from .common import column, mixed, slices, task
 
 MODEL_PATH = "/opt/tokenizers/piece_bpe_32k.model"
 SEED = 1
@@ -306,7 +306,7 @@ def encoded(df: DataFrame, vocabulary: Vocabulary, seed: int = SEED, with_ids: b
 
     schema = "doc_id long, n_pieces long, n_byte_pieces long, ids_sha256 string, lossless boolean"
     return df.select(column(df, "doc_id").cast("long").alias("doc_id"), column(df, "text").cast("string").alias("t")).mapInArrow(
-        run, schema + (", piece_ids array<int>" if with_ids else ""))
+        task(run), schema + (", piece_ids array<int>" if with_ids else ""))
 
 
 def decoded(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:

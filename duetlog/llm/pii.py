@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import boost
-from .common import column, slices
+from .common import column, slices, task
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_SPANS = 3000
@@ -59,6 +59,8 @@ _TOKEN = re.compile(r"[^ ]+")
 _LOOSE_MAIL = re.compile(
     r"[\w.%+-]{1,64}(?: ?(?:@|[(\[{]at[)\]}]) ?[\w-]{1,63}(?:(?:\.| ?[(\[{]dot[)\]}] ?)[\w-]{1,63}){1,4}"
     r"| at [\w-]{1,63}(?: dot [\w-]{1,63}){1,4})")
+#: A text without any of these holds no span.
+_ANY = re.compile(r"[0-9@]|[(\[{]at[)\]}]| dot ")
 _MAIL_HINT = re.compile(r"@|[([{]at[)\]}]| dot ")
 #: Context words that speak for or against a kind.
 _HINTS = ("mail", "contact", "tel", "phone", "call", "fax", "ip", "host", "server", "card", "visa", "pay", "credit",
@@ -249,7 +251,7 @@ def _snippets(df: DataFrame) -> DataFrame:
                         ("span", pa.string()), ("r", pa.string())])
     some = df.select(column(df, "doc_id").cast("long").alias("id"), column(df, "text").cast("string").alias("t")).where(
         F.col("t").rlike("[0-9@]"))
-    return some.mapInArrow(run, "id long, start long, kind string, l string, span string, r string")
+    return some.mapInArrow(task(run), "id long, start long, kind string, l string, span string, r string")
 
 
 def fit(df: DataFrame) -> Model | None:
@@ -306,7 +308,7 @@ def find(df: DataFrame, model: Model | None) -> DataFrame:
                                               pa.array(digests, pa.string()), pa.array(written, pa.string())], names=names)
 
     return df.select(column(df, "doc_id").cast("long").alias("doc_id"), column(df, "text").cast("string").alias("t")).mapInArrow(
-        run, "doc_id long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string")
+        task(run), "doc_id long, " + ", ".join(f"n_{k} long" for k in KINDS) + ", base_sha256 string, spans string")
 
 
 def personal_data(df: DataFrame) -> DataFrame:
@@ -328,13 +330,20 @@ def redacted(df: DataFrame) -> DataFrame:
     """Rows of ``df`` with personal data in ``text`` replaced; ``n_chars``,
     where there is one, follows the new text.  Null texts stay null."""
     model = fit(df)
+    names = [f"c{i}" for i in range(len(df.columns))]
+    own = df.columns.index("text")
+    sent = df.select(*[column(df, c).alias(n) for c, n in zip(df.columns, names)])
 
-    @F.pandas_udf("string")
-    def clean(texts):
-        return texts.map(lambda t: None if t is None else redact(t, all_spans(t, model)[1]))
-
-    text = column(df, "text")
-    out = df.withColumn("text", F.when(text.rlike("[0-9@]|[(\\[{]at[)\\]}]| dot "), clean(text)).otherwise(text))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, names[own]):
+            clean = [t if t is None or not _ANY.search(t) else redact(t, all_spans(t, model)[1])
+                     for t in b.column(own).to_pylist()]
+            arrays = list(b.columns)
+            arrays[own] = pa.array(clean, arrays[own].type)
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
+
+    got = sent.mapInArrow(task(run), sent.schema)
+    out = got.select(*[F.col(n).alias(c) for n, c in zip(names, df.columns)])
     if "n_chars" in df.columns:
         out = out.withColumn("n_chars", F.length("text").cast(df.schema["n_chars"].dataType))
     return out

@@ -41,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import column, saved, slices, string_buffers
+from .common import column, saved, slices, string_buffers, task
 from .components import roots
 
 SHINGLE_WORDS = 3
@@ -87,7 +87,7 @@ def fingerprints(df: DataFrame, text: str = "text", key: str = "doc_id", words:
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
 
     return df.select(column(df, key).cast("long").alias("doc_id"), column(df, text).cast("string").alias("t")).mapInArrow(
-        run, "doc_id long, fp long")
+        task(run), "doc_id long, fp long")
 
 
 def group_masks(max_bits: int) -> np.ndarray:
@@ -120,7 +120,7 @@ def _keys(classes: DataFrame, max_bits: int) -> DataFrame:
                     [pa.array(np.full(len(fp), p, np.int32)), pa.array(key.view(np.int64)), pa.array(fp.view(np.int64))],
                     names=["pair", "key", "fp"])
 
-    return classes.select("fp").mapInArrow(run, "pair int, key long, fp long")
+    return classes.select("fp").mapInArrow(task(run), "pair int, key long, fp long")
 
 
 def _close(fp: np.ndarray, table: np.ndarray, a: np.ndarray, b: np.ndarray, max_bits: int) -> np.ndarray:
@@ -231,7 +231,7 @@ def _meet(keys: DataFrame, max_bits: int, dense: int) -> DataFrame:
         yield from work(pair, key, fp)
 
     laid = keys.repartition("pair", "key").sortWithinPartitions("pair", "key", "fp")
-    return laid.mapInArrow(run, "pair int, a long, b long")
+    return laid.mapInArrow(task(run), "pair int, a long, b long")
 
 
 def _hub_links(rows: DataFrame, max_bits: int) -> DataFrame:
@@ -266,7 +266,7 @@ def _hub_links(rows: DataFrame, max_bits: int) -> DataFrame:
                         [pa.array(np.full(len(hub), p, np.int32)), pa.array(hub), pa.array(who),
                          pa.array(np.tile(is_near, len(f)))], names=["pair", "hub", "fp", "near"])
 
-    visits = rows.select("pair", "a").mapInArrow(run, "pair int, hub long, fp long, near boolean")
+    visits = rows.select("pair", "a").mapInArrow(task(run), "pair int, hub long, fp long, near boolean")
     least = visits.where("near").groupBy("pair", "hub").agg(F.min("fp").alias("b"))
     return visits.join(least, ["pair", "hub"]).where("fp <> b").select(F.col("fp").alias("a"), "b").distinct()
 

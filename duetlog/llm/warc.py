@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import staging_path
-from .common import column, slices
+from .common import column, slices, task
 
 MIN_REVISIT = 100
 SAMPLE_RECORDS = 600
@@ -170,7 +170,7 @@ def _encode(shared: bytes):
 def write_archives(pages: DataFrame, path: str) -> None:
     """Write ``pages`` (page_id, url, html) as archive files under ``path``."""
     shared = dictionary(pages)
-    digested(pages).mapInArrow(_encode(shared), "frame binary").select(F.col("frame").cast("string")).write.option(
+    digested(pages).mapInArrow(task(_encode(shared)), "frame binary").select(F.col("frame").cast("string")).write.option(
         "lineSep", _SEPARATOR).text(path)
 
 
@@ -195,7 +195,7 @@ def read_archives(spark: SparkSession, path: str) -> DataFrame:
                     yield batch(rows)
 
     return spark.read.format("binaryFile").load(path).select("content").mapInArrow(
-        run, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
+        task(run), "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
 def round_trip(pages: DataFrame) -> DataFrame:
