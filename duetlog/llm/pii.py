@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import boost
-from .common import column, slices, task
+from .common import column, saved, slices, task
 
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_SPANS = 3000
@@ -255,12 +255,19 @@ def _snippets(df: DataFrame) -> DataFrame:
 
 
 def fit(df: DataFrame) -> Model | None:
-    rows = _snippets(df).select("kind", "l", "span", "r", F.xxhash64("id", "start", "kind").alias("h"))
-    # the least hashes of either sort: a bounded sample, the same however the input is split
-    one = rows.where("kind <> 'none'").orderBy("h", "kind", "l", "span", "r").limit(SAMPLE_SPANS)
-    two = rows.where("kind = 'none'").orderBy("h", "span").limit(SAMPLE_OTHER)
-    spans = [(r.kind, r.l, r.span, r.r) for r in one.collect()]
-    others = [r.span for r in two.collect()] if spans else []
+    """Train on the spans and stretches of least hash: a bounded sample, the
+    same however the input is split.  The snippets are written once; the cut
+    is found from the hashes alone, so no task sends the driver more."""
+    rows = saved(_snippets(df).withColumn("h", F.xxhash64("id", "start", "kind")), "snippets")
+
+    def least(part: DataFrame, n: int) -> list:
+        last = part.select("h").orderBy("h").limit(n).agg(F.max("h")).first()[0]
+        if last is None:
+            return []
+        return part.where(F.col("h") <= F.lit(last)).orderBy("h", "kind", "l", "span", "r").limit(n).collect()
+
+    spans = [(r.kind, r.l, r.span, r.r) for r in least(rows.where("kind <> 'none'"), SAMPLE_SPANS)]
+    others = [r.span for r in least(rows.where("kind = 'none'"), SAMPLE_OTHER)] if spans else []
     return train(spans, others)
 
 

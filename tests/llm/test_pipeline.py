@@ -4,7 +4,7 @@ import numpy as np
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
-from duetlog.llm import decontam, langid, pieces, pii, simhash
+from duetlog.llm import decontam, langid, pieces, pii
 from duetlog.llm.common import read
 from .conftest import SF001
 from .test_simhash import brute, plain_fingerprint
