@@ -39,6 +39,7 @@ PAD = 256
 HIDDEN = 8
 SAMPLE_DOCS = 500
 SAMPLE_WINDOWS = 6
+SAMPLE_PARTS = 64
 STEPS = 500
 BATCH = 256
 RATE = 0.02
@@ -187,9 +188,12 @@ def sample(df: DataFrame, docs_per_language: int = SAMPLE_DOCS) -> tuple[np.ndar
     """The bounded training sample: windows, class numbers, languages."""
     rows = df.select(column(df, "doc_id").alias("id"), column(df, "lang").alias("lang"), column(df, "text").alias("t"))
     rows = rows.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id")))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("id"), "id")
-    picked = rows.where("t is not null").select("id", "lang").distinct().withColumn("r", F.row_number().over(order))
-    picked = picked.where(F.col("r") <= docs_per_language).select("id", "lang")
+    picked = rows.where("t is not null").select("id", "lang").distinct().withColumn("h", F.xxhash64("id")).withColumn(
+        "part", F.pmod(F.col("h"), F.lit(SAMPLE_PARTS)))
+    for group in (["lang", "part"], ["lang"]):         # in parts first: a language that most rows share is not one task's
+        order = Window.partitionBy(*group).orderBy("h", "id")
+        picked = picked.withColumn("r", F.row_number().over(order)).where(F.col("r") <= docs_per_language).drop("r")
+    picked = picked.select("id", "lang")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
