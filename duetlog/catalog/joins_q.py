@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators.joins import ip_range_join, left_anti
+from ..operators.joins import explode_ranges, ip_range_join, left_anti, measured_bytes
 from ..plans import enrich
 from ..session import staging_path
 from ..sinks.writers import write_csv
@@ -147,8 +147,9 @@ SELECT a.city, a.act_number, n.new_number FROM a JOIN n USING (city)"""
 def pipe_city_active_new(t):
     """PIPE-03: weekly active and new users per city."""
     r = t["ip_ranges"]
-    active = enrich.enrich_users(t["user_ip_text"], r, ip="ip_addr", text_ip=True)
-    new = enrich.enrich_users(t["new_user_ip_text"], r, ip="ip_addr", text_ip=True)
+    size = measured_bytes(explode_ranges(r.select("lo", "hi", *enrich.REGION_ATTRS)))      # one check for both lists
+    active = enrich.enrich_users(t["user_ip_text"], r, ip="ip_addr", text_ip=True, dim_bytes=size)
+    new = enrich.enrich_users(t["new_user_ip_text"], r, ip="ip_addr", text_ip=True, dim_bytes=size)
     return enrich.city_active_new(active, new)
 
 

@@ -126,31 +126,6 @@ def read_jdbc(spark: SparkSession, url: str, table: str, properties: Mapping[str
     return spark.read.jdbc(url, table, properties=dict(properties))
 
 
-# --- SRC-12: Excel (optional) ----------------------------------------------------------------
-
-def read_excel(spark: SparkSession, path: str, columns: Sequence[str], sheet: str | int = 0,
-               header: bool = True) -> DataFrame:
-    """SRC-12: one workbook per task via ``binaryFile`` + ``mapInPandas``;
-    ``columns`` is the sheet's header (all read as text, empty -> null).
-    Needs ``openpyxl`` on the executors; raises ImportError otherwise."""
-    import importlib
-    importlib.import_module("openpyxl")
-    cols = list(columns)
-
-    def parse(batches):
-        import io
-
-        import pandas as pd
-        for pdf in batches:
-            for content in pdf["content"]:
-                book = pd.read_excel(io.BytesIO(content), sheet_name=sheet, header=0 if header else None,
-                                     names=cols, dtype=str)
-                yield book.astype(object).where(book.notna(), None)
-
-    schema = ", ".join(f"`{c}` STRING" for c in cols)
-    return spark.read.format("binaryFile").load(path).select("content").mapInPandas(parse, schema)
-
-
 # --- SRC-15..18: key-value and wide-column stores as tables ------------------------------------
 
 def cells_to_rows(cells: DataFrame, qualifiers: Sequence[str], family: str = "cf",

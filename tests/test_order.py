@@ -1,7 +1,6 @@
 """Sorted results arrive sorted (the oracle compares rows without order)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from duetlog.catalog import registry
 from duetlog.sources.readers import read_guide_tsv, read_user_ip_csv
