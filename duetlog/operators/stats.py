@@ -10,11 +10,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-#: Buckets a group's values are cut into at each narrowing step.
-BUCKETS = 64
-#: Narrowing steps before the last bucket is ranked: with two, a group's
-#: target bucket holds about 1 / 4096 of its distinct values.
-NARROWINGS = 2
+#: ``percentile_approx`` is off by at most 1 / ACCURACY of a group's rows; the
+#: bracket around the median is four times that wide on either side.
+ACCURACY = 5000
+BRACKET = 4 / ACCURACY
 
 
 def upper_median(df: DataFrame, keys: Sequence[str], value: str | Column,
@@ -24,19 +23,35 @@ def upper_median(df: DataFrame, keys: Sequence[str], value: str | Column,
     without building the list.  ``where`` keeps only rows meeting a
     condition.  NaN sorts last, after infinity.
 
-    Values are first counted per ``(keys, value)`` (map-side partial
-    aggregation, so a repeated value collapses before the shuffle); then
-    ``median_from_histogram`` finds the target rank.
-    """
-    v = F.col(value) if isinstance(value, str) else value
-    cond = v.isNotNull() if where is None else (where & v.isNotNull())
-    # the row condition is counted inside the aggregate rather than filtered
-    # before it, so the input subtree stays identical to the caller's other
+    Approximate quantiles just below and above the middle (merged map-side)
+    bracket it for certain.  One more aggregate counts the rows under the
+    bracket and the values inside it, and only those few values are ranked: a
+    hot group, or a narrow range of ids, times or texts, is never sorted in
+    one task."""
+    rows = _bracketed(df, keys, F.col(value) if isinstance(value, str) else value, where)
+    run = Window.partitionBy(*keys).orderBy("_inside", "_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    rows = rows.withColumn("_through", F.sum("_c").over(run))
+    goal = F.floor(F.col("_n") / 2) + 1
+    return rows.where((F.col("_through") >= goal) & (F.col("_through") - F.col("_c") < goal)).select(
+        *keys, F.col("_value").alias(out))
+
+
+def _bracketed(df: DataFrame, keys: Sequence[str], v: Column, where: Column | None = None) -> DataFrame:
+    """(keys, _inside, _value, _c, _n): per group the count of rows under the
+    bracket (``_inside`` false) and of every value in it; ``_n`` rows in all."""
+    # the row condition is applied inside the aggregates rather than filtered
+    # before them, so the input subtree stays identical to the caller's other
     # aggregates and its shuffle is reused, not redone
-    hist = (df.select(*keys, v.alias("_v"), cond.alias("_w"))
-              .groupBy(*keys, "_v").agg(F.count_if(F.col("_w")).alias("_c"))
-              .where(F.col("_c") > 0))
-    return median_from_histogram(hist, keys, "_v", "_c", out)
+    cond = v.isNotNull() if where is None else (where & v.isNotNull())
+    x = _order_number(df.select(*keys, F.when(cond, v).alias("_v")), keys, "_v")
+    bounds = x.groupBy(*keys).agg(
+        F.percentile_approx("_o", [0.5 - BRACKET, 0.5 + BRACKET], ACCURACY).alias("_p"), F.count("_v").alias("_n"))
+    x = _join_keys(x, bounds.where("_n > 0"), keys)
+    lo, hi, o = F.get("_p", F.lit(0)), F.get("_p", F.lit(1)), F.col("_o")
+    inside = (o >= lo) & (o <= hi)
+    return (x.groupBy(*keys, "_n", F.when(o < lo, F.lit(False)).when(inside, F.lit(True)).alias("_inside"),
+                      F.when(inside, F.col("_v")).alias("_value"))
+             .agg(F.count("_v").alias("_c")).where(F.col("_inside").isNotNull() & (F.col("_c") > 0)))
 
 
 def _join_keys(left: DataFrame, right: DataFrame, keys: Sequence[str], *more: Column) -> DataFrame:
@@ -69,42 +84,7 @@ def _order_number(h: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     if kind in ("date", "timestamp", "timestamp_ntz"):
         return h.withColumn("_o", F.unix_micros(v.cast("timestamp")).cast("double"))
     d = v.cast("double")
-    return h.withColumn("_o", F.when(F.isnan(d), F.lit(float("inf"))).otherwise(d))
-
-
-def _narrowed(h: DataFrame, keys: Sequence[str], value: str, count: str) -> DataFrame:
-    """Only each group's bucket that holds rank ``_t``, with ``_t`` counted
-    from the bucket's start.  Bucket bounds are approximate quantiles of the
-    group's own distinct values (merged map-side); the counts are exact."""
-    o = _order_number(h, keys, value)
-    bounds = o.groupBy(*keys).agg(F.percentile_approx(
-        "_o", [i / BUCKETS for i in range(1, BUCKETS)], 20 * BUCKETS).alias("_bounds"))
-    o = _join_keys(o, bounds, keys)
-    o = o.withColumn("_b", F.size(F.filter(F.array_distinct("_bounds"), lambda x: x < F.col("_o")))).drop("_bounds", "_o")
-    run = Window.partitionBy(*keys).orderBy("_b").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    coarse = o.groupBy(*keys, "_b").agg(F.sum(count).alias("_n"), F.first("_t").alias("_goal"))
-    sel = (coarse.withColumn("_cum", F.sum("_n").over(run))                     # at most BUCKETS rows a group
-                 .where((F.col("_cum") >= F.col("_goal")) & (F.col("_cum") - F.col("_n") < F.col("_goal")))
-                 .select(*keys, F.col("_b").alias("_sel"), (F.col("_goal") - (F.col("_cum") - F.col("_n"))).alias("_left")))
-    return _join_keys(o, sel, keys, F.col("_b") == F.col("_sel")).withColumn("_t", F.col("_left")).drop("_b", "_sel", "_left")
-
-
-def median_from_histogram(hist: DataFrame, keys: Sequence[str], value: str, count: str,
-                          out: str = "median") -> DataFrame:
-    """Upper median from ``(keys, value, count)`` rows with distinct values.
-
-    The bucket holding rank ``n div 2 + 1`` is narrowed ``NARROWINGS`` times
-    over buckets taken from the group's own quantiles, then only that
-    bucket's few values are ranked; so neither a hot group nor a narrow range
-    of ids, times or texts is ever sorted in one task."""
-    totals = hist.groupBy(*keys).agg((F.floor(F.sum(count) / 2) + 1).alias("_t"))
-    h = _join_keys(hist, totals, keys)
-    for _ in range(NARROWINGS):
-        h = _narrowed(h, keys, value, count)
-    run = Window.partitionBy(*keys).orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    h = h.withColumn("_fc", F.sum(count).over(run))
-    return h.where((F.col("_fc") >= F.col("_t")) & (F.col("_fc") - F.col(count) < F.col("_t"))).select(
-        *keys, F.col(value).alias(out))
+    return h.withColumn("_o", F.when(F.isnan(d), F.lit(float("inf"))).otherwise(d))   # ties with infinity: inside, ranked by value
 
 
 def with_percent_of_total(df: DataFrame, count_col: str, partition: Sequence[str], out: str = "percent") -> DataFrame:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from .. import constants as K
 from ..functions import columns as C
 from ..operators.joins import enrich_sides
-from ..operators.stats import median_from_histogram, topk_per_group
+from ..operators.stats import topk_per_group, upper_median
 
 PARTNER_FIELDS = ("province", "city", "country", "birthday", "regist_time", "last_use_time")
 
@@ -58,10 +58,9 @@ def cohort_stats(profile: DataFrame, step: int, dedup: bool = True,
     The studied job self-joins a paid and an all-rows aggregate and takes the
     median from a collected, sorted list.  Here the de-duplicated rows (the
     only full shuffle, computed once and reused) feed two aggregations: the
-    bucket totals with filtered aggregates, and a paid-cost histogram
-    ``(bucket, cost) -> count`` combined map-side, which gives the exact upper
-    median (``median_from_histogram``: narrowed over the bucket's own
-    quantiles, so a hot love-days bucket is not sorted in one task).  No bucket
+    bucket totals with filtered aggregates, and the exact upper median
+    (``upper_median``: only the values between two quantiles next to the middle
+    are ranked, so a hot love-days bucket is not sorted in one task).  No bucket
     is ever gathered as a list.  A bucket without payers gets null pay rate /
     median / ARPPU / std-dev, as the left join gave.
     """
@@ -77,12 +76,7 @@ def cohort_stats(profile: DataFrame, step: int, dedup: bool = True,
              .where(F.col("love_days").isNotNull()))
     cost = F.col("total_cost")
     paid = cost != 0                                   # null cost: neither paid nor counted
-    # paid-cost histogram: the condition is counted inside the aggregate (not
-    # filtered before it), so its input is the same de-duplicated subtree as
-    # the totals below and that exchange is computed once and reused
-    paid_hist = (x.groupBy("love_days", "total_cost").agg(F.count_if(paid).alias("_c"))
-                  .where(F.col("_c") > 0))
-    med = median_from_histogram(paid_hist, ["love_days"], "total_cost", "_c", "median_paid_cost")
+    med = upper_median(x, ["love_days"], "total_cost", "median_paid_cost", where=paid)
     agg = x.groupBy("love_days").agg(
         F.count("space_id").alias("space_cnt"),
         F.sum("total_cost").alias("cost"),

@@ -130,11 +130,11 @@ def test_upper_median_two_level_random(spark, monkeypatch):
     rows += [(10, -3.0), (10, -0.5), (10, 0.0), (10, 0.25), (10, 7.0)]
     df = spark.createDataFrame(rows, "g int, v double")
     want[10] = 0.0
-    for b, n in ((2, 1), (3, 4), (64, 2), (64, 0)):
-        monkeypatch.setattr(stats, "BUCKETS", b)
-        monkeypatch.setattr(stats, "NARROWINGS", n)
+    for accuracy in (20, 100, 5000):       # coarse quantiles: a wider bracket, the same median
+        monkeypatch.setattr(stats, "ACCURACY", accuracy)
+        monkeypatch.setattr(stats, "BRACKET", 4 / accuracy)
         got = {r["g"]: r["median"] for r in upper_median(df, ["g"], "v").collect()}
-        assert got == want, (b, n)
+        assert got == want, accuracy
     dec = df.withColumn("v", F.col("v").cast("decimal(12,2)"))
     dec_rows = [(r["g"], r["v"]) for r in dec.collect()]
     want_dec = {}
@@ -178,8 +178,7 @@ def test_upper_median_narrow_ranges_are_spread(spark):
     for c in ("ms", "text", "ts"):
         got = upper_median(base, ["g"], c).first()["median"]
         assert got == base.where(F.col("id") == n // 2).first()[c], c
-        h = base.select("g", F.col(c).alias("v"), F.lit(1).alias("c"), F.lit(n // 2 + 1).alias("_t"))
-        assert stats._narrowed(h, ["g"], "v", "c").count() <= 2 * n / stats.BUCKETS, c
+        assert stats._bracketed(base, ["g"], F.col(c)).count() <= 3 * n * stats.BRACKET, c
 
 
 def test_rank_and_percent_equal_windows(spark):
