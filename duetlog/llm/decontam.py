@@ -111,7 +111,7 @@ def cleaned(documents: DataFrame, items: DataFrame) -> DataFrame:
     """Rows of ``documents`` without any verified overlap."""
     bad = overlaps(documents, items).select(F.col("doc_id").alias("_bad_id"), F.col("text_hash").alias("_bad_text")).distinct()
     own = column(documents, "doc_id"), column(documents, "text")
-    return documents.join(bad, own[0].eqNullSafe(F.col("_bad_id")) & (F.xxhash64(own[1]) == F.col("_bad_text")), "left_anti")
+    return documents.join(bad, own[0].eqNullSafe(bad["_bad_id"]) & (F.xxhash64(own[1]) == bad["_bad_text"]), "left_anti")
 
 
 def oracle_sql() -> str:

@@ -55,7 +55,8 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert got == [(1, 4), (2, 4), (10, 5)]
     assert decontam.contaminated(no_docs, items).count() == 0
     assert decontam.contaminated(odd_docs, items.limit(0)).count() == 0
-    clash = odd_docs.withColumn("item_id", F.lit(1)).withColumn("seed", F.lit("x")).withColumn("tokens", F.lit(2))
+    clash = odd_docs.withColumn("item_id", F.lit(1)).withColumn("seed", F.lit("x")).withColumn("tokens", F.lit(2)).withColumn(
+        "_bad_id", F.lit(1)).withColumn("hits", F.lit("h")).withColumn("text_hash", F.lit(3))
     kept = decontam.cleaned(clash, items)
     assert kept.columns == clash.columns
     assert kept.count() == odd_docs.count() - 3 and kept.where("doc_id is null").count() == 1

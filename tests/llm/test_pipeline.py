@@ -52,6 +52,8 @@ def test_stages_and_run_equal_brute_force(spark):
 
 def test_stages_keep_the_columns(spark, odd_docs):
     docs = odd_docs.withColumn("n_chars", F.length("text")).withColumn("score", F.lit("clash"))
+    for name in ("_t", "_lang", "_score", "c0", "h", "component_id", "_bad_text", "spans", "lang_pred"):
+        docs = docs.withColumn(name, F.lit(1))
     for name, stage in cp.STAGES[:-1]:
         out = stage(spark, docs, SF001)
         assert out.columns == docs.columns, name
