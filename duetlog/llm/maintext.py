@@ -15,8 +15,9 @@ forms, reader comments and related links added (texts from other pages of the
 sample), teach what a single template does not show.
 
 Defined results: a null or empty page, or one without kept blocks, has the
-empty text; broken or cut-off markup is read as far as it goes; without any
-self-labelled page a fixed rule drops the elements that are boilerplate by
+empty text; broken or cut-off markup is read as far as it goes (an element that is
+passed over but has no end tag ends at the first block element inside it);
+without any self-labelled page a fixed rule drops the elements that are boilerplate by
 name; repeated rows are treated alike; nesting depth costs no recursion.
 Extra columns are passed by.
 """
@@ -46,7 +47,12 @@ _ATTRIBUTE = re.compile(r"(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'
 _NAME_PART = re.compile(r"[a-z0-9]+")
 
 # Element names by what they are, and attribute tokens.
-_RAW = frozenset("script style noscript template svg math iframe object canvas audio video textarea select head".split())
+_TO_END = frozenset("script style textarea".split())
+_RAW = _TO_END | frozenset("noscript template svg math iframe object canvas audio video select head".split())
+_IN_HEAD = frozenset("base basefont bgsound link meta title".split())
+_BLOCKS = frozenset("address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure "
+                    "footer form h1 h2 h3 h4 h5 h6 header hgroup li main menu nav ol p pre section summary table tbody td "
+                    "tfoot th thead tr ul".split())
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span "
                     "strike strong sub sup time tt u var".split())
@@ -81,9 +87,88 @@ class Page:
         return len(self.tag) - 1
 
 
+def _end_tag(name: str, source: str, at: int) -> int:
+    """Place of the next end tag of ``name``, or the end of the page."""
+    stop = re.compile(f"</{re.escape(name)}(?=[\\s/>]|\\Z)", re.I).search(source, at)
+    return stop.start() if stop else len(source)
+
+
+def _raw_ends(source: str) -> dict[int, int]:
+    """Where each raw element but scripts, styles and text areas ends, by the
+    place after its start tag: at its own end tag; without one at the first
+    block element inside, or else where an element around it ends.  A head
+    also ends at the body and at all that cannot stand in a head."""
+    ends: dict[int, int] = {}
+    stack, raw, open_count = [], [], {}          # [name, place after the start tag of a raw one, first block inside]
+    at, end = 0, len(source)
+
+    def close(name: str, place: int) -> None:
+        """Close open elements up to the nearest ``name``."""
+        while True:
+            was, start, first = stack.pop()
+            open_count[was] -= 1
+            if start:
+                raw.pop()
+                ends[start] = place if was == name or not first else first
+                if first and was != name and raw:
+                    raw[-1][2] = raw[-1][2] or first
+            if was == name:
+                return
+
+    while at < end:
+        lt = source.find("<", at)
+        if raw and raw[-1][0] == "head" and source[at: lt if lt >= 0 else end].strip():
+            close("head", at)
+        if lt < 0:
+            break
+        m = _MARKUP.match(source, lt)
+        if m is None:
+            if raw and raw[-1][0] == "head":
+                close("head", lt)
+            at = lt + 1
+            continue
+        at = m.end()
+        ending, name, rest = (m.group(1), m.group(2), m.group(3)) if m.group(2) else (m.group(4), m.group(5), m.group(6))
+        if not name:
+            continue
+        name = name.lower()
+        if name in _TO_END:
+            if not ending and not rest.endswith("/"):
+                at = _end_tag(name, source, at)
+            continue
+        if ending:
+            if open_count.get(name):
+                close(name, lt)
+            continue
+        if open_count.get("head") and (name == "body" or raw[-1][0] == "head" and name not in _RAW | _IN_HEAD
+                                       or raw[-1][0] == "title" and name in _BLOCKS):
+            close("head", lt)
+        if name in _RAW or name == "title" and raw and raw[-1][0] == "head":
+            if rest.endswith("/"):
+                continue
+            stack.append([name, at, 0])
+            raw.append(stack[-1])
+        elif name in _VOID or name in _INLINE:
+            continue
+        else:
+            if raw and name in _BLOCKS:
+                raw[-1][2] = raw[-1][2] or lt
+            stack.append([name, 0, 0])
+        open_count[name] = open_count.get(name, 0) + 1
+    while stack:
+        name, start, first = stack.pop()
+        if start:
+            raw.pop()
+            ends[start] = first or end
+            if raw:
+                raw[-1][2] = raw[-1][2] or first
+    return ends
+
+
 def parse(source: str) -> Page:
     """The blocks of one page, in time linear in its length."""
     page, stack, open_count = Page(), [0], {}
+    raw_ends = _raw_ends(source)
     run: list[str] = []
     linked, in_link = 0, 0
     at, end = 0, len(source)
@@ -132,8 +217,7 @@ def parse(source: str) -> Page:
         name = name.lower()
         if name in _RAW:
             if not ending and not rest.endswith("/"):
-                stop = re.compile(f"</{re.escape(name)}(?=[\\s/>]|\\Z)", re.I).search(source, at)
-                at = stop.start() if stop else end
+                at = _end_tag(name, source, at) if name in _TO_END else raw_ends.get(at, at)
             continue
         if name == "br" or name == "hr":
             run.append(" ")

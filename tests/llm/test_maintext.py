@@ -81,3 +81,24 @@ def test_odd_rows(spark):
     assert len(got[5]) == 50000 * 11 - 1
     assert maintext.main_text(pages).count() == len(rows) and maintext.main_text(pages.limit(0)).count() == 0
     assert maintext.main_text(pages).where(F.col("n_chars") != F.length("text")).count() == 0
+
+
+def test_raw_elements_without_end_tag():
+    def text(s):
+        p = maintext.parse(s)
+        return maintext.written(p, np.ones(len(p.tag), dtype=bool))
+    assert text("<html><head><title>t</title><body><article><p>one</p></article>") == "one"
+    assert text("<head><meta charset=x><title>t<script>a</script><p>one") == "one"
+    assert text("<head><title>t</title><div>one</div></head>two") == "one two"
+    assert text("<head><title>t</title>plain") == "plain"
+    assert text("<head><noscript><link></noscript><style>x</style><body>one") == "one"
+    assert text("<head><noscript><body><p>one") == "one"
+    for name in "noscript template svg math select canvas object video audio iframe".split():
+        assert text(f"<p>a</p><{name}>x<p>one</p><p>two</p>") == "a one two", name
+        assert text(f"<div><{name}>x</div><p>one</p><{name}>y</{name}><p>two</p>") == "one two", name
+        assert text(f"<p>a <{name}><div>x</div><p>y</p></{name}> b</p>") == "a b", name
+        assert text(f"<{name}><{name}><div>x</div></{name}>y</{name}>one") == "one", name
+    assert text("<select><option>x<option>y<p>one") == "one"
+    t0 = time.time()
+    text("<svg>" * 30000 + "<svg><div></svg>" * 30000)
+    assert time.time() - t0 < 10
