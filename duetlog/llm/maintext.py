@@ -8,8 +8,8 @@ kept under a dropped one: a node's gain is its log-odds plus its children's
 positive gains, and only a node with positive gain under a kept parent is
 kept.  The kept text blocks, in page order, are the main text.
 
-Training uses a bounded sample of the pages themselves: those with exactly one
-``article`` or ``main`` element label their own nodes.  Copies with the
+Training uses a bounded sample of the pages that have exactly one ``article``
+or ``main`` element: they label their own nodes.  Copies with the
 element renamed to a plain container, and with menus, side bars, notices,
 forms, reader comments and related links added (texts from other pages of the
 sample), teach what a single template does not show.
@@ -442,9 +442,10 @@ def train(pages: list[str]) -> boost.Trees | None:
 
 def fit(pages: DataFrame) -> boost.Trees | None:
     """Train on the ``SAMPLE_PAGES`` pages of least hash among those of up to
-    ``SAMPLE_CHARS`` characters."""
+    ``SAMPLE_CHARS`` characters with exactly one ``article`` or ``main``."""
     html, h = column(pages, "html").cast("string"), F.xxhash64(column(pages, "page_id"), column(pages, "url"))
-    rows = pages.select(html.alias("html"), h.alias("h")).where(F.length("html").between(1, SAMPLE_CHARS))
+    rows = pages.select(html.alias("html"), h.alias("h")).where(F.length("html").between(1, SAMPLE_CHARS)).where(
+        F.regexp_count("html", F.lit("(?i)" + _MAIN_OPEN.pattern)) == 1)
     last = rows.select("h").orderBy("h").limit(SAMPLE_PAGES).agg(F.max("h")).first()[0]
     if last is None:
         return None

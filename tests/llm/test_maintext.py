@@ -102,3 +102,12 @@ def test_raw_elements_without_end_tag():
     t0 = time.time()
     text("<svg>" * 30000 + "<svg><div></svg>" * 30000)
     assert time.time() - t0 < 10
+
+
+def test_rare_self_labelled_pages_are_found(spark):
+    ids = spark.range(400).select(F.col("id").alias("page_id"), F.lit("u").alias("url"))
+    order = [r.page_id for r in ids.orderBy(F.xxhash64("page_id", "url")).collect()]
+    body = "<body><nav><a>menu</a></nav><{0}><p>Some words, and more of them in a sentence {1}.</p></{0}></body>"
+    rows = [(i, "u", body.format("article" if n >= 380 else "div", n)) for n, i in enumerate(order)]
+    assert maintext.fit(spark.createDataFrame(rows, "page_id long, url string, html string")) is not None
+    assert maintext.fit(spark.createDataFrame(rows[:380], "page_id long, url string, html string")) is None
