@@ -33,9 +33,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .common import column, mixed, slices, task
 
@@ -309,11 +310,28 @@ def encoded(df: DataFrame, vocabulary: Vocabulary, seed: int = SEED, with_ids: b
         task(run), schema + (", piece_ids array<int>" if with_ids else ""))
 
 
-def decoded(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """(doc_id, text) of rows with ``piece_ids``."""
-    @F.pandas_udf("string")
-    def text(ids):
-        codec = _codec(vocabulary, SHARPNESS)
-        return ids.map(lambda x: codec.decode(x) if x is not None else "")
+def decoded(df: DataFrame, vocabulary: Vocabulary, *keep: str) -> DataFrame:
+    """(columns ``keep``, text) of rows with ``piece_ids``; ``doc_id`` alone
+    is kept where none is named."""
+    keep = keep or ("doc_id",)
+    names = [*keep, *["piece_ids"] * ("piece_ids" not in keep)]
+    at = names.index("piece_ids")
 
-    return df.select("doc_id", text("piece_ids").alias("text"))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        codec = _codec(vocabulary, SHARPNESS)
+        for whole in batches:
+            sizes = pc.fill_null(pc.list_value_length(whole.column(at)), 0).to_numpy(zero_copy_only=False)
+            done = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+            row = 0
+            while row < whole.num_rows:                   # a bounded number of pieces at once, no row cut
+                to = max(int(np.searchsorted(done, done[row] + SLICE_BYTES, side="right")) - 1, row + 1)
+                b = whole.slice(row, to - row)
+                ids = b.column(at).flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                spelt = codec.spell(ids)
+                place = np.concatenate([[0], np.cumsum(codec.length[ids])])[done[row: to + 1] - done[row]]
+                texts = [spelt[i + 1: j].decode() for i, j in zip(place[:-1], place[1:])]
+                yield pa.RecordBatch.from_arrays([*b.columns[: len(keep)], pa.array(texts, pa.string())], names=[*keep, "text"])
+                row = to
+
+    rows = df.select(*[column(df, n) for n in names])
+    return rows.mapInArrow(task(run), StructType([*rows.schema.fields[: len(keep)], StructField("text", StringType())]))

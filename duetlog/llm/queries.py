@@ -29,7 +29,9 @@ def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_piece_sampling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pieces.encoded(read(spark, sf_dir, "documents"), pieces.load(), with_ids=False)
+    vocabulary = pieces.load()
+    sampled = pieces.encoded(read(spark, sf_dir, "documents"), vocabulary)
+    return pieces.decoded(sampled, vocabulary, *sampled.columns)
 
 
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

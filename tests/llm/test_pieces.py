@@ -86,3 +86,18 @@ def test_odd_rows(spark, odd_docs, no_docs):
     twice = [tuple(r.piece_ids) for r in got if r.doc_id == 7]
     assert twice[0] == twice[1]
     assert pieces.encoded(no_docs, V).count() == 0
+
+
+def test_query_returns_pieces_and_decoded_text(spark):
+    texts = {r.doc_id: r.text for r in read(spark, SF001, "documents").collect()}
+    got = queries.QUERIES["op6_piece_sampling"](spark, SF001).collect()
+    assert len(got) == len(texts)
+    for r in got:
+        assert len(r.piece_ids) == r.n_pieces and C.decode(r.piece_ids) == r.text == texts[r.doc_id]
+
+
+def test_decoding_odd_rows(spark, odd_docs, no_docs):
+    got = pieces.decoded(pieces.encoded(odd_docs, V), V, "doc_id", "lossless")
+    assert got.columns == ["doc_id", "lossless", "text"] and pieces.decoded(pieces.encoded(no_docs, V), V).count() == 0
+    assert sorted(map(repr, ((r.doc_id, r.text) for r in got.collect()))) == sorted(
+        repr((r.doc_id, r.text or "")) for r in odd_docs.collect())
