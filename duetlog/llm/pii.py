@@ -4,14 +4,14 @@ Base spans are fixed patterns with their checks (part values, digit counts,
 Luhn), leftmost and non-overlapping per kind, without retries.  They miss
 spans that touch other numbers ("555-2485 4524132264652876" is one run of 23
 digits).  The learned part adds those: generators propose overlapping
-candidates with high recall (every run of number tokens inside a numeric
-stretch, spaced and spelt-out addresses), trees score them by format and
+candidates with high recall (every run of number tokens of up to
+``MAX_DIGITS`` digits, spaced and spelt-out addresses), trees score them by format and
 context features, per-kind thresholds calibrated for precision decide, and
 the best non-overlapping ones that touch no base span are added.
 
 The trees are fitted on a bounded sample: up to ``SAMPLE_SPANS`` base spans
 and ``SAMPLE_OTHER`` other numeric stretches of the corpus (least hash), the
-spans also set next to each other and spelt out, since base patterns never
+spans also set next to each other, spelt out and spaced out, since base patterns never
 show them so.  A corpus without base spans gets no model and no added spans.
 
 Defined results: a null text counts as empty; no span gives zero counts, the
@@ -40,8 +40,8 @@ SAMPLE_SPANS = 3000
 SAMPLE_OTHER = 1500
 CONTEXT = 32
 PRECISION = 0.99
-#: A numeric stretch proposes every run of up to this many tokens.
-MAX_TOKENS = 6
+#: A numeric stretch proposes every run of up to this many digits.
+MAX_DIGITS = 19
 
 # Fixed patterns of the query's contract; the e-mail pattern is applied from
 # its "@" outwards so that a long word costs no more than its length.
@@ -56,12 +56,13 @@ _NOT_LOCAL = re.compile(r"[^A-Za-z0-9._%+-]")
 # Generators of candidates.
 _STRETCH = re.compile(r"[+(]?[0-9][0-9 ().+-]*")
 _TOKEN = re.compile(r"[^ ]+")
-_LOOSE_MAIL = re.compile(
-    r"[\w.%+-]{1,64}(?: ?(?:@|[(\[{]at[)\]}]) ?[\w-]{1,63}(?:(?:\.| ?[(\[{]dot[)\]}] ?)[\w-]{1,63}){1,4}"
-    r"| at [\w-]{1,63}(?: dot [\w-]{1,63}){1,4})")
+_AT = r"[(\[{] ?(?i:at) ?[)\]}]"
+_DOT = r"(?:\.| ?[(\[{] ?(?i:dot) ?[)\]}] ?| (?i:dot) )"
+_LOOSE_MAIL = re.compile(rf"[\w.%+-]{{1,64}}(?: ?(?:@|{_AT}) ?| (?i:at) )[\w-]{{1,63}}(?:{_DOT}[\w-]{{1,63}}){{1,4}}")
+_SPELT_AT = re.compile(rf" (?i:at) |{_AT}")
+_MAIL_HINT = re.compile(rf"@|{_AT}| (?i:at) [\w-]{{1,63}}{_DOT}")
 #: A text without any of these holds no span.
-_ANY = re.compile(r"[0-9@]|[(\[{]at[)\]}]| dot ")
-_MAIL_HINT = re.compile(r"@|[([{]at[)\]}]| dot ")
+_ANY = re.compile(rf"[0-9]|{_MAIL_HINT.pattern}")
 #: Context words that speak for or against a kind.
 _HINTS = ("mail", "contact", "tel", "phone", "call", "fax", "ip", "host", "server", "card", "visa", "pay", "credit",
           "version", "license", "licence", "password", "token", "key", "isbn", "page", "id")
@@ -116,25 +117,35 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
     for m in _STRETCH.finditer(text):
         if m.end() - m.start() < 7:
             continue
-        tokens = [(t.start(), t.end()) for t in _TOKEN.finditer(text, m.start(), m.end())]
-        for i in range(len(tokens)):
+        tokens = [(t.start(), t.end(), sum(c.isdigit() for c in t.group())) for t in _TOKEN.finditer(text, m.start(), m.end())]
+        full = [n for n, t in enumerate(tokens) if t[2]]
+        for i in range(len(full)):
+            # a run begins and ends with a token that holds a digit, or with the mark next to one ("+ 1", "( 555 )")
+            starts = [tokens[full[i]][0]]
+            if full[i] and not tokens[full[i] - 1][2]:
+                starts.append(tokens[full[i] - 1][0])
             digits = 0
-            for j in range(i, min(i + MAX_TOKENS, len(tokens))):
-                a, b = tokens[i][0], tokens[j][1]
-                digits += sum(c.isdigit() for c in text[tokens[j][0]: tokens[j][1]])
-                if digits > 19:
+            for j in range(i, len(full)):
+                digits += tokens[full[j]][2]
+                if digits > MAX_DIGITS:
                     break
-                while b > a and text[b - 1] in ".(-+":
-                    b -= 1
-                if b <= a or digits < 4:
+                if digits < 4:
                     continue
-                word = text[a:b]
-                if word.count(".") == 3 and i == j:
-                    out.append((a, 1, b))
-                if 13 <= digits <= 19 and word[0].isdigit():
-                    out.append((a, 2, b))
-                if 7 <= digits <= 15:
-                    out.append((a, 3, b))
+                b = tokens[full[j]][1]
+                while text[b - 1] in ".(-+":
+                    b -= 1
+                ends = [b]
+                after = full[j] + 1
+                if after < len(tokens) and not tokens[after][2] and text[tokens[after][0]] == ")":
+                    ends.append(tokens[after][0] + 1)
+                for a, b in ((a, b) for a in starts for b in ends):
+                    word = text[a:b]
+                    if word.count(".") == 3 and i == j:
+                        out.append((a, 1, b))
+                    if 13 <= digits <= MAX_DIGITS and word[0].isdigit():
+                        out.append((a, 2, b))
+                    if 7 <= digits <= 15:
+                        out.append((a, 3, b))
     if _MAIL_HINT.search(text):
         out += [(m.start(), 0, m.end()) for m in _LOOSE_MAIL.finditer(text)]
     return out
@@ -159,7 +170,7 @@ def features(text: str, start: int, kind: int, end: int) -> list[float]:
         float(groups[-1] == 4 and groups[-2:-1] == [3]), float(groups[-3:-2] == [3]),
         float(prev.isalnum() or prev in "_/=\"'+"), float(nxt.isalnum() or nxt in "_/=\"'"),
         float(prev in ".-("), float(nxt in ".-)" and after[1:2].isdigit()),
-        float(prev == "+"), float("@" in word), float(" at " in word or "at)" in word or "at]" in word),
+        float(prev == "+"), float("@" in word), float(bool(_SPELT_AT.search(word))),
         float(tail.isalpha()), len(tail), *[float(h in near) for h in _HINTS],
     ]
 
@@ -172,11 +183,19 @@ class Model(NamedTuple):
 
 
 def _spelt(span: str, turn: int) -> str:
-    at, dot = ((" at ", " dot "), ("(at)", "(dot)"), (" @ ", "."), ("[at]", "[dot]"))[turn % 4]
+    at, dot = ((" at ", " dot "), ("(at)", "(dot)"), (" @ ", "."), ("[at]", "[dot]"), (" AT ", " DOT "), (" at ", "."),
+               (" (AT) ", " (dot) "))[turn % 7]
     name, _, host = span.partition("@")
     return name + at + host.replace(".", dot)
 
 
+def _respaced(card: str, turn: int) -> str:
+    """The digits of a number in groups of four, or each on its own."""
+    digits = _NOT_DIGIT.sub("", card)
+    fours = [digits[i: i + 4] for i in range(0, len(digits), 4)]
+    return (" - ".join(fours), " ".join(digits), " . ".join(fours))[turn % 3]
+
+
 def training_rows(spans: list[tuple[str, str, str, str]], others: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Features and labels.  ``spans`` are (kind, left, span, right) of base
     spans, ``others`` stretches that hold none.  Besides the span where it
@@ -208,6 +227,10 @@ def training_rows(spans: list[tuple[str, str, str, str]], others: list[str]) ->
             wrong = span[:-1] + str((int(span[-1]) + 1 + n % 9) % 10)
             if wrong != span:
                 learn(left + wrong + right, set(), (a, b))
+            for shape, good in ((_respaced(span, n), True), (_respaced(wrong, n), False)):
+                end = a + len(shape)
+                learn(f"{left}{shape} {other}{right}", ({(a, k, end)} if good else set())
+                      | {(end + 1, KINDS.index(other_kind), end + 1 + len(other))}, (a, end))
         if k == 1:                          # parts over 255
             wrong = ".".join(str(int(p) + 256) for p in span.split("."))
             learn(left + wrong + right, set(), (a, a + len(wrong)))

@@ -98,3 +98,18 @@ def test_odd_rows(spark, odd_docs, no_docs):
     out = pii.redacted(odd_docs.withColumn("n_chars", F.length("text")).withColumn("text", F.concat("text", F.lit(" a@b.co"))))
     assert out.where("text is null").count() == 1 and out.where("text like '%<EMAIL>'").count() == odd_docs.count() - 1
     assert out.where("n_chars <> length(text)").count() == 0
+
+
+def test_spaced_numbers_and_spelt_addresses(spark):
+    card, spaced = "4111 - 1111 - 1111 - 1111", " ".join("4111111111111111")
+    for text, kind, span in [(f"pay {card} now", 2, card), (f"x {spaced} 4532 9", 2, spaced),
+                             ("- " * 50 + card, 2, card), ("call 12 ( 555 ) 123 4567 now", 3, "( 555 ) 123 4567"),
+                             *[(f"write {m} soon", 0, m) for m in ("bob (AT) example (dot) com", "bob AT example DOT com",
+                                                                     "bob at example.com", "bob [At] example dot com")]]:
+        assert (kind, span) in {(k, text[s:e]) for s, k, e in pii.candidates(text)}, text
+        assert pii._ANY.search(text)
+    assert pii.candidates("1 " + "- " * 100000 + "1") == []
+    model = pii.train(*_sample(spark))
+    for text, want in ((f"pay {card} now", "pay <CARD> now"), ("mail bob AT example DOT com", "mail <EMAIL>"),
+                       ("mail bob at example.com", "mail <EMAIL>"), ("mail bob (AT) example (dot) com", "mail <EMAIL>")):
+        assert pii.redact(text, pii.all_spans(text, model)[1]) == want
