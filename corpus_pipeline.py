@@ -8,8 +8,8 @@ columns of ``documents``.
 
 Defined results: a document without text or letters goes at language
 identification; of near duplicates the one with the least doc_id stays (rows
-repeating it stay once; a row without doc_id cannot be named and goes); a
-document that overlaps a benchmark item goes; personal data is replaced in
+repeating it stay once; a row without doc_id stays where no other of its group
+has one; rows that share a doc_id are told apart by their texts); a document that overlaps a benchmark item goes; personal data is replaced in
 what is left; the rest is encoded whole.  Extra columns are passed through.
 """
 
@@ -28,7 +28,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group."""
-    return simhash.representatives(docs).select(*docs.columns)
+    return simhash.deduplicated(docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

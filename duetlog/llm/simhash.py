@@ -76,18 +76,23 @@ def fingerprint(text: bytes, words: int = SHINGLE_WORDS) -> int:
     return int(np.packbits(2 * bits > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = SHINGLE_WORDS) -> DataFrame:
-    """(doc_id, fp): the fingerprint of every whole text as a signed long."""
+def fingerprints(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = SHINGLE_WORDS,
+                 keep: tuple[str, ...] = ()) -> DataFrame:
+    """(doc_id, fp, columns ``keep``): the fingerprint of every whole text as
+    a signed long."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "t"):
             off, data = string_buffers(b.column(1))
             raw = data.tobytes()
             fp = np.fromiter((fingerprint(raw[off[i]: off[i + 1]], words) for i in range(b.num_rows)),
                              dtype=np.uint64, count=b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(fp.view(np.int64)), *b.columns[2:]],
+                                             names=["doc_id", "fp", *keep])
 
-    return df.select(column(df, key).cast("long").alias("doc_id"), column(df, text).cast("string").alias("t")).mapInArrow(
-        task(run), "doc_id long, fp long")
+    sent = df.select(column(df, key).cast("long").alias("doc_id"), column(df, text).cast("string").alias("t"),
+                     *[column(df, c) for c in keep])
+    return sent.mapInArrow(task(run), "doc_id long, fp long" + "".join(
+        f", `{c}` {df.schema[c].dataType.simpleString()}" for c in keep))
 
 
 def group_masks(max_bits: int) -> np.ndarray:
@@ -303,3 +308,27 @@ def representatives(df: DataFrame, text: str = "text", key: str = "doc_id") -> D
     one row each; rows without a doc_id cannot be named and go."""
     kept = near_duplicates(df, text, key).where("doc_id = component_id").select("doc_id").distinct()
     return df.join(kept.withColumnRenamed("doc_id", key), key, "left_semi").dropDuplicates([key])
+
+
+def deduplicated(df: DataFrame, text: str = "text", key: str = "doc_id", words: int = SHINGLE_WORDS,
+                 max_bits: int = MAX_BITS) -> DataFrame:
+    """One row of ``df`` for every component of near-equal texts: the least by
+    doc_id (null last), then by a hash of the text, then by one of the whole
+    row, so a rerun keeps the same.  Rows without a doc_id and rows that share
+    one are told apart by their texts."""
+    pick, tie = (next(n for n in (name + "_" * i for i in range(len(df.columns) + 1)) if n not in df.columns)
+                 for name in ("_pick", "_tie"))
+    id_, body = column(df, key), column(df, text).cast("string")
+    plain = [column(df, f.name) for f in df.schema.fields
+             if not any(x in f.dataType.simpleString() for x in ("map<", "variant"))]
+    # the pick names (doc_id, text), nulls included; the tie only orders rows that agree in both
+    named = df.withColumns({
+        pick: F.sha2(F.concat(F.coalesce(id_.cast("string"), F.lit("-")), F.when(id_.isNull(), "n").otherwise("i"),
+                              F.when(body.isNull(), "n").otherwise("t"), F.coalesce(body, F.lit(""))), 256),
+        tie: F.xxhash64(*plain)})
+    rows = saved(fingerprints(named, text, key, words, (pick, tie)), "fingerprints")
+    classes = rows.groupBy("fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", pick, tie)).alias("least"))
+    root = saved(roots(links(classes, max_bits)), "roots")
+    kept = classes.join(root, classes["fp"] == root["node"], "left").groupBy(F.coalesce("root", "fp").alias("root")).agg(
+        F.min("least").alias("least")).select(f"least.{pick}", f"least.{tie}")
+    return named.join(kept, [pick, tie], "left_semi").dropDuplicates([pick, tie]).select(*[column(named, c) for c in df.columns])

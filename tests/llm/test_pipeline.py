@@ -67,3 +67,16 @@ def test_stages_take_an_empty_table(spark, no_docs):
     for _, stage in cp.STAGES:
         docs = stage(spark, docs, SF001)
         assert docs.count() == 0
+
+
+def test_near_duplicates_keep_every_clean_text(spark):
+    near = "the cat sat on the mat and looked at the moon for a while " * 5
+    rows = [(1, near), (7, near), (7, "one unique text about ships and harbours far away"), (None, near),
+            (None, "a text that has no id and stands alone here"), (None, "a text that has no id and stands alone here"),
+            (None, "another lonely text with words of its own"), (9, "an entirely different story"),
+            (9, "nothing in common with the row before it at all")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    want = {rows[0], *rows[2:]} - {(None, near)}
+    for parts in (1, 4):
+        got = cp.near_duplicates(spark, docs.repartition(parts), SF001)
+        assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, want)) and got.columns == docs.columns
