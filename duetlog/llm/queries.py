@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import debruijn, decontam, langid, maintext, pieces, pii, quality, shards, simhash, warc
+from . import ann, debruijn, decontam, fim, langid, lexical, maintext, pieces, pii, quality, shards, simhash, warc
 from .common import read
 
 
@@ -51,6 +51,20 @@ def op10_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return maintext.main_text(read(spark, sf_dir, "pages"))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fim.digests(read(spark, sf_dir, "documents"))
+
+
+def op12_nearest_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings")
+    queries = vectors.where(vectors["vec_id"] % ann.QUERY_STEP == 0)
+    return ann.search(ann.build(vectors), queries)
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.ranked(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_language_id": op1_language_id,
     "op2_personal_data": op2_personal_data,
@@ -62,10 +76,16 @@ QUERIES = {
     "op8_simhash_near_dedup": op8_simhash_near_dedup,
     "op9_warc_archives": op9_warc_archives,
     "op10_main_text": op10_main_text,
+    "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_nearest_vectors": op12_nearest_vectors,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 ORACLE_SQL = {
     "op5_quality_rules": quality.oracle_sql(),
     "op7_benchmark_decontamination": decontam.oracle_sql(),
     "op9_warc_archives": warc.oracle_sql(),
+    "op11_fill_in_middle": fim.oracle_sql(),
+    "op12_nearest_vectors": ann.oracle_sql(),
+    "op13_lexical_search": lexical.oracle_sql(),
 }
