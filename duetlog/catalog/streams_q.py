@@ -262,3 +262,83 @@ def str_watermark_window(t):
          .option("checkpointLocation", staging_path(spark, "wm_ckpt")).trigger(availableNow=True).start())
     q.awaitTermination()
     return spark.read.schema("window_start BIGINT, sv STRING, n BIGINT, batch BIGINT").parquet(out).drop("batch")
+
+
+# ------------------------------------------------------------------ keyed state
+
+_RUNNING = """
+WITH c AS (SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS date, CAST(hour(ts) AS INT) AS hour, CAST(minute(ts) // 10 AS INT) AS batch,
+             count(*) AS pv FROM events GROUP BY ALL)
+SELECT date, hour, batch, pv, CAST(sum(pv) OVER (PARTITION BY date, hour ORDER BY batch) AS BIGINT) AS running FROM c"""
+
+
+@query("str_keyed_running_count", sql=_RUNNING)
+def str_keyed_running_count(t):
+    """STR-09 / STR-10: the running count as keyed state.  The events arrive
+    in six ten-minute slots; after each the query is started again from its
+    checkpoint and adds the slot's counts to the state it left behind."""
+    from ..session import staging_path
+    from ..streaming import keyed
+    src, out, ckpt = (staging_path(t.spark, f"run_{n}") for n in ("src", "out", "ckpt"))
+    e = t["events"].select(F.to_date("ts").cast("string").alias("date"), F.hour("ts").alias("hour"),
+                           F.floor(F.minute("ts") / 10).cast("int").alias("slot"))
+    write = lambda n: e.where(F.col("slot") == n).select("date", "hour").write.parquet(f"{src}/slot={n}")
+    rows = lambda: keyed.running_counts(
+        t.spark.readStream.schema("date STRING, hour INT").parquet(f"{src}/slot=*"), ["date", "hour"])
+    keyed.replay([lambda n=n: write(n) for n in range(6)], rows, out, ckpt)
+    return t.spark.read.schema("date STRING, hour INT, pv BIGINT, running BIGINT, batch INT").parquet(out)
+
+
+def _staged_days(t):
+    """The error log as arriving JSON files, one a day, in day order."""
+    from ..session import list_files, set_times, staging_path
+    raw = t["error_log"].select(_json_col(), F.floor(F.col("ts_ms") / 1000 / DAY).alias("day"))
+    src = staging_path(t.spark, "alarm_src")
+    raw.repartition("day").write.partitionBy("day").text(src)
+    for n, folder in enumerate(f for f in list_files(t.spark, src) if "/day=" in f):
+        for part in list_files(t.spark, folder):
+            set_times(t.spark, part, 1_600_000_000_000 + n * 60_000)
+    return src
+
+
+@query("pipe_alarm_keyed", sql=_REPLAY, fixtures=("error_log",))
+def pipe_alarm_keyed(t):
+    """PIPE-25 / STR-05 / STR-07: the alarm stream of ``pipe_alarm_replay``
+    with its state in the state store: a presence key owns its alarms, and a
+    timer recovers them when a batch comes without it."""
+    from ..session import staging_path
+    from ..sources.readers import read_stream
+    from ..streaming import keyed
+    source = read_stream(t.spark, "text", {"maxFilesPerTrigger": "1"}, path=f"{_staged_days(t)}/day=*")
+    out = staging_path(t.spark, "alarm_out")
+    keyed.run_keyed(keyed.alarm_rows(parse_error_log(source), THRESHOLD), out, staging_path(t.spark, "alarm_ckpt"),
+                    {"availableNow": True}, replay=True).awaitTermination()
+    return t.spark.read.schema(A.STATE_SCHEMA + ", batch BIGINT").parquet(out)
+
+
+@query("str_late_windows", sql="""
+WITH e AS (SELECT ts_ms // 1000 AS s, sv FROM error_log),
+d AS (SELECT *, s - s % 86400 AS w, s <= (SELECT (min(s) + max(s)) // 2 FROM e) AND s % 7 <> 0 AS early FROM e),
+m AS (SELECT max(s) FILTER (WHERE early) - 3600 AS first_mark, max(s) - 3600 AS last_mark FROM d),
+x AS (SELECT *, NOT early AND w + 86400 <= first_mark AS late FROM d, m)
+SELECT w AS window_start, sv, late, CAST(count(*) AS BIGINT) AS n FROM x WHERE late OR w + 86400 <= last_mark GROUP BY w, sv, late""",
+       fixtures=("error_log",))
+def str_late_windows(t):
+    """STR-10 / STR-12: daily counts per service over two runs of one query.
+    The first half of the log arrives without every seventh second; the second
+    run starts from the checkpoint and gets those seconds with the other half.
+    Days that the watermark had closed return them as late."""
+    from ..session import staging_path
+    from ..streaming import keyed
+    src, out, ckpt = (staging_path(t.spark, f"late_{n}") for n in ("src", "out", "ckpt"))
+    e = t["error_log"].select(F.floor(F.col("ts_ms") / 1000).cast("long").alias("s"), "sv")
+    half = e.agg(F.floor((F.min("s") + F.max("s")) / 2).alias("half"))
+    early = (F.col("s") <= F.col("half")) & (F.col("s") % 7 != 0)
+    cut = e.crossJoin(F.broadcast(half))                       # one row
+    arrive = [lambda: cut.where(early).select("s", "sv").write.parquet(f"{src}/part=0"),
+              lambda: cut.where(~early).select("s", "sv").write.parquet(f"{src}/part=1")]
+    rows = lambda: keyed.windowed_counts_with_late(
+        t.spark.readStream.schema("s BIGINT, sv STRING").parquet(f"{src}/part=*"), "s", DAY, "1 hour", ["sv"])
+    keyed.replay(arrive, rows, out, ckpt, empty_batches=True)
+    done = t.spark.read.schema("window_start BIGINT, window_end BIGINT, sv STRING, n BIGINT, late BOOLEAN").parquet(out)
+    return done.groupBy("window_start", "sv", "late").agg(F.sum("n").alias("n"))
