@@ -3,6 +3,8 @@ SET-02, SRC-09/15)."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from ..plans import logs as L
@@ -149,6 +151,20 @@ def pipe_index_users(t):
     return L.index_users(t["search_index"], INDEX_TERM, F.expr(_NTZ.format(INDEX_LO)), F.expr(_NTZ.format(INDEX_HI)))
 
 
+@query("src_term_index", sql=f"""
+SELECT * FROM search_index WHERE sv = '{INDEX_TERM}' AND ts_ms BETWEEN epoch_ms(TIMESTAMP '{INDEX_LO}') AND epoch_ms(TIMESTAMP '{INDEX_HI}')""",
+       fixtures=("search_index",))
+def src_term_index(t):
+    """SRC-15: the same through an inverted index on files: term and time
+    range go down to the source, which opens only blocks that hold the term
+    inside the range."""
+    from ..sources.term_index import build_index, read_index
+    p = staging_path(t.spark, "term_index")
+    build_index(t["search_index"], p, ["sv", "event_type"], "ts_ms")
+    ms = lambda x: int(dt.datetime.fromisoformat(x).replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
+    return read_index(t.spark, p).where((F.col("sv") == INDEX_TERM) & F.col("ts_ms").between(ms(INDEX_LO), ms(INDEX_HI)))
+
+
 @query("pipe_numbered_users", sql=f"""
 SELECT user_id, space_id, epoch_ms(CAST(c_date AS TIMESTAMP)) AS time,
   row_number() OVER (ORDER BY space_id, user_id) AS row_number FROM new_user WHERE c_date = '{NEW_USER_DAY}'""",

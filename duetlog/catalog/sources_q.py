@@ -235,3 +235,38 @@ def snk_table_create(t):
     name = "user_ip_c_" + p.rsplit("-", 1)[-1]
     W.create_table(t["user_ip"], name, path=p)
     return t.spark.table(name)
+
+
+@query("src_partitioned_log", sql="""
+SELECT CAST(user_id % 4 AS INT) AS "partition",
+  row_number() OVER (PARTITION BY user_id % 4 ORDER BY event_id % 2, event_id) - 1 AS "offset",
+  CAST(event_id AS VARCHAR) || ' ' || event_type AS value FROM events""")
+def src_partitioned_log(t):
+    """SRC-19 / STR-11: events appended to a partitioned log in two parts (even
+    ids, then odd) and read by a stream with a consumer group; the second run
+    starts from the checkpoint, and offsets are committed after the output."""
+    from ..sources.partitioned_log import append_log, stream_log
+    e, value = t["events"], F.concat_ws(" ", F.col("event_id").cast("string"), "event_type")
+    log, out, ckpt = _stage(t, "log"), _stage(t, "log_out"), _stage(t, "log_ckpt")
+    for half in (0, 1):
+        append_log(e.where(F.col("event_id") % 2 == half), log, F.col("user_id") % 4, ["event_id"], value)
+        q = (stream_log(t.spark, log, "readers").writeStream
+             .foreachBatch(lambda df, n: df.write.mode("overwrite").parquet(f"{out}/batch={n}"))
+             .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+        q.awaitTermination()
+    return t.spark.read.schema("partition INT, offset BIGINT, value STRING, batch INT").parquet(out).drop("batch")
+
+
+SCAN = ("12", "30")
+
+
+@query("src_region_scan", sql=f"""
+SELECT rowkey, max(CASE WHEN qualifier = '210401' THEN value END) AS "210401", max(CASE WHEN qualifier = 'hist' THEN value END) AS hist
+FROM cells WHERE family = 'cf' AND rowkey >= '{SCAN[0]}' AND rowkey < '{SCAN[1]}' GROUP BY rowkey""", fixtures=("cells",))
+def src_region_scan(t):
+    """SRC-16: the cells written as sorted region files and scanned from a
+    start to a stop key; other regions are not opened."""
+    from ..sources.row_store import scan, write_regions
+    p = _stage(t, "regions")
+    write_regions(t["cells"], p)
+    return scan(t.spark, p, *SCAN, ["210401", "hist"])
