@@ -55,7 +55,7 @@ class RegionReader(DataSourceReader):
     def pushFilters(self, filters):
         order = (EqualTo, GreaterThan, GreaterThanOrEqual, LessThan, LessThanOrEqual, In, StringStartsWith)
         for f in filters:
-            name = f.attribute[0] if len(f.attribute) == 1 else None
+            name = ".".join(getattr(f, "attribute", ()))      # a negation has none
             if (name == "rowkey" and isinstance(f, order)) or (name in ("family", "qualifier") and isinstance(f, EqualTo)):
                 self.keep.append((name, f))
             else:

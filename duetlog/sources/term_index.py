@@ -77,7 +77,7 @@ class TermReader(DataSourceReader):
 
     def pushFilters(self, filters):
         for f in filters:
-            name = f.attribute[0] if len(f.attribute) == 1 else None
+            name = ".".join(getattr(f, "attribute", ()))      # a negation has none
             if name in self.fields and isinstance(f, (EqualTo, In)):
                 want = {f.value} if isinstance(f, EqualTo) else set(f.value)
                 self.terms[name] = self.terms[name] & want if name in self.terms else want
