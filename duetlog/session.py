@@ -87,6 +87,32 @@ def touch(spark: SparkSession, path: str) -> None:
     fs.create(p, True).close()
 
 
+def write_once(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that must not exist yet: a whole hidden file, then
+    a rename, so readers see all of it or nothing and of two writers one
+    fails."""
+    fs, p = _file_system(spark, path)
+    part = spark._jvm.org.apache.hadoop.fs.Path(p.getParent(), f".{p.getName()}-{uuid.uuid4().hex}")
+    out = fs.create(part, False)
+    try:
+        out.write(bytearray(text, "utf-8"))
+    finally:
+        out.close()
+    if fs.exists(p) or not fs.rename(part, p):
+        fs.delete(part, False)
+        raise FileExistsError(path)
+
+
+def read_small(spark: SparkSession, path: str) -> str:
+    """The text of a small file."""
+    fs, p = _file_system(spark, path)
+    source = fs.open(p)
+    try:
+        return bytes(spark._jvm.org.apache.commons.io.IOUtils.toByteArray(source)).decode()
+    finally:
+        source.close()
+
+
 def delete_path(spark: SparkSession, path: str) -> None:
     fs, p = _file_system(spark, path)
     fs.delete(p, True)
