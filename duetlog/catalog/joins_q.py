@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators.joins import explode_ranges, ip_range_join, left_anti, measured_bytes
+from ..operators.prefixes import bits_of_long, prefix_join
 from ..plans import enrich
 from ..session import staging_path
 from ..sinks.writers import write_csv
@@ -30,6 +31,16 @@ def join_ip_range_bucketed(t):
     return enrich.enrich_users(t["user_ip"], t["ip_ranges"], max_broadcast_bytes=0)
 
 
+@query("join_ip_nested", sql="""
+WITH h AS (SELECT DISTINCT u.ip, r.place, r.hi - r.lo AS width, r.lo FROM user_ip u JOIN ip_nested r ON u.ip BETWEEN r.lo AND r.hi),
+b AS (SELECT ip, place FROM (SELECT *, row_number() OVER (PARTITION BY ip ORDER BY width, lo, place) AS n FROM h) WHERE n = 1)
+SELECT u.user_id, u.ip, b.place FROM user_ip u LEFT JOIN b USING (ip)""", fixtures=("user_ip", "ip_nested"))
+def join_ip_nested(t):
+    """JOIN-01 / UDF-11: nested ranges, the innermost one wins: dyadic
+    prefixes and the longest match."""
+    return prefix_join(t["user_ip"], t["ip_nested"], bits_of_long(F.col("ip")))
+
+
 @query("join_broadcast_dim", sql="""
 SELECT u.user_id, u.ip, r.country FROM user_ip u JOIN ip_ranges r ON u.ip BETWEEN r.lo AND r.hi""",
        fixtures=("user_ip", "ip_ranges"))

@@ -342,3 +342,66 @@ def str_late_windows(t):
     keyed.replay(arrive, rows, out, ckpt, empty_batches=True)
     done = t.spark.read.schema("window_start BIGINT, window_end BIGINT, sv STRING, n BIGINT, late BOOLEAN").parquet(out)
     return done.groupBy("window_start", "sv", "late").agg(F.sum("n").alias("n"))
+
+
+PARTS, HOT = 6, 20
+
+_PARTED = f"""SELECT {_KEY}, part, strftime(epoch_ms(min(time_stamp) * 1000), {_FMT}) AS t0, count(ip_addr) AS num,
+  strftime(epoch_ms(max(time_stamp) * 1000), {_FMT}) AS t1
+  FROM (SELECT *, (batch - min(batch) OVER ()) * {PARTS} // (max(batch) OVER () - min(batch) OVER () + 1) AS part FROM ({_PARSED}))
+  GROUP BY {_KEY}, part"""
+
+
+@query("snk_log_table", sql=f"""
+WITH a AS ({_PARTED}), c AS (SELECT *, max(part) FILTER (WHERE num < {HOT}) OVER (PARTITION BY {_KEY}) AS cold FROM a)
+SELECT {_KEY}, arg_min(t0, part) AS time_stamp, arg_max(num, part) AS num, 0 AS status, arg_max(t1, part) AS final_time,
+  CAST(sum(num) AS BIGINT) AS total_num FROM c WHERE part > coalesce(cold, -1) GROUP BY {_KEY}""", fixtures=("error_log",))
+def snk_log_table(t):
+    """SNK-09 / SNK-10: the error log in six parts, each upserted into a
+    log-structured table (totals add up) and followed by the deletion of keys
+    that are under the threshold; folded into its bases half way."""
+    from ..session import staging_path
+    from ..sinks.log_table import LogTable
+    p = _parsed(t).withColumn("day", F.floor(F.col("time_stamp") / DAY))
+    ends = F.broadcast(p.agg(F.min("day").alias("d0"), F.max("day").alias("d1")))          # one row
+    parted = p.crossJoin(ends).withColumn("part", F.floor((F.col("day") - F.col("d0")) * PARTS / (F.col("d1") - F.col("d0") + 1)))
+    path = staging_path(t.spark, "log_parts")
+    A.batch_aggregate(parted, extra_keys=("part",), distinct_ips=False).write.parquet(path)
+    agg = t.spark.read.parquet(path).withColumn("status", F.when(F.col("num") >= HOT, 0).otherwise(3))
+    table = LogTable(t.spark, staging_path(t.spark, "log_table"), t.spark.createDataFrame([], A.STATE_SCHEMA).schema,
+                     A.GROUP_KEY, ["num", "status", "final_time"], {"total_num": "num"})
+    for n in range(PARTS):
+        table.upsert(agg.where(F.col("part") == n), batch_id=n)
+        table.delete("status", [3])
+        if n == PARTS // 2:
+            table.compact()
+    return table.read()
+
+
+@query("snk_outbox", sql=_TWIN + f""",
+m AS (SELECT sha256(concat_ws('|', {_KEY}, batch, status)) AS key, length({_content_sql()}) % 5 AS luck FROM twin)
+SELECT key, CASE luck WHEN 0 THEN 3 WHEN 1 THEN 2 ELSE 1 END AS attempts, CASE luck WHEN 0 THEN 'dead' ELSE 'delivered' END AS state FROM m""",
+       fixtures=("error_log",))
+def snk_outbox(t):
+    """SNK-11: every alarm message put into an outbox and delivered; the
+    receiver refuses some messages always (dead after three attempts) and some
+    the first time."""
+    import json
+
+    from ..session import staging_path
+    from ..sinks.outbox import Outbox
+    tw = _twin(t)
+    path = staging_path(t.spark, "messages")
+    key = F.sha2(F.concat_ws("|", *A.GROUP_KEY, F.col("batch").cast("string"), F.col("status").cast("string")), 256)
+    tw.select(key.alias("key"), A.message_body(tw).alias("body")).write.parquet(path)
+    box = Outbox(t.spark, staging_path(t.spark, "outbox"), max_attempts=3)
+    messages = t.spark.read.parquet(path)
+    box.enqueue(messages, 0, key=messages["key"])
+
+    def send(key, body, attempt):
+        luck = len(json.loads(body)["markdown"]["content"]) % 5
+        if luck == 0 or (luck == 1 and attempt == 1):
+            raise ConnectionError("refused")
+
+    box.deliver_all(send)
+    return box.status().select("key", "attempts", "state")

@@ -20,7 +20,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MAX_BROADCAST_BYTES = 64 << 20
@@ -45,15 +45,31 @@ def explode_ranges(dim: DataFrame, lo: str = "lo", hi: str = "hi", bits: int = 1
         bucket, F.explode(F.sequence(F.shiftright(F.col(lo), bits), F.shiftright(F.col(hi), bits))))
 
 
+def refuse_overlaps(dim: DataFrame, lo: str = "lo", hi: str = "hi", bits: int = 16) -> DataFrame:
+    """``dim``, after a check that no two of its ranges share an address (one
+    job over the dimension: neighbours within every prefix bucket)."""
+    before = Window.partitionBy("_bucket").orderBy(lo, hi).rowsBetween(Window.unboundedPreceding, -1)
+    bad = (explode_ranges(dim.select(lo, hi), lo, hi, bits).withColumn("_reach", F.max(hi).over(before))
+           .where(F.col(lo) <= F.col("_reach")).select(lo, hi).head())
+    if bad is not None:
+        raise ValueError(f"range {bad[0]} to {bad[1]} overlaps another; use operators.prefixes.prefix_join")
+    return dim
+
+
 def ip_range_join(fact: DataFrame, dim: DataFrame, ip: str | Column, lo: str = "lo", hi: str = "hi",
                   how: str = "left", bits: int = 16, max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-                  salt: int = 16, keep_bounds: bool = False, dim_bytes: int | None = None) -> DataFrame:
+                  salt: int = 16, keep_bounds: bool = False, dim_bytes: int | None = None,
+                  check: bool = False) -> DataFrame:
     """Attach the attributes of the range containing ``ip`` (inclusive ends).
 
-    ``dim`` must hold non-overlapping ranges ``[lo, hi]``; its other columns
-    are the attributes added to each ``fact`` row (null when unmatched with
-    ``how='left'``).  ``dim_bytes`` gives the exploded size when it is known.
+    ``dim`` must hold non-overlapping ranges ``[lo, hi]`` (``check`` refuses
+    others); its other columns are the attributes added to each ``fact`` row
+    (null when unmatched with ``how='left'``).  ``dim_bytes`` gives the
+    exploded size when it is known; otherwise a job measures it while the plan
+    is built.
     """
+    if check:
+        dim = refuse_overlaps(dim, lo, hi, bits)
     ip_col = F.col(ip) if isinstance(ip, str) else ip
     attrs = [c for c in dim.columns if keep_bounds or c not in (lo, hi)]
     fact_cols = [F.col(f"_f.{c}") for c in fact.columns]

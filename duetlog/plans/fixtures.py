@@ -58,6 +58,18 @@ SELECT CAST(n_nationkey AS BIGINT)*10000000+1 AS lo, CAST(n_nationkey AS BIGINT)
   CASE WHEN n_nationkey % 3 = 1 THEN '"isp_1' ELSE 'isp_' || CAST(n_nationkey % 3 AS VARCHAR(10)) END AS isp
 FROM {nation} JOIN {region} ON n_regionkey = r_regionkey""")
 
+# three levels of ranges, each inside one of the level above; the innermost ones repeat
+FIXTURES["ip_nested"] = _fx("""
+SELECT lo, hi, 'nation ' || CAST(lo AS VARCHAR(20)) AS place FROM {ip_ranges}
+UNION ALL
+SELECT lo + k * 800000 AS lo, lo + k * 800000 + 500000 AS hi, 'area ' || CAST(k AS VARCHAR(2)) AS place
+FROM {ip_ranges} JOIN (SELECT DISTINCT s_nationkey, CAST(s_suppkey % 10 AS BIGINT) AS k FROM {supplier}) ks
+  ON lo = CAST(s_nationkey AS BIGINT) * 10000000 + 1
+UNION ALL
+SELECT lo + (s_suppkey % 10) * 800000 + (s_suppkey % 400) * 1000 AS lo, lo + (s_suppkey % 10) * 800000 + (s_suppkey % 400) * 1000 + 499 AS hi,
+  s_name AS place
+FROM {ip_ranges} JOIN {supplier} ON lo = CAST(s_nationkey AS BIGINT) * 10000000 + 1""")
+
 FIXTURES["user_ip"] = _fx("""
 SELECT c_custkey AS user_id, (c_custkey*104729+7) % 260000000 AS ip FROM {customer}""")
 

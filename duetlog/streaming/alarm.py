@@ -251,8 +251,12 @@ def alarm_content(state: DataFrame, labels=K.SERVICE_LABELS) -> Column:
              .otherwise(F.lit(K.ALARM_UNKNOWN_STATE)))
 
 
+def message_body(state: DataFrame) -> Column:
+    """The webhook's JSON body of an alarm row."""
+    content = alarm_content(state)
+    return F.to_json(F.struct(F.lit("markdown").alias("msgtype"), F.struct(content.alias("content")).alias("markdown")))
+
+
 def alarm_messages(state: DataFrame) -> DataFrame:
     """``{"msgtype":"markdown","markdown":{"content":...}}`` per state row."""
-    content = alarm_content(state)
-    body = F.to_json(F.struct(F.lit("markdown").alias("msgtype"), F.struct(content.alias("content")).alias("markdown")))
-    return state.select(*GROUP_KEY, "status", content.alias("content"), body.alias("body"))
+    return state.select(*GROUP_KEY, "status", alarm_content(state).alias("content"), message_body(state).alias("body"))
