@@ -111,6 +111,16 @@ def agg_sorted_list(t):
     return row_number_within(c, ["c_nationkey"], ["c_mktsegment"], out="pos")
 
 
+@query("agg_value_list", sql="""
+SELECT c_nationkey, array_to_string(list_sort(list(c_mktsegment)), ',') AS segments, count(c_mktsegment) AS n FROM customer GROUP BY c_nationkey""")
+def agg_value_list(t):
+    """AGG-11: the sorted list of values per group as one list (rendered as
+    text for a flat compare)."""
+    from ..operators.stats import sorted_list
+    lists = sorted_list(t["customer"], ["c_nationkey"], "c_mktsegment", "segments")
+    return lists.select("c_nationkey", F.array_join("segments", ",").alias("segments"), F.size("segments").cast("long").alias("n"))
+
+
 @query("agg_stddev", sql="""
 SELECT o_orderstatus, stddev_samp(o_totalprice) AS std_price, count(*) AS n FROM orders GROUP BY o_orderstatus""",
        rounded=("std_price",))

@@ -8,7 +8,7 @@ from ..operators.joins import explode_ranges, ip_range_join, left_anti, measured
 from ..operators.prefixes import bits_of_long, prefix_join
 from ..plans import enrich
 from ..session import staging_path
-from ..sinks.writers import write_csv
+from ..sinks.writers import write_bucketed, write_csv
 from ..sources.readers import read_json, read_user_ip_csv
 from .registry import query
 
@@ -60,6 +60,18 @@ def join_left_two_keys(t):
     return u.join(matched, ["ip", "user_id"], "left").select("user_id", "ip", "country")
 
 
+@query("join_left_bucketed", sql="""
+SELECT u.user_id, u.ip, e.country FROM user_ip u
+LEFT JOIN (SELECT u2.user_id, u2.ip, r.country FROM user_ip u2 JOIN ip_ranges r ON u2.ip BETWEEN r.lo AND r.hi) e
+  ON u.ip = e.ip AND u.user_id = e.user_id""", fixtures=("user_ip", "ip_ranges"))
+def join_left_bucketed(t):
+    """JOIN-03: the two-key left join over tables kept in buckets of both
+    keys: no exchange on either side."""
+    matched = ip_range_join(t["user_ip"], t["ip_ranges"].select("lo", "hi", "country"), "ip", how="inner")
+    left, right = write_bucketed(t["user_ip"], ["ip", "user_id"]), write_bucketed(matched, ["ip", "user_id"])
+    return left.join(right, ["ip", "user_id"], "left").select("user_id", "ip", "country")
+
+
 @query("join_inner_using", sql="""
 WITH e AS (SELECT u.user_id, r.city FROM user_ip u JOIN ip_ranges r ON u.ip BETWEEN r.lo AND r.hi),
 a AS (SELECT city, CAST(count(*) AS BIGINT) AS users FROM e GROUP BY city),

@@ -7,6 +7,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from .. import constants as K
 from ..plans import logs as L
 from ..session import staging_path
 from ..sinks.writers import append_table, write_text
@@ -212,3 +213,65 @@ def pipe_json_to_table(t):
     name = "login_os_plat_" + path.rsplit("-", 1)[-1]
     append_table(df, name, path=path)
     return t.spark.table(name)
+
+
+_RANGES = (("first", None, "2024-01-07"), ("middle", "2024-01-05", "2024-01-20"), ("all", None, None))
+
+
+def _bitmap_sql() -> str:
+    day = lambda a, b: " AND ".join([f"d >= DATE '{a}'"] * (a is not None) + [f"d <= DATE '{b}'"] * (b is not None)) or "true"
+    parts = [f"SELECT '{n}' AS days, event_type, count(DISTINCT user_id) AS uv FROM e WHERE {day(a, b)} GROUP BY event_type "
+             f"HAVING count(DISTINCT user_id) >= {UV_MIN}" for n, a, b in _RANGES]
+    return "WITH e AS (SELECT event_type, user_id, CAST(ts AS DATE) AS d FROM events) " + " UNION ALL ".join(parts)
+
+
+@query("agg_bitmap_uv", sql=_bitmap_sql())
+def agg_bitmap_uv(t):
+    """AGG-06 / FLT-10 / PIPE-15: distinct users per type over ranges of days,
+    from bitmaps kept by day.  The days are added in two parts; no range reads
+    an event."""
+    from functools import reduce
+
+    from ..operators.bitmaps import DailyBitmaps
+    e = t["events"].withColumn("d", F.to_date("ts"))
+    kept = DailyBitmaps(t.spark, staging_path(t.spark, "bitmaps"), ["event_type"], ["STRING"])
+    early = F.col("d") <= F.lit("2024-01-10").cast("date")
+    kept.add(e.where(early), "d", "user_id")
+    kept.add(e.where(~early), "d", "user_id")
+    ranges = [kept.counts(a, b, UV_MIN).select(F.lit(n).alias("days"), "event_type", "uv") for n, a, b in _RANGES]
+    return reduce(lambda x, y: x.unionByName(y), ranges)
+
+
+@query("agg_bitmap_log_uv", sql=f"""
+WITH p AS (SELECT s[1] AS types, s[2] AS date, s[9] AS userId
+           FROM (SELECT {_SPLIT} AS s FROM micro_log WHERE contains(value, 'Micro') AND contains(value, ' ')))
+SELECT types, count(DISTINCT userId) AS uv FROM p GROUP BY types""", fixtures=("micro_log",))
+def agg_bitmap_log_uv(t):
+    """AGG-06 / PIPE-15: distinct users of the log per type over all days;
+    the text ids get dense numbers, two arrivals one after the other."""
+    from ..operators.bitmaps import DailyBitmaps, IdDictionary
+    rows = L.parse_space_log(t["micro_log"], {"types": 0, "date": 1, "spaceId": 7, "userId": 8}, min_fields=9,
+                             keep_containing=(K.LOG_MARKER, " "))
+    ids = IdDictionary(t.spark, staging_path(t.spark, "ids"))
+    kept = DailyBitmaps(t.spark, staging_path(t.spark, "log_bitmaps"), ["types"], ["STRING"])
+    early = F.col("date") <= "2024-01-10"
+    for part in (rows.where(early), rows.where(~early)):
+        ids.extend(part, "userId")
+        kept.add(ids.numbered(part, "userId"), "date", "number")
+    return kept.counts()
+
+
+@query("pipe_revenue_bucketed", sql=f"""
+WITH o AS (SELECT user_id, sum(price) AS price FROM orders_paid WHERE c_date >= '{PAID_SINCE}' AND pay_date IS NOT NULL GROUP BY user_id),
+u AS (SELECT DISTINCT user_id, os, platform FROM login_os_plat)
+SELECT platform, os, sum(o.price) AS price FROM u JOIN o ON u.user_id = o.user_id GROUP BY platform, os""",
+       fixtures=("orders_paid", "login_os_plat"))
+def pipe_revenue_bucketed(t):
+    """PIPE-23 / JOIN-04: the revenue report over two tables kept in buckets
+    of the user: neither the sum per user, nor the distinct users, nor the
+    join needs an exchange."""
+    from ..sinks.writers import write_bucketed
+    paid = t["orders_paid"].groupBy("user_id", "c_date", F.col("pay_date").isNotNull().alias("is_paid")).agg(F.sum("price").alias("price"))
+    orders = write_bucketed(paid.withColumn("pay_date", F.when(F.col("is_paid"), F.col("c_date"))), ["user_id"])
+    logins = write_bucketed(t["login_os_plat"].distinct(), ["user_id"])
+    return L.revenue_by_platform(orders, logins, PAID_SINCE)

@@ -270,3 +270,33 @@ def src_region_scan(t):
     p = _stage(t, "regions")
     write_regions(t["cells"], p)
     return scan(t.spark, p, *SCAN, ["210401", "hist"])
+
+
+@query("src_hashes_by_keys", sql="""
+SELECT key, field, value FROM hash_entries WHERE key IN (SELECT p_brand FROM part WHERE p_partkey % 400 = 7)""", fixtures=("hash_entries",))
+def src_hashes_by_keys(t):
+    """SRC-17: the hashes whose keys a table lists."""
+    return R.hashes_by_keys(t["hash_entries"], t["part"].where("p_partkey % 400 = 7").select(F.col("p_brand").alias("key")))
+
+
+@query("src_members_of_sets", sql="""
+SELECT DISTINCT key, member FROM set_members WHERE key IN (SELECT p_type FROM part WHERE p_partkey % 400 = 7)""", fixtures=("set_members",))
+def src_members_of_sets(t):
+    """SRC-18: the members of all sets whose keys a table lists."""
+    return R.members_of_sets(t["set_members"], t["part"].where("p_partkey % 400 = 7").select(F.col("p_type").alias("key")))
+
+
+@query("src_ingest_ledger", sql="SELECT split_part(value, ' ', 1) AS user_id, substr(log_name, 9) AS c_date FROM daily_log",
+       fixtures=("daily_log",))
+def src_ingest_ledger(t):
+    """SRC-09 / PIPE-16: daily log files arriving in two halves and imported
+    through a ledger after each; every run sees all files and takes the new
+    ones."""
+    from ..sources.ledger import Ledger
+    folder, ledger = _stage(t, "arriving"), Ledger(t.spark, _stage(t, "imports"))
+    log, even = t["daily_log"], F.substring("log_name", -2, 2).cast("int") % 2 == 0
+    for half in (even, ~even):
+        W.write_text(log.where(half), folder, mode="append", partition_by="log_name")
+        ledger.import_new(f"{folder}/*/*", lambda files: R.read_text_lines(t.spark, files, with_path=True))
+    ledger.import_new(f"{folder}/*/*", lambda files: R.read_text_lines(t.spark, files, with_path=True))      # nothing new
+    return L.users_by_file_date(ledger.read("value STRING, file_path STRING"))

@@ -9,6 +9,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .windows import running_sum
+
 
 #: ``percentile_approx`` is off by at most 1 / ACCURACY of a group's rows; the
 #: bracket around the median is four times that wide on either side.
@@ -25,17 +27,27 @@ def upper_median(df: DataFrame, keys: Sequence[str], value: str | Column,
 
     Approximate quantiles just below and above the middle (merged map-side)
     bracket it for certain.  One more aggregate counts the rows under the
-    bracket and the values inside it, and only those few values are ranked: a
-    hot group, or a narrow range of ids, times or texts, is never sorted in
-    one task."""
+    bracket and the values inside it, and only those few values are ranked, by
+    a running sum over range partitions: neither a hot group nor its bracket
+    is sorted in one task."""
     rows = _bracketed(df, keys, F.col(value) if isinstance(value, str) else value, where)
-    run = Window.partitionBy(*keys).orderBy("_inside", "_value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    rows = rows.withColumn("_through", F.sum("_c").over(run))
+    rows = running_sum(rows, keys, ["_inside", "_value"], "_c", "_through")
     goal = F.floor(F.col("_n") / 2) + 1
     return rows.where((F.col("_through") >= goal) & (F.col("_through") - F.col("_c") < goal)).select(
         *keys, F.col("_value").alias(out))
 
 
+def sorted_list(df: DataFrame, keys: Sequence[str], value: str, out: str = "values") -> DataFrame:
+    """``sort_array(collect_list(value))`` per group; nulls are left out.  Each
+    value is counted first, so what is shuffled and sorted is the distinct
+    values; the list itself is one row of its group, whose length is the
+    caller's to bound (``row_number_within`` gives the long form)."""
+    counted = df.groupBy(*keys, value).agg(F.count(value).cast("int").alias("_n"))
+    runs = F.sort_array(F.collect_list(F.when(F.col("_n") > 0, F.struct(F.col(value).alias("v"), "_n"))))
+    return counted.groupBy(*keys).agg(runs.alias("_runs")).select(
+        *keys, F.flatten(F.transform("_runs", lambda r: F.array_repeat(r["v"], r["_n"]))).alias(out))
+
+
 def _bracketed(df: DataFrame, keys: Sequence[str], v: Column, where: Column | None = None) -> DataFrame:
     """(keys, _inside, _value, _c, _n): per group the count of rows under the
     bracket (``_inside`` false) and of every value in it; ``_n`` rows in all."""
@@ -119,7 +131,6 @@ def rank_within(df: DataFrame, partition: Sequence[str], order_col: str, out: st
     """``rank()`` by ``order_col`` descending per group (ties share, gaps)
     without sorting a group in one task: a value's rank is one more than the
     rows above it, and rows are first counted per (group, value)."""
-    from .windows import running_sum
     values = df.groupBy(*partition, order_col).agg(F.count(F.lit(1)).alias("_n"))
     above = running_sum(values, partition, [F.col(order_col).desc()], "_n", "_through")
     above = above.select(*partition, F.col(order_col).alias("_value"), (F.col("_through") - F.col("_n") + 1).cast("int").alias(out))

@@ -41,13 +41,10 @@ def _with_offsets(laid: DataFrame, keys: Sequence[str], amount: Column) -> DataF
 
 
 def global_row_number(df: DataFrame, order: Sequence[str | Column], out: str = "row_number",
-                      scalable: bool = True, partitions: int | None = None) -> DataFrame:
-    """``row_number() over (order by ...)`` across the whole frame.
-
-    A window without ``partitionBy`` moves every row into one task; the
-    scalable form is ``row_number_within`` with no group columns."""
-    if not scalable:
-        return df.withColumn(out, F.row_number().over(Window.orderBy(*order)))
+                      partitions: int | None = None) -> DataFrame:
+    """``row_number() over (order by ...)`` across the whole frame, without
+    moving every row into one task: ``row_number_within`` with no group
+    columns."""
     return row_number_within(df, [], order, out, partitions)
 
 

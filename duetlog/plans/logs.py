@@ -140,11 +140,11 @@ def index_users(index: DataFrame, term: str, lo, hi, term_col: str = "sv", ts_co
 
 # --- PIPE-21 ---------------------------------------------------------------------
 
-def numbered_new_users(new_user: DataFrame, c_date: str, scalable: bool = True) -> DataFrame:
+def numbered_new_users(new_user: DataFrame, c_date: str) -> DataFrame:
     """New users of one day partition, numbered by ``(space_id, user_id)``."""
     day = new_user.where(F.col("c_date") == c_date).select(
         "user_id", "space_id", C.date_text_to_epoch_millis("c_date").alias("time"))
-    return global_row_number(day, ["space_id", "user_id"], scalable=scalable)
+    return global_row_number(day, ["space_id", "user_id"])
 
 
 # --- PIPE-22 ---------------------------------------------------------------------

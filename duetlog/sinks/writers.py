@@ -10,6 +10,8 @@ from collections.abc import Callable, Iterable, Mapping
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from ..session import staging_path
+
 
 def write_csv(df: DataFrame, path: str, header: bool = True, mode: str = "errorifexists",
               sep: str = ",") -> None:
@@ -56,6 +58,20 @@ def create_table(df: DataFrame, name: str, path: str | None = None, fmt: str = "
     w.saveAsTable(name)
 
 
+def write_bucketed(df: DataFrame, keys: Iterable[str], buckets: int | None = None, path: str | None = None) -> DataFrame:
+    """``df`` written as a table of hash buckets sorted by ``keys``, read
+    back.  Two tables with equal bucket counts join on the keys, and one is
+    grouped by them, without an exchange.  Rows are dealt like the buckets, so
+    each task writes one file; a key's rows lie in one bucket, so aggregate
+    first where a key may be hot."""
+    spark, cols = df.sparkSession, list(keys)
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    path = path or staging_path(spark, "bucketed")
+    name = "bucketed_" + path.rsplit("-", 1)[-1].replace("/", "_")
+    df.repartition(n, *cols).write.format("parquet").option("path", path).bucketBy(n, *cols).sortBy(*cols).saveAsTable(name)
+    return spark.table(name)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str], mode: str = "append",
                batch_size: int = 1000, num_partitions: int | None = None) -> None:
     """SNK-08: JDBC append; ``num_partitions`` bounds the open connections."""

@@ -142,6 +142,19 @@ def hash_entries(entries: DataFrame, keys: Iterable[str]) -> DataFrame:
     return entries.where(F.col("key").isin(list(keys))).select("field", "value")
 
 
+def hashes_by_keys(entries: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame:
+    """SRC-17: ``(key, field, value)`` of the hashes whose keys a table lists,
+    however many: a semi join, hot keys split by adaptive execution."""
+    wanted = keys.select(F.col(key).alias("_key")).distinct()
+    return entries.join(wanted, F.col("key") == F.col("_key"), "left_semi").select("key", "field", "value")
+
+
+def members_of_sets(entries: DataFrame, keys: DataFrame, key: str = "key") -> DataFrame:
+    """SRC-18: ``(key, member)`` of all sets whose keys a table lists."""
+    wanted = keys.select(F.col(key).alias("_key")).distinct()
+    return entries.join(wanted, F.col("key") == F.col("_key"), "left_semi").select("key", "member").distinct()
+
+
 def set_members(entries: DataFrame, key: str) -> DataFrame:
     """SRC-18: members of one set."""
     return entries.where(F.col("key") == key).select("member")
