@@ -6,20 +6,29 @@ node by its subtree's density, attribute tokens, depth, ancestors and
 siblings.  Decoding picks the most probable labelling in which no node is
 kept under a dropped one: a node's gain is its log-odds plus its children's
 positive gains, and only a node with positive gain under a kept parent is
-kept.  The kept text blocks, in page order, are the main text.
+kept.  A text that is all its parent holds goes with its parent, and plain
+elements without a name under one parent share their mean log-odds.  The kept text
+blocks, in page order, are the main text.
+
+Attribute tokens are learned: whole class words, ids and roles, and the first,
+last and middle parts of compound words; a vocabulary of those that tell most
+about the label is picked from the training nodes, each with its log-odds.  A
+word that is not in it counts by its parts.  Attributes of ``html`` and
+``body`` say nothing about a node and are left out.
 
 Training uses a bounded sample of the pages that have exactly one ``article``
-or ``main`` element: they label their own nodes.  Copies with the
-element renamed to a plain container, and with menus, side bars, notices,
-forms, reader comments and related links added (texts from other pages of the
-sample), teach what a single template does not show.
+or ``main`` element: they label their own nodes.  Copies of them, and pages
+made of the sample's texts, teach what one template does not show: the element
+renamed to other containers, or none; class words of every kind on kept nodes
+(``has-sidebar``, ``share-post``); menus, side bars, notices with and without
+telling names, forms, reader comments and related links around and inside it.
+A table without self-labelled pages is learned from the made pages alone.
 
 Defined results: a null or empty page, or one without kept blocks, has the
 empty text; broken or cut-off markup is read as far as it goes (an element that is
 passed over but has no end tag ends at the first block element inside it);
-without any self-labelled page a fixed rule drops the elements that are boilerplate by
-name; repeated rows are treated alike; nesting depth costs no recursion.
-Extra columns are passed by.
+repeated rows are treated alike; nesting depth costs no recursion.  Extra
+columns are passed by.
 """
 
 from __future__ import annotations
@@ -27,6 +36,7 @@ from __future__ import annotations
 import html as entities
 import re
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -39,11 +49,16 @@ from .common import column, slices, task
 
 SAMPLE_PAGES = 300
 SAMPLE_CHARS = 60_000
+#: Pages made of the sample's texts, and attribute tokens that are kept.
+MADE_PAGES = 1200
+VOCABULARY = 400
 
 _MARKUP = re.compile(
-    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']+|\"[^\"]*\"|'[^']*')*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>?",
+    r"<!--.*?(?:-->|\Z)|<[!?][^>]*>?|"
+    # a quote opens a value only right behind "="; elsewhere it is a character like any other
+    r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>=]++|=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^\s>]++)?)*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>?",
     re.S)
-_ATTRIBUTE = re.compile(r"(class|id|role|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTRIBUTE = re.compile(r"([^\s=/>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]*)))?")
 _NAME_PART = re.compile(r"[a-z0-9]+")
 
 # Element names by what they are, and attribute tokens.
@@ -61,14 +76,6 @@ _CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "t
            "th": {"td", "th"}, "option": {"option"}}
 _KINDS = ("article", "main", "section", "div", "p", "li", "ul", "nav", "aside", "header", "footer", "form", "table",
           "blockquote", "body", "html")
-_GOOD = frozenset("content article post entry story body main text page".split())
-_BAD = frozenset("ad ads advert adverts advertisement banner promo promotion sponsor sponsored nav navigation menu menubar "
-                 "sidebar side aside footer foot header masthead comment comments reply replies discussion share social "
-                 "related recommended cookie consent notice alert warning popup modal newsletter subscribe signup widget "
-                 "breadcrumb breadcrumbs pagination pager legal copyright login search form toolbar tags disclaimer".split())
-_DROPPED_BY_NAME = frozenset("nav footer aside header form".split())
-
-
 class Page:
     """Block elements and text blocks in page order; parents come first."""
 
@@ -242,11 +249,15 @@ def parse(source: str) -> Page:
         tokens, mark = (), None
         if rest:
             for key, *value in _ATTRIBUTE.findall(rest):
-                value = "".join(value)
-                if key.lower() == "data-y":
+                key, value = key.lower(), "".join(value)
+                if key == "data-y":
                     mark = value
-                else:
-                    tokens += tuple(_NAME_PART.findall(value.lower()))
+                elif name == "html" or name == "body":
+                    continue
+                elif key == "class" or key == "id":
+                    tokens += tuple(value.lower().split())
+                elif key == "role":
+                    tokens += tuple("role:" + v for v in value.lower().split())
         stack.append(page.add(name, stack[-1], tokens, mark))
         open_count[name] = open_count.get(name, 0) + 1
     flush()
@@ -255,7 +266,43 @@ def parse(source: str) -> Page:
 
 # ---------------------------------------------------------------- features
 
-def features(page: Page) -> np.ndarray:
+def word_tokens(word: str) -> tuple[str, ...]:
+    """A class word, and the parts of a compound one by their place."""
+    parts = _NAME_PART.findall(word)
+    if len(parts) < 2:
+        return ("=" + word,)
+    return ("=" + word, "<" + parts[0], ">" + parts[-1], *("~" + p for p in parts[1:-1]))
+
+
+def vocabulary(pages: list[Page], y: list[np.ndarray]) -> dict[str, float]:
+    """The ``VOCABULARY`` tokens that tell most about the label, with the
+    log-odds of being dropped of a node that has one."""
+    count: dict[str, list[float]] = {}
+    total = [0, 0]
+    for page, label in zip(pages, y):
+        for tokens, kept in zip(page.tokens, label):
+            total[int(kept)] += 1
+            for t in {t for w in tokens for t in word_tokens(w)}:
+                count.setdefault(t, [0, 0])[int(kept)] += 1
+
+    def entropy(a, b):
+        p = np.array([a, b]) / max(a + b, 1)
+        return -(p[p > 0] * np.log(p[p > 0])).sum() * (a + b)
+
+    gain = {t: entropy(*total) - entropy(*c) - entropy(total[0] - c[0], total[1] - c[1]) for t, c in count.items() if sum(c) >= 3}
+    best = sorted(gain, key=lambda t: (-gain[t], t))[:VOCABULARY]
+    return {t: float(np.log((count[t][0] + 0.5) / (total[0] + 1)) - np.log((count[t][1] + 0.5) / (total[1] + 1))) for t in best}
+
+
+def _word_weight(word: str, weights: dict[str, float]) -> float:
+    """The weight of a known word, or else of its known parts."""
+    whole, *parts = word_tokens(word)
+    if whole in weights:
+        return weights[whole]
+    return sum(weights.get(p, 0.0) for p in parts)
+
+
+def features(page: Page, weights: dict[str, float]) -> np.ndarray:
     """(nodes, features); whole-subtree figures by one pass from the leaves."""
     n = len(page.tag)
     parent = np.array(page.parent)
@@ -279,15 +326,24 @@ def features(page: Page) -> np.ndarray:
         nodes[p] += nodes[i]
         items[p] += items[i]
         kids[p] += 1
-    depth, good, bad, above = np.zeros(n), np.zeros(n), np.zeros(n), np.zeros((n, 7))
+    depth, above = np.zeros(n), np.zeros((n, 7))
+    own, near, path = np.zeros((n, 4)), np.zeros((n, 3)), np.zeros(n)      # learned word weights: here, nearest named ancestor, all
     slot = {"article": 0, "main": 0, "nav": 1, "aside": 2, "header": 3, "footer": 4, "form": 5, "li": 6}
     kind = np.full(n, len(_KINDS))
-    own_good, own_bad = np.zeros(n), np.zeros(n)
+    known: dict[str, float] = {}
     before = np.zeros(n)                             # text before the node, as a share of the page
     seen = 0.0
     for i in range(n):
         tag, tok = page.tag[i], page.tokens[i]
-        own_good[i], own_bad[i] = sum(t in _GOOD for t in tok), sum(t in _BAD for t in tok)
+        if tok:
+            w = []
+            for t in tok:
+                if t not in known:
+                    known[t] = _word_weight(t, weights)
+                w.append(known[t])
+            if tag == "article" or tag == "main":        # such a name says more than any class word against it
+                w = [min(x, 0.0) for x in w]
+            own[i] = max(w), min(w), sum(w), len(w)
         if tag in _KINDS:
             kind[i] = _KINDS.index(tag)
         elif tag in _HEADINGS:
@@ -299,7 +355,8 @@ def features(page: Page) -> np.ndarray:
         if i:
             p = parent[i]
             depth[i] = depth[p] + 1
-            good[i], bad[i] = good[p] + own_good[i], bad[p] + own_bad[i]
+            near[i] = own[p, :3] if own[p, 3] else near[p]
+            path[i] = max(path[p], own[p, 2])
             above[i] = above[p]
         if tag in slot:
             above[i, slot[tag]] = 1
@@ -312,11 +369,40 @@ def features(page: Page) -> np.ndarray:
         named[:, j] = kind == _KINDS.index(k)
     return np.column_stack([
         kind, np.log1p(chars), links / size, nodes / size * 100, commas / size * 100, stops / size * 100, digits / size * 100,
-        chars / np.maximum(texts, 1), texts, kids, items / np.maximum(nodes, 1), depth, own_good, own_bad, good, bad, above,
+        chars / np.maximum(texts, 1), texts, kids, items / np.maximum(nodes, 1), depth, own, near, path, above,
         chars / total, before / total, chars / np.maximum(sib_chars, 1), sib_links / np.maximum(sib_chars, 1), sib_n,
         np.log1p(sib_chars), named, (kind <= 1).astype(float)])
 
 
+def joined(page: Page) -> np.ndarray:
+    """Texts that go with their parent: it holds nothing but text."""
+    parent, text = np.array(page.parent), np.array([t == "#text" for t in page.tag])
+    mixed = np.zeros(len(text), dtype=bool)
+    mixed[parent[1:][~text[1:]]] = True
+    return text & ~mixed[parent] & (parent > 0)
+
+
+#: Fixed value: elements that carry text and say nothing else.
+_PLAIN = _HEADINGS | frozenset("p ul ol li dl dt dd blockquote pre table tbody tr td th figure #text".split())
+
+
+def levelled(page: Page, odds: np.ndarray) -> np.ndarray:
+    """Plain elements without a name, children of one parent, are told apart
+    by nothing but chance: each gets their mean, weighted by text."""
+    plain = np.array([t in _PLAIN and not page.tokens[i] for i, t in enumerate(page.tag)])
+    plain[0] = False
+    size = np.array([1.0 + len(t or "") for t in page.text])
+    for i in range(len(size) - 1, 0, -1):
+        size[page.parent[i]] += size[i]
+    parent = np.array(page.parent)[plain]
+    total, weight = np.zeros(len(odds)), np.zeros(len(odds))
+    np.add.at(total, parent, (odds * size)[plain])
+    np.add.at(weight, parent, size[plain])
+    out = odds.copy()
+    out[plain] = total[parent] / weight[parent]
+    return out
+
+
 def keep(page: Page, odds: np.ndarray) -> np.ndarray:
     """The most probable labelling without a kept node under a dropped one."""
     gain = odds.copy()
@@ -330,10 +416,11 @@ def keep(page: Page, odds: np.ndarray) -> np.ndarray:
     return kept
 
 
-def by_name(page: Page) -> np.ndarray:
-    """Log-odds of the rule used where no page labels itself."""
-    return np.array([-1.0 if t in _DROPPED_BY_NAME or any(x in _BAD for x in page.tokens[i]) else 1.0
-                     for i, t in enumerate(page.tag)])
+def decided(page: Page, odds: np.ndarray) -> np.ndarray:
+    """The trees' log-odds, levelled, with joined texts left to their parents."""
+    out = levelled(page, odds)
+    out[joined(page)] = 1e-3
+    return out
 
 
 def written(page: Page, kept: np.ndarray) -> str:
@@ -343,133 +430,244 @@ def written(page: Page, kept: np.ndarray) -> str:
 # ---------------------------------------------------------------- training
 
 _MAIN_OPEN = re.compile(r"<(article|main)\b([^>]*)>", re.I)
-#: Containers that stand in for the labelled element.
-_RENAMED = ("div", 'div class="content"', 'div id="main"', 'section class="post"', "main", "article", 'div class="story-text"')
-
-
-def _boilerplate(pick, sentences: list[str]) -> list[str]:
-    """Pieces that are not main text, around sentences of other pages."""
-    def s():
-        return sentences[pick(len(sentences))]
-
-    def links(n):
-        return "".join(f'<li><a href="/x">{" ".join(s().split()[:3])}</a></li>' for _ in range(n))
-
-    return [
-        f'<aside class="sidebar"><h3>{s()[:30]}</h3><ul>{links(5)}</ul></aside>',
-        f'<aside><p>{s()}</p></aside>',
-        f'<div class="cookie-notice"><p>{s()}</p></div>',
-        f'<div class="notice">{s()}</div>',
-        f'<div role="alert"><p>{s()}</p></div>',
-        f'<section id="comments"><h3>{s()[:20]}</h3>' + "".join(
-            f'<div class="comment"><p>{s()}</p><p>{s()}</p></div>' for _ in range(1 + pick(4))) + "</section>",
-        '<div class="comments">' + "".join(f"<p>{s()} {s()}</p>" for _ in range(1 + pick(4))) + "</div>",
-        f'<ul class="comment-list"><li class="comment">{s()}</li><li class="comment">{s()}</li></ul>',
-        f'<form action="/s"><label>{s()[:25]}</label><input name="q"><button>{s()[:8]}</button></form>',
-        f'<form class="newsletter"><p>{s()}</p><input type="email"></form>',
-        f'<header class="site-header"><h2>{s()[:25]}</h2><p>{s()[:40]}</p></header>',
-        f'<header><div>{s()}</div></header>',
-        f'<div class="related"><h4>{s()[:15]}</h4><ul>{links(4)}</ul></div>',
-        f'<div class="ad">{s()}</div>',
-        f'<div class="advertisement"><p>{s()}</p><p>{s()}</p></div>',
-        f'<div class="sponsored">{s()}</div>',
-        f'<div class="share-buttons"><a href="#">{s()[:6]}</a> <a href="#">{s()[:6]}</a></div>',
-        f'<nav class="breadcrumbs"><a href="/">{s()[:8]}</a> &gt; <a href="/a">{s()[:8]}</a></nav>',
-        f'<div id="menu"><ul>{links(6)}</ul></div>',
-        f'<footer><p>&copy; {s()}</p></footer>',
-        f'<div class="footer">&copy; {s()}</div>',
-    ]
+# Fixed values of the made pages: words that name main containers, words that
+# name boilerplate, and what either kind of name is compounded with.
+_CONTENT_WORDS = "content article post entry story body main text page single blog news hentry prose".split()
+_OTHER_WORDS = ("ad ads advert advertisement banner promo sponsor sponsored nav navigation menu sidebar aside footer header masthead "
+                "comment comments reply replies discussion share social related recommended cookie consent notice alert warning "
+                "popup modal newsletter subscribe signup widget breadcrumb breadcrumbs pagination legal copyright login search "
+                "toolbar disclaimer").split()
+_STATES = ("has-{0}", "no-{0}", "with-{0}", "is-{0}", "{0}-open", "{0}-closed", "{0}-post", "{0}-enabled", "{0}-on", "content-{0}", "post-{0}")
+_PLACES = ("site-{0}", "page-{0}", "{0}-list", "{0}-box", "{0}-wrapper", "{0}-left", "{0}-area", "top-{0}", "main-{0}", "{0}-block", "{0}-inner")
+
+
+_SENTENCES = ["A plain sentence of text, as there are many.", "Another one follows it, but it is longer, and goes on for a while.",
+              "Some more words, and then it ends.", "What came of it was told in the next chapter."]
+
+
+class _Maker:
+    """Training pages by rule: every draw follows from the seed."""
+
+    def __init__(self, seed: int, sentences: list[str]):
+        self.seed, self.sentences = seed, sentences
+
+    def pick(self, n: int) -> int:
+        self.seed = xxhash.xxh64_intdigest(self.seed.to_bytes(8, "little"), 7)
+        return self.seed % n
+
+    def one(self, items):
+        return items[self.pick(len(items))]
+
+    def s(self) -> str:
+        return self.one(self.sentences)
+
+    def neutral(self) -> str:
+        """A word that says nothing."""
+        return self.one("abcdeghlmrstxz") + self.one(("", "x", "ol", "row", "css", "elem")) + str(self.pick(100))
+
+    def kept_words(self, any_word: bool) -> str:
+        """Class words of a kept container; on an element whose own name says
+        what it is (``any_word``) they may be any."""
+        kind = self.pick(10)
+        state = self.one(_STATES).format(self.one(_OTHER_WORDS))
+        if any_word and kind < 4:
+            return self.one((state, self.one(_OTHER_WORDS), f"{self.one(_CONTENT_WORDS)} {self.one(_OTHER_WORDS)}"))
+        if kind < 5:
+            return self.one((self.one(_CONTENT_WORDS), f"{self.one(_CONTENT_WORDS)}-{self.one(('body', 'inner', 'area', 'wrap', 'text'))}"))
+        if kind < 7:
+            return self.neutral()
+        return self.one((f"{self.one(_CONTENT_WORDS)} {state}", f"{self.neutral()} {state}", state))
+
+    def attribute(self, words: str) -> str:
+        return "" if not words else self.one((f' class="{words}"', f' class="{words}"', f" class='{words}'", f' id="{words.split()[0]}"'))
+
+    def other(self, plain: bool = True) -> str:
+        """A piece that is not main text.  ``plain``: it may lack any name
+        (only outside the main element can such a piece be told)."""
+        s, one, pick = self.s, self.one, self.pick
+
+        def links(n):
+            return "".join(f'<li><a href="/x">{" ".join(s().split()[:3])}</a></li>' for _ in range(n))
+
+        def named(*words):
+            w = one(words)
+            return self.attribute(one((w, w, one(_PLACES).format(w), f"{self.neutral()} {w}")))
+
+        def p(n):
+            return "".join(f"<p>{s()}</p>" for _ in range(n))
+
+        kinds = [
+            lambda: f'<aside{one(("", named("sidebar", "widget")))}><h3>{s()[:30]}</h3><ul>{links(5)}</ul></aside>',
+            lambda: f"<aside>{p(1 + pick(2))}</aside>",
+            lambda: f'<div{named("cookie", "consent", "notice", "alert", "warning", "popup", "modal")}>{one((s(), p(1)))}</div>',
+            lambda: f'<div role="{one(("alert", "dialog", "banner"))}">{p(1)}</div>',
+            lambda: f'<section{named("comments", "discussion", "replies")}><h3>{s()[:20]}</h3>' + "".join(
+                f'<div{named("comment", "reply")}>{p(1 + pick(2))}</div>' for _ in range(1 + pick(4))) + "</section>",
+            lambda: f'<div{named("comments", "discussion")}>{p(1 + pick(5))}</div>',
+            lambda: f'<ul{named("comments", "comment")}><li class="comment">{s()}</li><li class="comment">{s()}</li></ul>',
+            lambda: f'<form{one(("", named("search", "newsletter", "login")))}><label>{s()[:25]}</label><input name=q>{one(("", p(1)))}<button>{s()[:8]}</button></form>',
+            lambda: f'<header{one(("", named("header", "masthead")))}>{one((f"<h2>{s()[:25]}</h2><p>{s()[:40]}</p>", f"<div>{s()}</div>"))}</header>',
+            lambda: f'<div{named("header", "masthead", "banner")}><h2>{s()[:25]}</h2><p>{s()[:60]}</p></div>',
+            lambda: f'<div{named("related", "recommended")}><h4>{s()[:15]}</h4><ul>{links(4)}</ul></div>',
+            lambda: f'<div{named("ad", "ads", "advert", "advertisement", "sponsored", "promo", "banner")}>{one((s(), p(1), p(2)))}</div>',
+            lambda: f'<div{named("share", "social", "toolbar")}><a href="#">{s()[:6]}</a> <a href="#">{s()[:6]}</a></div>',
+            lambda: f'<nav{one(("", named("breadcrumbs", "breadcrumb", "menu")))}><a href="/">{s()[:8]}</a> &gt; <a href="/a">{s()[:8]}</a></nav>',
+            lambda: f'<div{named("menu", "nav", "navigation", "sidebar")}><ul>{links(6)}</ul></div>',
+            lambda: f'<div{named("sidebar", "widget")}>{p(1 + pick(3))}</div>',
+            lambda: f'<footer><p>&copy; {s()}</p></footer>',
+            lambda: "<{0}>{1}</{0}>".format(one(("nav", "footer", "header", "aside", "form")), s()[: 3 + pick(80)]),
+            lambda: f'<div{named("footer", "copyright", "legal", "disclaimer")}>{one(("&copy; ", ""))}{s()}</div>',
+            lambda: f'<div{named("newsletter", "subscribe", "signup")}>{p(1)}</div>',
+        ]
+        if plain and pick(4) == 0:
+            bare = self.attribute(self.neutral()) if pick(3) else ""
+            return one((f"<div{bare}><p>{s()[:120]}</p></div>", f"<div{bare}>{s()[:80]}</div>", f"<div{bare}><ul>{links(4)}</ul></div>"))
+        return one(kinds)()
+
+    def others(self, most: int, plain: bool = True) -> str:
+        return "".join(re.sub(r"^<(\w+)", r'<\1 data-y="0"', self.other(plain)) for _ in range(self.pick(most + 1)))
+
+    def container(self, inner: str) -> str:
+        """The main element around ``inner``: named by its tag, by class words
+        of any kind, or not at all; maybe with wrappers around it or in it."""
+        tag = self.one(("article", "main", "div", "div", "section", "div"))
+        sure = tag in ("article", "main")
+        words = self.kept_words(sure) if self.pick(10) < 8 else ""
+        if self.pick(4) == 0:
+            inner = f'<div{self.attribute(self.kept_words(False))}>{inner}</div>'
+        out = f'<{tag}{self.attribute(words)} data-y="1">{inner}{self.others(1, False) if self.pick(3) == 0 else ""}</{tag}>'
+        if self.pick(3) == 0:
+            out = f'<div{self.attribute(self.kept_words(False))}>{self.others(1)}{out}{self.others(1)}</div>'
+        return out
+
+    def page(self) -> str:
+        """A page made of sentences: in a container, or bare in the body."""
+        def block():
+            kind = self.pick(9)
+            if kind == 0:
+                return "<ul>" + "".join(f"<li>{self.s()}</li>" for _ in range(2 + self.pick(4))) + "</ul>"
+            if kind == 1:
+                return f"<blockquote><p>{self.s()}</p></blockquote>"
+            if kind == 2:
+                return f"<h2>{self.s()[: 5 + self.pick(50)]}</h2>"
+            return f'<p>{" ".join(self.s() for _ in range(1 + self.pick(5)))}</p>'
+
+        if self.pick(12) == 0:                           # no main text at all
+            alone = "<{0} data-y=0>{1}</{0}>".format(self.one(("nav", "footer", "header", "aside", "form")), self.s()[: 3 + self.pick(80)])
+            return self.one((alone, "<body>" + alone, f"<body>{alone}{self.others(3, False)}", "<body>" + re.sub(
+                r"^<(\w+)", r'<\1 data-y="0"', self.other(False)) + self.others(3, False)))
+        if self.pick(6) == 0:                            # no container at all
+            blocks = [f"<h1>{self.s()[: 5 + self.pick(60)]}</h1>"] * self.pick(2) + [f"<p>{self.s()} {self.s()}</p>" for _ in range(1 + self.pick(6))]
+            inner = self.one((self.s()[: 3 + self.pick(200)].strip(), "".join(blocks), "".join(blocks)))
+            marked = re.sub(r"<(h1|p)>", r'<\1 data-y="1">', inner)
+            around = self.pick(2)
+            body = (self.others(2, False) if around else "") + marked + (self.others(2, False) if around else "")
+            return f"<html><body>{body}</body></html>" if self.pick(2) else body
+        if self.pick(8) == 0:                            # little text, little else
+            return f"<body>{self.one(('', '<nav data-y=0><a href=/>' + self.s()[:8] + '</a></nav>'))}{self.container(f'<p>{self.s()}</p>')}</body>"
+        inner = f"<h1>{self.s()[: 5 + self.pick(60)]}</h1>" * self.pick(2) + "".join(block() for _ in range(2 + self.pick(10)))
+        return f'<html><body class="{self.one(_OTHER_WORDS)}">{self.others(4)}{self.container(inner)}{self.others(4)}</body></html>'
 
 
 def _varied(page: str, seed: int, sentences: list[str]) -> str:
-    """A copy of ``page`` with its main element renamed and boilerplate added
-    before, inside at the end, and after it."""
-    def pick(n: int) -> int:
-        nonlocal seed
-        seed = xxhash.xxh64_intdigest(seed.to_bytes(8, "little"), 7)
-        return seed % n
-
+    """A copy of ``page`` with another main element around its main text and
+    other pieces before, inside and after it."""
+    make = _Maker(seed, sentences)
     m = _MAIN_OPEN.search(page)
-    name = m.group(1).lower()
-    close = re.search(f"</{name}\\s*>", page[m.end():], re.I)
+    close = re.search(f"</{m.group(1)}\\s*>", page[m.end():], re.I)
     inner_end = m.end() + close.start() if close else len(page)
     after = m.end() + close.end() if close else len(page)
     head, inner, tail = page[: m.start()], page[m.end(): inner_end], page[after:]
-    new = _RENAMED[pick(len(_RENAMED))]
-
-    def extra(n: int) -> str:
-        parts = _boilerplate(pick, sentences)
-        return "".join(re.sub(r"^<(\w+)", r'<\1 data-y="0"', parts[pick(len(parts))]) for _ in range(pick(n + 1)))
-
-    paragraphs = extra(1) if pick(3) == 0 else ""
-    return (f'{head}{extra(3)}<{new} data-y="1">{inner}{paragraphs}</{new.split()[0]}>{extra(3)}{tail}')
+    return f"{head}{make.others(3)}{make.container(inner)}{make.others(3)}{tail}"
 
 
 def labels(page: Page) -> np.ndarray | None:
-    """1 for nodes of the main element and its ancestors, 0 for the rest;
-    None for a page that does not have exactly one such element."""
-    marks = [i for i, m in enumerate(page.mark) if m == "1"]
-    roots = marks or [i for i, t in enumerate(page.tag) if t in ("article", "main")]
-    if len(roots) != 1:
-        return None
+    """1 for nodes of the main element and its ancestors, 0 for the rest; None
+    for a page that marks nothing and has not exactly one such element."""
+    roots = [i for i, m in enumerate(page.mark) if m == "1"]
+    if not roots:
+        roots = [i for i, t in enumerate(page.tag) if t in ("article", "main")]
+        if len(roots) != 1:
+            return None if "0" not in page.mark else np.zeros(len(page.tag))
     y = np.zeros(len(page.tag))
-    for i in range(roots[0], len(y)):
-        inside = i == roots[0] or y[page.parent[i]] == 1 and i > roots[0]
-        y[i] = inside and page.mark[i] != "0"
-    i = page.parent[roots[0]]
-    while i >= 0:
-        y[i] = 1
-        i = page.parent[i]
+    y[roots] = 1
+    for i in range(1, len(y)):
+        if page.mark[i] == "0":
+            y[i] = 0
+        elif y[page.parent[i]] == 1:
+            y[i] = 1
+    for r in roots:
+        i = page.parent[r]
+        while i >= 0 and page.mark[i] != "up":
+            page.mark[i] = "up"                          # an ancestor is kept, its other children are not
+            i = page.parent[i]
+    y[[i for i, m in enumerate(page.mark) if m == "up"]] = 1
     return y
 
 
-def train(pages: list[str]) -> boost.Trees | None:
-    """Boosted trees from self-labelled pages (plain and varied)."""
+class Model(NamedTuple):
+    trees: boost.Trees
+    weights: dict[str, float]
+
+
+def train(pages: list[str]) -> Model:
+    """Boosted trees from self-labelled pages (plain and varied) and made
+    ones."""
     plain = [(s, parse(s)) for s in pages]
+    texts = sorted({t[:300] for _, p in plain for t in p.text if t and 20 <= len(t)})[:2000]
+    if len(texts) < 200:                                 # few texts: the fixed ones and pieces of all make up for it
+        texts += _SENTENCES
+        texts += [" ".join(t.split()[:n]) for t in texts for n in (3, 6, 12)]
     plain = [(s, p) for s, p in plain if labels(p) is not None and len(_MAIN_OPEN.findall(s)) == 1]
-    if not plain:
-        return None
-    sentences = sorted({t[:300] for _, p in plain for t in p.text if t and 20 <= len(t)})[:2000] or ["a plain sentence of text."]
-    x, y = [], []
-    for n, (s, p) in enumerate(plain):
-        for q in (p, parse(_varied(s, n, sentences)), parse(_varied(s, n + 10**6, sentences))):
-            x.append(features(q)[1:])
-            y.append(labels(q)[1:])
-    x, y = np.concatenate(x), np.concatenate(y)
-    part = np.arange(len(y)) % 4 == 0
-    return boost.calibrated(boost.fit(x[~part], y[~part], rounds=60, depth=4, rate=0.3), x[part], y[part])
-
-
-def fit(pages: DataFrame) -> boost.Trees | None:
+    shown = [p for _, p in plain]
+    for n, (s, _) in enumerate(plain):
+        shown += [parse(_varied(s, n, texts)), parse(_varied(s, n + 10**6, texts))]
+    made = [parse(_Maker(n + 10**7, texts).page()) for n in range(MADE_PAGES)]
+    for p in made:                                       # text without any element around it
+        if "1" not in p.mark:
+            for i in range(1, len(p.tag)):
+                if p.tag[i] == "#text" and p.tag[p.parent[i]] in ("#page", "body"):
+                    p.mark[i] = "1"
+    shown += made
+    y = [labels(p) for p in shown]
+    shown, y = [p for p, v in zip(shown, y) if v is not None], [v for v in y if v is not None]
+    weights = vocabulary(shown, y)
+    own = [~joined(p)[1:] for p in shown]
+    x = np.concatenate([features(p, weights)[1:][o] for p, o in zip(shown, own)])
+    target = np.concatenate([v[1:][o] for v, o in zip(y, own)])
+    part = np.arange(len(target)) % 4 == 0
+    return Model(boost.calibrated(boost.fit(x[~part], target[~part], rounds=90, depth=5, rate=0.25), x[part], target[part]), weights)
+
+
+def fit(pages: DataFrame) -> Model:
     """Train on the ``SAMPLE_PAGES`` pages of least hash among those of up to
     ``SAMPLE_CHARS`` characters with exactly one ``article`` or ``main``."""
     html, h = column(pages, "html").cast("string"), F.xxhash64(column(pages, "page_id"), column(pages, "url"))
     rows = pages.select(html.alias("html"), h.alias("h")).where(F.length("html").between(1, SAMPLE_CHARS)).where(
         F.regexp_count("html", F.lit("(?i)" + _MAIN_OPEN.pattern)) == 1)
     last = rows.select("h").orderBy("h").limit(SAMPLE_PAGES).agg(F.max("h")).first()[0]
-    if last is None:
-        return None
+    if last is None:                        # no page labels itself: texts of some pages, for the made ones
+        some = pages.select(html.alias("html"), h.alias("h")).where(F.length("html").between(1, SAMPLE_CHARS))
+        return train([r.html for r in some.orderBy("h", "html").limit(SAMPLE_PAGES).collect()])
     got = rows.where(F.col("h") <= F.lit(last)).orderBy("h", "html").limit(SAMPLE_PAGES).collect()
     return train([r.html for r in got])
 
 
 # ---------------------------------------------------------------- operator
 
-def main_texts(sources: list[str | None], model: boost.Trees | None) -> list[str]:
+def main_texts(sources: list[str | None], model: Model) -> list[str]:
     parsed = [parse(s) if s else None for s in sources]
     real = [p for p in parsed if p is not None and any(t is not None for t in p.text)]
-    if model is not None and real:
-        x = np.concatenate([features(p) for p in real])
-        odds = np.clip(model.scale * boost.margins(model, x) + model.shift, -6, 6)
-        ends = np.cumsum([len(p.tag) for p in real])
-        scores = iter(np.split(odds, ends[:-1]))
-    else:
-        scores = iter([by_name(p) for p in real])
-    texts = {id(p): written(p, keep(p, o)) for p, o in zip(real, scores)}
+    if not real:
+        return [""] * len(sources)
+    x = np.concatenate([features(p, model.weights) for p in real])
+    odds = np.clip(model.trees.scale * boost.margins(model.trees, x) + model.trees.shift, -6, 6)
+    scores = np.split(odds, np.cumsum([len(p.tag) for p in real])[:-1])
+    texts = {id(p): written(p, keep(p, decided(p, o))) for p, o in zip(real, scores)}
     return [texts.get(id(p), "") for p in parsed]
 
 
-def extract(pages: DataFrame, model: boost.Trees | None) -> DataFrame:
+def extract(pages: DataFrame, model: Model) -> DataFrame:
     """(page_id, url, text, n_chars) per page."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "html", 1 << 20):
