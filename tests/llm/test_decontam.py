@@ -48,7 +48,7 @@ def test_no_python_in_the_plan(spark):
 
 
 def test_odd_rows(spark, odd_docs, no_docs):
-    items = spark.createDataFrame([(1, None), (2, ""), (3, "too short to seed"), (4, "the cat sat on the mat and looked at the moon for a while"),
+    items = spark.createDataFrame([(1, None), (2, ""), (3, "too short seed"), (4, "the cat sat on the mat and looked at the moon for a while"),
                                    (4, "the cat sat on the mat and looked at the moon for a while"), (5, "word " * 40)],
                                   "item_id long, text string")
     got = sorted((r.doc_id, r.item_id) for r in decontam.contaminated(odd_docs, items).collect())
@@ -60,3 +60,58 @@ def test_odd_rows(spark, odd_docs, no_docs):
     kept = decontam.cleaned(clash, items)
     assert kept.columns == clash.columns
     assert kept.count() == odd_docs.count() - 3 and kept.where("doc_id is null").count() == 1
+
+
+def _replaced(words, at):
+    return [f"new{i}" if i in at else w for i, w in enumerate(words)]
+
+
+def test_short_items_with_every_placement_of_replaced_words(spark):
+    """Items of 8 to 16 tokens, 0, 1 and 2 words replaced: all are found."""
+    from itertools import combinations
+    items, docs = [], []
+    for n in range(8, 17):
+        words = [f"t{n}x{i}" for i in range(n)]
+        items.append((n, " ".join(words)))
+        for r in (0, 1, 2):
+            for at in combinations(range(n), r):
+                docs.append((len(docs), n, f"before it {' '.join(_replaced(words, at))} and behind"))
+    d = spark.createDataFrame(docs, "doc_id long, n int, text string")
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(d, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {(i, n) for i, n, _ in docs}
+
+
+def test_recall_over_planted_items(spark):
+    """Longer items, up to a quarter of the words replaced at random; half
+    items; and documents that share single words only."""
+    rng = random.Random(9)
+    items = [(i, " ".join(f"w{rng.randrange(400)}" for _ in range(rng.randrange(8, 60)))) for i in range(150)]
+    docs, planted = [], set()
+    for i, t in items:
+        w = t.split()
+        for _ in range(4):
+            at = set(rng.sample(range(len(w)), rng.randrange(0, len(w) // 4 + 1)))
+            planted.add((len(docs), i))
+            docs.append((len(docs), " ".join(_texts(1, 50, len(docs)) + _replaced(w, at) + _texts(1, 50, len(docs) + 10**6))))
+        docs.append((len(docs), " ".join(rng.sample(w, len(w)) + _texts(1, 30, len(docs)))))
+    got = {(r.doc_id, r.item_id) for r in decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                                                                spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert len(got & planted) >= 0.99 * len(planted) and len(got - planted) <= 2
+
+
+def test_every_fourth_word_replaced(spark):
+    words = [f"w{i}" for i in range(40)]
+    docs = [(k, "x " + " ".join(_replaced(words, set(range(k, 40, 4)))) + " y") for k in range(4)]
+    got = decontam.contaminated(spark.createDataFrame(docs, "doc_id long, text string"),
+                                spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")).collect()
+    assert sorted(r.doc_id for r in got) == [0, 1, 2, 3]
+
+
+def test_repeated_words_stay_linear(spark):
+    """An item and a text of one word: rows in proportion to the text."""
+    d = spark.createDataFrame([(1, "word " * 20_000)], "doc_id long, text string")
+    b = spark.createDataFrame([(1, "word " * 60)], "item_id long, text string")
+    assert [tuple(r) for r in decontam.contaminated(d, b).collect()] == [(1, 1, 60)]
+    short = spark.createDataFrame([(1, "a b c d"), (2, "a b c"), (3, "a b c d e f g")], "item_id long, text string")
+    texts = spark.createDataFrame([(1, "z a b c d z"), (2, "a b x d e f g")], "doc_id long, text string")
+    assert [tuple(r) for r in decontam.contaminated(texts, short).collect()] == [(1, 1, 4)]
