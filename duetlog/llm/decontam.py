@@ -37,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import column
+from .common import column, saved
 
 #: Fixed masks: 1 = the token counts, 0 = it is ignored.
 MASKS = ("1111", "11011", "1100011")
@@ -102,11 +102,11 @@ def overlaps(documents: DataFrame, items: DataFrame, doc_key: str = "doc_id", it
     hits = _positions(tokens, "tokens", "doc_id", "text_hash").join(seeds, "seed").select(
         "doc_id", "text_hash", "item_no", "n", (F.col("at") - F.col("item_at")).alias("shift")).distinct()
     hits = hits.select(F.col("doc_id").alias("hit_id"), F.col("text_hash").alias("hit_hash"), "item_no", "n", "shift")
-    texts = documents.select(id_.alias("doc_id"), whole.alias("text"), F.xxhash64(whole).alias("text_hash")).dropDuplicates(
-        ["doc_id", "text_hash"])
+    hits = saved(hits, "decontam-hits")                 # probed once; read twice below
+    texts = documents.select(id_.alias("doc_id"), whole.alias("text"), F.xxhash64(whole).alias("text_hash"))
     hit_texts = hits.select("hit_id", "hit_hash").distinct()
     again = texts.join(hit_texts, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash")))
-    again = again.select("doc_id", "text_hash", token_hashes(F.col("text")).alias("tokens"))
+    again = again.select("doc_id", "text_hash", "text").dropDuplicates(["doc_id", "text_hash"]).select("doc_id", "text_hash", token_hashes(F.col("text")).alias("tokens"))
     met = again.join(hits, F.col("doc_id").eqNullSafe(F.col("hit_id")) & (F.col("text_hash") == F.col("hit_hash")))
     shift = F.col("shift")                              # item token i stands against document token i + shift
     along = met.select("doc_id", "text_hash", "item_no", F.greatest(F.lit(0), -shift).alias("first"), F.slice(
