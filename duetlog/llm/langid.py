@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import column, slices, string_buffers, task
+from .common import column, saved, slices, string_buffers, task
 
 UNKNOWN = "und"
 WINDOW = 64
@@ -40,6 +40,8 @@ HIDDEN = 8
 SAMPLE_DOCS = 500
 SAMPLE_WINDOWS = 6
 SAMPLE_PARTS = 64
+#: Languages that one model learns, at most.
+MAX_LANGUAGES = 64
 STEPS = 500
 BATCH = 256
 RATE = 0.02
@@ -185,25 +187,34 @@ def window_rows(texts: list[bytes]) -> np.ndarray:
 
 
 def sample(df: DataFrame, docs_per_language: int = SAMPLE_DOCS) -> tuple[np.ndarray, np.ndarray, tuple[str, ...]]:
-    """The bounded training sample: windows, class numbers, languages."""
+    """The bounded training sample: windows, class numbers, languages.
+
+    A language gives at most ``docs_per_language`` pairs of id and text (rows
+    that repeat a pair are one), and there are at most ``MAX_LANGUAGES``
+    languages; more are refused, as the model has a class for each."""
     rows = df.select(column(df, "doc_id").alias("id"), column(df, "lang").alias("lang"), column(df, "text").alias("t"))
-    rows = rows.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & ~held_out(F.col("id")))
-    picked = rows.where("t is not null").select("id", "lang").distinct().withColumn("h", F.xxhash64("id")).withColumn(
+    rows = rows.where(F.col("id").isNotNull() & F.col("lang").isNotNull() & F.col("t").isNotNull() & ~held_out(F.col("id")))
+    rows = rows.withColumn("h", F.xxhash64("id", "t"))
+    picked = rows.select("id", "lang", "h").distinct().withColumn(
         "part", F.pmod(F.col("h"), F.lit(SAMPLE_PARTS)))
     for group in (["lang", "part"], ["lang"]):         # in parts first: a language that most rows share is not one task's
         order = Window.partitionBy(*group).orderBy("h", "id")
         picked = picked.withColumn("r", F.row_number().over(order)).where(F.col("r") <= docs_per_language).drop("r")
-    picked = picked.select("id", "lang")
+    picked = picked.select("id", "lang", "h")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cuts = [_cut(t.encode(), i, SAMPLE_WINDOWS) for i, t in zip(b.column(0).to_pylist(), b.column(2).to_pylist())]
+            cuts = [_cut(t.encode(), i, SAMPLE_WINDOWS) for i, t in zip(b.column(0).to_pylist(), b.column(3).to_pylist())]
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), b.column(1), pa.array(cuts, pa.list_(pa.binary()))], names=["id", "lang", "cuts"])
-
-    # the sample's ids are bounded by docs_per_language a language
-    got = rows.join(F.broadcast(picked), ["id", "lang"], "left_semi").select("id", "lang", "t").mapInArrow(
-        task(run), "id long, lang string, cuts array<binary>").orderBy("lang", "id", "cuts").collect()
+                [b.column(0), b.column(1), b.column(2), pa.array(cuts, pa.list_(pa.binary()))], names=["id", "lang", "h", "cuts"])
+
+    known = rows.select("lang").distinct().limit(MAX_LANGUAGES + 1).count()
+    if known > MAX_LANGUAGES:
+        raise ValueError(f"more than {MAX_LANGUAGES} languages to learn; group the rare ones first")
+    # the sample's pairs are bounded by docs_per_language a language; a pair on many rows is one again before it is sent
+    got = rows.join(F.broadcast(picked), ["id", "lang", "h"], "left_semi").select("id", "lang", "h", "t").mapInArrow(
+        task(run), "id long, lang string, h long, cuts array<binary>").dropDuplicates(["id", "lang", "h"]).orderBy(
+        "lang", "id", "h").collect()
     languages = tuple(sorted({r.lang for r in got}))
     texts = [bytes(c) for r in got for c in r.cuts]
     labels = np.array([languages.index(r.lang) for r in got for _ in r.cuts], dtype=np.int64)
@@ -293,13 +304,34 @@ def language_id(df: DataFrame) -> DataFrame:
     return got.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
-#: A document whose best language has less than this share of its positions'
-#: probability is not in any learned language.
-MIN_SCORE = 0.3
+#: Share of the rightly told held-out documents of a length that the first
+#: stage may reject.
+REJECTED_SHARE = 0.001
+
+
+def _length_class(text: Column) -> Column:
+    """Texts of like length have like scores: classes of a factor of four."""
+    return F.floor(F.log2(F.octet_length(text) + 1) / 2).cast("int")
 
 
 def accepted(df: DataFrame) -> DataFrame:
-    """Rows of ``df`` in a learned language (the pipeline's first stage)."""
-    names = tuple(f"_{n}" + "_" * sum(c.startswith(f"_{n}") for c in df.columns) for n in ("lang", "score"))
-    got = predict(df, fit(df), out=names)
-    return got.where((F.col(names[0]) != UNKNOWN) & (F.col(names[1]) >= MIN_SCORE)).drop(*names)
+    """Rows of ``df`` in a learned language (the pipeline's first stage).
+
+    A row goes if its text has no letter, or if its score is under the
+    threshold of its length: the score that all but ``REJECTED_SHARE`` of the
+    labelled held-out documents of that length reach whose language was told
+    rightly.  All of them count, so the predictions are written once and read
+    twice.  A length without such documents has the threshold of chance, one
+    over the number of languages."""
+    names = tuple(f"_{n}" + "_" * sum(c.startswith(f"_{n}") for c in df.columns) for n in ("lang", "score", "length", "least"))
+    model = fit(df)
+    if model is None:
+        return df.limit(0)
+    told = predict(df, model, out=names[:2])
+    got = saved(told.withColumn(names[2], _length_class(column(told, "text"))), "language-scores")
+    lang, score = F.col(names[0]), F.col(names[1])
+    right = got.where(held_out(column(got, "doc_id")) & (column(got, "lang") == lang) & (lang != UNKNOWN))
+    least = right.groupBy(names[2]).agg(F.percentile_approx(score, REJECTED_SHARE, 100_000).alias(names[3]))
+    rows = got.join(F.broadcast(least), names[2], "left")      # one row a length class, at most 16
+    floor = F.coalesce(F.col(names[3]), F.lit(1 / len(model.languages)))
+    return rows.where((lang != UNKNOWN) & (score >= floor)).select(*[column(rows, c) for c in df.columns])

@@ -69,3 +69,64 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert len(labels) == 6 and set(labels) <= {"aa", "bb"}
     clash = odd_docs.withColumn("lang_pred", F.lit("x")).withColumn("score", F.lit("y")).withColumn("c0", F.lit(1))
     assert set(langid.accepted(clash).columns) >= {"doc_id", "text", "c0"}
+
+
+def test_the_sample_is_bounded_for_repeated_ids_and_texts(spark):
+    rows = [(1 if i < 6000 else i, f"some words number {i % 3 if i < 3000 else i}", "en" if i % 2 else "de") for i in range(7000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    windows, labels, languages = langid.sample(df, docs_per_language=5)
+    assert languages == ("de", "en") and len(windows) == 10 and np.bincount(labels).tolist() == [5, 5]
+    same = df.where("doc_id = 1").withColumn("text", F.lit("one text"))
+    assert len(langid.sample(same, docs_per_language=5)[0]) == 2
+
+
+def test_too_many_languages_are_refused(spark):
+    df = spark.range(200).selectExpr("id AS doc_id", "'x' AS text", "concat('l', id) AS lang")
+    try:
+        langid.sample(df)
+        assert False
+    except ValueError as e:
+        assert "languages" in str(e)
+
+
+def test_first_stage_rejects_junk_and_keeps_clean_documents(spark):
+    import random
+    rng, docs = random.Random(1), read(spark, SF01, "documents").select("doc_id", "text", "lang")
+    junk = [" ".join("".join(rng.choice("qxzjkvwbcdfgp") for _ in range(rng.randrange(3, 9))) for _ in range(120)) for _ in range(40)]
+    other = ["人人生而自由,在尊严和权利上一律平等。他们赋有理性和良心,并应以兄弟关系的精神相对待。" * 12,
+             " ".join("".join(rng.choice("0123456789abcdef") for _ in range(32)) for _ in range(30))]
+    added = spark.createDataFrame([(10**6 + i, t, None) for i, t in enumerate(junk + other)], "doc_id long, text string, lang string")
+    got = {r.doc_id for r in langid.accepted(docs.unionByName(added)).select("doc_id").collect()}
+    clean = {r.doc_id for r in docs.where("text rlike '[a-z]'").collect()}
+    assert len(got & clean) >= 0.99 * len(clean)
+    assert sum(i >= 10**6 for i in got) <= 0.1 * len(junk + other)
+
+
+def test_probabilities_equal_a_plain_forward_pass():
+    """The recurrence read literally, one byte at a time."""
+    rng = np.random.default_rng(3)
+    m = langid.train(rng.integers(97, 123, (40, langid.WINDOW)), np.arange(40) % 3, ("a", "b", "c"), steps=5, hidden=4)
+    text = np.frombuffer("so many words, in a row: été ".encode() * 5, np.uint8)
+    hidden = m.inner.shape[1]
+
+    def direction(window, d):
+        h, out = np.zeros(hidden), []
+        for byte in (window if d == 0 else window[::-1]):
+            pre = m.inputs[d][byte] + h @ m.inner[d]
+            s = pre / (1 + np.abs(pre))
+            z, c = 0.5 * s[:hidden] + 0.5, s[hidden:]
+            h = h + z * (c - h)
+            out.append(h)
+        return out if d == 0 else out[::-1]
+
+    total = np.zeros(3)
+    for at in range(0, len(text), langid.WINDOW):
+        window = np.full(langid.WINDOW, langid.PAD)
+        window[: len(text[at: at + langid.WINDOW])] = text[at: at + langid.WINDOW]
+        ahead, back = direction(window, 0), direction(window, 1)
+        for i in range(len(text[at: at + langid.WINDOW])):
+            logit = np.concatenate([ahead[i], back[i]]) @ m.outer + m.bias
+            e = np.exp(logit - logit.max())
+            total += e / e.sum()
+    got = langid.document_probabilities(m, np.array([0, len(text)]), text)[0]
+    assert np.allclose(got, total / len(text), atol=2e-3), (got, total / len(text))
