@@ -9,7 +9,8 @@ decompressed alone.
 Files are written by Spark's own text writer (its committer makes a lost
 executor's half-written file disappear): a row is the bytes of a frame, and
 the line separator is itself an empty skippable frame, which Zstandard
-readers pass over.  Each task writes one file.
+readers pass over.  A task begins a new file, dictionary first, after
+``FILE_PACKS`` packs of about ``PACK_BYTES``, so no file outgrows a reader.
 
 Of records with equal payloads of at least ``MIN_REVISIT`` bytes the one with
 the smallest page_id holds the payload; the others are ``revisit`` records
@@ -43,6 +44,9 @@ SAMPLE_RECORDS = 600
 SAMPLE_BYTES = 8192
 DICTIONARY_BYTES = 64 << 10
 LEVEL = 6
+#: Compressed bytes of a pack of records, about, and packs of a file.
+PACK_BYTES = 2 << 20
+FILE_PACKS = 16
 DATE = "2024-01-01T00:00:00Z"
 
 _DICTIONARY_MAGIC = 0x184D2A5D
@@ -154,24 +158,39 @@ def dictionary(pages: DataFrame) -> bytes:
 
 
 def _encode(shared: bytes):
+    """Records as packs of about ``PACK_BYTES`` compressed; every
+    ``FILE_PACKS``-th pack of a task, which begins a file, leads with the
+    dictionary."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        lead = struct.pack("<II", _DICTIONARY_MAGIC, len(shared)) + shared
+        lead = struct.pack("<II", _DICTIONARY_MAGIC, len(shared)) + shared if shared else b""
         make = zstandard.ZstdCompressor(level=LEVEL, write_checksum=True,
                                         dict_data=zstandard.ZstdCompressionDict(shared) if shared else None)
+        packs, held, size = 0, [lead], 0
+
+        def pack() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([b"".join(held)], pa.binary())], names=["frame"])
+
         for b in slices(batches, "html"):
-            out = [lead] if lead else []
-            lead = b""
             for page_id, url, html, digest, first in zip(*(c.to_pylist() for c in b.columns)):
-                out.append(make.compress(record(page_id, url, html.encode(), digest, first)))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.binary())], names=["frame"])
+                held.append(make.compress(record(page_id, url, html.encode(), digest, first)))
+                size += len(held[-1])
+                if size >= PACK_BYTES:
+                    yield pack()
+                    packs += 1
+                    held, size = [lead if packs % FILE_PACKS == 0 else b""], 0
+        if size:
+            yield pack()
     return run
 
 
 def write_archives(pages: DataFrame, path: str) -> None:
-    """Write ``pages`` (page_id, url, html) as archive files under ``path``."""
+    """Write ``pages`` (page_id, url, html) as archive files under ``path``,
+    each of at most ``FILE_PACKS`` packs and with the dictionary in front,
+    whatever the session says about files; a task without rows writes no
+    record."""
     shared = dictionary(pages)
     digested(pages).mapInArrow(task(_encode(shared)), "frame binary").select(F.col("frame").cast("string")).write.option(
-        "lineSep", _SEPARATOR).text(path)
+        "lineSep", _SEPARATOR).option("maxRecordsPerFile", FILE_PACKS).text(path)
 
 
 def read_archives(spark: SparkSession, path: str) -> DataFrame:

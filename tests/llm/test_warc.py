@@ -58,3 +58,28 @@ def test_odd_rows(spark):
     assert warc.round_trip(one).collect()[0].record_type == "response"
     none = pages.where("page_id is null").union(pages.where("page_id is null"))
     assert [r.record_type for r in warc.round_trip(none).collect()] == ["response"] * 2
+
+
+def test_files_of_bounded_size_each_with_the_dictionary(spark, monkeypatch):
+    import glob
+
+    from duetlog.session import staging_path
+    monkeypatch.setattr(warc, "PACK_BYTES", 3000)
+    monkeypatch.setattr(warc, "FILE_PACKS", 2)
+    rows = [(i, f"u{i}", f"<html>page {i} " + "some words of a page " * (i % 90) + "</html>") for i in range(400)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(2)
+    for most in ("0", "1", "40"):                   # whatever the session says
+        spark.conf.set("spark.sql.files.maxRecordsPerFile", most)
+        try:
+            path = staging_path(spark, "warc")
+            warc.write_archives(pages, path)
+        finally:
+            spark.conf.unset("spark.sql.files.maxRecordsPerFile")
+        files = [f for f in glob.glob(path.removeprefix("file:") + "/part-*")]
+        assert len(files) > 4
+        for f in files:                             # each file stands alone
+            data = open(f, "rb").read()
+            assert int.from_bytes(data[:4], "little") == warc._DICTIONARY_MAGIC
+            assert sum(1 for _ in warc.frames(memoryview(data))) > 0
+        got = warc.read_archives(spark, path).collect()
+        assert sorted((r.page_id, bytes(r.payload).decode()) for r in got) == [(i, h) for i, _, h in rows]
