@@ -307,6 +307,9 @@ def language_id(df: DataFrame) -> DataFrame:
 #: Share of the rightly told held-out documents of a length that the first
 #: stage may reject.
 REJECTED_SHARE = 0.001
+#: How far the threshold lies from chance towards that score: few held-out
+#: documents of a length tell its lowest score only roughly.
+MARGIN = 0.75
 
 
 def _length_class(text: Column) -> Column:
@@ -318,11 +321,11 @@ def accepted(df: DataFrame) -> DataFrame:
     """Rows of ``df`` in a learned language (the pipeline's first stage).
 
     A row goes if its text has no letter, or if its score is under the
-    threshold of its length: the score that all but ``REJECTED_SHARE`` of the
-    labelled held-out documents of that length reach whose language was told
-    rightly.  All of them count, so the predictions are written once and read
-    twice.  A length without such documents has the threshold of chance, one
-    over the number of languages."""
+    threshold of its length.  That lies ``MARGIN`` of the way from chance (one
+    over the number of languages) to the score that all but ``REJECTED_SHARE``
+    of the labelled held-out documents of that length reach whose language was
+    told rightly.  All of them count, so the predictions are written once and
+    read twice.  A length without such documents has the threshold of chance."""
     names = tuple(f"_{n}" + "_" * sum(c.startswith(f"_{n}") for c in df.columns) for n in ("lang", "score", "length", "least"))
     model = fit(df)
     if model is None:
@@ -333,5 +336,6 @@ def accepted(df: DataFrame) -> DataFrame:
     right = got.where(held_out(column(got, "doc_id")) & (column(got, "lang") == lang) & (lang != UNKNOWN))
     least = right.groupBy(names[2]).agg(F.percentile_approx(score, REJECTED_SHARE, 100_000).alias(names[3]))
     rows = got.join(F.broadcast(least), names[2], "left")      # one row a length class, at most 16
-    floor = F.coalesce(F.col(names[3]), F.lit(1 / len(model.languages)))
+    chance = F.lit(1 / len(model.languages))
+    floor = chance + MARGIN * F.coalesce(F.col(names[3]) - chance, F.lit(0.0))
     return rows.where((lang != UNKNOWN) & (score >= floor)).select(*[column(rows, c) for c in df.columns])
