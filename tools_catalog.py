@@ -13,16 +13,12 @@ from duetlog.catalog import registry  # noqa: E402
 NO_KEY = [
     ("SRC-12 Excel", "not built", "a local library behind a thin wrapper; export the sheet as CSV"),
     ("SRC-13 JDBC read", "`sources.readers.read_jdbc` (optionally range-partitioned)", "no: no database or driver here"),
-    ("SRC-19 Kafka", "`sources.readers.read_stream(spark, 'kafka', options)`", "no jar; the same path runs with file sources"),
+    ("SRC-19 Kafka itself", "`sources.readers.read_stream(spark, 'kafka', options)`", "no jar; an own log source runs as `src_partitioned_log`"),
     ("SRC-20 socket", "`sources.readers.read_stream(spark, 'socket', options)`", "not opened (no servers in tests)"),
     ("SNK-07 Hive-format append", "`sinks.writers.append_table(fmt=...)`", "parquet format in `snk_table_append`"),
     ("SNK-08 JDBC append", "`sinks.writers.write_jdbc` (bounded connections)", "no: no database here"),
-    ("SNK-11 webhook delivery", "`streaming.alarm.alarm_messages` body column + `sinks.writers.deliver_partitions`",
-     "content in `str_alarm_message`; `streaming.alarm.deliver_messages` in `tests/test_streaming.py`; no HTTP"),
     ("UDF-10 registration", "`functions.sql_functions.register` (SQL-bodied, inlined)", "`tests/test_functions.py`"),
     ("STR-01 trigger interval", "`streaming.alarm.run_alarm_stream(trigger=...)` (default 30 s)", "availableNow in tests"),
-    ("STR-10 checkpoint dir", "`checkpointLocation` under the shared `spark.checkpoint.dir`", "`tests/test_streaming.py`"),
-    ("STR-11 offset commit", "stream checkpoint + state versions idempotent per batch id", "crash and replay in `tests/test_streaming.py`"),
 ]
 
 
