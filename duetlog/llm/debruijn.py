@@ -11,21 +11,27 @@ the corpus, so edges travel compacted:
    the corpus equal paths are merged first, so a passage that a third of all
    documents share sends one row per slice, not one per document.
 2. *Repeats.*  Rows meet on the anchor.  Every occurrence of a path but the
-   first is repeated as a whole.  Where an anchor has several paths (the graph
-   branches: a repeat begins or ends there) the first occurrence of each is
-   expanded into single edges, which meet on two 64-bit hashes of their words.
-3. *Compaction.*  A repeated piece carries its coordinates and those of its
-   source.  Pieces of a document that follow one another, and whose sources
-   do too, are compacted into one span.
-4. *Verification.*  Spans are joined to the texts; a span counts only if the
-   words at its coordinates hash to what its pieces hashed to at the source.
-   Words covered by a verified span go.
+   first is repeated as a whole.  Where an anchor has several paths (a repeat
+   begins or ends there) the first occurrence of each is expanded into single
+   edges, which meet on a 128-bit digest of their words.
+3. *Sources.*  The words at the coordinates of every first occurrence are read
+   back from its text and digested (128-bit BLAKE2).
+4. *Compaction.*  Repeated pieces are the nodes' links: a piece and the one
+   that follows it in a document form a link, links give in- and out-degrees,
+   and a join finds the links between two pieces that have no other
+   continuation on either side.  Pieces along such links, with sources that
+   follow one another too, are compacted into one span.
+5. *Verification.*  A span carries the digests of its source's words, one a
+   piece; a piece counts only if the document's own words there have the same
+   digest.  Words covered by verified pieces go.
 
 Defined results: a null text has no words; texts shorter than a window keep
 everything; rows that repeat a doc_id with the same text are both the first
 occurrence and treated alike; a null doc_id compares as larger than any other
 (ids are below 2**62), among themselves by a hash of the text; order among
-equal starts is by doc_id.  Extra columns are passed by.
+equal starts is by doc_id.  Where different words collide on all 64 bits of
+their hashes (which crafted words can do) a later piece is compared with the
+first one's words, found different, and kept, also where a third one has its words.  Extra columns are passed by.
 """
 
 from __future__ import annotations
@@ -165,52 +171,11 @@ def pieces(rows: DataFrame) -> DataFrame:
                        F.when(~F.col("at.expand"), F.col("src_start")).alias("src_start"))
 
 
-def edge_pieces(df: DataFrame, expand: DataFrame, window: int, anchor: int) -> DataFrame:
-    """The same for single edges of the paths in ``expand``."""
-    asked = expand.groupBy("doc").agg(F.collect_list(F.struct("start", "size", "check")).alias("asked"))
-    texts = _texts(df).join(asked, "doc")
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in slices(batches, "t"):
-            words, bounds = _words(b.column(1))
-            one, two = window_hashes(words, window, _RADIX[0]), window_hashes(words, window, _RADIX[1])
-            p = paths(words, bounds, window, anchor)
-            text, (start, size, check) = _lists(b.column(2))
-            at = bounds[text] + start
-            fits = _matches(p, text, start, size, check)
-            at, size, text = at[fits], size[fits], text[fits]
-            edge = np.repeat(at - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))
-            owner = np.repeat(text, size)
-            doc = b.column(0).to_numpy(zero_copy_only=False)[owner]
-            yield pa.RecordBatch.from_arrays(
-                [_signed(one[edge]), _signed(two[edge]), pa.array(doc), pa.array((edge - bounds[owner]).astype(np.int32))],
-                names=["one", "two", "doc", "start"])
-
-    edges = texts.select("doc", "t", "asked").mapInArrow(task(run), "one long, two long, doc long, start int")
-    edges = saved(edges, "edges")
-    first = edges.groupBy("one", "two").agg(F.min(F.struct("doc", "start")).alias("src"), F.count(F.lit(1)).alias("n"))
-    found = edges.join(first.where("n > 1").drop("n"), ["one", "two"])
-    return found.where((F.col("src.doc") != F.col("doc")) | (F.col("src.start") != F.col("start"))).select(
-        "doc", "start", F.lit(1).alias("size"), F.col("one").alias("check"),
-        F.col("src.doc").alias("src_doc"), F.col("src.start").alias("src_start"))
+# ---------------------------------------------------------------- 3: the sources' words
 
+def _digest(words: list[bytes]) -> bytes:
+    return hashlib.blake2b(b" ".join(words), digest_size=16).digest()
 
-# ---------------------------------------------------------------- 3: compaction
-
-def compacted(parts: DataFrame) -> DataFrame:
-    """(doc, start, size, check): pieces that follow one another both in the
-    document and in their source, as one span."""
-    parts = parts.distinct()             # a repeated row lists its pieces again
-    w = Window.partitionBy("doc").orderBy("start")
-    follows = ((F.lag(F.col("start") + F.col("size")).over(w) == F.col("start"))
-               & (F.lag("src_doc").over(w) == F.col("src_doc"))
-               & (F.lag(F.col("src_start") + F.col("size")).over(w) == F.col("src_start")))
-    marked = parts.withColumn("fresh", F.when(follows, 0).otherwise(1)).withColumn("span", F.sum("fresh").over(w))
-    return marked.groupBy("doc", "span").agg(F.min("start").alias("start"), F.sum("size").cast("int").alias("size"),
-                                             F.bit_xor("check").alias("check")).drop("span")
-
-
-# ---------------------------------------------------------------- 4: verification and removal
 
 def _lists(col) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
     """(row of each entry, fields) of a list<struct> column."""
@@ -221,84 +186,148 @@ def _lists(col) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
     return row, tuple(flat.field(i).to_numpy(zero_copy_only=False) for i in range(flat.type.num_fields))
 
 
-def _matches(p: Paths, text, start, size, check) -> np.ndarray:
-    """Which spans of whole paths hash, at their place, to ``check``."""
-    n = np.diff(p.bounds)[text]
-    ok = (start >= 0) & (size > 0)
-    if not len(p.text) or not len(text):
+def _holds(p: Paths, text, start, size, check) -> np.ndarray:
+    """Which paths lie at their place (rows that share a doc_id may differ)."""
+    if not len(p.text):
         return np.zeros(len(text), bool)
-    mine = p.bounds[p.text] + p.start
-    at = p.bounds[text] + start
-    lo, hi = np.searchsorted(mine, at), np.searchsorted(mine, at + size)
-    ok &= (start + size <= n) & (lo < hi)
-    xor = np.concatenate([[_U(0)], np.bitwise_xor.accumulate(p.path)])
-    ok &= (xor[hi] ^ xor[lo]) == check.astype(np.int64).view(np.uint64)
-    return ok
+    mine, at = p.bounds[p.text] + p.start, p.bounds[text] + start
+    i = np.minimum(np.searchsorted(mine, at), len(mine) - 1)
+    return (mine[i] == at) & (p.text[i] == text) & (p.size[i] == size) & (p.path[i] == check.view(np.uint64))
+
+
+def digests(df: DataFrame, found: DataFrame, window: int, anchor: int) -> DataFrame:
+    """(edge, doc, start, node, digest): the words of every source of
+    ``found`` (one row a path) and of every edge of its paths to be expanded,
+    read at their coordinates.  ``node`` names the piece's words."""
+    at_source = found.where("src_doc is not null").select(
+        F.col("src_doc").alias("doc"), F.col("src_start").alias("start"), "size", "check", F.lit(False).alias("edge"))
+    to_expand = found.where("src_doc is null").select("doc", "start", "size", "check", F.lit(True).alias("edge"))
+    asked = at_source.unionByName(to_expand).groupBy("doc").agg(
+        F.collect_set(F.struct("start", "size", "check", "edge")).alias("asked"))      # at most the paths of a text
+    texts = _texts(df).join(asked, "doc").select("doc", "t", "asked")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in slices(batches, "t"):
+            off, data = string_buffers(b.column(1))
+            raw = data.tobytes()
+            starts, ends, bounds = word_spans(off, data)
+            p = paths(word_hashes(data, starts, ends), bounds, window, anchor)
+            text, (start, size, check, edge) = _lists(b.column(2))
+            start, size, check, edge = start.astype(np.int64), size.astype(np.int64), check.astype(np.int64), edge.astype(bool)
+            ok = np.flatnonzero(_holds(p, text, start, size, check))
+            ok = ok[np.argsort(text[ok], kind="stable")]
+            doc = b.column(0).to_numpy(zero_copy_only=False)
+            out: tuple[list, ...] = ([], [], [], [], [])
+            now, words = -1, []
+            for t, s, n, c, e in zip(text[ok].tolist(), start[ok].tolist(), size[ok].tolist(), check[ok].tolist(), edge[ok].tolist()):
+                if t != now:
+                    now, words = t, raw[off[t]: off[t + 1]].split()
+                for first, k in ((x, 1) for x in range(s, s + n)) if e else ((s, n),):
+                    for column_, value in zip(out, (e, int(doc[t]), first, c, _digest(words[first: first + k + window - 1]))):
+                        column_.append(value)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(out[0], pa.bool_()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()),
+                 pa.array(out[3], pa.int64()), pa.array(out[4], pa.binary())], names=["edge", "doc", "start", "check", "digest"])
+
+    rows = texts.mapInArrow(task(run), "edge boolean, doc long, start int, check long, digest binary")
+    return rows.select("edge", "doc", "start", F.when(F.col("edge"), F.xxhash64("digest")).otherwise(
+        F.xxhash64("doc", "start", "check")).alias("node"), "digest")
 
 
-def _edge_matches(p: Paths, text, start, size, check) -> np.ndarray:
-    """The same for spans of single edges."""
-    n = np.diff(p.bounds)[text]
-    at = p.bounds[text] + start
-    ok = (start >= 0) & (size > 0) & (start + size <= n) & (at + size <= len(p.edges))
-    xor = np.concatenate([[_U(0)], np.bitwise_xor.accumulate(p.edges)])
-    lo, hi = np.where(ok, at, 0), np.where(ok, at + size, 0)
-    return ok & ((xor[hi] ^ xor[lo]) == check.astype(np.int64).view(np.uint64))
+def repeated_edges(edges: DataFrame) -> DataFrame:
+    """(doc, start, size, node, src_doc, src_start): edges whose words start
+    earlier too; the source is the first of them."""
+    first = edges.groupBy("digest").agg(F.min(F.struct("doc", "start")).alias("src"), F.count(F.lit(1)).alias("n"))
+    found = edges.join(first.where("n > 1").drop("n"), "digest")
+    return found.where((F.col("src.doc") != F.col("doc")) | (F.col("src.start") != F.col("start"))).select(
+        "doc", "start", F.lit(1).alias("size"), "node", F.col("src.doc").alias("src_doc"), F.col("src.start").alias("src_start"))
+
+
+# ---------------------------------------------------------------- 4: compaction
+
+def links(parts: DataFrame) -> DataFrame:
+    """(doc, start, size, node, next, onward): every piece with the node that
+    follows it in its document; ``onward`` if its source goes on there too."""
+    parts = parts.distinct()             # a repeated row lists its pieces again
+    w = Window.partitionBy("doc").orderBy("start", "node")
+    after = F.lead(F.struct("start", "node", "src_doc", "src_start")).over(w)
+    out = parts.withColumn("after", after)
+    follows = F.col("after.start") == F.col("start") + F.col("size")
+    return out.select("doc", "start", "size", "node", F.when(follows, F.col("after.node")).alias("next"),
+                      F.coalesce(follows & (F.col("after.src_doc") == F.col("src_doc"))
+                                 & (F.col("after.src_start") == F.col("src_start") + F.col("size")), F.lit(False)).alias("onward"))
+
+
+def unbranched(linked: DataFrame) -> DataFrame:
+    """(node): nodes with one follower that has no other predecessor."""
+    pairs = linked.where("next is not null")
+    out = pairs.groupBy("node").agg(F.min("next").alias("next"), F.max("next").alias("other")).where("next = other")
+    into = pairs.groupBy("next").agg(F.min("node").alias("one"), F.max("node").alias("two")).where("one = two")
+    return out.join(into, "next").select("node")
+
+
+def compacted(linked: DataFrame, nodes: DataFrame) -> DataFrame:
+    """(doc, start, parts): pieces along unbranched links as one span;
+    ``parts`` are (start, size, digest of the source's words)."""
+    known = nodes.join(unbranched(linked).withColumn("straight", F.lit(True)), "node", "left")
+    each = linked.join(known, "node").select(
+        "doc", "start", "size", "digest", (F.col("onward") & F.coalesce("straight", F.lit(False))).alias("joins"))
+    w = Window.partitionBy("doc").orderBy("start", "digest")
+    goes_on = F.lag("joins").over(w) & (F.lag(F.col("start") + F.col("size")).over(w) == F.col("start"))
+    marked = each.withColumn("fresh", F.when(goes_on, 0).otherwise(1)).withColumn("span", F.sum("fresh").over(w))
+    return marked.groupBy("doc", "span").agg(
+        F.min("start").alias("start"), F.array_sort(F.collect_list(F.struct("start", "size", "digest"))).alias("parts")).drop("span")
 
 
 def repeated_spans(df: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """(doc, start, size, check, edges): compacted spans of repeated edges;
-    ``edges`` tells how ``check`` was made."""
+    """(doc, start, parts): compacted spans of repeated edges."""
     found = saved(pieces(path_rows(df, window, anchor)), "pieces")
-    whole = compacted(found.where("src_doc is not null"))
-    single = compacted(edge_pieces(df, found.where("src_doc is null"), window, anchor))
-    return whole.withColumn("edges", F.lit(False)).unionByName(single.withColumn("edges", F.lit(True)))
+    read = saved(digests(df, found, window, anchor), "digests")
+    whole = found.where("src_doc is not null").select(
+        "doc", "start", "size", F.xxhash64("src_doc", "src_start", "check").alias("node"), "src_doc", "src_start")
+    linked = saved(links(whole.unionByName(repeated_edges(read.where("edge").drop("edge")))), "links")
+    nodes = read.groupBy("node", "digest").agg(F.lit(1).alias("_")).drop("_")
+    return compacted(linked, nodes)
+
 
+# ---------------------------------------------------------------- 5: verification and removal
 
 def removed(df: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, with_text: bool = False) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256[, kept]) per row of ``df``:
     words covered by a window that starts earlier too are removed."""
-    spans = repeated_spans(df, window, anchor).groupBy("doc").agg(
-        F.collect_list(F.struct("start", "size", "check", "edges")).alias("spans"))
-    texts = _texts(df).join(spans, "doc", "left").select("doc", "t", "spans")
+    spans = repeated_spans(df, window, anchor).groupBy("doc").agg(F.flatten(F.collect_list("parts")).alias("parts"))
+    texts = _texts(df).join(spans, "doc", "left").select("doc", "t", "parts")
     names = ["doc_id", "n_words", "n_removed", "kept_sha256", *["kept"] * with_text]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in slices(batches, "t"):
             off, data = string_buffers(b.column(1))
             raw = data.tobytes()
-            text, fields = _lists(b.column(2))
-            gone: dict[int, list[tuple[int, int]]] = {}
-            if len(text):
-                some = np.unique(text)
-                words, bounds = _words(b.column(1).take(pa.array(some)))
-                p = paths(words, bounds, window, anchor)
-                start, size, check, edges = (f.astype(np.int64) for f in fields)
-                local = np.searchsorted(some, text)
-                ok = np.where(edges > 0, _edge_matches(p, local, start, size, check), _matches(p, local, start, size, check))
-                for t, s, n in zip(text[ok].tolist(), start[ok].tolist(), size[ok].tolist()):
-                    gone.setdefault(t, []).append((s, s + n + window - 1))
-            n_words, n_removed, digests, kept = [], [], [], []
+            n_words, n_removed, shas, kept = [], [], [], []
             for i in range(b.num_rows):
                 w = raw[off[i]: off[i + 1]].split()
                 n_words.append(len(w))
-                if i in gone:
-                    cut = np.zeros(len(w) + 1, np.int64)
-                    for s, e in gone[i]:
+                cut = None
+                for part in b.column(2)[i].as_py() or ():
+                    s, e = part["start"], part["start"] + part["size"] + window - 1
+                    if e <= len(w) and _digest(w[s:e]) == part["digest"]:
+                        if cut is None:
+                            cut = np.zeros(len(w) + 1, np.int64)
                         cut[s] += 1
                         cut[e] -= 1
+                if cut is not None:
                     stay = np.flatnonzero(np.cumsum(cut[:-1]) == 0).tolist()
                     n_removed.append(len(w) - len(stay))
                     w = [w[j] for j in stay]
                 else:
                     n_removed.append(0)
                 out = b" ".join(w)
-                digests.append(hashlib.sha256(out).hexdigest())
+                shas.append(hashlib.sha256(out).hexdigest())
                 if with_text:
                     kept.append(out.decode())
             doc = b.column(0).to_numpy(zero_copy_only=False)
             columns = [pa.array(doc, mask=doc >= _NO_ID), pa.array(n_words, pa.int64()), pa.array(n_removed, pa.int64()),
-                       pa.array(digests, pa.string())]
+                       pa.array(shas, pa.string())]
             yield pa.RecordBatch.from_arrays(columns + [pa.array(kept, pa.string())] * with_text, names=names)
 
     schema = "doc_id long, n_words long, n_removed long, kept_sha256 string"

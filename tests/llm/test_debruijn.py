@@ -102,3 +102,34 @@ def test_paths_cover_every_edge_once():
     flat = np.concatenate([word_hashes(*[np.frombuffer(w.encode(), np.uint8), np.array([0]), np.array([len(w)])])
                            for t in texts for w in t.split()])
     assert np.array_equal(flat, word_hashes(data, s, e))
+
+
+def thue_morse(n, letters):
+    return "".join(letters[bin(i).count("1") % 2] for i in range(n))
+
+
+def test_colliding_words_are_compared_with_the_source(spark):
+    # a sequence and its complement collide for every polynomial hash modulo 2**64 with an odd radix
+    a, b = thue_morse(2048, "ab"), thue_morse(2048, "ba")
+    raw = [np.frombuffer(w.encode(), np.uint8) for w in (a, b)]
+    one, two = (word_hashes(r, np.array([0]), np.array([len(r)]))[0] for r in raw)
+    assert a != b and one == two
+    around = [f"w{i}" for i in range(40)]
+    texts = [" ".join(around[:20] + [x] + around[20:]) for x in (a, b)]
+    data = [(1, texts[0]), (2, " ".join(around[:19] + [b] + around[21:]).replace("w", "v")),
+            (3, " ".join(around[:19] + [a] + around[21:]).replace("w", "v")), (4, texts[0])]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    assert rows(debruijn.removed(df)) == brute(data, 20)          # only the true copy goes
+    pair = [(1, texts[0]), (2, texts[1])]
+    assert [r[2] for r in rows(debruijn.removed(spark.createDataFrame(pair, "doc_id long, text string")))] == [0, 0]
+
+
+def test_only_unbranched_links_compact(spark):
+    link = spark.createDataFrame(
+        [(1, 0, 5, 10, 11, True), (1, 5, 5, 11, 12, True), (1, 10, 5, 12, None, False),
+         (2, 0, 5, 10, 11, True), (2, 5, 5, 11, 13, False), (2, 10, 5, 13, None, False)],
+        "doc long, start int, size int, node long, next long, onward boolean")
+    assert [r.node for r in debruijn.unbranched(link).collect()] == [10]      # 11 goes on to 12 and to 13
+    nodes = spark.createDataFrame([(n, bytes([n])) for n in (10, 11, 12, 13)], "node long, digest binary")
+    got = {(r.doc, r.start): [p.size for p in r.parts] for r in debruijn.compacted(link, nodes).collect()}
+    assert got == {(1, 0): [5, 5], (1, 10): [5], (2, 0): [5, 5], (2, 10): [5]}
