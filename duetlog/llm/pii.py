@@ -5,13 +5,14 @@ Luhn), leftmost and non-overlapping per kind, without retries.  They miss
 spans that touch other numbers ("555-2485 4524132264652876" is one run of 23
 digits).  The learned part adds those: generators propose overlapping
 candidates with high recall (every run of number tokens of up to
-``MAX_DIGITS`` digits, spaced and spelt-out addresses), trees score them by format and
+``MAX_DIGITS`` digits, spaced and spelt-out addresses of any length), trees score them by format and
 context features, per-kind thresholds calibrated for precision decide, and
 the best non-overlapping ones that touch no base span are added.
 
-The trees are fitted on a bounded sample: up to ``SAMPLE_SPANS`` base spans
-and ``SAMPLE_OTHER`` other numeric stretches of the corpus (least hash), the
-spans also set next to each other, spelt out and spaced out, since base patterns never
+The trees are fitted on a bounded sample: up to ``SAMPLE_SPANS`` base spans of
+at most ``SAMPLE_WIDTH`` characters and ``SAMPLE_OTHER`` other numeric stretches
+(at most ``SAMPLE_PER_TEXT`` of a text, cut at ``SAMPLE_CHARS``) of the corpus
+(least hash), the spans also set next to each other, spelt out and spaced out, since base patterns never
 show them so.  A corpus without base spans gets no model and no added spans.
 
 Defined results: a null text counts as empty; no span gives zero counts, the
@@ -25,6 +26,7 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
+from itertools import islice
 from typing import NamedTuple
 
 import numpy as np
@@ -38,6 +40,9 @@ from .common import column, saved, slices, task
 KINDS = ("email", "ip", "card", "phone")
 SAMPLE_SPANS = 3000
 SAMPLE_OTHER = 1500
+SAMPLE_WIDTH = 120
+SAMPLE_PER_TEXT = 4
+SAMPLE_CHARS = 200
 CONTEXT = 32
 PRECISION = 0.99
 #: A numeric stretch proposes every run of up to this many digits.
@@ -58,9 +63,15 @@ _STRETCH = re.compile(r"[+(]?[0-9][0-9 ().+-]*")
 _TOKEN = re.compile(r"[^ ]+")
 _AT = r"[(\[{] ?(?i:at) ?[)\]}]"
 _DOT = r"(?:\.| ?[(\[{] ?(?i:dot) ?[)\]}] ?| (?i:dot) )"
-_LOOSE_MAIL = re.compile(rf"[\w.%+-]{{1,64}}(?: ?(?:@|{_AT}) ?| (?i:at) )[\w-]{{1,63}}(?:{_DOT}[\w-]{{1,63}}){{1,4}}")
+# Loose addresses are read from their "at" outwards, so that a long word costs
+# no more than its length and neither side needs a limit.
+_LOOSE_AT = re.compile(rf" ?(?:@|{_AT}) ?| (?i:at) ")
+_LOOSE_LOCAL = re.compile(r"[\w.%+-]")
+_LOOSE_DOMAIN = re.compile(rf"[\w-]+(?:{_DOT}[\w-]+)+")
+_IP_DOT = r"(?: ?\. ?| ?[(\[{] ?(?:\.|(?i:dot)) ?[)\]}] ?| (?i:dot) )"
+_LOOSE_IP = re.compile(rf"(?<![0-9])[0-9]{{1,3}}(?:{_IP_DOT}[0-9]{{1,3}}){{3}}(?![0-9])")
 _SPELT_AT = re.compile(rf" (?i:at) |{_AT}")
-_MAIL_HINT = re.compile(rf"@|{_AT}| (?i:at) [\w-]{{1,63}}{_DOT}")
+_MAIL_HINT = re.compile(rf"@|{_AT}| (?i:at) [\w-]+{_DOT}")
 #: A text without any of these holds no span.
 _ANY = re.compile(rf"[0-9]|{_MAIL_HINT.pattern}")
 #: Context words that speak for or against a kind.
@@ -146,8 +157,25 @@ def candidates(text: str) -> list[tuple[int, int, int]]:
                         out.append((a, 2, b))
                     if 7 <= digits <= 15:
                         out.append((a, 3, b))
+    out += [(m.start(), 1, m.end()) for m in _LOOSE_IP.finditer(text)]
     if _MAIL_HINT.search(text):
-        out += [(m.start(), 0, m.end()) for m in _LOOSE_MAIL.finditer(text)]
+        out += loose_mails(text)
+    return out
+
+
+def loose_mails(text: str) -> list[tuple[int, int, int]]:
+    """Addresses with a spaced or spelt-out "at" or "dot", whole."""
+    out, done, at = [], 0, _LOOSE_AT.search(text)
+    while at:
+        after, host = at.start() + 1, _LOOSE_DOMAIN.match(text, at.end())
+        if host:
+            start = at.start()
+            while start > done and _LOOSE_LOCAL.match(text, start - 1, start):
+                start -= 1
+            if start < at.start():
+                out.append((start, 0, host.end()))
+                after = done = host.end()
+        at = _LOOSE_AT.search(text, after)
     return out
 
 
@@ -171,7 +199,8 @@ def features(text: str, start: int, kind: int, end: int) -> list[float]:
         float(prev.isalnum() or prev in "_/=\"'+"), float(nxt.isalnum() or nxt in "_/=\"'"),
         float(prev in ".-("), float(nxt in ".-)" and after[1:2].isdigit()),
         float(prev == "+"), float("@" in word), float(bool(_SPELT_AT.search(word))),
-        float(tail.isalpha()), len(tail), *[float(h in near) for h in _HINTS],
+        float(tail.isalpha()), len(tail),
+        float(kind == 1 and len(groups) == 4 and all(len(g) <= 3 and int(g) <= 255 for g in re.findall("[0-9]+", word))), *[float(h in near) for h in _HINTS],
     ]
 
 
@@ -189,6 +218,10 @@ def _spelt(span: str, turn: int) -> str:
     return name + at + host.replace(".", dot)
 
 
+def _dotted(ip: str, turn: int) -> str:
+    return ip.replace(".", ("[.]", " . ", "(dot)", " dot ", "[dot]", "(.)")[turn % 6])
+
+
 def _respaced(card: str, turn: int) -> str:
     """The digits of a number in groups of four, or each on its own."""
     digits = _NOT_DIGIT.sub("", card)
@@ -234,6 +267,8 @@ def training_rows(spans: list[tuple[str, str, str, str]], others: list[str]) ->
         if k == 1:                          # parts over 255
             wrong = ".".join(str(int(p) + 256) for p in span.split("."))
             learn(left + wrong + right, set(), (a, a + len(wrong)))
+            for shape, good in ((_dotted(span, n), True), (_dotted(wrong, n), False)):
+                learn(left + shape + right, {(a, 1, a + len(shape))} if good else set(), (a, a + len(shape)))
     for text in others:
         learn(text, set(), (0, len(text)))
     return np.array(x, dtype=np.float64), np.array(y)
@@ -257,16 +292,16 @@ def _snippets(df: DataFrame) -> DataFrame:
     """(kind, left, span, right): base spans and, with kind 'none', the
     surroundings of numeric stretches without any."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in slices(batches, "t"):
             rows = []
             for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 base = base_spans(t)
                 for s, k, e in base:
-                    if e - s <= 120:
+                    if e - s <= SAMPLE_WIDTH:
                         rows.append((i, s, KINDS[k], t[max(0, s - CONTEXT): s], t[s:e], t[e: e + CONTEXT]))
                 if not base:
-                    rows += [(i, m.start(), "none", "", t[max(0, m.start() - CONTEXT): m.end() + CONTEXT][:200], "")
-                             for m in list(_STRETCH.finditer(t))[:4]]
+                    rows += [(i, m.start(), "none", "", t[max(0, m.start() - CONTEXT): m.end() + CONTEXT][:SAMPLE_CHARS], "")
+                             for m in islice(_STRETCH.finditer(t), SAMPLE_PER_TEXT)]
             yield pa.RecordBatch.from_pylist(
                 [dict(zip(("id", "start", "kind", "l", "span", "r"), r)) for r in rows], schema=schema)
 

@@ -113,3 +113,20 @@ def test_spaced_numbers_and_spelt_addresses(spark):
     for text, want in ((f"pay {card} now", "pay <CARD> now"), ("mail bob AT example DOT com", "mail <EMAIL>"),
                        ("mail bob at example.com", "mail <EMAIL>"), ("mail bob (AT) example (dot) com", "mail <EMAIL>")):
         assert pii.redact(text, pii.all_spans(text, model)[1]) == want
+
+
+def test_spelt_addresses_are_proposed_whole(spark):
+    local = "first.last" * 8 + "+tag"
+    for t in ("bob at a.b.c.d.e.f.com", f"{local} (at) mail.example.org", "joe [at] " + "long-label" * 9 + " dot net",
+              "10[.]0[.]0[.]1", "10 . 0 . 0 . 1", "192 dot 168 dot 7 dot 21"):
+        around = f"see {t}, please"
+        assert t in {around[s:e] for s, _, e in pii.candidates(around)}, t
+    assert pii.loose_mails("meet at noon at the gate at a. b") == []
+    assert pii.loose_mails("a at b at c.org") == [(5, 0, 15)] and pii.loose_mails("@a.b at c.d") == [(1, 0, 11)]
+    for t in ("a" * 200000 + " at " + "b" * 200000, " at " * 50000, "a at b" * 30000, "@" * 100000, "a.b at c.d " * 20000):
+        pii.candidates(t)                                     # linear, or this test would not end
+    spans, others = _sample(spark)
+    model = pii.train(spans, others)
+    for t, kind in (("bob.miller at a.b.c.d.e.f.com", 0), ("10[.]24[.]0[.]17", 1)):
+        around = f"send it to {t} or call"
+        assert (kind, t) in {(k, around[s:e]) for s, k, e in pii.all_spans(around, model)[1]}, t
