@@ -48,7 +48,7 @@ class Rule(NamedTuple):
 
 
 RULES = (
-    Rule("length", "n_words", MIN_WORDS, 1_000_000),
+    Rule("length", "n_words", MIN_WORDS, None),
     Rule("repetition", "repeat_ratio", None, MAX_REPEAT_PERCENT / 100),
     Rule("word_length", "mean_word_chars", 2.0, 15.0),
     Rule("symbols", "symbol_ratio", None, 0.10),
@@ -185,7 +185,7 @@ b AS (SELECT *, (n_words < {MIN_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PER
 SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(word_chars AS BIGINT) AS word_chars,
        CAST(n_symbols AS BIGINT) AS n_symbols, CAST(n_dup_lines AS BIGINT) AS n_dup_lines,
        CAST(n_repeat_words AS BIGINT) AS n_repeat_words, base_failed,
-       (NOT base_failed AND n_words <= 1000000 AND n_repeat_words / n_words <= {MAX_REPEAT_PERCENT / 100}
+       (NOT base_failed AND n_repeat_words / n_words <= {MAX_REPEAT_PERCENT / 100}
         AND word_chars / n_words BETWEEN 2.0 AND 15.0 AND n_symbols / n_words <= 0.1
         AND n_letter / n_words >= 0.7 AND n_stop / n_words >= 0.05
         AND n_dup_lines <= 0.3 * n_lines AND n_ell <= 0.3 * n_lines AND n_bul <= 0.9 * n_lines) AS kept

@@ -62,3 +62,10 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert quality.quality(no_docs).count() == 0
     plan = quality.quality(odd_docs)._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow|Exchange", plan)
+
+
+def test_no_text_fails_for_its_length_alone(spark):
+    text = "concat_ws(' ', transform(sequence(1, 1100000), i -> concat('the w', i))) AS text"
+    df = spark.range(1).selectExpr("id AS doc_id", text)
+    r = quality.judge(df).first()
+    assert r.n_words == 2200000 and r.kept and r.broken_rules == []
