@@ -11,6 +11,8 @@ address.  32-bit and 128-bit addresses are keys of one kind and may be mixed.
 Each distinct address is looked up once, however many rows hold it; the pieces
 are broadcast while their measured bytes are small, and otherwise both sides
 are shuffled with salt, so a short prefix over many addresses is many tasks.
+Spark's own size estimate is of no use here, as it counts an exploded row once:
+the shuffled form names its join, or either side may go through the driver.
 """
 
 from __future__ import annotations
@@ -119,6 +121,7 @@ def prefix_join(fact: DataFrame, ranges: DataFrame, key: Column, lo: str = "lo",
     else:
         parts = parts.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         cut = cut.withColumn("_salt", F.pmod(F.xxhash64("_key"), F.lit(salt)).cast("int"))
+        parts = parts.hint("merge")     # an estimate must not broadcast either side: both are exploded
         on.append("_salt")
     found = cut.join(parts, on).groupBy("_key").agg(F.min("_rank").alias("_rank"))
     out = fact.withColumn("_key", key).join(found, "_key", "left")

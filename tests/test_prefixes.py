@@ -85,6 +85,21 @@ def test_no_nested_loop_in_the_plan(spark, tables01):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_the_shuffled_form_broadcasts_neither_side(spark):
+    """Estimates take the addresses, exploded to one row a length, or the
+    pieces, exploded to one row a salt, for small enough to broadcast."""
+    points = spark.range(2_000).select((F.col("id") * 7).alias("ip"))
+    dim = spark.range(40).select((F.col("id") * 300).alias("lo"), (F.col("id") * 300 + 250).alias("hi"), F.col("id").alias("place"))
+    big = dim.crossJoin(spark.range(500)).select("lo", "hi", "place").distinct()
+    want = {(i * 7, i * 7 // 300 if i * 7 % 300 <= 250 and i * 7 < 12_000 else None) for i in range(2_000)}
+    for ranges in (dim, big):       # estimated below and above the addresses
+        df = prefix_join(points, ranges, bits_of_long(F.col("ip")), max_broadcast_bytes=0)
+        assert {tuple(r) for r in df.collect()} == want
+        plan = df._jdf.queryExecution().executedPlan().toString()      # first and final plan
+        joins = [line for line in plan.splitlines() if "Join [" in line and "_salt" in line]
+        assert joins and all("SortMergeJoin" in line for line in joins)
+
+
 def test_the_interval_join_refuses_overlaps(spark):
     fine = spark.createDataFrame([(0, 10), (11, 200_000), (200_001, 200_001)], "lo long, hi long")
     assert refuse_overlaps(fine).count() == 3
